@@ -77,6 +77,61 @@ CTE = {
   WHERE NOT r.removed
     AND NOT EXISTS (SELECT 1 FROM current_pairs c
                     WHERE c.dataset = r.dataset AND c.resource = r.old_resource))""",
+    "tin": """tin AS (
+  SELECT 'part-' || CAST(p.p_partkey // 1000 AS VARCHAR) AS dataset, p.p_partkey AS entity,
+         sha256(CAST(l.l_orderkey AS VARCHAR)) AS resource,
+         CAST(l.l_linenumber AS BIGINT) AS entry_number,
+         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS entry_date,
+         CAST(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 2 END AS BIGINT) AS priority,
+         p.p_name AS name, 'P' || CAST(p.p_partkey AS VARCHAR) AS reference,
+         CAST(l.l_suppkey AS VARCHAR) AS organisation_entity,
+         CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS quantity,
+         l.l_returnflag || l.l_linestatus AS status
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)""",
+    "tfact": """tfact AS (
+  SELECT *, sha256(CAST(entity AS VARCHAR) || '|' || field || '|' || value) AS fact FROM (
+    SELECT dataset, entity, resource, entry_number, entry_date, priority, 'name' AS field, name AS value FROM tin
+    UNION ALL SELECT dataset, entity, resource, entry_number, entry_date, priority, 'reference', reference FROM tin
+    UNION ALL SELECT dataset, entity, resource, entry_number, entry_date, priority, 'organisation_entity', organisation_entity FROM tin
+    UNION ALL SELECT dataset, entity, resource, entry_number, entry_date, priority, 'quantity', quantity FROM tin
+    UNION ALL SELECT dataset, entity, resource, entry_number, entry_date, priority, 'status', status FROM tin))""",
+    "rfields": """rfields AS (
+  SELECT dataset, entity, field, value, entry_date, fact FROM (
+    SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
+                                 ORDER BY priority, entry_date DESC, entry_number DESC, fact) AS rn
+    FROM tfact) WHERE rn = 1)""",
+    "ents": """ents AS (
+  SELECT dataset, NULL::VARCHAR AS end_date, entity, max(entry_date) AS entry_date,
+         max(CASE WHEN field = 'geometry' THEN value END) AS geometry,
+         CASE WHEN count(CASE WHEN field NOT IN ('end_date','geometry','name','organisation_entity',
+                   'point','prefix','quality','reference','start_date','typology') THEN 1 END) > 0
+              THEN '{' || string_agg(CASE WHEN field NOT IN ('end_date','geometry','name',
+                   'organisation_entity','point','prefix','quality','reference','start_date',
+                   'typology') THEN '"' || field || '":"' || value || '"' END, ',' ORDER BY field)
+                   || '}' END AS json,
+         max(CASE WHEN field = 'name' THEN value END) AS name,
+         max(CASE WHEN field = 'organisation_entity' THEN value END) AS organisation_entity,
+         max(CASE WHEN field = 'point' THEN value END) AS point,
+         max(CASE WHEN field = 'prefix' THEN value END) AS prefix,
+         max(CASE WHEN field = 'quality' THEN value END) AS quality,
+         max(CASE WHEN field = 'reference' THEN value END) AS reference,
+         max(CASE WHEN field = 'start_date' THEN value END) AS start_date,
+         max(CASE WHEN field = 'typology' THEN value END) AS typology
+  FROM rfields GROUP BY dataset, entity)""",
+    "spec": """spec AS (
+  SELECT DISTINCT 'part-' || CAST(p_partkey // 1000 AS VARCHAR) AS dataset, 'part' AS collection,
+         (p_partkey // 1000) * 1000 AS entity_minimum, (p_partkey // 1000) * 1000 + 999 AS entity_maximum
+  FROM part)""",
+    "old_entity": """old_entity AS (
+  SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN c_name
+              WHEN c_mktsegment = 'MACHINERY' THEN CAST(c_custkey + 5000000000 AS VARCHAR)
+              ELSE CAST(c_custkey AS VARCHAR) END AS old_entity,
+         CASE WHEN c_acctbal < 0 THEN '' ELSE CAST(c_custkey + 1 AS VARCHAR) END AS entity,
+         CASE WHEN c_acctbal < 0 THEN '410' ELSE '301' END AS status
+  FROM customer)""",
+    "eorg": """eorg AS (
+  SELECT s_suppkey * 20 AS entity_minimum, s_suppkey * 20 + 19 AS entity_maximum,
+         'org-' || CAST(s_nationkey AS VARCHAR) AS organisation FROM supplier)""",
 }
 
 # dependency order of the CTEs above
@@ -85,6 +140,7 @@ _DEPS = {
     "current": ["version_log"], "clog": ["docs"], "rmap": ["old_resource"],
     "resolved": ["pair", "rmap"], "enrich": ["clog", "src"],
     "tasks": ["resolved", "enrich", "current"],
+    "tfact": ["tin"], "rfields": ["tfact"], "ents": ["rfields"],
 }
 
 

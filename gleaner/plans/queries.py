@@ -241,3 +241,259 @@ def q_detect_new(spark, d):
     new = SEL.detect_new(local, remote)
     return new.select(X.hash_from_path(F.concat(F.lit("collection/resource/"), "resource"))
                       .alias("resource")).distinct()
+
+
+# ----------------------------------------------------------------- manifests
+
+from gleaner.operators import manifest as M  # noqa: E402
+
+COLLECTION = "demo"
+BASE_URL = "https://files.example.org//"
+BUCKET = "collection-data"
+
+
+@register("plan_resource_fetch", with_ctes(["pair", "current", "rmap"], """
+SELECT url, max(path) AS path FROM (
+  SELECT 'https://files.example.org/demo-collection/collection/resource/' || resource AS url,
+         'collection/resource/' || resource AS path
+  FROM (SELECT CASE WHEN m.old_resource IS NOT NULL THEN m.target ELSE w.resource END AS resource,
+               (m.old_resource IS NOT NULL AND (m.target IS NULL OR m.target = '')) AS removed
+        FROM (SELECT DISTINCT p.resource FROM pair p
+              WHERE NOT EXISTS (SELECT 1 FROM current_pairs c
+                                WHERE c.dataset = p.dataset AND c.resource = p.resource)) w
+        LEFT JOIN rmap m ON m.old_resource = w.resource)
+  WHERE NOT removed)
+GROUP BY url"""))
+def q_plan_resource_fetch(spark, d):
+    work = SEL.select_work(ST.dataset_resource_map(spark, d),
+                           version_log=ST.dataset_resource_log(spark, d), versions=_versions())
+    res = SEL.filter_removed(SEL.resolve_redirect(SEL.distinct_resources(work),
+                                                  ST.old_resource(spark, d)))
+    return M.dedup_manifest(M.resource_manifest(res, COLLECTION, base_url=BASE_URL))
+
+
+_ARTEFACT_VALUES = """(VALUES (0, 'transformed', 'transformed/', 'parquet'),
+        (1, 'issue', 'issue/', 'csv'),
+        (2, 'column_field', 'var/column-field/', 'csv'),
+        (3, 'dataset_resource', 'var/dataset-resource/', 'csv'),
+        (4, 'converted_resource', 'var/converted-resource/', 'csv')) a(ordinal, family, dir, ext)"""
+
+_SLICED_NOT_RETIRED = f"""sliced AS (
+  SELECT dataset, resource FROM (
+    SELECT dataset, resource, row_number() OVER (ORDER BY dataset, resource) - 1 AS position
+    FROM pair)
+  WHERE position >= {SLICE_OFFSET} AND position < {SLICE_OFFSET + SLICE_LIMIT}
+    AND resource NOT IN (SELECT old_resource FROM old_resource WHERE status = '410'))"""
+
+
+@register("plan_artefact_fetch", with_ctes(["pair", "old_resource"], f"""
+, {_SLICED_NOT_RETIRED}
+SELECT s.dataset, s.resource, a.family,
+       's3://collection-data/demo-collection/' || a.dir || s.dataset || '/' || s.resource || '.' || a.ext
+         AS url,
+       a.dir || s.dataset || '/' || s.resource || '.' || a.ext AS path
+FROM sliced s, {_ARTEFACT_VALUES}""").replace("\n, sliced", ",\nsliced"))
+def q_plan_artefact_fetch(spark, d):
+    sliced = SEL.slice_pairs(ST.dataset_resource_map(spark, d), SLICE_OFFSET, SLICE_LIMIT)
+    live = SEL.anti_retired(sliced.select("dataset", "resource"), ST.old_resource(spark, d))
+    return M.artefact_manifest(live, COLLECTION, bucket=BUCKET)
+
+
+@register("files_per_task", with_ctes(["pair", "old_resource"], f"""
+, {_SLICED_NOT_RETIRED}
+SELECT CAST(5 * count(*) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_tasks,
+       CAST(CASE WHEN count(*) > 0 THEN (5 * count(*)) // count(*) ELSE 0 END AS BIGINT)
+         AS files_per_task
+FROM sliced""").replace("\n, sliced", ",\nsliced"))
+def q_files_per_task(spark, d):
+    sliced = SEL.slice_pairs(ST.dataset_resource_map(spark, d), SLICE_OFFSET, SLICE_LIMIT)
+    live = SEL.anti_retired(sliced.select("dataset", "resource"), ST.old_resource(spark, d))
+    man = M.dedup_manifest(M.artefact_manifest(live, COLLECTION, bucket=BUCKET))
+    return M.files_per_task(man, live)
+
+
+@register("reconcile_log_manifest", with_ctes(["pair", "version_log"], """
+SELECT p.dataset, p.resource,
+       's3://collection-data/demo-collection/var/dataset-resource/' || p.dataset || '/' || p.resource
+         || '.csv' AS url,
+       'var/dataset-resource/' || p.dataset || '/' || p.resource || '.csv' AS path,
+       EXISTS (SELECT 1 FROM version_log v WHERE v.dataset = p.dataset AND v.resource = p.resource)
+         AS present
+FROM pair p"""))
+def q_reconcile_log_manifest(spark, d):
+    expected = M.log_manifest(ST.dataset_resource_map(spark, d), COLLECTION, bucket=BUCKET)
+    stored = M.log_manifest(ST.dataset_resource_log(spark, d).select("dataset", "resource"),
+                            COLLECTION, bucket=BUCKET)
+    return M.reconcile_manifest(expected, stored)
+
+
+@register("summarise_log_manifest", with_ctes(["pair", "version_log"], """
+SELECT CAST(count(*) FILTER (WHERE present) AS BIGINT) AS downloaded,
+       CAST(count(*) FILTER (WHERE NOT present) AS BIGINT) AS not_found
+FROM (SELECT EXISTS (SELECT 1 FROM version_log v
+                     WHERE v.dataset = p.dataset AND v.resource = p.resource) AS present
+      FROM pair p)"""))
+def q_summarise_log_manifest(spark, d):
+    return M.summarise_manifest(q_reconcile_log_manifest(spark, d))
+
+
+@register("failed_downloads", with_ctes(["pair", "current", "rmap", "clog"], """
+SELECT url FROM (
+  SELECT DISTINCT 'https://files.example.org/demo-collection/collection/resource/' || resource AS url,
+         resource
+  FROM (SELECT CASE WHEN m.old_resource IS NOT NULL THEN m.target ELSE w.resource END AS resource,
+               (m.old_resource IS NOT NULL AND (m.target IS NULL OR m.target = '')) AS removed
+        FROM (SELECT DISTINCT p.resource FROM pair p
+              WHERE NOT EXISTS (SELECT 1 FROM current_pairs c
+                                WHERE c.dataset = p.dataset AND c.resource = p.resource)) w
+        LEFT JOIN rmap m ON m.old_resource = w.resource)
+  WHERE NOT removed)
+WHERE resource NOT IN (SELECT resource FROM clog WHERE resource IS NOT NULL AND status = '200')"""))
+def q_failed_downloads(spark, d):
+    manifest = q_plan_resource_fetch(spark, d)
+    log = ST.collection_log(spark, d).where((F.col("status") == "200") & F.col("resource").isNotNull())
+    arrived = M.resource_manifest(log.select("resource").distinct(), COLLECTION, base_url=BASE_URL)
+    return M.failed_downloads(M.reconcile_manifest(manifest, arrived))
+
+
+@register("split_s3_url", with_ctes(["pair"], """
+SELECT url, 'collection-data' AS bucket,
+       'demo-collection/var/dataset-resource/' || dataset || '/' || resource || '.csv' AS key
+FROM (SELECT dataset, resource,
+             's3://collection-data/demo-collection/var/dataset-resource/' || dataset || '/'
+               || resource || '.csv' AS url FROM pair)"""))
+def q_split_s3_url(spark, d):
+    man = M.log_manifest(ST.dataset_resource_map(spark, d), COLLECTION, bucket=BUCKET)
+    return man.select("url", X.split_s3_url("url").alias("p")).select("url", "p.bucket", "p.key")
+
+
+@register("path_parts", with_ctes(["pair"], f"""
+SELECT a.dir || p.dataset || '/' || p.resource || '.' || a.ext AS path,
+       p.resource || '.' || a.ext AS base_name, p.dataset AS dataset
+FROM pair p, {_ARTEFACT_VALUES}"""))
+def q_path_parts(spark, d):
+    paths = M.artefact_paths(ST.dataset_resource_map(spark, d))
+    return paths.select(F.col("remote_path").alias("path"),
+                        X.base_name("remote_path").alias("base_name"),
+                        X.dataset_from_path("remote_path").alias("dataset"))
+
+
+@register("split_words", with_ctes(["enrich"], """
+SELECT resource, CAST(CASE WHEN endpoints IS NULL OR trim(endpoints) = '' THEN 0
+                      ELSE len(string_split_regex(trim(endpoints), '\\s+')) END AS BIGINT) AS n_endpoints,
+       CAST(CASE WHEN organisations IS NULL OR trim(organisations) = '' THEN 0
+            ELSE len(string_split_regex(trim(organisations), '\\s+')) END AS BIGINT) AS n_organisations
+FROM enrich"""))
+def q_split_words(spark, d):
+    e = C.resource_enrichment(ST.collection_log(spark, d), ST.source_table(spark, d))
+    return e.select("resource", F.size(X.split_words("endpoints")).cast("bigint").alias("n_endpoints"),
+                    F.size(X.split_words("organisations")).cast("bigint").alias("n_organisations"))
+
+
+@register("collection_names", with_ctes(["src"], """
+SELECT DISTINCT collection || '-collection' AS repository,
+       regexp_replace(collection || '-collection', '-collection$', '') AS collection,
+       replace(collection || '-data', '-', '_') AS underscored,
+       replace(replace(collection || '-data', '-', '_'), '_', '-') AS hyphenated
+FROM src"""))
+def q_collection_names(spark, d):
+    s = ST.source_table(spark, d).select(F.concat("collection", F.lit("-collection")).alias("repository"),
+                                         F.concat("collection", F.lit("-data")).alias("_n"))
+    return s.select("repository", X.strip_collection_suffix("repository").alias("collection"),
+                    X.underscore("_n").alias("underscored"),
+                    X.hyphenate(X.underscore("_n")).alias("hyphenated")).distinct()
+
+
+# ----------------------------------------------------------------- facts / entities
+
+from gleaner.operators import facts as FA  # noqa: E402
+from gleaner.operators.joins import range_join  # noqa: E402
+
+
+@register("make_facts", with_ctes(["tfact"], """
+SELECT max(entity) AS entity, fact, max(field) AS field, max(entry_date) AS entry_date,
+       min(priority) AS priority,
+       CASE WHEN max(field) = 'organisation_entity' THEN max(value) END AS reference_entity,
+       max(value) AS value
+FROM tfact GROUP BY fact"""))
+def q_make_facts(spark, d):
+    return FA.make_facts(ST.transformed_facts_input(spark, d))
+
+
+@register("make_fact_resources", with_ctes(["tfact"], """
+SELECT DISTINCT fact, entry_date, entry_number, priority, resource FROM tfact"""))
+def q_make_fact_resources(spark, d):
+    return FA.make_fact_resources(ST.transformed_facts_input(spark, d))
+
+
+@register("resolve_fields", with_ctes(["rfields"],
+          "SELECT dataset, entity, field, value, entry_date, fact FROM rfields"))
+def q_resolve_fields(spark, d):
+    return FA.resolve_fields(ST.transformed_facts_input(spark, d))
+
+
+@register("resolve_entities", with_ctes(["ents"], "SELECT * FROM ents"))
+def q_resolve_entities(spark, d):
+    return FA.resolve_entities(ST.transformed_facts_input(spark, d))
+
+
+@register("flatten_entities", with_ctes(["ents"], """
+SELECT dataset, end_date, entity, entry_date, geometry, name, organisation_entity, point, prefix,
+       quality, reference, start_date, typology,
+       json_extract_string(json, '$.quantity') AS quantity,
+       json_extract_string(json, '$.status') AS status
+FROM ents"""))
+def q_flatten_entities(spark, d):
+    return FA.flatten_entities(FA.resolve_entities(ST.transformed_facts_input(spark, d)))
+
+
+@register("fact_provenance", with_ctes(["tfact"], """
+SELECT f.fact, f.entity, f.field, f.value, r.resource, r.entry_date AS resource_entry_date,
+       r.entry_number
+FROM (SELECT fact, max(entity) AS entity, max(field) AS field, max(value) AS value
+      FROM tfact GROUP BY fact) f
+JOIN (SELECT DISTINCT fact, entry_date, entry_number, priority, resource FROM tfact) r
+  ON r.fact = f.fact"""))
+def q_fact_provenance(spark, d):
+    t = ST.transformed_facts_input(spark, d)
+    return FA.fact_provenance(FA.make_facts(t), FA.make_fact_resources(t))
+
+
+@register("update_entities", with_ctes(["ents"], "SELECT * FROM ents"))
+def q_update_entities(spark, d):
+    t = ST.transformed_facts_input(spark, d)
+    old = t.where(F.col("entry_date") < "1998-01-01")
+    new = t.where(F.col("entry_date") >= "1998-01-01")
+    return FA.update_entities(FA.resolve_entities(old), old, new)
+
+
+@register("table_checksum", with_ctes(["tfact"], """
+SELECT CAST(count(*) AS BIGINT) AS rows,
+       CAST(sum(CAST(('0x' || substr(md5(concat_ws(chr(1),
+           coalesce(fact, chr(2)), coalesce(entry_date, chr(2)),
+           coalesce(CAST(entry_number AS VARCHAR), chr(2)),
+           coalesce(CAST(priority AS VARCHAR), chr(2)), coalesce(resource, chr(2)))), 1, 15))
+         AS BIGINT)) AS DECIMAL(38,0)) AS checksum
+FROM (SELECT DISTINCT fact, entry_date, entry_number, priority, resource FROM tfact)"""))
+def q_table_checksum(spark, d):
+    fr = FA.make_fact_resources(ST.transformed_facts_input(spark, d))
+    return FA.table_checksum(fr, ["fact", "entry_date", "entry_number", "priority", "resource"])
+
+
+@register("entity_organisation", with_ctes(["eorg"], """
+SELECT p.p_partkey AS entity, e.organisation
+FROM part p LEFT JOIN eorg e ON p.p_partkey BETWEEN e.entity_minimum AND e.entity_maximum"""))
+def q_entity_organisation(spark, d):
+    ents = ST.table(spark, d, "part").select(F.col("p_partkey").alias("entity"))
+    return range_join(ents, "entity", ST.entity_organisation(spark, d), how="left") \
+        .select("entity", "organisation")
+
+
+@register("old_entity_by_dataset", with_ctes(["spec", "old_entity"], """
+SELECT s.dataset, o.old_entity, o.entity, o.status
+FROM old_entity o JOIN spec s
+  ON TRY_CAST(o.old_entity AS BIGINT) BETWEEN s.entity_minimum AND s.entity_maximum"""))
+def q_old_entity_by_dataset(spark, d):
+    oe = ST.old_entity(spark, d).withColumn("_k", X.to_bigint(F.col("old_entity")))
+    return range_join(oe, "_k", ST.specification_dataset(spark, d)) \
+        .select("dataset", "old_entity", "entity", "status")
