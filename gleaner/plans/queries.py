@@ -497,3 +497,261 @@ def q_old_entity_by_dataset(spark, d):
     oe = ST.old_entity(spark, d).withColumn("_k", X.to_bigint(F.col("old_entity")))
     return range_join(oe, "_k", ST.specification_dataset(spark, d)) \
         .select("dataset", "old_entity", "entity", "status")
+
+
+# ----------------------------------------------------------------- transform phases
+
+from gleaner.operators import phases as PH  # noqa: E402
+from gleaner.plans import order_config as OC  # noqa: E402
+from gleaner.plans import transform_job as TJ  # noqa: E402
+
+_NORM = "lower(regexp_replace({c}, '[^A-Za-z0-9]+', '_', 'g'))"
+_ENTRY = "dataset, resource, entry_number"
+_ISSUE_COLS = ("entity, entry_date, entry_number, field, issue_type, line_number, dataset, "
+               "resource, value, message")
+
+_PHASE_CTES = [
+    """oraw AS (
+  SELECT 'order-' || lower(o_orderstatus) AS dataset,
+         sha256('customer-' || CAST(o_custkey AS VARCHAR)) AS resource,
+         o_orderkey + 1 AS entry_number,
+         CAST(o_orderkey AS VARCHAR) AS "OrderKey", CAST(o_custkey AS VARCHAR) AS "Customer",
+         o_orderstatus AS "Status", o_orderpriority AS "Priority",
+         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS "OrderDate",
+         CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) AS "Total"
+  FROM orders)""",
+    f"""oskip AS (
+  SELECT r.* FROM oraw r
+  WHERE NOT EXISTS (SELECT 1 FROM {OC.config_sql('skip', 's')}
+                    WHERE s.dataset = r.dataset AND regexp_matches(concat_ws(',',
+                      coalesce("OrderKey", ''), coalesce("Customer", ''), coalesce("Status", ''),
+                      coalesce("Priority", ''), coalesce("OrderDate", ''), coalesce("Total", '')),
+                      s.pattern)))""",
+    """olong AS (
+  SELECT * FROM (
+    SELECT dataset, resource, entry_number, 'OrderKey' AS "column", "OrderKey" AS value FROM oskip
+    UNION ALL SELECT dataset, resource, entry_number, 'Customer', "Customer" FROM oskip
+    UNION ALL SELECT dataset, resource, entry_number, 'Status', "Status" FROM oskip
+    UNION ALL SELECT dataset, resource, entry_number, 'Priority', "Priority" FROM oskip
+    UNION ALL SELECT dataset, resource, entry_number, 'OrderDate', "OrderDate" FROM oskip
+    UNION ALL SELECT dataset, resource, entry_number, 'Total', "Total" FROM oskip)
+  WHERE value IS NOT NULL AND trim(value) <> '')""",
+    f"""omapc AS (
+  SELECT l.dataset, l.resource, l.entry_number, l."column",
+         coalesce(c.field, {_NORM.format(c='l."column"')}) AS field, l.value
+  FROM olong l LEFT JOIN {OC.config_sql('column', 'c')}
+    ON c.dataset = l.dataset AND c."column" = l."column")""",
+    "omap AS (SELECT dataset, resource, entry_number, field, value FROM omapc)",
+    f"""opatchx AS (
+  SELECT m.dataset, m.resource, m.entry_number, m.field, m.value AS old,
+         (p.pattern IS NOT NULL AND regexp_matches(m.value, p.pattern)) AS hit,
+         CASE WHEN p.pattern IS NOT NULL AND regexp_matches(m.value, p.pattern)
+              THEN regexp_replace(m.value, p.pattern, p.replacement, 'g') ELSE m.value END AS value
+  FROM omap m LEFT JOIN {OC.config_sql('patch', 'p')}
+    ON p.dataset = m.dataset AND p.field = m.field)""",
+    "opatch AS (SELECT dataset, resource, entry_number, field, value FROM opatchx)",
+    f"""ofilter AS (
+  SELECT o.* FROM opatch o
+  WHERE NOT EXISTS (
+    SELECT 1 FROM opatch x JOIN {OC.config_sql('filter', 'f')}
+      ON f.dataset = x.dataset AND f.field = x.field
+    WHERE x.dataset = o.dataset AND x.resource = o.resource AND x.entry_number = o.entry_number
+      AND NOT regexp_matches(x.value, f.pattern)))""",
+    f"""obuilt AS (
+  SELECT r.dataset, r.resource, r.entry_number, cp.target AS field,
+         string_agg(r.value, ' / ' ORDER BY cp.pos) AS value
+  FROM ofilter r JOIN {OC.concat_parts_sql()} ON cp.dataset = r.dataset AND cp.field = r.field
+  GROUP BY r.dataset, r.resource, r.entry_number, cp.target)""",
+    """oconcat AS (
+  SELECT * FROM ofilter o WHERE NOT EXISTS (
+    SELECT 1 FROM obuilt b WHERE b.dataset = o.dataset AND b.resource = o.resource
+      AND b.entry_number = o.entry_number AND b.field = o.field)
+  UNION ALL SELECT * FROM obuilt)""",
+    f"""odefadd AS (
+  SELECT r.dataset, r.resource, r.entry_number, c.field, r.value
+  FROM oconcat r JOIN {OC.config_sql('default', 'c')}
+    ON c.dataset = r.dataset AND c.default_field = r.field
+  WHERE NOT EXISTS (SELECT 1 FROM oconcat x WHERE x.dataset = r.dataset AND x.resource = r.resource
+                      AND x.entry_number = r.entry_number AND x.field = c.field))""",
+    "odefault AS (SELECT * FROM oconcat UNION ALL SELECT * FROM odefadd)",
+    f"""ovaladd AS (
+  SELECT e.dataset, e.resource, e.entry_number, c.field, c.value
+  FROM (SELECT DISTINCT dataset, resource, entry_number FROM odefault) e
+  JOIN {OC.config_sql('default_value', 'c')} ON c.dataset = e.dataset
+  WHERE NOT EXISTS (SELECT 1 FROM odefault x WHERE x.dataset = e.dataset AND x.resource = e.resource
+                      AND x.entry_number = e.entry_number AND x.field = c.field))""",
+    "odefval AS (SELECT * FROM odefault UNION ALL SELECT * FROM ovaladd)",
+    f"""orename AS (
+  SELECT r.dataset, r.resource, r.entry_number, coalesce(t.replacement_field, r.field) AS field,
+         r.value
+  FROM odefval r LEFT JOIN {OC.config_sql('transform', 't')}
+    ON t.dataset = r.dataset AND t.field = r.field)""",
+    f"""orefs AS (
+  SELECT r.dataset, r.resource, r.entry_number, p.prefix, r.value AS reference, k.entity
+  FROM orename r JOIN {OC.config_sql('prefix', 'p')} ON p.dataset = r.dataset
+  LEFT JOIN (SELECT DISTINCT 'order' AS prefix, CAST(l_orderkey AS VARCHAR) AS reference,
+                    l_orderkey + 3000000 AS entity FROM lineitem) k
+    ON k.prefix = p.prefix AND k.reference = r.value
+  WHERE r.field = 'reference')""",
+    """olookup AS (
+  SELECT r.*, f.entity FROM orename r LEFT JOIN orefs f
+    ON f.dataset = r.dataset AND f.resource = r.resource AND f.entry_number = r.entry_number)""",
+    OC.ORDER_OLD_ENTITY_SQL,
+    """oent AS (
+  SELECT r.dataset, r.resource, r.entry_number, r.field, r.value,
+         CASE WHEN o.status = '301' THEN TRY_CAST(o.entity AS BIGINT) ELSE r.entity END AS entity
+  FROM olookup r LEFT JOIN (SELECT TRY_CAST(old_entity AS BIGINT) AS old, entity, status FROM oold
+                            WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL) o
+    ON o.old = r.entity
+  WHERE o.status IS NULL OR o.status <> '410')""",
+    f"""oissues AS (
+  SELECT NULL::BIGINT AS entity, NULL::VARCHAR AS entry_date, entry_number, field,
+         'patch' AS issue_type, entry_number + 1 AS line_number, dataset, resource, old AS value,
+         'value patched' AS message FROM opatchx WHERE hit
+  UNION ALL
+  SELECT NULL::BIGINT, NULL::VARCHAR, entry_number, field, 'default-field', entry_number + 1,
+         dataset, resource, value, 'value taken from another field' FROM odefadd
+  UNION ALL
+  SELECT NULL::BIGINT, NULL::VARCHAR, entry_number, field, 'default-value', entry_number + 1,
+         dataset, resource, value, 'default value used' FROM ovaladd
+  UNION ALL
+  SELECT entity, NULL::VARCHAR, entry_number, 'reference', 'unknown-entity', entry_number + 1,
+         dataset, resource, reference, 'no entity for this reference' FROM orefs
+  WHERE entity IS NULL)""",
+    """ofacts AS (
+  SELECT r.dataset, r.entity, r.resource, r.entry_number, s.value AS entry_date,
+         CAST(CASE WHEN r.dataset = 'order-f' THEN 1 ELSE 2 END AS BIGINT) AS priority,
+         r.field, r.value
+  FROM oent r LEFT JOIN (SELECT dataset, resource, entry_number, value FROM oent
+                         WHERE field = 'start_date') s
+    ON s.dataset = r.dataset AND s.resource = r.resource AND s.entry_number = r.entry_number
+  WHERE r.entity IS NOT NULL)""",
+]
+
+
+def _phase_sql(body: str) -> str:
+    return "WITH " + ",\n".join(_PHASE_CTES) + "\n" + body
+
+
+def _long(spark, d):
+    return TJ.order_long(spark, d)[0]
+
+
+@register("skip_rows", _phase_sql(f"SELECT {_ENTRY} FROM oskip"))
+def q_skip_rows(spark, d):
+    return PH.skip_rows(TJ.order_raw(spark, d), ST.RAW_ORDER_COLUMNS,
+                        OC.config_df(spark, "skip")).select(*PH.ENTRY)
+
+
+@register("map_columns", _phase_sql(f"SELECT {_ENTRY}, field, value FROM omap"))
+def q_map_columns(spark, d):
+    return _long(spark, d).select(*PH.ENTRY, "field", "value")
+
+
+@register("column_field_log", _phase_sql(
+    'SELECT DISTINCT dataset, resource, "column", field FROM omapc'))
+def q_column_field_log(spark, d):
+    return TJ.order_long(spark, d)[1]
+
+
+@register("patch_values", _phase_sql(f"SELECT {_ENTRY}, field, value FROM opatch"))
+def q_patch_values(spark, d):
+    return PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))[0] \
+        .select(*PH.ENTRY, "field", "value")
+
+
+@register("filter_entries", _phase_sql(f"""
+SELECT {_ENTRY}, field, value FROM opatch o
+WHERE NOT EXISTS (
+  SELECT 1 FROM opatch x JOIN {OC.config_sql('filter', 'f')}
+    ON f.dataset = x.dataset AND f.field = x.field
+  WHERE x.dataset = o.dataset AND x.resource = o.resource AND x.entry_number = o.entry_number
+    AND NOT regexp_matches(x.value, f.pattern))"""))
+def q_filter_entries(spark, d):
+    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
+    return PH.filter_entries(rows, OC.config_df(spark, "filter")).select(*PH.ENTRY, "field", "value")
+
+
+@register("concat_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM oconcat"))
+def q_concat_fields(spark, d):
+    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
+    rows = PH.filter_entries(rows, OC.config_df(spark, "filter"))
+    return PH.concat_fields(rows, OC.config_df(spark, "concat")).select(*PH.ENTRY, "field", "value")
+
+
+@register("default_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM odefault"))
+def q_default_fields(spark, d):
+    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
+    rows = PH.concat_fields(PH.filter_entries(rows, OC.config_df(spark, "filter")),
+                            OC.config_df(spark, "concat"))
+    return PH.default_fields(rows, OC.config_df(spark, "default"))[0] \
+        .select(*PH.ENTRY, "field", "value")
+
+
+@register("default_values", _phase_sql(f"SELECT {_ENTRY}, field, value FROM ovaladd"))
+def q_default_values(spark, d):
+    rows = q_default_fields(spark, d)
+    _rows, iss = PH.default_values(rows, OC.config_df(spark, "default_value"))
+    added = _rows.join(rows, PH.ENTRY + ["field", "value"], "left_anti")
+    return added.select(*PH.ENTRY, "field", "value")
+
+
+@register("rename_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM orename"))
+def q_rename_fields(spark, d):
+    rows, _ = PH.default_values(q_default_fields(spark, d), OC.config_df(spark, "default_value"))
+    return PH.rename_fields(rows, OC.config_df(spark, "transform")).select(*PH.ENTRY, "field", "value")
+
+
+@register("assign_entities", _phase_sql(f"SELECT {_ENTRY}, field, value, entity FROM olookup"))
+def q_assign_entities(spark, d):
+    rows = q_rename_fields(spark, d)
+    return PH.assign_entities(rows, OC.config_df(spark, "prefix"), ST.order_lookup(spark, d))[0]
+
+
+@register("redirect_entities", _phase_sql(f"SELECT {_ENTRY}, field, value, entity FROM oent"))
+def q_redirect_entities(spark, d):
+    return TJ.run_transform(spark, d).rows.select(*PH.ENTRY, "field", "value", "entity")
+
+
+@register("transform_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
+def q_transform_issues(spark, d):
+    return TJ.run_transform(spark, d).issues
+
+
+@register("issue_counts", _phase_sql("""
+SELECT dataset, issue_type, CAST(count(*) AS BIGINT) AS issues FROM oissues
+GROUP BY dataset, issue_type"""))
+def q_issue_counts(spark, d):
+    return TJ.run_transform(spark, d).issues.groupBy("dataset", "issue_type") \
+        .agg(F.count(F.lit(1)).alias("issues"))
+
+
+@register("transformed_facts", _phase_sql(f"""
+SELECT DISTINCT sha256(CAST(entity AS VARCHAR) || '|' || field || '|' || value) AS fact,
+       entry_date, entry_number, priority, resource FROM ofacts"""))
+def q_transformed_facts(spark, d):
+    return FA.make_fact_resources(TJ.run_transform(spark, d).facts_input)
+
+
+@register("order_entities", _phase_sql("""
+SELECT dataset, entity, max(CASE WHEN field = 'name' THEN value END) AS name,
+       max(CASE WHEN field = 'typology' THEN value END) AS typology,
+       max(CASE WHEN field = 'start_date' THEN value END) AS start_date
+FROM (SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
+               ORDER BY priority, entry_date DESC, entry_number DESC,
+                        sha256(CAST(entity AS VARCHAR) || '|' || field || '|' || value)) AS rn
+      FROM ofacts) WHERE rn = 1
+GROUP BY dataset, entity"""))
+def q_order_entities(spark, d):
+    ents = FA.resolve_entities(TJ.run_transform(spark, d).facts_input)
+    return ents.select("dataset", "entity", "name", "typology", "start_date")
+
+
+@register("combine_values", with_ctes(["tin", "spec"], """
+SELECT dataset, entity, 'status' AS field,
+       string_agg(DISTINCT status, ';' ORDER BY status) AS value
+FROM tin GROUP BY dataset, entity"""))
+def q_combine_values(spark, d):
+    cfg = ST.specification_dataset(spark, d).select(
+        "dataset", F.lit("status").alias("field"), F.lit(";").alias("separator"))
+    return PH.combine_values(ST.transformed_facts_input(spark, d), cfg)
