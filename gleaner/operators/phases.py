@@ -1,208 +1,324 @@
 """Transform phases over every resource of a batch at once.
 
-Rows travel in long form, one row per (dataset, resource, entry_number,
-field, value), so each phase is a join against a small config table or a
-column expression instead of one process per resource. Config tables are
-broadcast behind a size check (see :func:`gleaner.session.broadcast_if_small`).
-Every phase that finds a problem returns issue rows next to its data; the
-issue log is their union (:func:`stack_issues`).
-
-Entry identity is ``(resource, entry_number)``; ``dataset`` travels along.
+An *entry* (one raw row of one resource) travels as one row:
+
+    dataset, resource, entry_number, cfg_* (its dataset's config), entity,
+    st = struct(fields ARRAY<STRUCT<column, field, value>>,
+                issues ARRAY<STRUCT<field, issue_type, value, message>>,
+                keep BOOLEAN)
+
+Each phase is a column expression over that row (Spark higher-order
+functions, JVM-side), driven by the dataset's config, which is joined once
+per entry from a small per-dataset table (one row per dataset, broadcast
+behind a size check). No phase re-reads its input, so chaining phases never
+duplicates the plan, and an entry is bounded by its column count, so no
+group can grow with the data. Issues are appended to the entry and
+exploded once at the end; entries dropped by a filter keep the issues
+raised before the filter (``keep`` = false).
+
+Config tables (long, as stored in CSV):
+  column(dataset, column, field)          skip(dataset, pattern)
+  patch(dataset, field, pattern, replacement)
+  filter(dataset, field, pattern)         concat(dataset, field, fields ';', separator)
+  default(dataset, field, default_field)  default_value(dataset, field, value)
+  transform(dataset, field, replacement_field)   prefix(dataset, prefix)
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.schemas import ISSUE_FIELDS
 from gleaner.session import broadcast_if_small
 
 ENTRY = ["dataset", "resource", "entry_number"]
+_FIELD_T = "struct<column:string,field:string,value:string>"
+_ISSUE_T = "struct<field:string,issue_type:string,value:string,message:string>"
 
 
-def _cfg(df: DataFrame) -> DataFrame:
-    return broadcast_if_small(df)
+def _typed_empty(t: str) -> Column:
+    return F.expr(f"cast(array() as array<{t}>)")
 
 
-def issues(df: DataFrame, issue_type: str, message: str, field=None, value=None) -> DataFrame:
-    """Issue rows in the published column order from rows carrying the entry
-    keys (and optionally ``entity``)."""
-    cols = df.columns
-    return df.select(
-        (F.col("entity") if "entity" in cols else F.lit(None)).cast("bigint").alias("entity"),
-        (F.col("entry_date") if "entry_date" in cols else F.lit(None)).cast("string").alias("entry_date"),
-        F.col("entry_number").cast("bigint").alias("entry_number"),
-        (field if field is not None else F.col("field")).cast("string").alias("field"),
-        F.lit(issue_type).alias("issue_type"),
-        (F.col("entry_number") + 1).cast("bigint").alias("line_number"),
-        F.col("dataset"), F.col("resource"),
-        (value if value is not None else F.col("value")).cast("string").alias("value"),
-        F.lit(message).alias("message"),
-    )
+# -------------------------------------------------------------- config
 
+_CFG_SHAPES = {
+    # name: struct fields built from the config's string columns
+    "column": ["column", "field"],
+    "skip": ["pattern"],
+    "patch": ["field", "pattern", "replacement"],
+    "filter": ["field", "pattern"],
+    "default": ["field", "default_field"],
+    "default_value": ["field", "value"],
+    "transform": ["field", "replacement_field"],
+}
+
+
+def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
+    """Fold the long config tables into one row per dataset holding an array
+    per phase (``cfg_<name>``) and the dataset's prefix: one union, one
+    aggregation. The result is as small as the configs."""
+    width = 4
+    rows = []
+    for name, df in configs.items():
+        cols = [c for c in df.columns if c != "dataset"]
+        vals = [F.col(c).cast("string") for c in cols] + [F.lit(None).cast("string")] * (width - len(cols))
+        rows.append(df.select("dataset", F.lit(name).alias("_kind"),
+                              *[v.alias(f"_c{i}") for i, v in enumerate(vals)]))
+    u = reduce(lambda a, b: a.unionByName(b), rows)
+    aggs = []
+    for name, df in configs.items():
+        cols = [c for c in df.columns if c != "dataset"]
+        pos = {c: F.col(f"_c{i}") for i, c in enumerate(cols)}
+        is_kind = F.col("_kind") == name
+        if name == "prefix":
+            aggs.append(F.max(F.when(is_kind, pos["prefix"])).alias("cfg_prefix"))
+        elif name == "concat":
+            st = F.struct(pos["field"].alias("field"), F.split(pos["fields"], ";").alias("parts"),
+                          pos["separator"].alias("separator"))
+            aggs.append(F.collect_list(F.when(is_kind, st)).alias("cfg_concat"))
+        else:
+            st = F.struct(*[pos[c].alias(c) for c in _CFG_SHAPES[name]])
+            aggs.append(F.collect_list(F.when(is_kind, st)).alias(f"cfg_{name}"))
+    return u.groupBy("dataset").agg(*aggs)
+
+
+def attach_config(entries: DataFrame, cfg: DataFrame) -> DataFrame:
+    return entries.join(broadcast_if_small(cfg), "dataset", "left")
+
+
+# -------------------------------------------------------------- entry state
+#
+# The entry state ``st`` = struct(fields, issues, keep). Each phase rewrites
+# it through ``element_at(transform(array(st), s -> ...), 1)``: the previous
+# state is referenced once and bound to the lambda variable ``s``, so the
+# optimizer never copies a phase's expression into several places of the
+# next one (which would double the per-row work at every phase).
+
+_EMPTY_FIELDS = f"cast(array() as array<{_FIELD_T}>)"
+_EMPTY_ISSUES = f"cast(array() as array<{_ISSUE_T}>)"
+
+
+def _cfg(name: str) -> str:
+    return f"coalesce(cfg_{name}, array())"
+
+
+def _let(expr: str, var: str, body: str) -> str:
+    return f"element_at(transform(array({expr}), {var} -> {body}), 1)"
+
+
+def _phase(e: DataFrame, body: str) -> DataFrame:
+    """st <- body(s) with ``s`` bound to the current state."""
+    return e.withColumn("st", F.expr(_let("st", "s", body)))
+
+
+def _state(fields: str = "s.fields", issues: str = "s.issues", keep: str = "s.keep") -> str:
+    return f"named_struct('fields', {fields}, 'issues', {issues}, 'keep', {keep})"
+
+
+def _value_of(fields: str, field: str) -> str:
+    return f"try_element_at(filter({fields}, x -> x.field = {field}), 1).value"
+
+
+def _issues_for(arr: str, issue_type: str, message: str) -> str:
+    return (f"transform({arr}, a -> named_struct('field', a.field, 'issue_type', '{issue_type}', "
+            f"'value', a.value, 'message', '{message}'))")
 
-def stack_issues(*frames: DataFrame) -> DataFrame:
-    """Union of issue frames (no de-duplication)."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) \
-        .select(*ISSUE_FIELDS)
 
+def value_of(field: str) -> Column:
+    """Value of a field in the entry (first occurrence), NULL if absent."""
+    return F.expr(_value_of("st.fields", f"'{field}'"))
 
-# -------------------------------------------------------------- T1 skip
 
-def raw_line(columns: list[str]):
+# -------------------------------------------------------------- T1 skip + entries
+
+def raw_line(columns: list[str]) -> Column:
     """The raw line text a skip pattern is matched against."""
     return F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns])
 
 
-def skip_rows(raw: DataFrame, columns: list[str], skip_cfg: DataFrame) -> DataFrame:
-    """Drop raw rows whose line matches a skip pattern of their dataset
-    (config: dataset, pattern)."""
-    lined = raw.withColumn("_line", raw_line(columns))
-    cfg = _cfg(skip_cfg.select(F.col("dataset").alias("_sd"), F.col("pattern").alias("_sp")))
-    cond = (lined["dataset"] == cfg["_sd"]) & F.expr("_line rlike _sp")
-    return lined.join(cfg, cond, "left_anti").drop("_line")
+def to_entries(raw: DataFrame, columns: list[str], cfg: DataFrame) -> DataFrame:
+    """Raw wide rows -> entries with their dataset config attached; rows
+    matching a skip pattern of their dataset are dropped; empty cells are
+    no value."""
+    fields = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(None).cast("string").alias("field"),
+                                F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    e = attach_config(raw.select(*ENTRY, raw_line(columns).alias("_line"), fields.alias("_f")), cfg)
+    e = e.where(F.expr(f"NOT exists({_cfg('skip')}, k -> _line rlike k.pattern)"))
+    kept = F.filter("_f", lambda x: x["value"].isNotNull() & (F.trim(x["value"]) != ""))
+    st = F.struct(kept.alias("fields"), F.expr(_EMPTY_ISSUES).alias("issues"),
+                  F.lit(True).alias("keep"))
+    return e.withColumn("st", st).drop("_line", "_f")
 
 
 # -------------------------------------------------------------- T2 column map
 
-def normalise_name(c):
-    """Fallback field name of an unmapped column: lowercase, non-alphanumeric
-    runs become one underscore."""
-    return F.lower(F.regexp_replace(c, r"[^A-Za-z0-9]+", "_"))
-
-
-def to_long(raw: DataFrame, columns: list[str]) -> DataFrame:
-    """Wide raw rows -> (dataset, resource, entry_number, column, value);
-    empty cells are dropped (a missing value is no value)."""
-    long = raw.unpivot(ENTRY, [f"`{c}`" for c in columns], "column", "value")
-    return long.where(F.col("value").isNotNull() & (F.trim("value") != ""))
+def map_columns(e: DataFrame) -> DataFrame:
+    """column -> field by the dataset's column config; unmapped columns
+    keep their normalised name (lowercase, each run of non-alphanumerics
+    becomes one underscore)."""
+    mapped = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
+              f"try_element_at(filter({_cfg('column')}, c -> c.column = x.column), 1).field, "
+              f"lower(regexp_replace(x.column, '[^A-Za-z0-9]+', '_'))), 'value', x.value))")
+    return _phase(e, _state(fields=mapped))
 
 
-def map_columns(long: DataFrame, column_cfg: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Source column -> field by (dataset, column); unmapped columns keep
-    their normalised name. Returns (rows with ``field``, column_field log)."""
-    cfg = _cfg(column_cfg.select("dataset", "column", F.col("field").alias("_f")))
-    mapped = long.join(cfg, ["dataset", "column"], "left") \
-        .withColumn("field", F.coalesce("_f", normalise_name(F.col("column")))).drop("_f")
-    log = mapped.select("dataset", "resource", "column", "field").distinct()
-    return mapped.drop("column"), log
+def column_field_log(e: DataFrame) -> DataFrame:
+    return e.select("dataset", "resource", F.explode("st.fields").alias("f")) \
+        .select("dataset", "resource", "f.column", "f.field").distinct()
 
 
-# -------------------------------------------------------------- T3 concat
+# -------------------------------------------------------------- T5 patch
 
-def concat_fields(long: DataFrame, concat_cfg: DataFrame) -> DataFrame:
-    """New field = its source fields' values joined by a separator, in the
-    configured order, skipping absent ones (config: dataset, field, fields
-    as ';' list, separator). The new value replaces an existing one."""
-    parts = concat_cfg.select("dataset", F.col("field").alias("_target"), "separator",
-                              F.posexplode(F.split("fields", ";")).alias("_pos", "field"))
-    parts = _cfg(parts)
-    joined = long.join(parts, ["dataset", "field"])
-    built = (joined.groupBy(*ENTRY, "_target", "separator")
-             .agg(F.array_sort(F.collect_list(F.struct("_pos", "value"))).alias("_vals"))
-             .select(*ENTRY, F.col("_target").alias("field"),
-                     F.expr("array_join(transform(_vals, x -> x.value), separator)").alias("value")))
-    keep = long.join(built.select(*ENTRY, "field"), ENTRY + ["field"], "left_anti")
-    return keep.unionByName(built)
+def patch_values(e: DataFrame) -> DataFrame:
+    """Rewrite values matching the field's patch pattern; one issue each."""
+    pf = ("transform(s.fields, x -> " + _let(
+        f"try_element_at(filter({_cfg('patch')}, c -> c.field = x.field), 1)", "p",
+        "named_struct('x', x, 'p', p, 'hit', p IS NOT NULL AND x.value rlike p.pattern)") + ")")
+    fields = ("transform(pf, y -> named_struct('column', y.x.column, 'field', y.x.field, 'value', "
+              "CASE WHEN y.hit THEN regexp_replace(y.x.value, y.p.pattern, y.p.replacement) "
+              "ELSE y.x.value END))")
+    new = ("transform(filter(pf, y -> y.hit), y -> named_struct('field', y.x.field, "
+           "'issue_type', 'patch', 'value', y.x.value, 'message', 'value patched'))")
+    issues = f"CASE WHEN s.keep THEN concat(s.issues, {new}) ELSE s.issues END"
+    return _phase(e, _let(pf, "pf", _state(fields=fields, issues=issues)))
 
 
 # -------------------------------------------------------------- T4 filter
 
-def filter_entries(long: DataFrame, filter_cfg: DataFrame) -> DataFrame:
-    """Drop whole entries whose value of a configured field does not match
-    the pattern (config: dataset, field, pattern)."""
-    cfg = _cfg(filter_cfg.select("dataset", "field", F.col("pattern").alias("_p")))
-    failing = (long.join(cfg, ["dataset", "field"])
-               .where(~F.expr("value rlike _p")).select(*ENTRY).distinct())
-    return long.join(failing, ENTRY, "left_anti")
+def filter_entries(e: DataFrame) -> DataFrame:
+    """An entry whose value of a filtered field does not match the pattern
+    is dropped (``keep`` = false; the issues raised before stay)."""
+    keep = (f"s.keep AND NOT exists({_cfg('filter')}, f -> exists(s.fields, "
+            f"x -> x.field = f.field AND NOT (x.value rlike f.pattern)))")
+    body = _let(keep, "k", _state(fields=f"CASE WHEN k THEN s.fields ELSE {_EMPTY_FIELDS} END",
+                                  keep="k"))
+    return _phase(e, body)
 
 
-# -------------------------------------------------------------- T5 patch
+# -------------------------------------------------------------- T3 concat
 
-def patch_values(long: DataFrame, patch_cfg: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rewrite values matching a pattern (config: dataset, field, pattern,
-    replacement; one row per dataset+field). Each rewrite is an issue."""
-    cfg = _cfg(patch_cfg.select("dataset", "field", F.col("pattern").alias("_p"),
-                                F.col("replacement").alias("_r")))
-    j = long.join(cfg, ["dataset", "field"], "left")
-    hit = F.col("_p").isNotNull() & F.expr("value rlike _p")
-    j = j.withColumn("_old", F.col("value")).withColumn("_hit", hit) \
-         .withColumn("value", F.when(F.col("_hit"), F.expr("regexp_replace(_old, _p, _r)"))
-                     .otherwise(F.col("_old")))
-    iss = issues(j.where("_hit"), "patch", "value patched", value=F.col("_old"))
-    return j.drop("_p", "_r", "_old", "_hit"), iss
+def concat_fields(e: DataFrame) -> DataFrame:
+    """A field built by joining other fields' values (configured order,
+    absent ones skipped) with a separator; it replaces an existing value."""
+    built = (f"filter(transform({_cfg('concat')}, c -> named_struct("
+             f"'column', CAST(NULL AS STRING), 'field', c.field, "
+             f"'value', CASE WHEN exists(c.parts, p -> exists(s.fields, x -> x.field = p)) "
+             f"THEN array_join(filter(transform(c.parts, p -> {_value_of('s.fields', 'p')}), "
+             f"v -> v IS NOT NULL), c.separator) END)), b -> b.value IS NOT NULL)")
+    fields = "concat(filter(s.fields, x -> NOT exists(b, z -> z.field = x.field)), b)"
+    return _phase(e, _let(built, "b", _state(fields=fields)))
 
 
 # -------------------------------------------------------------- T6 / T7 defaults
 
-def default_fields(long: DataFrame, default_cfg: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """An entry without a field takes the value of another of its fields
-    (config: dataset, field, default_field)."""
-    cfg = _cfg(default_cfg.select("dataset", F.col("default_field").alias("field"),
-                                  F.col("field").alias("_target")))
-    cand = long.join(cfg, ["dataset", "field"]).select(
-        *ENTRY, F.col("_target").alias("field"), "value")
-    add = cand.join(long.select(*ENTRY, "field"), ENTRY + ["field"], "left_anti")
-    return long.unionByName(add), issues(add, "default-field", "value taken from another field")
+def _add_fields(e: DataFrame, added: str, issue_type: str, message: str) -> DataFrame:
+    fields = "CASE WHEN s.keep THEN concat(s.fields, a) ELSE s.fields END"
+    issues = f"CASE WHEN s.keep THEN concat(s.issues, {_issues_for('a', issue_type, message)}) ELSE s.issues END"
+    return _phase(e, _let(added, "a", _state(fields=fields, issues=issues)))
+
+
+def default_fields(e: DataFrame) -> DataFrame:
+    """An entry without a field takes the value of another of its fields."""
+    added = (f"transform(filter({_cfg('default')}, d -> NOT exists(s.fields, x -> x.field = d.field)"
+             f" AND exists(s.fields, x -> x.field = d.default_field)), d -> named_struct("
+             f"'column', CAST(NULL AS STRING), 'field', d.field, "
+             f"'value', {_value_of('s.fields', 'd.default_field')}))")
+    return _add_fields(e, added, "default-field", "value taken from another field")
 
 
-def default_values(long: DataFrame, default_value_cfg: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """An entry without a field takes a constant (config: dataset, field,
-    value)."""
-    entries = long.select(*ENTRY).distinct()
-    cfg = _cfg(default_value_cfg.select("dataset", "field", "value"))
-    cand = entries.join(cfg, "dataset")
-    add = cand.join(long.select(*ENTRY, "field"), ENTRY + ["field"], "left_anti")
-    return long.unionByName(add), issues(add, "default-value", "default value used")
+def default_values(e: DataFrame) -> DataFrame:
+    """An entry without a field takes a constant."""
+    added = (f"transform(filter({_cfg('default_value')}, d -> NOT exists(s.fields, "
+             f"x -> x.field = d.field)), d -> named_struct('column', CAST(NULL AS STRING), "
+             f"'field', d.field, 'value', d.value))")
+    return _add_fields(e, added, "default-value", "default value used")
 
 
 # -------------------------------------------------------------- T11 field map
 
-def rename_fields(long: DataFrame, transform_cfg: DataFrame) -> DataFrame:
-    """Rename fields to the target dataset's fields (config: dataset, field,
-    replacement_field)."""
-    cfg = _cfg(transform_cfg.select("dataset", "field", F.col("replacement_field").alias("_rf")))
-    return long.join(cfg, ["dataset", "field"], "left") \
-        .withColumn("field", F.coalesce("_rf", "field")).drop("_rf")
+def rename_fields(e: DataFrame) -> DataFrame:
+    fields = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
+              f"try_element_at(filter({_cfg('transform')}, t -> t.field = x.field), 1)"
+              f".replacement_field, x.field), 'value', x.value))")
+    return _phase(e, _state(fields=fields))
 
 
 # -------------------------------------------------------------- T8 lookup
 
-def assign_entities(long: DataFrame, prefix_cfg: DataFrame, lookup: DataFrame,
-                    reference_field: str = "reference") -> tuple[DataFrame, DataFrame]:
-    """Each entry's (prefix, reference) -> entity via the lookup table
-    (config prefix: dataset, prefix). Entries with no match keep a NULL
-    entity and raise an 'unknown entity' issue."""
-    refs = long.where(F.col("field") == reference_field) \
-        .join(_cfg(prefix_cfg.select("dataset", "prefix")), "dataset") \
-        .select(*ENTRY, "prefix", F.col("value").alias("reference"))
-    lk = lookup.select("prefix", "reference", "entity")
-    ent = refs.join(lk, ["prefix", "reference"], "left")
-    unknown = issues(ent.where(F.col("entity").isNull()), "unknown-entity",
-                     "no entity for this reference", field=F.lit(reference_field),
-                     value=F.col("reference"))
-    out = long.join(ent.select(*ENTRY, "entity"), ENTRY, "left")
-    return out, unknown
+def assign_entities(e: DataFrame, lookup: DataFrame,
+                    reference_field: str = "reference") -> DataFrame:
+    """(dataset prefix, reference value) -> entity through the lookup table,
+    a shuffle join on (prefix, reference) when the table is large. Entries
+    with a reference but no match keep a NULL entity and raise an
+    'unknown-entity' issue."""
+    e = e.withColumn("_ref", value_of(reference_field))
+    lk = lookup.select(F.col("prefix").alias("_lp"), F.col("reference").alias("_lr"), "entity")
+    j = e.join(lk, (e["cfg_prefix"] == lk["_lp"]) & (e["_ref"] == lk["_lr"]), "left")
+    unknown = (f"CASE WHEN s.keep AND _ref IS NOT NULL AND cfg_prefix IS NOT NULL AND entity IS NULL "
+               f"THEN concat(s.issues, array(named_struct('field', '{reference_field}', "
+               f"'issue_type', 'unknown-entity', 'value', _ref, "
+               f"'message', 'no entity for this reference'))) ELSE s.issues END")
+    return _phase(j, _state(issues=unknown)).drop("_ref", "_lp", "_lr")
 
 
 # -------------------------------------------------------------- T9 old entity
 
-def redirect_entities(long: DataFrame, old_entity: DataFrame) -> DataFrame:
+def redirect_entities(e: DataFrame, old_entity: DataFrame) -> DataFrame:
     """301 entries move to the new entity; 410 entries are dropped. Keys are
     text in the config; bad numbers never match."""
     oe = old_entity.select(F.col("old_entity").try_cast("bigint").alias("_old"),
                            F.col("entity").try_cast("bigint").alias("_new"),
                            F.col("status").alias("_st")).where(F.col("_old").isNotNull())
-    j = long.join(_cfg(oe), long["entity"] == F.col("_old"), "left")
-    return (j.where(F.col("_st").isNull() | (F.col("_st") != "410"))
-            .withColumn("entity", F.when(F.col("_st") == "301", F.col("_new"))
-                        .otherwise(F.col("entity")))
+    j = e.join(broadcast_if_small(oe), e["entity"] == F.col("_old"), "left")
+    j = _phase(j, _state(keep="s.keep AND (_st IS NULL OR _st <> '410')"))
+    return (j.withColumn("entity", F.when(F.col("_st") == "301", F.col("_new"))
+                         .otherwise(F.col("entity")))
             .drop("_old", "_new", "_st"))
 
 
+# -------------------------------------------------------------- outputs
+
+def entry_rows(e: DataFrame, with_entity: bool = False) -> DataFrame:
+    """Kept entries exploded to long rows (dataset, resource, entry_number,
+    field, value[, entity])."""
+    extra = ["entity"] if with_entity else []
+    return e.where("st.keep").select(*ENTRY, *extra, F.explode("st.fields").alias("f")) \
+        .select(*ENTRY, "f.field", "f.value", *extra)
+
+
+def entry_issues(e: DataFrame) -> DataFrame:
+    """The issue log: every entry's issues, exploded once."""
+    ent = F.col("entity") if "entity" in e.columns else F.lit(None)
+    return e.select(*ENTRY, ent.cast("bigint").alias("entity"),
+                    F.explode("st.issues").alias("i")).select(
+        "entity", F.lit(None).cast("string").alias("entry_date"),
+        F.col("entry_number").cast("bigint").alias("entry_number"),
+        F.col("i.field").alias("field"), F.col("i.issue_type").alias("issue_type"),
+        (F.col("entry_number") + 1).cast("bigint").alias("line_number"),
+        "dataset", "resource", F.col("i.value").alias("value"), F.col("i.message").alias("message"))
+
+
+def stack_issues(*frames: DataFrame) -> DataFrame:
+    """Union of issue frames (no de-duplication)."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) \
+        .select(*ISSUE_FIELDS)
+
+
+def facts_input(e: DataFrame, priority: Column) -> DataFrame:
+    """Rows shaped for fact creation: each kept entry with an entity, its
+    start date as entry date."""
+    return e.where(F.col("st.keep") & F.col("entity").isNotNull()).select(
+        "dataset", "entity", "resource", "entry_number",
+        value_of("start_date").alias("entry_date"), priority.cast("bigint").alias("priority"),
+        F.explode("st.fields").alias("f")).select(
+        "dataset", "entity", "resource", "entry_number", "entry_date", "priority",
+        "f.field", "f.value")
+
+
 # -------------------------------------------------------------- T10 combine
 
 def combine_values(rows: DataFrame, combine_cfg: DataFrame) -> DataFrame:
@@ -210,13 +326,12 @@ def combine_values(rows: DataFrame, combine_cfg: DataFrame) -> DataFrame:
     sorted, distinct, joined by the separator (config: dataset, field,
     separator). Distinct values are formed first, so a hot entity shuffles
     each value once."""
-    cfg = _cfg(combine_cfg.select("dataset", "field", "separator"))
+    cfg = broadcast_if_small(combine_cfg.select("dataset", "field", "separator"))
     vals = rows.join(cfg, ["dataset", "field"]).select(
         "dataset", "entity", "field", "separator", "value").distinct()
     return vals.groupBy("dataset", "entity", "field", "separator").agg(
         F.sort_array(F.collect_list("value")).alias("_v")) \
-        .select("dataset", "entity", "field",
-                F.expr("array_join(_v, separator)").alias("value"))
+        .select("dataset", "entity", "field", F.expr("array_join(_v, separator)").alias("value"))
 
 
 # -------------------------------------------------------------- T18 provenance log

@@ -604,20 +604,28 @@ _PHASE_CTES = [
                             WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL) o
     ON o.old = r.entity
   WHERE o.status IS NULL OR o.status <> '410')""",
-    f"""oissues AS (
-  SELECT NULL::BIGINT AS entity, NULL::VARCHAR AS entry_date, entry_number, field,
+    """oentity AS (
+  SELECT f.dataset, f.resource, f.entry_number,
+         CASE WHEN o.status = '301' THEN TRY_CAST(o.entity AS BIGINT) ELSE f.entity END AS entity
+  FROM orefs f LEFT JOIN (SELECT TRY_CAST(old_entity AS BIGINT) AS old, entity, status FROM oold
+                          WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL) o ON o.old = f.entity)""",
+    f"""oissues0 AS (
+  SELECT NULL::VARCHAR AS entry_date, entry_number, field,
          'patch' AS issue_type, entry_number + 1 AS line_number, dataset, resource, old AS value,
          'value patched' AS message FROM opatchx WHERE hit
   UNION ALL
-  SELECT NULL::BIGINT, NULL::VARCHAR, entry_number, field, 'default-field', entry_number + 1,
+  SELECT NULL::VARCHAR, entry_number, field, 'default-field', entry_number + 1,
          dataset, resource, value, 'value taken from another field' FROM odefadd
   UNION ALL
-  SELECT NULL::BIGINT, NULL::VARCHAR, entry_number, field, 'default-value', entry_number + 1,
+  SELECT NULL::VARCHAR, entry_number, field, 'default-value', entry_number + 1,
          dataset, resource, value, 'default value used' FROM ovaladd
   UNION ALL
-  SELECT entity, NULL::VARCHAR, entry_number, 'reference', 'unknown-entity', entry_number + 1,
+  SELECT NULL::VARCHAR, entry_number, 'reference', 'unknown-entity', entry_number + 1,
          dataset, resource, reference, 'no entity for this reference' FROM orefs
   WHERE entity IS NULL)""",
+    """oissues AS (
+  SELECT e.entity, i.* FROM oissues0 i LEFT JOIN oentity e
+    ON e.dataset = i.dataset AND e.resource = i.resource AND e.entry_number = i.entry_number)""",
     """ofacts AS (
   SELECT r.dataset, r.entity, r.resource, r.entry_number, s.value AS entry_date,
          CAST(CASE WHEN r.dataset = 'order-f' THEN 1 ELSE 2 END AS BIGINT) AS priority,
@@ -633,84 +641,65 @@ def _phase_sql(body: str) -> str:
     return "WITH " + ",\n".join(_PHASE_CTES) + "\n" + body
 
 
-def _long(spark, d):
-    return TJ.order_long(spark, d)[0]
+def _rows(spark, d, upto, with_entity=False):
+    return PH.entry_rows(TJ.staged(spark, d, upto), with_entity)
 
 
 @register("skip_rows", _phase_sql(f"SELECT {_ENTRY} FROM oskip"))
 def q_skip_rows(spark, d):
-    return PH.skip_rows(TJ.order_raw(spark, d), ST.RAW_ORDER_COLUMNS,
-                        OC.config_df(spark, "skip")).select(*PH.ENTRY)
+    return TJ.staged(spark, d, "entries").select(*PH.ENTRY)
 
 
 @register("map_columns", _phase_sql(f"SELECT {_ENTRY}, field, value FROM omap"))
 def q_map_columns(spark, d):
-    return _long(spark, d).select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "columns")
 
 
 @register("column_field_log", _phase_sql(
     'SELECT DISTINCT dataset, resource, "column", field FROM omapc'))
 def q_column_field_log(spark, d):
-    return TJ.order_long(spark, d)[1]
+    return PH.column_field_log(TJ.staged(spark, d, "columns"))
 
 
 @register("patch_values", _phase_sql(f"SELECT {_ENTRY}, field, value FROM opatch"))
 def q_patch_values(spark, d):
-    return PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))[0] \
-        .select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "patch")
 
 
-@register("filter_entries", _phase_sql(f"""
-SELECT {_ENTRY}, field, value FROM opatch o
-WHERE NOT EXISTS (
-  SELECT 1 FROM opatch x JOIN {OC.config_sql('filter', 'f')}
-    ON f.dataset = x.dataset AND f.field = x.field
-  WHERE x.dataset = o.dataset AND x.resource = o.resource AND x.entry_number = o.entry_number
-    AND NOT regexp_matches(x.value, f.pattern))"""))
+@register("filter_entries", _phase_sql(f"SELECT {_ENTRY}, field, value FROM ofilter"))
 def q_filter_entries(spark, d):
-    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
-    return PH.filter_entries(rows, OC.config_df(spark, "filter")).select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "filter")
 
 
 @register("concat_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM oconcat"))
 def q_concat_fields(spark, d):
-    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
-    rows = PH.filter_entries(rows, OC.config_df(spark, "filter"))
-    return PH.concat_fields(rows, OC.config_df(spark, "concat")).select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "concat")
 
 
 @register("default_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM odefault"))
 def q_default_fields(spark, d):
-    rows, _ = PH.patch_values(_long(spark, d), OC.config_df(spark, "patch"))
-    rows = PH.concat_fields(PH.filter_entries(rows, OC.config_df(spark, "filter")),
-                            OC.config_df(spark, "concat"))
-    return PH.default_fields(rows, OC.config_df(spark, "default"))[0] \
-        .select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "default")
 
 
 @register("default_values", _phase_sql(f"SELECT {_ENTRY}, field, value FROM ovaladd"))
 def q_default_values(spark, d):
-    rows = q_default_fields(spark, d)
-    _rows, iss = PH.default_values(rows, OC.config_df(spark, "default_value"))
-    added = _rows.join(rows, PH.ENTRY + ["field", "value"], "left_anti")
-    return added.select(*PH.ENTRY, "field", "value")
+    iss = PH.entry_issues(TJ.staged(spark, d, "default_value"))
+    return iss.where(F.col("issue_type") == "default-value").select(*PH.ENTRY, "field", "value")
 
 
 @register("rename_fields", _phase_sql(f"SELECT {_ENTRY}, field, value FROM orename"))
 def q_rename_fields(spark, d):
-    rows, _ = PH.default_values(q_default_fields(spark, d), OC.config_df(spark, "default_value"))
-    return PH.rename_fields(rows, OC.config_df(spark, "transform")).select(*PH.ENTRY, "field", "value")
+    return _rows(spark, d, "transform")
 
 
 @register("assign_entities", _phase_sql(f"SELECT {_ENTRY}, field, value, entity FROM olookup"))
 def q_assign_entities(spark, d):
-    rows = q_rename_fields(spark, d)
-    return PH.assign_entities(rows, OC.config_df(spark, "prefix"), ST.order_lookup(spark, d))[0]
+    return _rows(spark, d, "lookup", with_entity=True)
 
 
 @register("redirect_entities", _phase_sql(f"SELECT {_ENTRY}, field, value, entity FROM oent"))
 def q_redirect_entities(spark, d):
-    return TJ.run_transform(spark, d).rows.select(*PH.ENTRY, "field", "value", "entity")
+    return TJ.run_transform(spark, d).rows
 
 
 @register("transform_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))

@@ -1,9 +1,9 @@
 """The transform job (W6) over the order stand-in: raw rows of every
 resource of the batch -> phases -> transformed rows, issues and logs.
 
-One lazy plan: the phases are joins against broadcast configs and
-column expressions; the only shuffles are the entry-keyed joins (lookup,
-concat, defaults) on ``(dataset, resource, entry_number)``.
+One lazy plan over one row per entry: the configs are folded to one row
+per dataset and joined once (broadcast); the lookup is the only join that
+can be large (shuffle on (prefix, reference)).
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.operators import phases as PH
-from gleaner.plans.order_config import config_df, order_old_entity
+from gleaner.plans.order_config import CONFIG, config_df, order_old_entity
 from gleaner.sources import standins as ST
 
 
 class TransformResult(NamedTuple):
+    entries: DataFrame        # entries after the last phase
     rows: DataFrame           # long rows with entity
     issues: DataFrame         # issue log
     column_field: DataFrame   # column -> field log
@@ -29,27 +30,41 @@ def order_raw(spark, d) -> DataFrame:
     return ST.raw_order_rows(spark, d)
 
 
-def order_long(spark, d) -> tuple[DataFrame, DataFrame]:
-    raw = PH.skip_rows(order_raw(spark, d), ST.RAW_ORDER_COLUMNS, config_df(spark, "skip"))
-    long = PH.to_long(raw, ST.RAW_ORDER_COLUMNS)
-    return PH.map_columns(long, config_df(spark, "column"))
+def order_config(spark) -> DataFrame:
+    return PH.dataset_config(spark, {name: config_df(spark, name) for name in CONFIG})
+
+
+# phase order of the job
+STAGES = ["entries", "columns", "patch", "filter", "concat", "default", "default_value",
+          "transform", "lookup", "old_entity"]
+
+
+def staged(spark, d, upto: str = "old_entity") -> DataFrame:
+    """Entries after the phases up to and including ``upto``."""
+    e = PH.to_entries(order_raw(spark, d), ST.RAW_ORDER_COLUMNS, order_config(spark))
+    steps = {
+        "columns": PH.map_columns,
+        "patch": PH.patch_values,
+        "filter": PH.filter_entries,
+        "concat": PH.concat_fields,
+        "default": PH.default_fields,
+        "default_value": PH.default_values,
+        "transform": PH.rename_fields,
+        "lookup": lambda x: PH.assign_entities(x, ST.order_lookup(spark, d)),
+        "old_entity": lambda x: PH.redirect_entities(x, order_old_entity(spark, d)),
+    }
+    for name in STAGES[1:STAGES.index(upto) + 1]:
+        e = steps[name](e)
+    return e
 
 
 def run_transform(spark, d) -> TransformResult:
-    rows, column_field = order_long(spark, d)
-    rows, patch_issues = PH.patch_values(rows, config_df(spark, "patch"))
-    rows = PH.filter_entries(rows, config_df(spark, "filter"))
-    rows = PH.concat_fields(rows, config_df(spark, "concat"))
-    rows, default_issues = PH.default_fields(rows, config_df(spark, "default"))
-    rows, value_issues = PH.default_values(rows, config_df(spark, "default_value"))
-    rows = PH.rename_fields(rows, config_df(spark, "transform"))
-    rows, unknown = PH.assign_entities(rows, config_df(spark, "prefix"), ST.order_lookup(spark, d))
-    rows = PH.redirect_entities(rows, order_old_entity(spark, d))
-    issues = PH.stack_issues(patch_issues, default_issues, value_issues, unknown)
-    start = rows.where(F.col("field") == "start_date").select(
-        *PH.ENTRY, F.col("value").alias("entry_date"))
-    facts_input = (rows.where(F.col("entity").isNotNull()).join(start, PH.ENTRY, "left")
-                   .select("dataset", "entity", "resource", "entry_number", "entry_date",
-                           F.when(F.col("dataset") == "order-f", 1).otherwise(2)
-                           .cast("bigint").alias("priority"), "field", "value"))
-    return TransformResult(rows, issues, column_field, facts_input)
+    e = staged(spark, d)
+    priority = F.when(F.col("dataset") == "order-f", 1).otherwise(2)
+    return TransformResult(
+        entries=e,
+        rows=PH.entry_rows(e, with_entity=True),
+        issues=PH.entry_issues(e),
+        column_field=PH.column_field_log(staged(spark, d, "columns")),
+        facts_input=PH.facts_input(e, priority),
+    )
