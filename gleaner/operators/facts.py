@@ -124,7 +124,7 @@ def update_entities(existing_entities: DataFrame, existing_transformed: DataFram
     old_touched = existing_transformed.join(touched, ["dataset", "entity"], "left_semi")
     redone = resolve_entities(old_touched.unionByName(new_transformed))
     kept = existing_entities.join(touched, ["dataset", "entity"], "left_anti")
-    return kept.unionByName(redone)
+    return kept.unionByName(redone).select(*PACKAGE_COLUMNS["entity"])
 
 
 def table_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

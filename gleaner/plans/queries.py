@@ -744,3 +744,48 @@ def q_combine_values(spark, d):
     cfg = ST.specification_dataset(spark, d).select(
         "dataset", F.lit("status").alias("field"), F.lit(";").alias("separator"))
     return PH.combine_values(ST.transformed_facts_input(spark, d), cfg)
+
+
+# ----------------------------------------------------------------- expectations
+
+from gleaner.operators import expectations as EX  # noqa: E402
+
+ENTITY_EXPECTATIONS = [
+    ("entities have a name", "name IS NULL", 0, 0),
+    ("references are P-prefixed", "reference NOT LIKE 'P%'", 0, 0),
+    ("entities carry json", "json IS NOT NULL", 1, None),
+    ("organisation set", "organisation_entity IS NULL", 0, 0),
+    ("few big parts", "name LIKE '%bolt%'", None, 10),
+]
+
+
+def _expectation_sql() -> str:
+    parts = []
+    for name, cond, lo, hi in ENTITY_EXPECTATIONS:
+        lo_s = "NULL" if lo is None else str(lo)
+        hi_s = "NULL" if hi is None else str(hi)
+        m = f"CAST(count(*) FILTER (WHERE coalesce(({cond}), false)) AS BIGINT)"
+        passed = (f"(({lo_s} IS NULL OR {m} >= {lo_s}) AND ({hi_s} IS NULL OR {m} <= {hi_s}))")
+        cond_lit = cond.replace("'", "''")
+        parts.append(f"SELECT '{name}' AS name, '{cond_lit}' AS condition, {m} AS matched, "
+                     f"CAST({lo_s} AS BIGINT) AS min_count, CAST({hi_s} AS BIGINT) AS max_count, "
+                     f"{passed} AS passed FROM ents")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("check_expectations", with_ctes(["ents"], _expectation_sql()))
+def q_check_expectations(spark, d):
+    ents = FA.resolve_entities(ST.transformed_facts_input(spark, d))
+    return EX.check_expectations(ents, EX.expectations_table(spark, ENTITY_EXPECTATIONS))
+
+
+@register("table_counts", with_ctes(["ents", "tfact"], """
+SELECT 'entity' AS "table", CAST(count(*) AS BIGINT) AS rows FROM ents
+UNION ALL SELECT 'fact', CAST(count(DISTINCT fact) AS BIGINT) FROM tfact
+UNION ALL SELECT 'fact_resource', CAST(count(*) AS BIGINT)
+  FROM (SELECT DISTINCT fact, entry_date, entry_number, priority, resource FROM tfact)"""))
+def q_table_counts(spark, d):
+    from gleaner.operators import package as PK
+    t = ST.transformed_facts_input(spark, d)
+    return PK.table_counts({"entity": FA.resolve_entities(t), "fact": FA.make_facts(t),
+                            "fact_resource": FA.make_fact_resources(t)})
