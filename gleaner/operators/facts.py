@@ -30,21 +30,28 @@ def with_fact_id(transformed: DataFrame) -> DataFrame:
     return transformed.withColumn("fact", fact_id("entity", "field", "value"))
 
 
+def _days(col: str) -> Column:
+    """ISO date text -> days since 1970 (NULL for anything else)."""
+    return F.datediff(F.try_to_timestamp(F.col(col), F.lit("yyyy-MM-dd")).cast("date"),
+                      F.lit("1970-01-01").cast("date"))
+
+
 def make_facts(transformed: DataFrame) -> DataFrame:
     """fact table: one row per fact id, with the best (lowest) priority and
     the latest entry date of its observations. ``reference_entity`` carries
     the value of ``organisation_entity`` facts (a pointer to another
-    entity)."""
+    entity). The fact id determines entity, field and value, so they are
+    grouping keys and the aggregation buffers stay numeric (hash
+    aggregation, partial on the map side)."""
     t = with_fact_id(transformed)
-    return t.groupBy("fact").agg(
-        F.max("entity").alias("entity"),
-        F.max("field").alias("field"),
-        F.max("entry_date").alias("entry_date"),
-        F.min("priority").alias("priority"),
-        F.max("value").alias("value"),
-    ).select("entity", "fact", "field", "entry_date", "priority",
-             F.when(F.col("field") == "organisation_entity", F.col("value"))
-             .alias("reference_entity"), "value")
+    agg = t.groupBy("fact", "entity", "field", "value").agg(
+        F.max(_days("entry_date")).alias("_d"), F.min("priority").alias("priority"))
+    return agg.select(
+        "entity", "fact", "field",
+        F.date_add(F.lit("1970-01-01").cast("date"), F.col("_d")).cast("string").alias("entry_date"),
+        "priority",
+        F.when(F.col("field") == "organisation_entity", F.col("value")).alias("reference_entity"),
+        "value")
 
 
 def make_fact_resources(transformed: DataFrame) -> DataFrame:
@@ -53,26 +60,41 @@ def make_fact_resources(transformed: DataFrame) -> DataFrame:
         "fact", "entry_date", "entry_number", "priority", "resource").distinct()
 
 
-def _winner_key() -> Column:
-    """Orderable key: lower priority first, then later entry date, then
-    later entry number, then fact id (total order)."""
-    days = F.datediff(F.to_date("entry_date"), F.lit("1970-01-01").cast("date"))
-    return F.struct(
-        F.coalesce(F.col("priority"), F.lit(1 << 62)).alias("p"),
-        F.coalesce(-days, F.lit(1 << 30)).alias("d"),
-        F.coalesce(-F.col("entry_number"), F.lit(1 << 62)).alias("n"),
-        F.col("fact").alias("f"),
-        F.col("value").alias("v"),
-        F.col("entry_date").alias("e"),
-    )
+# The winner of an (entity, field) is the observation with the lowest
+# priority, then the latest entry date, then the latest entry number, then
+# the smallest fact id. The first three are packed into one BIGINT so that
+# finding the best key is a hash aggregation over a fixed-width buffer (with
+# map-side partial aggregation); a min over a struct holding strings would
+# force a sort-based aggregation of every row.
+#   priority * 10^16 + (999999 - (days + 100000)) * 10^10 + (10^10 - 1 - entry_number)
+_DAY0, _NMAX = 100_000, 10**10 - 1
+
+
+def _packed_key() -> Column:
+    days = _days("entry_date").cast("bigint") + _DAY0
+    day_part = F.lit(999_999) - F.least(F.greatest(F.coalesce(days, F.lit(0)), F.lit(0)),
+                                        F.lit(999_999))
+    n_part = F.lit(_NMAX) - F.least(F.greatest(F.coalesce("entry_number", F.lit(0)), F.lit(0)),
+                                    F.lit(_NMAX))
+    p_part = F.least(F.greatest(F.coalesce("priority", F.lit(900)), F.lit(0)), F.lit(900))
+    return (p_part.cast("bigint") * F.lit(10**16) + day_part.cast("bigint") * F.lit(10**10)
+            + n_part.cast("bigint"))
 
 
 def resolve_fields(transformed: DataFrame) -> DataFrame:
-    """(dataset, entity, field) -> winning value and its entry date."""
-    t = with_fact_id(transformed)
-    w = t.groupBy("dataset", "entity", "field").agg(F.min(_winner_key()).alias("w"))
-    return w.select("dataset", "entity", "field", F.col("w.v").alias("value"),
-                    F.col("w.e").alias("entry_date"), F.col("w.f").alias("fact"))
+    """(dataset, entity, field) -> winning value, its entry date and fact.
+
+    A hash aggregation finds each field's best packed key; the rows holding
+    it are joined back (AQE splits a skewed field's partition) and the rare
+    ties on the key are broken by fact id over those few rows only.
+    """
+    t = with_fact_id(transformed).withColumn("_k", _packed_key())
+    g = ["dataset", "entity", "field"]
+    best = t.groupBy(*g).agg(F.min("_k").alias("_best"))
+    cand = t.join(best, g).where(F.col("_k") == F.col("_best"))
+    w = cand.groupBy(*g).agg(F.min(F.struct("fact", "value", "entry_date")).alias("w"))
+    return w.select(*g, F.col("w.value").alias("value"), F.col("w.entry_date").alias("entry_date"),
+                    F.col("w.fact").alias("fact"))
 
 
 def entities_from_fields(resolved: DataFrame, columns=ENTITY_FIELD_COLUMNS) -> DataFrame:
@@ -107,6 +129,14 @@ def flatten_entities(entities: DataFrame, keys: list[str] | None = None) -> Data
     return entities.select(*base, *extra)
 
 
+def json_fields(transformed: DataFrame, columns=ENTITY_FIELD_COLUMNS) -> list[str]:
+    """Field names that end up as json keys (fields without an entity
+    column). A distinct over field names: the result is bounded by the
+    specification's field list, so it is collected."""
+    return sorted(r["field"] for r in transformed.select("field").distinct()
+                  .where(~F.col("field").isin(list(columns))).collect())
+
+
 def fact_provenance(facts: DataFrame, fact_resources: DataFrame) -> DataFrame:
     """fact joined with every resource that stated it (both sides large:
     a shuffle join on ``fact``)."""

@@ -444,7 +444,8 @@ SELECT dataset, end_date, entity, entry_date, geometry, name, organisation_entit
        json_extract_string(json, '$.status') AS status
 FROM ents"""))
 def q_flatten_entities(spark, d):
-    return FA.flatten_entities(FA.resolve_entities(ST.transformed_facts_input(spark, d)))
+    t = ST.transformed_facts_input(spark, d)
+    return FA.flatten_entities(FA.resolve_entities(t), FA.json_fields(t))
 
 
 @register("fact_provenance", with_ctes(["tfact"], """
