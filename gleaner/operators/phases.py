@@ -57,6 +57,15 @@ _CFG_SHAPES = {
 }
 
 
+# configs looked up by one key per entry field become maps (key -> value);
+# one row per key and dataset is expected (a later duplicate is an error)
+_KEYED = {
+    "column": ("column", "field"),
+    "patch": ("field", ["pattern", "replacement"]),
+    "transform": ("field", "replacement_field"),
+}
+
+
 def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     """Fold the long config tables into one row per dataset holding an array
     per phase (``cfg_<name>``) and the dataset's prefix: one union, one
@@ -80,6 +89,11 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
             st = F.struct(pos["field"].alias("field"), F.split(pos["fields"], ";").alias("parts"),
                           pos["separator"].alias("separator"))
             aggs.append(F.collect_list(F.when(is_kind, st)).alias("cfg_concat"))
+        elif name in _KEYED:
+            key, val = _KEYED[name]
+            v = pos[val] if isinstance(val, str) else F.struct(*[pos[c].alias(c) for c in val])
+            aggs.append(F.map_from_entries(F.collect_list(F.when(is_kind, F.struct(pos[key], v))))
+                        .alias(f"cfg_{name}"))
         else:
             st = F.struct(*[pos[c].alias(c) for c in _CFG_SHAPES[name]])
             aggs.append(F.collect_list(F.when(is_kind, st)).alias(f"cfg_{name}"))
@@ -106,6 +120,11 @@ def _cfg(name: str) -> str:
     return f"coalesce(cfg_{name}, array())"
 
 
+def _lookup(name: str, key: str) -> str:
+    """Keyed config value for ``key`` (NULL when absent)."""
+    return f"try_element_at(cfg_{name}, {key})"
+
+
 def _let(expr: str, var: str, body: str) -> str:
     return f"element_at(transform(array({expr}), {var} -> {body}), 1)"
 
@@ -161,22 +180,17 @@ def map_columns(e: DataFrame) -> DataFrame:
     keep their normalised name (lowercase, each run of non-alphanumerics
     becomes one underscore)."""
     mapped = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
-              f"try_element_at(filter({_cfg('column')}, c -> c.column = x.column), 1).field, "
+              f"{_lookup('column', 'x.column')}, "
               f"lower(regexp_replace(x.column, '[^A-Za-z0-9]+', '_'))), 'value', x.value))")
     return _phase(e, _state(fields=mapped))
 
 
-def column_field_log(e: DataFrame) -> DataFrame:
-    return e.select("dataset", "resource", F.explode("st.fields").alias("f")) \
-        .select("dataset", "resource", "f.column", "f.field").distinct()
-
-
 # -------------------------------------------------------------- T5 patch
 
 def patch_values(e: DataFrame) -> DataFrame:
     """Rewrite values matching the field's patch pattern; one issue each."""
     pf = ("transform(s.fields, x -> " + _let(
-        f"try_element_at(filter({_cfg('patch')}, c -> c.field = x.field), 1)", "p",
+        _lookup("patch", "x.field"), "p",
         "named_struct('x', x, 'p', p, 'hit', p IS NOT NULL AND x.value rlike p.pattern)") + ")")
     fields = ("transform(pf, y -> named_struct('column', y.x.column, 'field', y.x.field, 'value', "
               "CASE WHEN y.hit THEN regexp_replace(y.x.value, y.p.pattern, y.p.replacement) "
@@ -242,8 +256,7 @@ def default_values(e: DataFrame) -> DataFrame:
 
 def rename_fields(e: DataFrame) -> DataFrame:
     fields = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
-              f"try_element_at(filter({_cfg('transform')}, t -> t.field = x.field), 1)"
-              f".replacement_field, x.field), 'value', x.value))")
+              f"{_lookup('transform', 'x.field')}, x.field), 'value', x.value))")
     return _phase(e, _state(fields=fields))
 
 
@@ -281,13 +294,26 @@ def redirect_entities(e: DataFrame, old_entity: DataFrame) -> DataFrame:
 
 
 # -------------------------------------------------------------- outputs
+#
+# Outputs read the state through one reference as well: a filter on
+# ``st.keep`` next to an explode of ``st.fields`` would make the optimizer
+# copy the whole phase chain into the filter and evaluate it twice.
+
+def _explode_state(body: str) -> Column:
+    return F.explode(F.expr(_let("st", "s", body)))
+
 
 def entry_rows(e: DataFrame, with_entity: bool = False) -> DataFrame:
     """Kept entries exploded to long rows (dataset, resource, entry_number,
     field, value[, entity])."""
     extra = ["entity"] if with_entity else []
-    return e.where("st.keep").select(*ENTRY, *extra, F.explode("st.fields").alias("f")) \
-        .select(*ENTRY, "f.field", "f.value", *extra)
+    rows = _explode_state(f"CASE WHEN s.keep THEN s.fields ELSE {_EMPTY_FIELDS} END")
+    return e.select(*ENTRY, *extra, rows.alias("f")).select(*ENTRY, "f.field", "f.value", *extra)
+
+
+def column_field_log(e: DataFrame) -> DataFrame:
+    return e.select("dataset", "resource", F.explode("st.fields").alias("f")) \
+        .select("dataset", "resource", "f.column", "f.field").distinct()
 
 
 def entry_issues(e: DataFrame) -> DataFrame:
@@ -311,12 +337,14 @@ def stack_issues(*frames: DataFrame) -> DataFrame:
 def facts_input(e: DataFrame, priority: Column) -> DataFrame:
     """Rows shaped for fact creation: each kept entry with an entity, its
     start date as entry date."""
-    return e.where(F.col("st.keep") & F.col("entity").isNotNull()).select(
-        "dataset", "entity", "resource", "entry_number",
-        value_of("start_date").alias("entry_date"), priority.cast("bigint").alias("priority"),
-        F.explode("st.fields").alias("f")).select(
-        "dataset", "entity", "resource", "entry_number", "entry_date", "priority",
-        "f.field", "f.value")
+    body = (f"CASE WHEN s.keep AND entity IS NOT NULL THEN " + _let(
+        _value_of("s.fields", "'start_date'"), "sd",
+        "transform(s.fields, x -> named_struct('field', x.field, 'value', x.value, "
+        "'entry_date', sd))") + " END")
+    return e.select("dataset", "entity", "resource", "entry_number",
+                    priority.cast("bigint").alias("priority"), _explode_state(body).alias("f")) \
+        .select("dataset", "entity", "resource", "entry_number", F.col("f.entry_date").alias("entry_date"),
+                "priority", "f.field", "f.value")
 
 
 # -------------------------------------------------------------- T10 combine
