@@ -86,10 +86,13 @@ def summarise_manifest(reconciled: DataFrame) -> DataFrame:
 
 def files_per_task(manifest: DataFrame, tasks: DataFrame) -> DataFrame:
     """Objects to fetch / tasks, integer division, 0 when there are no
-    tasks. One aggregation per input, joined on a constant key (1 row each)."""
-    m = manifest.agg(F.count(F.lit(1)).alias("n_files")).withColumn("_k", F.lit(1))
-    t = tasks.agg(F.count(F.lit(1)).alias("n_tasks")).withColumn("_k", F.lit(1))
-    return m.join(t, "_k").select(
+    tasks. Both counts come from one aggregation over a tagged union (no
+    join)."""
+    tagged = manifest.select(F.lit(1).alias("_f"), F.lit(0).alias("_t")) \
+        .unionByName(tasks.select(F.lit(0).alias("_f"), F.lit(1).alias("_t")))
+    c = tagged.agg(F.coalesce(F.sum("_f"), F.lit(0)).cast("bigint").alias("n_files"),
+                   F.coalesce(F.sum("_t"), F.lit(0)).cast("bigint").alias("n_tasks"))
+    return c.select(
         "n_files", "n_tasks",
         F.when(F.col("n_tasks") > 0, F.expr("n_files div n_tasks")).otherwise(F.lit(0))
         .cast("bigint").alias("files_per_task"))
