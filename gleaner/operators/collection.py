@@ -80,3 +80,15 @@ def refill_today(log_index: DataFrame, todays_log: DataFrame, today) -> DataFram
     a fresh read of today's partition."""
     return (log_index.where(F.col("entry_date") < F.lit(today).cast("date"))
             .unionByName(todays_log.where(F.col("entry_date") == F.lit(today).cast("date"))))
+
+
+def collection_datasets(spec_dataset: DataFrame, collection: str) -> DataFrame:
+    """Datasets of the specification whose collection is ``collection``
+    (matched by column name, not by position)."""
+    return spec_dataset.where(F.col("collection") == collection).select("dataset").distinct()
+
+
+def require_nonempty(df: DataFrame, what: str) -> None:
+    """Fail when an input has no rows (a bounded check: one row is read)."""
+    if df.isEmpty():
+        raise ValueError(f"No {what} found")

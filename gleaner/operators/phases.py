@@ -66,6 +66,19 @@ _KEYED = {
 }
 
 
+_CFG_TYPES = {
+    "column": "map<string,string>",
+    "skip": "array<struct<pattern:string>>",
+    "patch": "map<string,struct<pattern:string,replacement:string>>",
+    "filter": "array<struct<field:string,pattern:string>>",
+    "concat": "array<struct<field:string,parts:array<string>,separator:string>>",
+    "default": "array<struct<field:string,default_field:string>>",
+    "default_value": "array<struct<field:string,value:string>>",
+    "transform": "map<string,string>",
+    "prefix": "string",
+}
+
+
 def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     """Fold the long config tables into one row per dataset holding an array
     per phase (``cfg_<name>``) and the dataset's prefix: one union, one
@@ -97,7 +110,11 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
         else:
             st = F.struct(*[pos[c].alias(c) for c in _CFG_SHAPES[name]])
             aggs.append(F.collect_list(F.when(is_kind, st)).alias(f"cfg_{name}"))
-    return u.groupBy("dataset").agg(*aggs)
+    out = u.groupBy("dataset").agg(*aggs)
+    for name, t in _CFG_TYPES.items():
+        if f"cfg_{name}" not in out.columns:
+            out = out.withColumn(f"cfg_{name}", F.lit(None).cast(t))
+    return out
 
 
 def attach_config(entries: DataFrame, cfg: DataFrame) -> DataFrame:

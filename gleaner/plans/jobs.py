@@ -16,6 +16,7 @@ from gleaner.operators import expectations as EX
 from gleaner.operators import facts as FA
 from gleaner.operators import manifest as M
 from gleaner.operators import package as PK
+from gleaner.operators import phases as PH
 from gleaner.operators import selection as SEL
 
 
@@ -108,3 +109,52 @@ def assemble(transformed: DataFrame, expectations: DataFrame | None = None,
 def collect_index(log: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Resource index and dataset -> resource table from the log."""
     return C.resource_index(log, source), C.dataset_resource_map(log, source)
+
+
+class Transformed(NamedTuple):
+    rows: DataFrame          # long rows with entity (kept entries)
+    issues: DataFrame        # issue log of the batch
+    column_field: DataFrame  # column -> field log
+    facts_input: DataFrame   # rows for fact creation
+
+
+def transform(raw: DataFrame, columns: list[str], configs: dict[str, DataFrame],
+              lookup: DataFrame, old_entity: DataFrame, priority=None) -> Transformed:
+    """Every resource of a batch through the phases at once.
+
+    ``raw``: (dataset, resource, entry_number, <columns>) text rows;
+    ``configs``: the long config tables by name (see
+    :mod:`gleaner.operators.phases`); ``lookup``: (prefix, reference,
+    entity); ``old_entity``: (old_entity, entity, status)."""
+    cfg = PH.dataset_config(raw.sparkSession, configs)
+    e = PH.to_entries(raw, columns, cfg)
+    mapped = PH.map_columns(e)
+    e = mapped
+    for step in (PH.patch_values, PH.filter_entries, PH.concat_fields, PH.default_fields,
+                 PH.default_values, PH.rename_fields):
+        e = step(e)
+    e = PH.redirect_entities(PH.assign_entities(e, lookup), old_entity)
+    prio = priority if priority is not None else F.lit(1)
+    return Transformed(PH.entry_rows(e, with_entity=True), PH.entry_issues(e),
+                       PH.column_field_log(mapped), PH.facts_input(e, prio))
+
+
+def nightly(log: DataFrame, source: DataFrame, old_resource: DataFrame, raw: DataFrame,
+            columns: list[str], configs: dict[str, DataFrame], lookup: DataFrame,
+            old_entity: DataFrame, *, version_log: DataFrame | None = None,
+            versions: SEL.Versions | None = None, reprocess: bool = False,
+            expectations: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Collect index -> work selection -> transform of the selected
+    resources' raw rows -> assembled dataset tables. All lazy; the caller
+    writes what it needs."""
+    index, ds_res = collect_index(log, source)
+    tasks = plan_transform(ds_res, old_resource, log, source, version_log=version_log,
+                           versions=versions, reprocess=reprocess)
+    picked = raw.join(tasks.select("dataset", F.col("old_resource").alias("resource")).distinct(),
+                      ["dataset", "resource"], "left_semi")
+    t = transform(picked, columns, configs, lookup, old_entity)
+    a = assemble(t.facts_input, expectations)
+    return {"resource_index": index, "tasks": tasks, "issues": t.issues,
+            "column_field": t.column_field, "entity": a.entity, "fact": a.fact,
+            "fact_resource": a.fact_resource, "flattened": a.flattened,
+            **({"expectations": a.expectations} if a.expectations is not None else {})}

@@ -790,3 +790,31 @@ def q_table_counts(spark, d):
     t = ST.transformed_facts_input(spark, d)
     return PK.table_counts({"entity": FA.resolve_entities(t), "fact": FA.make_facts(t),
                             "fact_resource": FA.make_fact_resources(t)})
+
+
+# ----------------------------------------------------------------- collection config, logs
+
+@register("collection_datasets", with_ctes(["spec"],
+          "SELECT DISTINCT dataset FROM spec WHERE collection = 'part'"))
+def q_collection_datasets(spark, d):
+    return C.collection_datasets(ST.specification_dataset(spark, d), "part")
+
+
+@register("refill_today", with_ctes(["clog"], """
+SELECT endpoint, resource, entry_date, status FROM clog WHERE entry_date <= DATE '2024-01-15'"""))
+def q_refill_today(spark, d):
+    log = ST.collection_log(spark, d)
+    stored = log.where(F.col("entry_date") <= F.lit("2024-01-14").cast("date"))
+    todays = log.where(F.col("entry_date") >= F.lit("2024-01-15").cast("date"))
+    return C.refill_today(stored, todays, "2024-01-15")
+
+
+@register("provenance_log", with_ctes(["tasks"], """
+SELECT DISTINCT dataset, old_resource AS resource, '0.1.0' AS code_version,
+       'config-1' AS config_hash, 'specification-1' AS specification_hash,
+       '2024-02-01' AS entry_date
+FROM tasks"""))
+def q_provenance_log(spark, d):
+    tasks = _tasks(spark, d).select("dataset", F.col("old_resource").alias("resource")).distinct()
+    return PH.provenance_log(tasks, ST.CODE_VERSION, ST.CONFIG_HASH, ST.SPECIFICATION_HASH,
+                             "2024-02-01")
