@@ -37,17 +37,16 @@ def _days(col: str) -> Column:
 
 
 def make_facts(transformed: DataFrame) -> DataFrame:
-    """fact table: one row per fact id, with the best (lowest) priority and
+    """fact table: one row per fact, with the best (lowest) priority and
     the latest entry date of its observations. ``reference_entity`` carries
     the value of ``organisation_entity`` facts (a pointer to another
-    entity). The fact id determines entity, field and value, so they are
-    grouping keys and the aggregation buffers stay numeric (hash
-    aggregation, partial on the map side)."""
-    t = with_fact_id(transformed)
-    agg = t.groupBy("fact", "entity", "field", "value").agg(
+    entity). A fact is determined by (entity, field, value), so those are the
+    grouping keys, the aggregation buffers stay numeric (hash aggregation,
+    partial on the map side) and the sha256 id is computed once per fact."""
+    agg = transformed.groupBy("entity", "field", "value").agg(
         F.max(_days("entry_date")).alias("_d"), F.min("priority").alias("priority"))
     return agg.select(
-        "entity", "fact", "field",
+        "entity", fact_id("entity", "field", "value").alias("fact"), "field",
         F.date_add(F.lit("1970-01-01").cast("date"), F.col("_d")).cast("string").alias("entry_date"),
         "priority",
         F.when(F.col("field") == "organisation_entity", F.col("value")).alias("reference_entity"),
@@ -55,9 +54,12 @@ def make_facts(transformed: DataFrame) -> DataFrame:
 
 
 def make_fact_resources(transformed: DataFrame) -> DataFrame:
-    """fact_resource table: each (fact, resource, entry) observation once."""
-    return with_fact_id(transformed).select(
-        "fact", "entry_date", "entry_number", "priority", "resource").distinct()
+    """fact_resource table: each (fact, resource, entry) observation once;
+    de-duplicated on the fact's content, id computed afterwards."""
+    obs = transformed.select("entity", "field", "value", "entry_date", "entry_number",
+                             "priority", "resource").distinct()
+    return obs.select(fact_id("entity", "field", "value").alias("fact"), "entry_date",
+                      "entry_number", "priority", "resource")
 
 
 # The winner of an (entity, field) is the observation with the lowest
@@ -86,12 +88,13 @@ def resolve_fields(transformed: DataFrame) -> DataFrame:
 
     A hash aggregation finds each field's best packed key; the rows holding
     it are joined back (AQE splits a skewed field's partition) and the rare
-    ties on the key are broken by fact id over those few rows only.
+    ties on the key are broken by fact id, computed for those rows only.
     """
-    t = with_fact_id(transformed).withColumn("_k", _packed_key())
+    t = transformed.withColumn("_k", _packed_key())
     g = ["dataset", "entity", "field"]
     best = t.groupBy(*g).agg(F.min("_k").alias("_best"))
-    cand = t.join(best, g).where(F.col("_k") == F.col("_best"))
+    cand = t.join(best, g).where(F.col("_k") == F.col("_best")) \
+        .withColumn("fact", fact_id("entity", "field", "value"))
     w = cand.groupBy(*g).agg(F.min(F.struct("fact", "value", "entry_date")).alias("w"))
     return w.select(*g, F.col("w.value").alias("value"), F.col("w.entry_date").alias("entry_date"),
                     F.col("w.fact").alias("fact"))

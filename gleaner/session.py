@@ -76,3 +76,14 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer input partitions than the cluster has
+    task slots (e.g. one file with a single row group) with a round-robin
+    repartition. Large inputs already have many splits and pass unchanged.
+    Filters and column pruning still reach the scan below the repartition."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.session import ensure_parallelism
+
 # The versions the current run would record in its
 # dataset-resource log (code version, config hash, specification hash).
 CODE_VERSION = "0.1.0"
@@ -30,7 +32,7 @@ ORDER_ENTITY_BASE = 3_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def docs(spark, sf_dir) -> DataFrame:
