@@ -11,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.session import literal_df
+
 
 def expectations_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, "name string, condition string, min_count bigint, "
-                                       "max_count bigint")
+    return literal_df(spark, rows, "name string, condition string, min_count bigint, "
+                                   "max_count bigint")
 
 
 def check_expectations(df: DataFrame, expectations: DataFrame) -> DataFrame:

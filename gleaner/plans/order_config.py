@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.session import literal_df
 from gleaner.sources import standins as ST
 
 DATASETS = ["order-f", "order-o", "order-p"]
@@ -36,7 +37,7 @@ CONFIG: dict[str, tuple[list[str], list[tuple]]] = {
 
 def config_df(spark: SparkSession, name: str) -> DataFrame:
     cols, rows = CONFIG[name]
-    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    return literal_df(spark, rows, ", ".join(f"`{c}` string" for c in cols))
 
 
 def _lit(v) -> str:

@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import _parse_datatype_string
 
 
 def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -87,3 +88,15 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)
     return df
+
+
+def literal_df(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small literal table built inside the JVM (``inline`` over an array
+    of structs), so scanning it never starts Python workers. For config
+    tables and other bounded driver-side values only."""
+    st = _parse_datatype_string(schema)
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, st.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
