@@ -19,10 +19,20 @@ def dataset_resource_map(log: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def resource_lists(dataset_resources: DataFrame) -> DataFrame:
-    """dataset -> sorted list of resources (output form only; keep the long
-    form for joins)."""
-    return dataset_resources.groupBy("dataset").agg(
-        F.sort_array(F.collect_set("resource")).alias("resources"))
+    """dataset -> ordered list of resources, as long rows (dataset, pos,
+    resource) with ``pos`` the 0-based place in the dataset's sorted list.
+
+    No list is built in one row: positions come from the distributed global
+    numbering minus each dataset's first position (one small row per
+    dataset), so a dataset holding a third of all resources is still spread
+    over many tasks."""
+    from gleaner.operators.selection import number_rows
+    from gleaner.session import broadcast_if_small
+    pairs = dataset_resources.select("dataset", "resource").distinct()
+    positioned, _ = number_rows(pairs, ["dataset", "resource"])
+    first = broadcast_if_small(positioned.groupBy("dataset").agg(F.min("position").alias("_first")))
+    return positioned.join(first, "dataset").select(
+        "dataset", (F.col("position") - F.col("_first")).alias("pos"), "resource")
 
 
 def join_list(col: str, sep: str = " "):

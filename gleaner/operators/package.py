@@ -76,20 +76,16 @@ def write_flattened(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(f"{path.rstrip('/')}/json")
 
 
-def state_document(pairs: DataFrame) -> DataFrame:
-    """dataset -> ordered resource list (by ``pos`` when present, else by
-    resource), one row per dataset."""
-    key = "pos" if "pos" in pairs.columns else "resource"
-    return pairs.groupBy("dataset").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(key, "resource"))),
-                    lambda x: x["resource"]).alias("resources"))
-
-
 def write_state(pairs: DataFrame, path: str) -> None:
-    """The state as JSON lines, one object per dataset (never one document
-    through one task); :func:`gleaner.sources.files.scan_state_lines` reads
-    it back as the transform_resources map."""
-    state_document(pairs).write.mode("overwrite").json(path)
+    """The state (each dataset's ordered work list) as JSON lines, one line
+    per (dataset, pos, resource), partitioned by dataset: no dataset's list
+    is ever assembled in one row or one task. ``pos`` is taken from the
+    input when present, else the place in the dataset's sorted list.
+    :func:`gleaner.sources.files.scan_state_pairs` reads it back."""
+    from gleaner.operators.collection import resource_lists
+    long = pairs.select("dataset", "pos", "resource") if "pos" in pairs.columns \
+        else resource_lists(pairs)
+    long.write.mode("overwrite").partitionBy("dataset").json(path)
 
 
 def merge_issues(existing: DataFrame | None, new: DataFrame) -> DataFrame:

@@ -181,17 +181,14 @@ def q_dataset_resource_map(spark, d):
 
 
 @register("resource_lists", with_ctes(["clog", "src"], """
-SELECT dataset, CAST(count(*) AS BIGINT) AS n_resources,
-       string_agg(resource, ' ' ORDER BY resource) AS resources
+SELECT dataset, CAST(row_number() OVER (PARTITION BY dataset ORDER BY resource) - 1 AS BIGINT) AS pos,
+       resource
 FROM (SELECT DISTINCT s.pipelines AS dataset, c.resource
       FROM (SELECT DISTINCT endpoint, resource FROM clog WHERE resource IS NOT NULL) c
-      JOIN src s ON s.endpoint = c.endpoint)
-GROUP BY dataset"""))
+      JOIN src s ON s.endpoint = c.endpoint)"""))
 def q_resource_lists(spark, d):
-    lists = C.resource_lists(C.dataset_resource_map(ST.collection_log(spark, d),
-                                                    ST.source_table(spark, d)))
-    return lists.select("dataset", F.size("resources").cast("bigint").alias("n_resources"),
-                        F.array_join("resources", " ").alias("resources"))
+    return C.resource_lists(C.dataset_resource_map(ST.collection_log(spark, d),
+                                                   ST.source_table(spark, d)))
 
 
 @register("resource_index", with_ctes(["clog", "src"], """

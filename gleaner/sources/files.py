@@ -160,16 +160,11 @@ def scan_state(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(STATE).option("multiLine", "true").json(path)
 
 
-def state_lines_schema() -> str:
-    return "dataset string, resources array<string>"
-
-
-def scan_state_lines(spark: SparkSession, path: str) -> DataFrame:
-    """The partitioned form written by :func:`gleaner.operators.package.write_state`
-    (one JSON line per dataset) as the same map column."""
-    df = spark.read.schema(state_lines_schema()).json(path)
-    return df.select(F.map_from_entries(F.array(F.struct("dataset", "resources")))
-                     .alias("transform_resources"))
+def scan_state_pairs(spark: SparkSession, path: str) -> DataFrame:
+    """The long state written by :func:`gleaner.operators.package.write_state`
+    as (dataset, pos, resource)."""
+    return spark.read.schema("pos bigint, resource string, dataset string").json(path) \
+        .select("dataset", "pos", "resource")
 
 
 # ------------------------------------------------------------------ S8

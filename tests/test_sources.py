@@ -20,9 +20,20 @@ def test_state_round_trip_as_lines(spark, tmp_path):
     pairs = spark.createDataFrame([("d1", 0, "r2"), ("d1", 1, "r1"), ("d2", 0, "r9")],
                                   "dataset string, pos bigint, resource string")
     PK.write_state(pairs, str(tmp_path / "state"))
-    back = SEL.pairs_from_map(SRC.scan_state_lines(spark, str(tmp_path / "state")))
+    back = SRC.scan_state_pairs(spark, str(tmp_path / "state"))
     assert sorted((r["dataset"], r["pos"], r["resource"]) for r in back.collect()) == [
         ("d1", 0, "r2"), ("d1", 1, "r1"), ("d2", 0, "r9")]
+    got = SEL.state_pairs(back, "d1").orderBy("pos").collect()
+    assert [r["resource"] for r in got] == ["r2", "r1"]
+
+
+def test_state_positions_from_sorted_lists(spark, tmp_path):
+    pairs = spark.createDataFrame([("d1", "b"), ("d1", "a"), ("d2", "z"), ("d1", "c")],
+                                  "dataset string, resource string")
+    PK.write_state(pairs, str(tmp_path / "s2"))
+    back = SRC.scan_state_pairs(spark, str(tmp_path / "s2"))
+    assert sorted((r["dataset"], r["pos"], r["resource"]) for r in back.collect()) == [
+        ("d1", 0, "a"), ("d1", 1, "b"), ("d1", 2, "c"), ("d2", 0, "z")]
 
 
 def test_artefacts_dataset_and_resource_from_path(spark, tmp_path):
