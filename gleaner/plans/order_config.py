@@ -66,7 +66,8 @@ def concat_parts_sql() -> str:
 def order_old_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """old-entity rows for order entities: low-priority fulfilled orders are
     redirected (301) to a new entity, or retired (410) above a price."""
-    o = ST.table(spark, sf_dir, "orders")
+    o = ST.table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus",
+                 "o_totalprice")
     big = F.col("o_totalprice") > 400000
     return (o.where((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"))
             .select((F.col("o_orderkey") + ST.ORDER_ENTITY_BASE).cast("string").alias("old_entity"),

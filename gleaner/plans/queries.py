@@ -228,10 +228,10 @@ WHERE NOT EXISTS (
   WHERE d2.resource = l.resource
     AND (CASE WHEN lb.quality = 0 THEN x2.n_chars + 1 ELSE x2.n_chars END) = l.size)"""))
 def q_detect_new(spark, d):
-    docs = ST.table(spark, d, "documents").select(
-        "doc_id", F.sha2("text", 256).alias("resource"), F.col("n_chars").alias("size"))
+    docs = ST.table(spark, d, "documents",
+                    "doc_id", F.sha2("text", 256).alias("resource"), F.col("n_chars").alias("size"))
     local = docs.select("resource", "size").distinct()
-    labels = ST.table(spark, d, "labels").select("doc_id", "quality")
+    labels = ST.table(spark, d, "labels", "doc_id", "quality")
     remote = docs.join(labels, "doc_id").select(
         "resource", F.when(F.col("quality") == 0, F.col("size") + 1)
         .otherwise(F.col("size")).alias("size"))
@@ -482,7 +482,7 @@ def q_table_checksum(spark, d):
 SELECT p.p_partkey AS entity, e.organisation
 FROM part p LEFT JOIN eorg e ON p.p_partkey BETWEEN e.entity_minimum AND e.entity_maximum"""))
 def q_entity_organisation(spark, d):
-    ents = ST.table(spark, d, "part").select(F.col("p_partkey").alias("entity"))
+    ents = ST.table(spark, d, "part", F.col("p_partkey").alias("entity"))
     return range_join(ents, "entity", ST.entity_organisation(spark, d), how="left") \
         .select("entity", "organisation")
 

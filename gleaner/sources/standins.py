@@ -31,14 +31,19 @@ SUPPLIER_ENTITY_WIDTH = 20
 ORDER_ENTITY_BASE = 3_000_000
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
+    """A driver table, projected to ``cols`` (names or expressions) right at
+    the scan, then spread over the task slots if it is a single split."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if cols:
+        df = df.select(*cols)
+    return ensure_parallelism(df)
 
 
 def docs(spark, sf_dir) -> DataFrame:
     """documents with the text replaced by its sha256 (the resource id)."""
-    return table(spark, sf_dir, "documents").select(
-        "doc_id", "source", "lang", F.sha2("text", 256).alias("resource"))
+    return table(spark, sf_dir, "documents",
+                 "doc_id", "source", "lang", F.sha2("text", 256).alias("resource"))
 
 
 def dataset_resource_map(spark, sf_dir) -> DataFrame:
@@ -56,7 +61,7 @@ def old_resource(spark, sf_dir) -> DataFrame:
     duplicate keys, so "last entry wins" is exercised.
     """
     d = docs(spark, sf_dir)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     first = d.groupBy("source").agg(F.min_by("resource", "doc_id").alias("first_resource"))
     return (
         d.join(labels, "doc_id")
@@ -80,7 +85,7 @@ def dataset_resource_log(spark, sf_dir) -> DataFrame:
     unlabelled documents have no log at all.
     """
     d = docs(spark, sf_dir)
-    labels = table(spark, sf_dir, "labels").select("doc_id")
+    labels = table(spark, sf_dir, "labels", "doc_id")
     return d.join(labels, "doc_id").select(
         F.col("source").alias("dataset"), "resource",
         F.when(F.col("lang") == "es", F.lit(None).cast("string"))
@@ -97,7 +102,7 @@ def collection_log(spark, sf_dir) -> DataFrame:
     Event ``i`` fetched document ``i``'s resource; error events fetched
     nothing (status 500, no resource).
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    ev = table(spark, sf_dir, "events", "event_id", "user_id", "ts", "event_type")
     d = docs(spark, sf_dir).select("doc_id", "resource")
     is_error = F.col("event_type") == "error"
     return ev.join(d, ev.event_id == d.doc_id, "left").select(
@@ -110,7 +115,7 @@ def collection_log(spark, sf_dir) -> DataFrame:
 
 def source_table(spark, sf_dir) -> DataFrame:
     """Collection source table from customer: one endpoint per customer."""
-    return table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer",
         F.concat(F.lit("src-"), F.col("c_custkey").cast("string")).alias("source"),
         F.concat(F.lit("org-"), F.col("c_nationkey").cast("string")).alias("organisation"),
         F.concat(F.lit("ep-"), F.col("c_custkey").cast("string")).alias("endpoint"),
@@ -120,7 +125,7 @@ def source_table(spark, sf_dir) -> DataFrame:
 
 
 def endpoint_table(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
+    return table(spark, sf_dir, "customer",
         F.concat(F.lit("ep-"), F.col("c_custkey").cast("string")).alias("endpoint"),
         F.concat(F.lit("https://data.example.org/"), F.col("c_custkey").cast("string"),
                  F.lit("/data.csv")).alias("endpoint_url"),
@@ -132,7 +137,7 @@ def specification_dataset(spark, sf_dir) -> DataFrame:
     inclusive entity range [k*W, k*W + W - 1]."""
     w = PART_DATASET_WIDTH
     k = F.floor(F.col("p_partkey") / w).cast("bigint")
-    return (table(spark, sf_dir, "part").select(k.alias("k")).distinct()
+    return (table(spark, sf_dir, "part", k.alias("k")).distinct()
             .select(F.concat(F.lit("part-"), F.col("k").cast("string")).alias("dataset"),
                     F.lit("part").alias("collection"),
                     (F.col("k") * w).alias("entity_minimum"),
@@ -143,7 +148,7 @@ def entity_organisation(spark, sf_dir) -> DataFrame:
     """entity-organisation config: supplier ``s`` owns part entities
     [s*V, s*V + V - 1]."""
     v = SUPPLIER_ENTITY_WIDTH
-    return table(spark, sf_dir, "supplier").select(
+    return table(spark, sf_dir, "supplier",
         (F.col("s_suppkey") * v).alias("entity_minimum"),
         (F.col("s_suppkey") * v + (v - 1)).alias("entity_maximum"),
         F.concat(F.lit("org-"), F.col("s_nationkey").cast("string")).alias("organisation"),
@@ -155,7 +160,7 @@ def old_entity(spark, sf_dir) -> DataFrame:
     building customers by name (not a number), machinery customers above
     2**31 (out of 32-bit range). Negative balance -> retired (410) else
     redirected (301) to the next key."""
-    c = table(spark, sf_dir, "customer")
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     seg = F.col("c_mktsegment")
     key = F.col("c_custkey")
     retired = F.col("c_acctbal") < 0
@@ -176,10 +181,10 @@ def transformed_facts_input(spark, sf_dir) -> DataFrame:
     of dataset ``part-<k>``. Fields: name, reference, organisation_entity,
     quantity, status (the last two are not entity columns and end in json).
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus", "l_shipdate")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    li = table(spark, sf_dir, "lineitem",
+               "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+               "l_returnflag", "l_linestatus", "l_shipdate")
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name")
     w = PART_DATASET_WIDTH
     rows = li.join(p, li.l_partkey == p.p_partkey).select(
         F.concat(F.lit("part-"), F.floor(F.col("p_partkey") / w).cast("bigint").cast("string"))
@@ -207,8 +212,8 @@ def raw_order_rows(spark, sf_dir) -> DataFrame:
     Each customer publishes one resource; ``entry_number`` is the order key
     + 1 (so it is unique and needs no window). Dataset by order status.
     """
-    o = table(spark, sf_dir, "orders")
-    return o.select(
+    return table(
+        spark, sf_dir, "orders",
         F.concat(F.lit("order-"), F.lower("o_orderstatus")).alias("dataset"),
         F.sha2(F.concat(F.lit("customer-"), F.col("o_custkey").cast("string")), 256).alias("resource"),
         (F.col("o_orderkey") + 1).alias("entry_number"),
@@ -227,7 +232,7 @@ RAW_ORDER_COLUMNS = ["OrderKey", "Customer", "Status", "Priority", "OrderDate",
 def order_lookup(spark, sf_dir) -> DataFrame:
     """lookup config (prefix, reference, organisation, entity): every order
     that has line items is a known entity."""
-    return (table(spark, sf_dir, "lineitem").select("l_orderkey").distinct()
+    return (table(spark, sf_dir, "lineitem", "l_orderkey").distinct()
             .select(F.lit("order").alias("prefix"),
                     F.col("l_orderkey").cast("string").alias("reference"),
                     F.lit(None).cast("string").alias("organisation"),
