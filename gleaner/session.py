@@ -37,11 +37,15 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names in
     ``spark.checkpoint.dir``; only when none is configured (local tests) a
-    fresh private folder is created and registered."""
-    sc = spark.sparkContext
+    fresh private folder is created and registered. Sessions without a
+    SparkContext (Spark Connect) keep the server's setting."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (Spark Connect)
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -84,8 +88,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     task slots (e.g. one file with a single row group) with a round-robin
     repartition. Large inputs already have many splits and pass unchanged.
     Filters and column pruning still reach the scan below the repartition."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as is
+        return df
+    if parts < slots:
         return df.repartition(slots)
     return df
 

@@ -38,6 +38,17 @@ def test_no_nested_loop_or_cartesian_joins(plans):
         assert not any(n in plan for n in BAD_JOINS), name
 
 
+def test_no_windows_in_registered_plans(plans):
+    # a window without a partition key runs in one task; none is used at all
+    for name, (_df, plan) in plans.items():
+        assert "Window " not in plan and "Window(" not in plan, name
+
+
+def test_fact_aggregations_are_hash_based(plans):
+    for name in ("make_facts", "make_fact_resources", "resource_index", "skip_counts"):
+        assert "SortAggregate" not in plans[name][1], name
+
+
 def test_scans_are_pruned(plans):
     plan = plans["build_pairs"][1]
     assert "ReadSchema: struct<text:string,source:string>" in plan or \
