@@ -111,6 +111,20 @@ def collect_index(log: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFra
     return C.resource_index(log, source), C.dataset_resource_map(log, source)
 
 
+def task_rows(raw: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Raw rows of the resources a task list names, one copy per task.
+
+    ``raw`` is keyed by the stored (redirect target) resource id; the rows
+    come back under the task's dataset and keyed by the *listed* (old)
+    resource id, so every output of a redirected resource is filed under the
+    id the work list used. A resource used by several datasets is read once
+    and fanned out by the join."""
+    t = tasks.select(F.col("resource").alias("_stored"), "dataset",
+                     F.col("old_resource").alias("_listed")).distinct()
+    return (raw.join(t, raw["resource"] == t["_stored"])
+            .drop("resource", "_stored").withColumnRenamed("_listed", "resource"))
+
+
 class Transformed(NamedTuple):
     rows: DataFrame          # long rows with entity (kept entries)
     issues: DataFrame        # issue log of the batch

@@ -91,3 +91,23 @@ def test_artefact_fetch_job(spark):
     f = fpt.first()
     assert (f["n_files"], f["n_tasks"], f["files_per_task"]) == (5, 1, 5)
     assert SEL
+
+
+def test_transform_reads_raw_files_of_tasks(spark, tmp_path):
+    from gleaner.sources.files import scan_raw_resource
+    d = tmp_path / "collection" / "resource"
+    d.mkdir(parents=True)
+    (d / "new1").write_text("Ref,Name\nT1,Oak\nT2,Ash\n")
+    (d / "r3").write_text("Ref,Name\nT3,Elm\n")
+    tasks = spark.createDataFrame(
+        [("old1", "trees", "new1", "p"), ("old1", "shrubs", "new1", "p"), ("r3", "trees", "r3", "p")],
+        "old_resource string, dataset string, resource string, path string")
+    raw = scan_raw_resource(spark, str(d))
+    rows = J.task_rows(raw, tasks)
+    got = sorted((r["dataset"], r["resource"], r["entry_number"], r["Ref"]) for r in rows.collect())
+    assert got == [("shrubs", "old1", 1, "T1"), ("shrubs", "old1", 2, "T2"),
+                   ("trees", "old1", 1, "T1"), ("trees", "old1", 2, "T2"), ("trees", "r3", 1, "T3")]
+    _log, _src, _old, _raw, configs, lookup, old_entity = _inputs(spark)
+    t = J.transform(rows.where("dataset = 'trees'"), ["Ref", "Name"], configs, lookup, old_entity)
+    ents = sorted((r["resource"], r["entity"]) for r in t.rows.where("field = 'name'").collect())
+    assert ents == [("old1", 1), ("old1", 2), ("r3", 3)]
