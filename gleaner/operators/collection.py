@@ -27,10 +27,9 @@ def resource_lists(dataset_resources: DataFrame) -> DataFrame:
     dataset), so a dataset holding a third of all resources is still spread
     over many tasks."""
     from gleaner.operators.selection import number_rows
-    from gleaner.session import broadcast_if_small
     pairs = dataset_resources.select("dataset", "resource").distinct()
     positioned, _ = number_rows(pairs, ["dataset", "resource"])
-    first = broadcast_if_small(positioned.groupBy("dataset").agg(F.min("position").alias("_first")))
+    first = positioned.groupBy("dataset").agg(F.min("position").alias("_first"))
     return positioned.join(first, "dataset").select(
         "dataset", (F.col("position") - F.col("_first")).alias("pos"), "resource")
 

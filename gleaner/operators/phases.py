@@ -9,8 +9,9 @@ An *entry* (one raw row of one resource) travels as one row:
 
 Each phase is a column expression over that row (Spark higher-order
 functions, JVM-side), driven by the dataset's config, which is joined once
-per entry from a small per-dataset table (one row per dataset, broadcast
-behind a size check). No phase re-reads its input, so chaining phases never
+per entry from a small per-dataset table (one row per dataset; Spark
+broadcasts it when its size estimate or AQE's runtime size is under the
+broadcast threshold). No phase re-reads its input, so chaining phases never
 duplicates the plan, and an entry is bounded by its column count, so no
 group can grow with the data. Issues are appended to the entry and
 exploded once at the end; entries dropped by a filter keep the issues
@@ -32,7 +33,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.schemas import ISSUE_FIELDS
-from gleaner.session import broadcast_if_small
 
 ENTRY = ["dataset", "resource", "entry_number"]
 _FIELD_T = "struct<column:string,field:string,value:string>"
@@ -118,7 +118,7 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
 
 
 def attach_config(entries: DataFrame, cfg: DataFrame) -> DataFrame:
-    return entries.join(broadcast_if_small(cfg), "dataset", "left")
+    return entries.join(cfg, "dataset", "left")
 
 
 # -------------------------------------------------------------- entry state
@@ -303,7 +303,7 @@ def redirect_entities(e: DataFrame, old_entity: DataFrame) -> DataFrame:
     oe = old_entity.select(F.col("old_entity").try_cast("bigint").alias("_old"),
                            F.col("entity").try_cast("bigint").alias("_new"),
                            F.col("status").alias("_st")).where(F.col("_old").isNotNull())
-    j = e.join(broadcast_if_small(oe), e["entity"] == F.col("_old"), "left")
+    j = e.join(oe, e["entity"] == F.col("_old"), "left")
     j = _phase(j, _state(keep="s.keep AND (_st IS NULL OR _st <> '410')"))
     return (j.withColumn("entity", F.when(F.col("_st") == "301", F.col("_new"))
                          .otherwise(F.col("entity")))
@@ -371,7 +371,7 @@ def combine_values(rows: DataFrame, combine_cfg: DataFrame) -> DataFrame:
     sorted, distinct, joined by the separator (config: dataset, field,
     separator). Distinct values are formed first, so a hot entity shuffles
     each value once."""
-    cfg = broadcast_if_small(combine_cfg.select("dataset", "field", "separator"))
+    cfg = combine_cfg.select("dataset", "field", "separator")
     vals = rows.join(cfg, ["dataset", "field"]).select(
         "dataset", "entity", "field", "separator", "value").distinct()
     return vals.groupBy("dataset", "entity", "field", "separator").agg(

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gleaner.schemas import PACKAGE_COLUMNS, STATE, csv_schema, package_schema
-from gleaner.session import broadcast_if_small
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -92,8 +91,8 @@ def scan_log_csv(spark: SparkSession, pattern: str, table: str) -> DataFrame:
             .csv(pattern)
             .select(F.col("_metadata.file_path").alias("_fp"),
                     F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("_v")))
-    # one small row per file: broadcast when the file count is small
-    j = rows.join(broadcast_if_small(heads), rows["_fp"] == heads["_hp"])
+    # one small row per file: AQE broadcasts it when the file count is small
+    j = rows.join(heads, rows["_fp"] == heads["_hp"])
     j = j.where(~F.expr("slice(_v, 1, size(_raw)) <=> _raw"))
     def pick(name):
         pos = f"CAST(array_position(_header, '{name}') AS INT)"
