@@ -86,17 +86,22 @@ def _packed_key() -> Column:
 def resolve_fields(transformed: DataFrame) -> DataFrame:
     """(dataset, entity, field) -> winning value, its entry date and fact.
 
-    A hash aggregation finds each field's best packed key; the rows holding
-    it are joined back (AQE splits a skewed field's partition) and the rare
-    ties on the key are broken by fact id, computed for those rows only.
+    Two aggregations, both with map-side partial aggregation: rows collapse
+    to one per (entity, field, value) holding that value's best packed key
+    (a hash aggregation over a BIGINT buffer); the field's winner is then the
+    smallest (key, fact id) among its values, with the sha256 fact id
+    computed once per value rather than once per row. The entry date is read
+    back from the key.
     """
-    t = transformed.withColumn("_k", _packed_key())
     g = ["dataset", "entity", "field"]
-    best = t.groupBy(*g).agg(F.min("_k").alias("_best"))
-    cand = t.join(best, g).where(F.col("_k") == F.col("_best")) \
-        .withColumn("fact", fact_id("entity", "field", "value"))
-    w = cand.groupBy(*g).agg(F.min(F.struct("fact", "value", "entry_date")).alias("w"))
-    return w.select(*g, F.col("w.value").alias("value"), F.col("w.entry_date").alias("entry_date"),
+    per_value = transformed.groupBy(*g, "value").agg(F.min(_packed_key()).alias("_k"))
+    cand = per_value.withColumn("fact", fact_id("entity", "field", "value"))
+    w = cand.groupBy(*g).agg(F.min(F.struct("_k", "fact", "value")).alias("w"))
+    day_part = (F.col("w._k") % F.lit(10**16)) / F.lit(10**10)
+    days = F.lit(999_999) - F.floor(day_part).cast("int") - F.lit(_DAY0)
+    entry_date = F.when(F.floor(day_part) == 999_999, F.lit(None).cast("string")) \
+        .otherwise(F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string"))
+    return w.select(*g, F.col("w.value").alias("value"), entry_date.alias("entry_date"),
                     F.col("w.fact").alias("fact"))
 
 
