@@ -39,22 +39,23 @@ def join_list(col: str, sep: str = " "):
     return F.array_join(F.sort_array(F.collect_set(col)), sep)
 
 
+def _fetches(log: DataFrame, source: DataFrame) -> DataFrame:
+    """One row per (resource, endpoint) with its first and last day, joined
+    to the endpoint's sources. The pre-aggregation means a resource fetched
+    a huge number of times ships each endpoint once, not each log line."""
+    per = (log.where(F.col("resource").isNotNull())
+           .groupBy("resource", "endpoint")
+           .agg(F.min("entry_date").alias("_first"), F.max("entry_date").alias("_last")))
+    return per.join(source.select("endpoint", "organisation", "pipelines"), "endpoint", "left")
+
+
 def resource_enrichment(log: DataFrame, source: DataFrame) -> DataFrame:
     """Per resource: space-joined endpoints, space-joined organisations and
-    the start date (first day it was collected).
-
-    Distinct (resource, endpoint) and (resource, organisation) pairs are
-    formed first, so a resource fetched a huge number of times shuffles
-    each pair once, not each log line.
-    """
-    fetched = log.where(F.col("resource").isNotNull())
-    res_ep = fetched.select("resource", "endpoint").distinct()
-    first_day = fetched.groupBy("resource").agg(F.min("entry_date").alias("start_date"))
-    endpoints = res_ep.groupBy("resource").agg(join_list("endpoint").alias("endpoints"))
-    orgs = (res_ep.join(source.select("endpoint", "organisation"), "endpoint")
-            .select("resource", "organisation").distinct()
-            .groupBy("resource").agg(join_list("organisation").alias("organisations")))
-    return (first_day.join(endpoints, "resource", "left").join(orgs, "resource", "left"))
+    the start date (first day it was collected)."""
+    return _fetches(log, source).groupBy("resource").agg(
+        F.min("_first").alias("start_date"),
+        join_list("endpoint").alias("endpoints"),
+        join_list("organisation").alias("organisations"))
 
 
 def enrich_pairs(tasks: DataFrame, enrichment: DataFrame, key: str = "old_resource") -> DataFrame:
@@ -71,17 +72,11 @@ def enrich_pairs(tasks: DataFrame, enrichment: DataFrame, key: str = "old_resour
 def resource_index(log: DataFrame, source: DataFrame) -> DataFrame:
     """resource.csv: one row per resource with first/last collection day and
     the endpoints, organisations and datasets it came from."""
-    fetched = log.where(F.col("resource").isNotNull())
-    days = fetched.groupBy("resource").agg(F.min("entry_date").alias("start_date"),
-                                           F.max("entry_date").alias("end_date"))
-    res_ep = fetched.select("resource", "endpoint").distinct()
-    src = source.select("endpoint", "organisation", "pipelines")
-    per = (res_ep.join(src, "endpoint", "left")
-           .groupBy("resource").agg(
-               join_list("endpoint", ";").alias("endpoints"),
-               join_list("organisation", ";").alias("organisations"),
-               join_list("pipelines", ";").alias("datasets")))
-    return days.join(per, "resource")
+    return _fetches(log, source).groupBy("resource").agg(
+        F.min("_first").alias("start_date"), F.max("_last").alias("end_date"),
+        join_list("endpoint", ";").alias("endpoints"),
+        join_list("organisation", ";").alias("organisations"),
+        join_list("pipelines", ";").alias("datasets"))
 
 
 def refill_today(log_index: DataFrame, todays_log: DataFrame, today) -> DataFrame:
