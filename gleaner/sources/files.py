@@ -85,7 +85,11 @@ def scan_log_csv(spark: SparkSession, pattern: str, table: str) -> DataFrame:
         F.split(F.regexp_replace(
             F.substring_index(F.decode("content", "UTF-8"), "\n", 1), "\r$", ""), ",")
         .alias("_raw")).withColumn("_header", F.transform("_raw", _underscored))
-    width = 64  # widest header handled (columns beyond it are not read)
+    # read as many positional columns as the widest header has (one small
+    # aggregate over the per-file headers), so no column is ever cut off
+    width = heads.agg(F.max(F.size("_raw")).alias("w")).first()["w"] or 0
+    if width == 0:
+        return _empty(spark, target)
     wide = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     rows = (spark.read.schema(wide).option("header", "false").option("mode", "PERMISSIVE")
             .csv(pattern)
