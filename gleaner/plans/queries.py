@@ -798,12 +798,17 @@ def q_collection_datasets(spark, d):
 
 
 @register("refill_today", with_ctes(["clog"], """
-SELECT endpoint, resource, entry_date, status FROM clog WHERE entry_date <= DATE '2024-01-15'"""))
+SELECT endpoint, resource, entry_date, status FROM clog
+WHERE entry_date <= (SELECT max(entry_date) FROM clog)"""))
 def q_refill_today(spark, d):
+    # the stored index holds a stale copy of the last day; refilling replaces
+    # it with that day's fresh rows, giving back the whole log
     log = ST.collection_log(spark, d)
-    stored = log.where(F.col("entry_date") <= F.lit("2024-01-14").cast("date"))
-    todays = log.where(F.col("entry_date") >= F.lit("2024-01-15").cast("date"))
-    return C.refill_today(stored, todays, "2024-01-15")
+    today = log.agg(F.max("entry_date").alias("t")).first()["t"]
+    stale = log.where(F.col("entry_date") == F.lit(today)).withColumn("status", F.lit("stale"))
+    stored = log.where(F.col("entry_date") < F.lit(today)).unionByName(stale)
+    todays = log.where(F.col("entry_date") == F.lit(today))
+    return C.refill_today(stored, todays, str(today))
 
 
 @register("provenance_log", with_ctes(["tasks"], """
