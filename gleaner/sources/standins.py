@@ -13,6 +13,7 @@ hashes cross the network, never document bodies.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from gleaner.session import ensure_parallelism
@@ -41,9 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
 
 
 def docs(spark, sf_dir) -> DataFrame:
-    """documents with the text replaced by its sha256 (the resource id)."""
+    """documents with the text replaced by its sha256 (the resource id).
+
+    Several stand-ins derive from it, so it is persisted: every text is read
+    and hashed once per session, and only (id, source, language, 64-char
+    hash) is kept. Lost blocks are recomputed from lineage."""
     return table(spark, sf_dir, "documents",
-                 "doc_id", "source", "lang", F.sha2("text", 256).alias("resource"))
+                 "doc_id", "source", "lang", F.sha2("text", 256).alias("resource")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def dataset_resource_map(spark, sf_dir) -> DataFrame:
