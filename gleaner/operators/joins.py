@@ -73,7 +73,3 @@ def _level_of(width, ws: list[int]):
         lvl = F.when(width <= ws[i], F.lit(i)).otherwise(lvl)
     return lvl
 
-
-def bucket_width_for(ranges: DataFrame, lo: str, hi: str) -> int:
-    """The widest range (kept for callers that want a single level)."""
-    return _levels(ranges, lo, hi, 2)[-1]

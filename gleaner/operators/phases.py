@@ -39,10 +39,6 @@ _FIELD_T = "struct<column:string,field:string,value:string>"
 _ISSUE_T = "struct<field:string,issue_type:string,value:string,message:string>"
 
 
-def _typed_empty(t: str) -> Column:
-    return F.expr(f"cast(array() as array<{t}>)")
-
-
 # -------------------------------------------------------------- config
 
 _CFG_SHAPES = {

@@ -87,3 +87,23 @@ def test_count_files(spark, tmp_path):
         (tmp_path / f"f{i}.csv").write_text("a\n1\n")
     df = spark.read.option("header", "true").csv(str(tmp_path))
     assert PK.count_files(df) == 3
+
+
+def test_config_csv_by_name(spark, tmp_path):
+    from gleaner.operators.package import project_fixed
+    p = tmp_path / "old-resource.csv"
+    p.write_text("resource,old-resource,status,extra\nnew1,old1,301,x\n,old2,410,y\n")
+    df = SRC.scan_csv_table(spark, str(p), ["old_resource", "resource", "status", "notes"])
+    rows = sorted(tuple(r) for r in df.collect())
+    assert rows == [("old1", "new1", "301", None), ("old2", None, "410", None)]
+    assert SRC.scan_csv_table(spark, str(tmp_path / "absent.csv"), ["a"]).count() == 0
+    cf = spark.createDataFrame([("r", "c", "f", "x")], "resource string, column string, field string, z string")
+    assert project_fixed(cf.withColumn("dataset", cf["z"]), "column_field", "ds").first().asDict() == {
+        "dataset": "ds", "resource": "r", "column": "c", "field": "f"}
+
+
+def test_day_text(spark):
+    import datetime
+    from gleaner.functions import scalar as X
+    df = spark.createDataFrame([(datetime.date(2024, 1, 5),)], "d date")
+    assert df.select(X.day_text("d")).first()[0] == "2024-01-05"
