@@ -113,8 +113,10 @@ def sync_new(local: DataFrame, remote: DataFrame, keys: list[str], path: str) ->
 def write_artefacts(df: DataFrame, path: str) -> None:
     """Per-(dataset, resource) artefacts: partitioned by dataset and
     clustered by resource inside it (a directory per resource would create
-    millions of tiny partitions at scale)."""
-    (df.repartition("dataset", "resource").sortWithinPartitions("dataset", "resource")
+    millions of tiny partitions at scale). The ``rebalance`` hint lets AQE
+    split a resource holding a large share of the rows over several writer
+    tasks and merge small ones, instead of one task per hash bucket."""
+    (df.hint("rebalance", "dataset", "resource").sortWithinPartitions("dataset", "resource")
      .write.mode("overwrite").partitionBy("dataset").parquet(path))
 
 
