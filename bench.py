@@ -32,7 +32,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus * 2, 8))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)))
     # warm-up: JVM start and first scan, not timed
     spark.read.parquet(f"{sf_dir}/region.parquet").write.format("noop").mode("overwrite").save()
     times = {}
