@@ -2,8 +2,9 @@
 resource of the batch -> phases -> transformed rows, issues and logs.
 
 One lazy plan over one row per entry: the configs are folded to one row
-per dataset and joined once (broadcast); the lookup is the only join that
-can be large (shuffle on (prefix, reference)).
+per dataset and joined once (broadcast when Spark's size check finds them
+small); the lookup is the only join that can be large (shuffle on
+(prefix, reference)).
 """
 
 from __future__ import annotations
