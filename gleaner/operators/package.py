@@ -51,16 +51,17 @@ def write_package(tables: dict[str, DataFrame], out_root: str, dataset: str) ->
     row counts (observed while writing, no second pass) under
     ``<out>/counts``. Returns the counts."""
     spark = next(iter(tables.values())).sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     counts = []
     for name, df in tables.items():
         out = df.drop("dataset") if "dataset" in df.columns else df
         obs = Observation(f"rows_{name}")
         out = out.withColumn("dataset", F.lit(dataset)).observe(obs, F.count(F.lit(1)).alias("rows"))
-        out.write.mode("overwrite").partitionBy("dataset").parquet(f"{out_root.rstrip('/')}/{name}")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dataset").parquet(f"{out_root.rstrip('/')}/{name}"))
         counts.append((name, int(obs.get.get("rows", 0))))
     result = spark.createDataFrame(counts, "table string, rows bigint")
     result.withColumn("dataset", F.lit(dataset)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic") \
         .partitionBy("dataset").parquet(f"{out_root.rstrip('/')}/counts")
     return result
 

@@ -105,3 +105,26 @@ def test_combine_values(spark):
     c = spark.createDataFrame([("d", "tag", ";")], "dataset string, field string, separator string")
     got = {r["entity"]: r["value"] for r in PH.combine_values(rows, c).collect()}
     assert got == {1: "a;b", 2: "z"}
+
+
+def test_phase_edge_cases(spark):
+    c = PH.dataset_config(spark, {
+        "column": cfg(spark, "column", ["column", "field"], [("d", "A", "a"), ("d", "B", "b")]),
+        "concat": cfg(spark, "concat", ["field", "fields", "separator"], [("d", "ab", "a;b", "+")]),
+        "default": cfg(spark, "default", ["field", "default_field"], [("d", "c", "zz")]),
+        "filter": cfg(spark, "filter", ["field", "pattern"], [("d", "b", "^ok$")]),
+    })
+    raw = spark.createDataFrame([("d", "r", 1, "x", None), ("d", "r", 2, "y", "ok"), ("d", "r", 3, "z", "bad")],
+                                "dataset string, resource string, entry_number bigint, A string, B string")
+    e = PH.to_entries(raw, ["A", "B"], c)
+    for step in [PH.map_columns, PH.filter_entries, PH.concat_fields, PH.default_fields]:
+        e = step(e)
+    got = {}
+    for r in PH.entry_rows(e).collect():
+        got.setdefault(r["entry_number"], {})[r["field"]] = r["value"]
+    # entry 1 has no b: the filter does not apply; concat skips the missing part
+    assert got[1] == {"a": "x", "ab": "x"}
+    assert got[2] == {"a": "y", "b": "ok", "ab": "y+ok"}
+    assert 3 not in got  # b present and not matching: dropped
+    # the default's source field never exists: nothing added, no issue
+    assert PH.entry_issues(e).count() == 0
