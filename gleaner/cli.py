@@ -9,11 +9,13 @@ summaries to stdout). Paths may be any Hadoop-compatible location.
   plan-resources           raw resources to fetch (url, path)
   plan-transformed         artefacts to fetch for a slice of pairs
   plan-dataset-resource    version logs to fetch, reconciled with what exists
+  transform                run the phases over the raw resources of a task list
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import logging
 import sys
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 
 from gleaner import __version__
 from gleaner.operators import package as PK
+from gleaner.operators import phases as PH
 from gleaner.operators import selection as SEL
 from gleaner.operators.collection import dataset_resource_map
 from gleaner.plans import jobs as J
@@ -128,6 +131,68 @@ def cmd_plan_dataset_resource(spark, a) -> dict:
     return summary.first().asDict()
 
 
+# Config CSVs of the pipeline directory and the columns the phases read
+# (hyphenated headers are accepted; other columns are ignored).
+PIPELINE_CONFIGS = {
+    "column": ("column.csv", ["dataset", "column", "field"]),
+    "skip": ("skip.csv", ["dataset", "pattern"]),
+    "patch": ("patch.csv", ["dataset", "field", "pattern", "replacement"]),
+    "filter": ("filter.csv", ["dataset", "field", "pattern"]),
+    "concat": ("concat.csv", ["dataset", "field", "fields", "separator"]),
+    "default": ("default.csv", ["dataset", "field", "default_field"]),
+    "default_value": ("default-value.csv", ["dataset", "field", "value"]),
+    "transform": ("transform.csv", ["dataset", "field", "replacement_field"]),
+}
+
+
+def load_pipeline(spark, pipeline_dir: str, specification_dir: str) -> dict[str, DataFrame]:
+    base = pipeline_dir.rstrip("/")
+    configs = {name: SRC.scan_csv_table(spark, f"{base}/{fname}", cols)
+               for name, (fname, cols) in PIPELINE_CONFIGS.items()}
+    configs["prefix"] = SRC.scan_csv_table(
+        spark, f"{specification_dir.rstrip('/')}/dataset.csv", ["dataset", "prefix"])
+    return configs
+
+
+def cmd_transform(spark, a) -> dict:
+    tasks = spark.read.parquet(a.tasks)
+    pattern = f"{a.resource_dir.rstrip('/')}/*"
+    present = spark.read.format("binaryFile").load(pattern).select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("resource"))
+    failed = 0
+    if a.on_missing == "fail":
+        SEL.require_resources_present(tasks, present)
+    else:
+        errors = SEL.missing_resources(tasks, present)
+        errors.write.mode("overwrite").parquet(f"{a.output_dir.rstrip('/')}/errors")
+        failed = spark.read.parquet(f"{a.output_dir.rstrip('/')}/errors").count()
+    cells = J.task_rows(SRC.scan_raw_cells(spark, pattern), tasks)
+    configs = load_pipeline(spark, a.pipeline_dir, a.specification_dir)
+    base = a.pipeline_dir.rstrip("/")
+    lookup = SRC.scan_csv_table(spark, f"{base}/lookup.csv",
+                                ["prefix", "reference", "organisation", "entity"]) \
+        .withColumn("entity", F.col("entity").try_cast("bigint"))
+    old_entity = SRC.scan_csv_table(spark, f"{base}/old-entity.csv", ["old_entity", "entity", "status"])
+    t = J.transform_cells(cells, configs, lookup, old_entity)
+    out = a.output_dir.rstrip("/")
+    t.facts_input.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/transformed")
+    t.issues.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/issue")
+    t.column_field.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/column-field")
+    done = (tasks.join(present.withColumnRenamed("resource", "_p"), tasks["resource"] == F.col("_p"),
+                       "left_semi")
+            .select("dataset", F.col("old_resource").alias("resource")).distinct())
+    v = _versions(spark, a.pipeline_dir, a.specification_dir)
+    entry_date = a.entry_date or datetime.date.today().isoformat()
+    PH.provenance_log(done, v.code_version, v.config_hash, v.specification_hash, entry_date) \
+        .write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/dataset-resource")
+    n = tasks.count()
+    summary = {"tasks": n, "successful": n - failed, "failed": failed}
+    if failed:
+        print(json.dumps(summary))
+        raise SystemExit(1)
+    return summary
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="gleaner")
     sub = p.add_subparsers(dest="command", required=True)
@@ -180,6 +245,16 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--output", required=True)
     location_args(v)
     v.set_defaults(fn=cmd_plan_dataset_resource)
+
+    w = sub.add_parser("transform")
+    w.add_argument("--tasks", required=True, help="task list written by plan-transform")
+    w.add_argument("--resource-dir", required=True)
+    w.add_argument("--pipeline-dir", default="pipeline/")
+    w.add_argument("--specification-dir", default="specification/")
+    w.add_argument("--output-dir", required=True)
+    w.add_argument("--entry-date", default=None)
+    w.add_argument("--on-missing", choices=["fail", "record"], default="fail")
+    w.set_defaults(fn=cmd_transform)
     return p
 
 

@@ -176,11 +176,22 @@ def to_entries(raw: DataFrame, columns: list[str], cfg: DataFrame) -> DataFrame:
     """Raw wide rows -> entries with their dataset config attached; rows
     matching a skip pattern of their dataset are dropped; empty cells are
     no value."""
-    fields = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(None).cast("string").alias("field"),
-                                F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
-    e = attach_config(raw.select(*ENTRY, raw_line(columns).alias("_line"), fields.alias("_f")), cfg)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"))
+                      for c in columns])
+    return cells_to_entries(raw.select(*ENTRY, cells.alias("cells")), cfg)
+
+
+def cells_to_entries(df: DataFrame, cfg: DataFrame) -> DataFrame:
+    """Rows of (dataset, resource, entry_number, cells ARRAY<STRUCT<column,
+    value>>) -> entries (see :func:`gleaner.sources.files.scan_raw_cells`
+    for resources whose headers differ)."""
+    line = F.array_join(F.transform("cells", lambda c: F.coalesce(c["value"], F.lit(""))), ",")
+    e = attach_config(df.select(*ENTRY, line.alias("_line"), F.col("cells").alias("_f")), cfg)
     e = e.where(F.expr(f"NOT exists({_cfg('skip')}, k -> _line rlike k.pattern)"))
-    kept = F.filter("_f", lambda x: x["value"].isNotNull() & (F.trim(x["value"]) != ""))
+    kept = F.transform(F.filter("_f", lambda x: x["value"].isNotNull() & (F.trim(x["value"]) != "")),
+                       lambda x: F.struct(x["column"].alias("column"),
+                                          F.lit(None).cast("string").alias("field"),
+                                          x["value"].alias("value")))
     st = F.struct(kept.alias("fields"), F.expr(_EMPTY_ISSUES).alias("issues"),
                   F.lit(True).alias("keep"))
     return e.withColumn("st", st).drop("_line", "_f")

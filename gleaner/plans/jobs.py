@@ -141,7 +141,20 @@ def transform(raw: DataFrame, columns: list[str], configs: dict[str, DataFrame],
     :mod:`gleaner.operators.phases`); ``lookup``: (prefix, reference,
     entity); ``old_entity``: (old_entity, entity, status)."""
     cfg = PH.dataset_config(raw.sparkSession, configs)
-    e = PH.to_entries(raw, columns, cfg)
+    return transform_entries(PH.to_entries(raw, columns, cfg), lookup, old_entity, priority)
+
+
+def transform_cells(cells: DataFrame, configs: dict[str, DataFrame], lookup: DataFrame,
+                    old_entity: DataFrame, priority=None) -> Transformed:
+    """W6 over rows of (dataset, resource, entry_number, cells), e.g. raw
+    resources with differing headers read by
+    :func:`gleaner.sources.files.scan_raw_cells` and :func:`task_rows`."""
+    cfg = PH.dataset_config(cells.sparkSession, configs)
+    return transform_entries(PH.cells_to_entries(cells, cfg), lookup, old_entity, priority)
+
+
+def transform_entries(e: DataFrame, lookup: DataFrame, old_entity: DataFrame,
+                      priority=None) -> Transformed:
     mapped = PH.map_columns(e)
     e = mapped
     for step in (PH.patch_values, PH.filter_entries, PH.concat_fields, PH.default_fields,

@@ -191,7 +191,8 @@ def scan_artefacts(spark: SparkSession, root: str, family_dir: str, fmt: str = "
 
 # ------------------------------------------------------------------ S9
 
-def number_file_rows(df: DataFrame, entry_col: str = "entry_number") -> DataFrame:
+def number_file_rows(df: DataFrame, entry_col: str = "entry_number",
+                     path_col: str | None = None) -> DataFrame:
     """1-based row number of each row within its file, without sorting a
     file in one task: rows of one file split are contiguous in their task,
     so the number is the split's offset in its file (a prefix sum over the
@@ -204,8 +205,13 @@ def number_file_rows(df: DataFrame, entry_col: str = "entry_number") -> DataFram
     # one row per file split; the window sorts splits of one file, not rows
     splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     j = m.join(splits.select("_fp", "_bs", "_off", "_m0"), ["_fp", "_bs"])
-    return j.withColumn(entry_col, F.col("_off") + F.col("_mid") - F.col("_m0") + 1) \
-        .drop("_fp", "_bs", "_mid", "_off", "_m0")
+    out = j.withColumn(entry_col, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
+    drop = ["_bs", "_mid", "_off", "_m0"]
+    if path_col:
+        out = out.withColumn(path_col, F.col("_fp"))
+    if path_col != "_fp":
+        drop.append("_fp")
+    return out.drop(*drop)
 
 
 def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -220,3 +226,38 @@ def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
         df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     df = df.withColumn("resource", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1))
     return number_file_rows(df)
+
+
+def scan_raw_cells(spark: SparkSession, pattern: str) -> DataFrame:
+    """Raw CSV resources with heterogeneous headers as
+    (resource, entry_number, cells ARRAY<STRUCT<column, value>>).
+
+    Every file is read positionally and each row is paired with its own
+    file's header (read as data from the file's first line), so files with
+    different, permuted or extra columns never mix. ``entry_number`` is the
+    row number after the header; rows are numbered per file split without
+    sorting a file in one task."""
+    try:
+        files = spark.read.format("binaryFile").load(pattern)
+    except AnalysisException as err:
+        if _path_missing(err):
+            return spark.createDataFrame(
+                [], "resource string, entry_number bigint, "
+                    "cells array<struct<column:string,value:string>>")
+        raise
+    heads = files.select(
+        F.col("path").alias("_hp"),
+        F.transform(F.split(F.regexp_replace(
+            F.substring_index(F.decode("content", "UTF-8"), "\n", 1), "\r$", ""), ","),
+            lambda c: F.trim(c)).alias("_header"))
+    width = heads.agg(F.max(F.size("_header")).alias("w")).first()["w"] or 0
+    wide = StructType([StructField(f"_c{i}", StringType()) for i in range(max(width, 1))])
+    raw = spark.read.schema(wide).option("header", "false").csv(pattern)
+    rows = number_file_rows(raw, "_row", path_col="_fp").where(F.col("_row") > 1)
+    j = rows.join(heads, rows["_fp"] == heads["_hp"])
+    vals = F.array(*[F.col(f"_c{i}") for i in range(max(width, 1))])
+    cells = F.transform(F.sequence(F.lit(1), F.size("_header")),
+                        lambda i: F.struct(F.element_at("_header", i).alias("column"),
+                                           F.element_at(vals, i).alias("value")))
+    return j.select(F.regexp_extract("_fp", r"([^/]+)$", 1).alias("resource"),
+                    (F.col("_row") - 1).alias("entry_number"), cells.alias("cells"))

@@ -71,3 +71,52 @@ def test_needs_bucket_or_base(spark, tree):
     with pytest.raises(SystemExit):
         cli.main(["plan-transformed", "--collection-dir", str(tree / "collection"),
                   "--output", str(tree / "x"), "--collection-name", "trees"], spark=spark)
+
+
+def test_transform_resources_with_different_headers(spark, tree):
+    res = tree / "collection" / "resource"
+    res.mkdir()
+    (res / "aaa").write_text("Ref,Name,Size\nT1,Oak,3\nT2,Ash,\n")
+    (res / "yyy").write_text("Name,Extra,Ref\nElm,x,T3\n")  # permuted header, extra column
+    pipe = tree / "pipeline"
+    (pipe / "column.csv").write_text("dataset,column,field\ntree,Ref,reference\ntree,Name,name\n"
+                                    "tree-zone,Ref,reference\ntree-zone,Name,name\n")
+    (pipe / "default-value.csv").write_text("dataset,field,value\ntree,size,unknown\n")
+    (pipe / "lookup.csv").write_text("prefix,reference,organisation,entity\n"
+                                    "tree,T1,,1\ntree,T2,,2\ntree,T3,,3\n")
+    (tree / "specification" / "dataset.csv").write_text("dataset,prefix\ntree,tree\ntree-zone,tree\n")
+    tasks = str(tree / "tasks")
+    cli.main(["plan-transform", *_common(tree), "--output", tasks, "--reprocess"], spark=spark)
+    out = tree / "out"
+    got = cli.main(["transform", "--tasks", tasks, "--resource-dir", str(res),
+                    "--pipeline-dir", str(pipe), "--specification-dir", str(tree / "specification"),
+                    "--output-dir", str(out), "--entry-date", "2024-02-01"], spark=spark)
+    assert got == {"tasks": 3, "successful": 3, "failed": 0}
+    rows = spark.read.parquet(str(out / "transformed"))
+    names = sorted((r["dataset"], r["resource"], r["entity"], r["value"])
+                   for r in rows.where("field = 'name'").collect())
+    # yyy's columns matched by its own header; outputs keyed by the listed id bbb
+    assert names == [("tree", "aaa", 1, "Oak"), ("tree", "aaa", 2, "Ash"), ("tree", "bbb", 3, "Elm"),
+                     ("tree-zone", "bbb", 3, "Elm")]
+    sizes = sorted((r["entity"], r["value"]) for r in rows.where("field = 'size'").collect())
+    assert sizes == [(1, "3"), (2, "unknown"), (3, "unknown")]
+    issues = spark.read.parquet(str(out / "issue"))
+    assert issues.where("issue_type = 'default-value'").count() == 2
+    logs = spark.read.parquet(str(out / "dataset-resource"))
+    assert sorted((r["dataset"], r["resource"]) for r in logs.collect()) == [
+        ("tree", "aaa"), ("tree", "bbb"), ("tree-zone", "bbb")]
+
+
+def test_transform_missing_resource(spark, tree):
+    res = tree / "collection" / "resource"
+    res.mkdir()
+    (res / "aaa").write_text("Ref\nT1\n")
+    tasks = str(tree / "tasks")
+    cli.main(["plan-transform", *_common(tree), "--output", tasks, "--reprocess"], spark=spark)
+    args = ["transform", "--tasks", tasks, "--resource-dir", str(res), "--pipeline-dir",
+            str(tree / "pipeline"), "--specification-dir", str(tree / "specification"),
+            "--output-dir", str(tree / "out"), "--entry-date", "2024-02-01"]
+    with pytest.raises(FileNotFoundError, match="yyy"):
+        cli.main(args, spark=spark)
+    with pytest.raises(SystemExit):
+        cli.main(args + ["--on-missing", "record"], spark=spark)
