@@ -10,6 +10,9 @@ summaries to stdout). Paths may be any Hadoop-compatible location.
   plan-transformed         artefacts to fetch for a slice of pairs
   plan-dataset-resource    version logs to fetch, reconciled with what exists
   transform                run the phases over the raw resources of a task list
+  assemble                 transformed rows -> entity, fact, fact_resource, issue
+                           tables (the layout build-package reads), CSV,
+                           flattened files and expectation results
 """
 
 from __future__ import annotations
@@ -193,6 +196,39 @@ def cmd_transform(spark, a) -> dict:
     return summary
 
 
+def cmd_assemble(spark, a) -> dict:
+    from gleaner.operators import facts as FA
+    from gleaner.operators.collection import require_nonempty
+    from gleaner.operators.expectations import check_expectations
+    src = a.transformed_dir.rstrip("/")
+    t = spark.read.parquet(f"{src}/transformed")
+    issues = spark.read.parquet(f"{src}/issue")
+    if a.dataset:
+        t, issues = t.where(F.col("dataset") == a.dataset), issues.where(F.col("dataset") == a.dataset)
+    require_nonempty(t, "transformed rows")
+    out = a.output_dir.rstrip("/")
+    entity = FA.resolve_entities(t)
+    tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True),
+              "fact_resource": FA.make_fact_resources(t, keep_dataset=True),
+              "issue": issues.select(*PK.PACKAGE_COLUMNS["issue"])}
+    counts = {}
+    for name, df in tables.items():
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("dataset").parquet(f"{out}/{name}")
+        counts[name] = spark.read.parquet(f"{out}/{name}").count()
+    written = spark.read.parquet(f"{out}/entity")
+    PK.write_csv(written, f"{out}/csv")
+    PK.write_flattened(FA.flatten_entities(written), f"{out}/flattened")
+    if a.expectations:
+        exp = SRC.scan_csv_table(spark, a.expectations, ["name", "condition", "min_count", "max_count"]) \
+            .select("name", "condition", F.col("min_count").try_cast("bigint").alias("min_count"),
+                    F.col("max_count").try_cast("bigint").alias("max_count"))
+        res = check_expectations(written, exp)
+        res.write.mode("overwrite").parquet(f"{out}/expectations")
+        counts["expectations_failed"] = res.where(~F.col("passed")).count()
+    return counts
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="gleaner")
     sub = p.add_subparsers(dest="command", required=True)
@@ -255,6 +291,13 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--entry-date", default=None)
     w.add_argument("--on-missing", choices=["fail", "record"], default="fail")
     w.set_defaults(fn=cmd_transform)
+
+    m = sub.add_parser("assemble")
+    m.add_argument("--transformed-dir", required=True, help="output dir of transform")
+    m.add_argument("--output-dir", required=True)
+    m.add_argument("--dataset", default=None)
+    m.add_argument("--expectations", default=None, help="CSV: name,condition,min-count,max-count")
+    m.set_defaults(fn=cmd_assemble)
     return p
 
 

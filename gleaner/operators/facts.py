@@ -36,16 +36,19 @@ def _days(col: str) -> Column:
                       F.lit("1970-01-01").cast("date"))
 
 
-def make_facts(transformed: DataFrame) -> DataFrame:
+def make_facts(transformed: DataFrame, keep_dataset: bool = False) -> DataFrame:
     """fact table: one row per fact, with the best (lowest) priority and
     the latest entry date of its observations. ``reference_entity`` carries
     the value of ``organisation_entity`` facts (a pointer to another
-    entity). A fact is determined by (entity, field, value), so those are the
+    entity; ``keep_dataset`` adds the dataset, for a table partitioned by
+    it). A fact is determined by (entity, field, value), so those are the
     grouping keys, the aggregation buffers stay numeric (hash aggregation,
     partial on the map side) and the sha256 id is computed once per fact."""
-    agg = transformed.groupBy("entity", "field", "value").agg(
+    keys = (["dataset"] if keep_dataset else []) + ["entity", "field", "value"]
+    agg = transformed.groupBy(*keys).agg(
         F.max(_days("entry_date")).alias("_d"), F.min("priority").alias("priority"))
     return agg.select(
+        *(["dataset"] if keep_dataset else []),
         "entity", fact_id("entity", "field", "value").alias("fact"), "field",
         F.date_add(F.lit("1970-01-01").cast("date"), F.col("_d")).cast("string").alias("entry_date"),
         "priority",
@@ -53,12 +56,14 @@ def make_facts(transformed: DataFrame) -> DataFrame:
         "value")
 
 
-def make_fact_resources(transformed: DataFrame) -> DataFrame:
+def make_fact_resources(transformed: DataFrame, keep_dataset: bool = False) -> DataFrame:
     """fact_resource table: each (fact, resource, entry) observation once;
-    de-duplicated on the fact's content, id computed afterwards."""
-    obs = transformed.select("entity", "field", "value", "entry_date", "entry_number",
+    de-duplicated on the fact's content, id computed afterwards.
+    ``keep_dataset`` adds the dataset (for a table partitioned by it)."""
+    ds = ["dataset"] if keep_dataset else []
+    obs = transformed.select(*ds, "entity", "field", "value", "entry_date", "entry_number",
                              "priority", "resource").distinct()
-    return obs.select(fact_id("entity", "field", "value").alias("fact"), "entry_date",
+    return obs.select(*ds, fact_id("entity", "field", "value").alias("fact"), "entry_date",
                       "entry_number", "priority", "resource")
 
 

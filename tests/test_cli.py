@@ -106,6 +106,29 @@ def test_transform_resources_with_different_headers(spark, tree):
     assert sorted((r["dataset"], r["resource"]) for r in logs.collect()) == [
         ("tree", "aaa"), ("tree", "bbb"), ("tree-zone", "bbb")]
 
+    # assemble, then package one dataset from what assemble wrote
+    (tree / "expect.csv").write_text("name,condition,min-count,max-count\n"
+                                     "named,name IS NULL,0,0\nall have a size,json NOT LIKE '%size%',0,0\n"
+                                     "open bound,json IS NULL,0,\n")
+    built = tree / "built"
+    counts = cli.main(["assemble", "--transformed-dir", str(out), "--output-dir", str(built),
+                       "--expectations", str(tree / "expect.csv")], spark=spark)
+    assert counts["entity"] == 4 and counts["issue"] == 2 and counts["expectations_failed"] == 1
+    ents = sorted((r["dataset"], r["entity"], r["name"], r["json"])
+                  for r in spark.read.parquet(str(built / "entity")).collect())
+    # the unmapped Extra column becomes field "extra", kept in json
+    assert ents == [("tree", 1, "Oak", '{"size":"3"}'), ("tree", 2, "Ash", '{"size":"unknown"}'),
+                    ("tree", 3, "Elm", '{"extra":"x","size":"unknown"}'),
+                    ("tree-zone", 3, "Elm", '{"extra":"x"}')]
+    flat = spark.read.option("header", "true").csv(str(built / "flattened" / "csv"))
+    assert "size" in flat.columns and "json" not in flat.columns
+    coll = tree / "cdata"
+    (coll / "trees-collection").mkdir(parents=True)
+    pkg = cli.main(["build-package", "--dataset", "tree", "--parquet-datasets-path", str(built),
+                    "--output-path", str(tree / "package"), "--collection-data-path", str(coll),
+                    "--collection", "trees"], spark=spark)
+    assert pkg["entity"] == 3 and pkg["issue"] == 2 and pkg["fact"] > 0
+
 
 def test_transform_missing_resource(spark, tree):
     res = tree / "collection" / "resource"
