@@ -169,7 +169,11 @@ def cmd_transform(spark, a) -> dict:
         errors = SEL.missing_resources(tasks, present)
         errors.write.mode("overwrite").parquet(f"{a.output_dir.rstrip('/')}/errors")
         failed = spark.read.parquet(f"{a.output_dir.rstrip('/')}/errors").count()
-    cells = J.task_rows(SRC.scan_raw_cells(spark, pattern), tasks)
+    # read only the files the task list names (not every resource ever
+    # collected); the path list is what Spark's file index would hold anyway
+    wanted = [f"{a.resource_dir.rstrip('/')}/{r['resource']}" for r in
+              present.join(tasks.select("resource").distinct(), "resource", "left_semi").collect()]
+    cells = J.task_rows(SRC.scan_raw_cells(spark, wanted or pattern), tasks)
     configs = load_pipeline(spark, a.pipeline_dir, a.specification_dir)
     base = a.pipeline_dir.rstrip("/")
     lookup = SRC.scan_csv_table(spark, f"{base}/lookup.csv",

@@ -228,7 +228,7 @@ def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
     return number_file_rows(df)
 
 
-def scan_raw_cells(spark: SparkSession, pattern: str) -> DataFrame:
+def scan_raw_cells(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
     """Raw CSV resources with heterogeneous headers as
     (resource, entry_number, cells ARRAY<STRUCT<column, value>>).
 
@@ -236,7 +236,7 @@ def scan_raw_cells(spark: SparkSession, pattern: str) -> DataFrame:
     file's header (read as data from the file's first line), so files with
     different, permuted or extra columns never mix. ``entry_number`` is the
     row number after the header; rows are numbered per file split without
-    sorting a file in one task."""
+    sorting a file in one task. ``pattern`` is a glob or a list of files."""
     try:
         files = spark.read.format("binaryFile").load(pattern)
     except AnalysisException as err:
