@@ -83,17 +83,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df
 
 
+# Scans with fewer splits than this (and than the task slots) are spread.
+MIN_SCAN_SPLITS = 16
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer input partitions than the cluster has
-    task slots (e.g. one file with a single row group) with a round-robin
-    repartition. Large inputs already have many splits and pass unchanged.
+    """Spread a scan that has only a handful of splits (e.g. one file with a
+    single row group) over the task slots with a round-robin repartition.
+    Inputs with more than a handful of splits pass unchanged, so on a
+    cluster only tiny tables are ever moved (and AQE coalesces the result).
     Filters and column pruning still reach the scan below the repartition."""
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as is
         return df
-    if parts < slots:
+    if parts < min(slots, MIN_SCAN_SPLITS):
         return df.repartition(slots)
     return df
 
