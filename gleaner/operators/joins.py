@@ -17,7 +17,6 @@ narrow ones into its bucket.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
