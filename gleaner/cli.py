@@ -150,7 +150,8 @@ PIPELINE_CONFIGS = {
 
 def load_pipeline(spark, pipeline_dir: str, specification_dir: str) -> dict[str, DataFrame]:
     base = pipeline_dir.rstrip("/")
-    configs = {name: SRC.scan_csv_table(spark, f"{base}/{fname}", cols)
+    # an optional resource column scopes a row to one resource
+    configs = {name: SRC.scan_csv_table(spark, f"{base}/{fname}", ["resource", *cols])
                for name, (fname, cols) in PIPELINE_CONFIGS.items()}
     configs["prefix"] = SRC.scan_csv_table(
         spark, f"{specification_dir.rstrip('/')}/dataset.csv", ["dataset", "prefix"])

@@ -41,35 +41,38 @@ _ISSUE_T = "struct<field:string,issue_type:string,value:string,message:string>"
 
 # -------------------------------------------------------------- config
 
+# Config columns read per phase (besides ``dataset`` and an optional
+# ``resource``: rows with a resource apply to that resource only; for keyed
+# configs they take precedence over the dataset-wide row of the same key).
 _CFG_SHAPES = {
-    # name: struct fields built from the config's string columns
     "column": ["column", "field"],
     "skip": ["pattern"],
     "patch": ["field", "pattern", "replacement"],
     "filter": ["field", "pattern"],
+    "concat": ["field", "fields", "separator"],
     "default": ["field", "default_field"],
     "default_value": ["field", "value"],
     "transform": ["field", "replacement_field"],
+    "prefix": ["prefix"],
 }
 
-
-# configs looked up by one key per entry field become maps (key -> value);
-# one row per key and dataset is expected (a later duplicate is an error)
+# configs looked up by one key per entry field become maps: key
+# "<resource>\x01<key>" ('' for dataset-wide rows) -> value. Duplicate keys
+# are reduced to one value (the greatest) so a repeated row never fails.
 _KEYED = {
     "column": ("column", "field"),
     "patch": ("field", ["pattern", "replacement"]),
     "transform": ("field", "replacement_field"),
 }
 
-
 _CFG_TYPES = {
     "column": "map<string,string>",
-    "skip": "array<struct<pattern:string>>",
+    "skip": "array<struct<resource:string,pattern:string>>",
     "patch": "map<string,struct<pattern:string,replacement:string>>",
-    "filter": "array<struct<field:string,pattern:string>>",
-    "concat": "array<struct<field:string,parts:array<string>,separator:string>>",
-    "default": "array<struct<field:string,default_field:string>>",
-    "default_value": "array<struct<field:string,value:string>>",
+    "filter": "array<struct<resource:string,field:string,pattern:string>>",
+    "concat": "array<struct<resource:string,field:string,parts:array<string>,separator:string>>",
+    "default": "array<struct<resource:string,field:string,default_field:string>>",
+    "default_value": "array<struct<resource:string,field:string,value:string>>",
     "transform": "map<string,string>",
     "prefix": "string",
 }
@@ -77,34 +80,51 @@ _CFG_TYPES = {
 
 def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     """Fold the long config tables into one row per dataset holding an array
-    per phase (``cfg_<name>``) and the dataset's prefix: one union, one
-    aggregation. The result is as small as the configs."""
-    width = 4
+    or map per phase (``cfg_<name>``) and the dataset's prefix: one union,
+    one aggregation. The result is as small as the configs."""
+    width = 3
     rows = []
     for name, df in configs.items():
-        cols = [c for c in df.columns if c != "dataset"]
-        vals = [F.col(c).cast("string") for c in cols] + [F.lit(None).cast("string")] * (width - len(cols))
-        rows.append(df.select("dataset", F.lit(name).alias("_kind"),
-                              *[v.alias(f"_c{i}") for i, v in enumerate(vals)]))
+        shape = _CFG_SHAPES[name]
+        res = F.coalesce(F.trim(F.col("resource")), F.lit("")) if "resource" in df.columns \
+            else F.lit("")
+        cols = [F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
+                for c in shape]
+        if name in _KEYED:
+            # one row per (dataset, resource, key): the greatest value wins
+            key = F.concat(res, F.lit("\u0001"), cols[0])
+            d = df.select("dataset", key.alias("_key"),
+                          F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(cols[1:])]).alias("_v"))
+            d = d.groupBy("dataset", "_key").agg(F.max("_v").alias("_v"))
+            payload = [F.col(f"_v._c{i}") for i in range(len(cols) - 1)]
+            rows.append(d.select("dataset", F.lit(name).alias("_kind"), F.lit("").alias("_res"), "_key",
+                                 *[(payload[i] if i < len(payload) else F.lit(None).cast("string"))
+                                   .alias(f"_c{i}") for i in range(width)]))
+        else:
+            rows.append(df.select("dataset", F.lit(name).alias("_kind"), res.alias("_res"),
+                                  F.lit(None).cast("string").alias("_key"),
+                                  *[(cols[i] if i < len(cols) else F.lit(None).cast("string"))
+                                    .alias(f"_c{i}") for i in range(width)]))
     u = reduce(lambda a, b: a.unionByName(b), rows)
     aggs = []
-    for name, df in configs.items():
-        cols = [c for c in df.columns if c != "dataset"]
-        pos = {c: F.col(f"_c{i}") for i, c in enumerate(cols)}
+    for name in configs:
+        shape = _CFG_SHAPES[name]
         is_kind = F.col("_kind") == name
         if name == "prefix":
-            aggs.append(F.max(F.when(is_kind, pos["prefix"])).alias("cfg_prefix"))
-        elif name == "concat":
-            st = F.struct(pos["field"].alias("field"), F.split(pos["fields"], ";").alias("parts"),
-                          pos["separator"].alias("separator"))
-            aggs.append(F.collect_list(F.when(is_kind, st)).alias("cfg_concat"))
+            aggs.append(F.max(F.when(is_kind, F.col("_c0"))).alias("cfg_prefix"))
         elif name in _KEYED:
-            key, val = _KEYED[name]
-            v = pos[val] if isinstance(val, str) else F.struct(*[pos[c].alias(c) for c in val])
-            aggs.append(F.map_from_entries(F.collect_list(F.when(is_kind, F.struct(pos[key], v))))
+            val_cols = shape[1:]
+            v = F.col("_c0") if len(val_cols) == 1 else \
+                F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(val_cols)])
+            aggs.append(F.map_from_entries(F.collect_list(F.when(is_kind, F.struct(F.col("_key"), v))))
                         .alias(f"cfg_{name}"))
+        elif name == "concat":
+            st = F.struct(F.col("_res").alias("resource"), F.col("_c0").alias("field"),
+                          F.split(F.col("_c1"), ";").alias("parts"), F.col("_c2").alias("separator"))
+            aggs.append(F.collect_list(F.when(is_kind, st)).alias("cfg_concat"))
         else:
-            st = F.struct(*[pos[c].alias(c) for c in _CFG_SHAPES[name]])
+            st = F.struct(F.col("_res").alias("resource"),
+                          *[F.col(f"_c{i}").alias(c) for i, c in enumerate(shape)])
             aggs.append(F.collect_list(F.when(is_kind, st)).alias(f"cfg_{name}"))
     out = u.groupBy("dataset").agg(*aggs)
     for name, t in _CFG_TYPES.items():
@@ -134,8 +154,15 @@ def _cfg(name: str) -> str:
 
 
 def _lookup(name: str, key: str) -> str:
-    """Keyed config value for ``key`` (NULL when absent)."""
-    return f"try_element_at(cfg_{name}, {key})"
+    """Keyed config value for ``key``: the entry's resource-specific row,
+    else the dataset-wide row, else NULL."""
+    return (f"coalesce(try_element_at(cfg_{name}, concat(resource, '\\u0001', {key})), "
+            f"try_element_at(cfg_{name}, concat('\\u0001', {key})))")
+
+
+def _applies(var: str) -> str:
+    """A config row applies to the entry: dataset-wide or for its resource."""
+    return f"({var}.resource = '' OR {var}.resource = resource)"
 
 
 def _let(expr: str, var: str, body: str) -> str:
@@ -187,7 +214,7 @@ def cells_to_entries(df: DataFrame, cfg: DataFrame) -> DataFrame:
     for resources whose headers differ)."""
     line = F.array_join(F.transform("cells", lambda c: F.coalesce(c["value"], F.lit(""))), ",")
     e = attach_config(df.select(*ENTRY, line.alias("_line"), F.col("cells").alias("_f")), cfg)
-    e = e.where(F.expr(f"NOT exists({_cfg('skip')}, k -> _line rlike k.pattern)"))
+    e = e.where(F.expr(f"NOT exists({_cfg('skip')}, k -> {_applies('k')} AND _line rlike k.pattern)"))
     kept = F.transform(F.filter("_f", lambda x: x["value"].isNotNull() & (F.trim(x["value"]) != "")),
                        lambda x: F.struct(x["column"].alias("column"),
                                           F.lit(None).cast("string").alias("field"),
@@ -230,7 +257,7 @@ def patch_values(e: DataFrame) -> DataFrame:
 def filter_entries(e: DataFrame) -> DataFrame:
     """An entry whose value of a filtered field does not match the pattern
     is dropped (``keep`` = false; the issues raised before stay)."""
-    keep = (f"s.keep AND NOT exists({_cfg('filter')}, f -> exists(s.fields, "
+    keep = (f"s.keep AND NOT exists({_cfg('filter')}, f -> {_applies('f')} AND exists(s.fields, "
             f"x -> x.field = f.field AND NOT (x.value rlike f.pattern)))")
     body = _let(keep, "k", _state(fields=f"CASE WHEN k THEN s.fields ELSE {_EMPTY_FIELDS} END",
                                   keep="k"))
@@ -242,7 +269,7 @@ def filter_entries(e: DataFrame) -> DataFrame:
 def concat_fields(e: DataFrame) -> DataFrame:
     """A field built by joining other fields' values (configured order,
     absent ones skipped) with a separator; it replaces an existing value."""
-    built = (f"filter(transform({_cfg('concat')}, c -> named_struct("
+    built = (f"filter(transform(filter({_cfg('concat')}, c -> {_applies('c')}), c -> named_struct("
              f"'column', CAST(NULL AS STRING), 'field', c.field, "
              f"'value', CASE WHEN exists(c.parts, p -> exists(s.fields, x -> x.field = p)) "
              f"THEN array_join(filter(transform(c.parts, p -> {_value_of('s.fields', 'p')}), "
@@ -261,7 +288,8 @@ def _add_fields(e: DataFrame, added: str, issue_type: str, message: str) -> Data
 
 def default_fields(e: DataFrame) -> DataFrame:
     """An entry without a field takes the value of another of its fields."""
-    added = (f"transform(filter({_cfg('default')}, d -> NOT exists(s.fields, x -> x.field = d.field)"
+    added = (f"transform(filter({_cfg('default')}, d -> {_applies('d')} AND "
+             f"NOT exists(s.fields, x -> x.field = d.field)"
              f" AND exists(s.fields, x -> x.field = d.default_field)), d -> named_struct("
              f"'column', CAST(NULL AS STRING), 'field', d.field, "
              f"'value', {_value_of('s.fields', 'd.default_field')}))")
@@ -270,7 +298,7 @@ def default_fields(e: DataFrame) -> DataFrame:
 
 def default_values(e: DataFrame) -> DataFrame:
     """An entry without a field takes a constant."""
-    added = (f"transform(filter({_cfg('default_value')}, d -> NOT exists(s.fields, "
+    added = (f"transform(filter({_cfg('default_value')}, d -> {_applies('d')} AND NOT exists(s.fields, "
              f"x -> x.field = d.field)), d -> named_struct('column', CAST(NULL AS STRING), "
              f"'field', d.field, 'value', d.value))")
     return _add_fields(e, added, "default-value", "default value used")

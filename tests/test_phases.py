@@ -128,3 +128,19 @@ def test_phase_edge_cases(spark):
     assert 3 not in got  # b present and not matching: dropped
     # the default's source field never exists: nothing added, no issue
     assert PH.entry_issues(e).count() == 0
+
+
+def test_resource_specific_and_duplicate_config_rows(spark):
+    col = spark.createDataFrame(
+        [("d", None, "A", "a"), ("d", "r2", "A", "special"), ("d", None, "B", "b"), ("d", None, "B", "b")],
+        "dataset string, resource string, column string, field string")
+    dv = spark.createDataFrame([("d", "r1", "only_r1", "yes")],
+                               "dataset string, resource string, field string, value string")
+    c = PH.dataset_config(spark, {"column": col, "default_value": dv})
+    raw = spark.createDataFrame([("d", "r1", 1, "x", "y"), ("d", "r2", 1, "z", "w")],
+                                "dataset string, resource string, entry_number bigint, A string, B string")
+    e = PH.default_values(PH.map_columns(PH.to_entries(raw, ["A", "B"], c)))
+    got = {}
+    for r in PH.entry_rows(e).collect():
+        got.setdefault(r["resource"], {})[r["field"]] = r["value"]
+    assert got == {"r1": {"a": "x", "b": "y", "only_r1": "yes"}, "r2": {"special": "z", "b": "w"}}
