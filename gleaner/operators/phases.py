@@ -17,7 +17,8 @@ group can grow with the data. Issues are appended to the entry and
 exploded once at the end; entries dropped by a filter keep the issues
 raised before the filter (``keep`` = false).
 
-Config tables (long, as stored in CSV):
+Config tables (long, as stored in CSV; each may also carry a ``resource``
+column scoping a row to one resource):
   column(dataset, column, field)          skip(dataset, pattern)
   patch(dataset, field, pattern, replacement)
   filter(dataset, field, pattern)         concat(dataset, field, fields ';', separator)
@@ -321,7 +322,9 @@ def assign_entities(e: DataFrame, lookup: DataFrame,
     with a reference but no match keep a NULL entity and raise an
     'unknown-entity' issue."""
     e = e.withColumn("_ref", value_of(reference_field))
-    lk = lookup.select(F.col("prefix").alias("_lp"), F.col("reference").alias("_lr"), "entity")
+    # one entity per (prefix, reference): repeated rows never duplicate entries
+    lk = (lookup.groupBy("prefix", "reference").agg(F.min("entity").alias("entity"))
+          .select(F.col("prefix").alias("_lp"), F.col("reference").alias("_lr"), "entity"))
     j = e.join(lk, (e["cfg_prefix"] == lk["_lp"]) & (e["_ref"] == lk["_lr"]), "left")
     unknown = (f"CASE WHEN s.keep AND _ref IS NOT NULL AND cfg_prefix IS NOT NULL AND entity IS NULL "
                f"THEN concat(s.issues, array(named_struct('field', '{reference_field}', "

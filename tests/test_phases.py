@@ -144,3 +144,16 @@ def test_resource_specific_and_duplicate_config_rows(spark):
     for r in PH.entry_rows(e).collect():
         got.setdefault(r["resource"], {})[r["field"]] = r["value"]
     assert got == {"r1": {"a": "x", "b": "y", "only_r1": "yes"}, "r2": {"special": "z", "b": "w"}}
+
+
+def test_repeated_lookup_rows_do_not_duplicate_entries(spark):
+    c = PH.dataset_config(spark, {
+        "column": cfg(spark, "column", ["column", "field"], [("d", "Ref", "reference")]),
+        "prefix": cfg(spark, "prefix", ["prefix"], [("d", "thing")])})
+    raw = spark.createDataFrame([("d", "r", 1, "1")], "dataset string, resource string, "
+                                                      "entry_number bigint, Ref string")
+    lookup = spark.createDataFrame([("thing", "1", 7), ("thing", "1", 5)],
+                                   "prefix string, reference string, entity bigint")
+    e = PH.assign_entities(PH.map_columns(PH.to_entries(raw, ["Ref"], c)), lookup)
+    rows = PH.entry_rows(e, with_entity=True).collect()
+    assert [(r["field"], r["entity"]) for r in rows] == [("reference", 5)]
