@@ -341,6 +341,9 @@ def redirect_entities(e: DataFrame, old_entity: DataFrame) -> DataFrame:
     oe = old_entity.select(F.col("old_entity").try_cast("bigint").alias("_old"),
                            F.col("entity").try_cast("bigint").alias("_new"),
                            F.col("status").alias("_st")).where(F.col("_old").isNotNull())
+    # one rule per old entity (repeated rows never duplicate entries)
+    oe = oe.groupBy("_old").agg(F.max(F.struct("_st", "_new")).alias("_r")) \
+        .select("_old", F.col("_r._new").alias("_new"), F.col("_r._st").alias("_st"))
     j = e.join(oe, e["entity"] == F.col("_old"), "left")
     j = _phase(j, _state(keep="s.keep AND (_st IS NULL OR _st <> '410')"))
     return (j.withColumn("entity", F.when(F.col("_st") == "301", F.col("_new"))
