@@ -315,22 +315,38 @@ def rename_fields(e: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- T8 lookup
 
-def assign_entities(e: DataFrame, lookup: DataFrame,
-                    reference_field: str = "reference") -> DataFrame:
-    """(dataset prefix, reference value) -> entity through the lookup table,
-    a shuffle join on (prefix, reference) when the table is large. Entries
-    with a reference but no match keep a NULL entity and raise an
-    'unknown-entity' issue."""
-    e = e.withColumn("_ref", value_of(reference_field))
-    # one entity per (prefix, reference): repeated rows never duplicate entries
-    lk = (lookup.groupBy("prefix", "reference").agg(F.min("entity").alias("entity"))
-          .select(F.col("prefix").alias("_lp"), F.col("reference").alias("_lr"), "entity"))
-    j = e.join(lk, (e["cfg_prefix"] == lk["_lp"]) & (e["_ref"] == lk["_lr"]), "left")
+def assign_entities(e: DataFrame, lookup: DataFrame, reference_field: str = "reference",
+                    organisation_field: str = "organisation") -> DataFrame:
+    """(dataset prefix, organisation, reference) -> entity through the lookup
+    table: a row for the entry's organisation beats a prefix-wide row (empty
+    organisation). Each is a left join on its key (a shuffle join when the
+    lookup is large; repeated rows are reduced to the smallest entity first,
+    so entries are never duplicated). Entries with a reference but no match
+    keep a NULL entity and raise an 'unknown-entity' issue."""
+    e = e.withColumn("_ref", value_of(reference_field)).withColumn("_org", value_of(organisation_field))
+    org = F.coalesce(F.trim(F.col("organisation")), F.lit("")) if "organisation" in lookup.columns \
+        else F.lit("")
+    lk = lookup.select("prefix", "reference", org.alias("_o"), "entity")
+    general = (lk.where(F.col("_o") == "").groupBy("prefix", "reference")
+               .agg(F.min("entity").alias("_ge"))
+               .select(F.col("prefix").alias("_gp"), F.col("reference").alias("_gr"), "_ge"))
+    j = e.join(general, (e["cfg_prefix"] == general["_gp"]) & (e["_ref"] == general["_gr"]), "left")
+    if "organisation" in lookup.columns:
+        specific = (lk.where(F.col("_o") != "").groupBy("prefix", "_o", "reference")
+                    .agg(F.min("entity").alias("_se"))
+                    .select(F.col("prefix").alias("_sp"), F.col("_o").alias("_so"),
+                            F.col("reference").alias("_sr"), "_se"))
+        j = j.join(specific, (j["cfg_prefix"] == specific["_sp"]) & (j["_org"] == specific["_so"])
+                   & (j["_ref"] == specific["_sr"]), "left")
+        j = j.withColumn("entity", F.coalesce("_se", "_ge")).drop("_sp", "_so", "_sr", "_se")
+    else:
+        j = j.withColumn("entity", F.col("_ge"))
+    j = j.drop("_gp", "_gr", "_ge")
     unknown = (f"CASE WHEN s.keep AND _ref IS NOT NULL AND cfg_prefix IS NOT NULL AND entity IS NULL "
                f"THEN concat(s.issues, array(named_struct('field', '{reference_field}', "
                f"'issue_type', 'unknown-entity', 'value', _ref, "
                f"'message', 'no entity for this reference'))) ELSE s.issues END")
-    return _phase(j, _state(issues=unknown)).drop("_ref", "_lp", "_lr")
+    return _phase(j, _state(issues=unknown)).drop("_ref", "_org")
 
 
 # -------------------------------------------------------------- T9 old entity

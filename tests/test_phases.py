@@ -157,3 +157,19 @@ def test_repeated_lookup_rows_do_not_duplicate_entries(spark):
     e = PH.assign_entities(PH.map_columns(PH.to_entries(raw, ["Ref"], c)), lookup)
     rows = PH.entry_rows(e, with_entity=True).collect()
     assert [(r["field"], r["entity"]) for r in rows] == [("reference", 5)]
+
+
+def test_organisation_specific_lookup_wins(spark):
+    c = PH.dataset_config(spark, {
+        "column": cfg(spark, "column", ["column", "field"],
+                      [("d", "Ref", "reference"), ("d", "Org", "organisation")]),
+        "prefix": cfg(spark, "prefix", ["prefix"], [("d", "thing")])})
+    raw = spark.createDataFrame([("d", "r", 1, "1", "org-a"), ("d", "r", 2, "1", "org-b"),
+                                 ("d", "r", 3, "1", None)],
+                                "dataset string, resource string, entry_number bigint, Ref string, Org string")
+    lookup = spark.createDataFrame([("thing", "1", "org-a", 10), ("thing", "1", "", 20)],
+                                   "prefix string, reference string, organisation string, entity bigint")
+    e = PH.assign_entities(PH.map_columns(PH.to_entries(raw, ["Ref", "Org"], c)), lookup)
+    got = {r["entry_number"]: r["entity"] for r in PH.entry_rows(e, with_entity=True)
+           .where("field = 'reference'").collect()}
+    assert got == {1: 10, 2: 20, 3: 20}
