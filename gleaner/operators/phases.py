@@ -323,7 +323,11 @@ def assign_entities(e: DataFrame, lookup: DataFrame, reference_field: str = "ref
     lookup is large; repeated rows are reduced to the smallest entity first,
     so entries are never duplicated). Entries with a reference but no match
     keep a NULL entity and raise an 'unknown-entity' issue."""
-    e = e.withColumn("_ref", value_of(reference_field)).withColumn("_org", value_of(organisation_field))
+    # both keys read from the state through one binding (one evaluation)
+    keys = _let("st", "s", f"named_struct('r', {_value_of('s.fields', repr(reference_field))}, "
+                           f"'o', {_value_of('s.fields', repr(organisation_field))})")
+    e = e.withColumn("_k2", F.expr(keys))
+    e = e.withColumn("_ref", F.col("_k2.r")).withColumn("_org", F.col("_k2.o")).drop("_k2")
     org = F.coalesce(F.trim(F.col("organisation")), F.lit("")) if "organisation" in lookup.columns \
         else F.lit("")
     lk = lookup.select("prefix", "reference", org.alias("_o"), "entity")
