@@ -236,10 +236,10 @@ RAW_ORDER_COLUMNS = ["OrderKey", "Customer", "Status", "Priority", "OrderDate",
 
 
 def order_lookup(spark, sf_dir) -> DataFrame:
-    """lookup config (prefix, reference, organisation, entity): every order
-    that has line items is a known entity."""
+    """lookup config (prefix, reference, entity): every order that has line
+    items is a known entity. Orders carry no organisation, so the table has
+    no organisation column (all its rows are prefix-wide)."""
     return (table(spark, sf_dir, "lineitem", "l_orderkey").distinct()
             .select(F.lit("order").alias("prefix"),
                     F.col("l_orderkey").cast("string").alias("reference"),
-                    F.lit(None).cast("string").alias("organisation"),
                     (F.col("l_orderkey") + ORDER_ENTITY_BASE).alias("entity")))
