@@ -3,6 +3,7 @@ size-checked broadcasts."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,10 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``; only when none is configured (local tests) a
-    fresh private folder is created and registered. Sessions without a
-    SparkContext (Spark Connect) keep the server's setting."""
+    ``spark.checkpoint.dir``. Only a local master without one gets a fresh
+    private folder; any other session without one is an error, because
+    executors would write to their own disks. Sessions without a SparkContext
+    (Spark Connect) keep the server's setting."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - no driver-side context (Spark Connect)
@@ -49,13 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="gleaner-ckpt-")
-    sc.setCheckpointDir(local)
-    return local
+    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="gleaner-ckpt-")
+    sc.setCheckpointDir(configured)
+    return configured
 
 
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
