@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.bytescan import U64, chunks, mix, shingle_sets, text_bytes, word_hashes, words
-from gleaner.llm.common import read_table, write_out
+from gleaner.llm.common import private_names, read_table, write_out
 from gleaner.llm.components import connected_components
 
 BANDS = 40
@@ -167,8 +167,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", **params) -> DataFrame:
     """The rows of ``docs`` that stand for their component; rows without an id
     stay. Repeated rows of one id stay together."""
-    gone = near_duplicates(docs, doc_id=doc_id, **params).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == F.col("_gone"), "left_anti")
+    gone_id = private_names(docs.columns, ["gone"])["gone"]
+    gone = near_duplicates(docs, doc_id=doc_id, **params).filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, docs[doc_id].cast("long") == F.col(gone_id), "left_anti")
 
 
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import fill_null, lower_ascii, read_table, write_out
+from gleaner.llm.common import fill_null, lower_ascii, private_names, read_table, write_out
 
 WINDOW = 10
 BLOCK = 20_000
@@ -138,8 +138,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item."""
     doc_id, text = names.get("doc_id", "doc_id"), names.get("text", "text")
     _, found, _ = find_hits(docs, items, **names)
-    bad = found.select(F.col("doc").alias("_bad_doc"), F.col("key").alias("_bad_key")).distinct()
-    same = docs[doc_id].eqNullSafe(F.col("_bad_doc")) & (F.xxhash64(docs[text].isNull(), docs[text]) == F.col("_bad_key"))
+    n = private_names(docs.columns, ["bad_doc", "bad_key"])
+    bad = found.select(F.col("doc").alias(n["bad_doc"]), F.col("key").alias(n["bad_key"])).distinct()
+    same = docs[doc_id].eqNullSafe(F.col(n["bad_doc"])) & (F.xxhash64(docs[text].isNull(), docs[text]) == F.col(n["bad_key"]))
     return docs.join(bad, same, "left_anti")
 
 

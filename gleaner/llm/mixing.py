@@ -110,7 +110,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: i
     get a leading underscore."""
     size = F.size(split_words(F.col("text"))).cast("long")
     result = ["size", "source_size", "target", "copies", "taken"]
-    names = private_names(docs.columns, result) if keep_columns else {x: x for x in result}
+    names = private_names(docs.columns if keep_columns else ["doc_id", "source"], [*result, "plan"])
+    at = names["plan"]
     if keep_columns:
         base = docs.withColumn(names["size"], size).withColumn(names["taken"], hash_position(F.col("doc_id")))
         sized = base.select("source", F.col(names["size"]).alias("size"), F.col(names["taken"]).alias("position"))
@@ -124,13 +125,13 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_repeat: i
     plan = targets.withColumn("whole", F.least(whole, F.lit(max_repeat)))
     marks = hash_thresholds(sized, budgets)
     plan = plan.join(marks, plan["source"].eqNullSafe(marks["source"]), "left").select(
-        F.struct(plan["source"].alias("s"), "source_size", "target", "whole", "at").alias("_plan"))
-    joined = base.join(plan, base["source"].eqNullSafe(F.col("_plan.s")), "left")
-    copies = (F.col("_plan.whole") + F.when(F.col(names["taken"]) <= F.col("_plan.at"), 1).otherwise(0)).cast("long")
+        F.struct(plan["source"].alias("s"), "source_size", "target", "whole", "at").alias(at))
+    joined = base.join(plan, base["source"].eqNullSafe(F.col(f"{at}.s")), "left")
+    copies = (F.col(f"{at}.whole") + F.when(F.col(names["taken"]) <= F.col(f"{at}.at"), 1).otherwise(0)).cast("long")
     kept = docs.columns if keep_columns else ["doc_id"]
     return joined.select(
-        *[base[c] for c in kept], F.col(names["size"]), F.col("_plan.source_size").alias(names["source_size"]),
-        F.col("_plan.target").alias(names["target"]), copies.alias(names["copies"]),
+        *[base[c] for c in kept], F.col(names["size"]), F.col(f"{at}.source_size").alias(names["source_size"]),
+        F.col(f"{at}.target").alias(names["target"]), copies.alias(names["copies"]),
         (F.col(names["size"]) * copies).alias(names["taken"]))
 
 
