@@ -76,7 +76,8 @@ def resource_index(log: DataFrame, source: DataFrame) -> DataFrame:
         F.min("_first").alias("start_date"), F.max("_last").alias("end_date"),
         join_list("endpoint", ";").alias("endpoints"),
         join_list("organisation", ";").alias("organisations"),
-        join_list("pipelines", ";").alias("datasets"))
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(
+            split_words(F.regexp_replace("pipelines", ";", " ")))))), ";").alias("datasets"))
 
 
 def refill_today(log_index: DataFrame, todays_log: DataFrame, today) -> DataFrame:

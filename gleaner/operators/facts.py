@@ -3,7 +3,7 @@ resolved ``entity`` row per entity, plus flattening, provenance and
 incremental update.
 
 Resolution is an aggregation, not a window: the winning observation of an
-(entity, field) is ``min`` of an orderable struct, which Spark aggregates
+(entity, field) is ``max`` of an orderable struct, which Spark aggregates
 partially on the map side. A field observed in a third of all rows is then
 combined in parallel instead of being sorted inside one task.
 """
@@ -26,32 +26,21 @@ def fact_id(entity, field, value) -> Column:
     return F.sha2(F.concat_ws("|", F.col(entity).cast("string"), F.col(field), F.col(value)), 256)
 
 
-def with_fact_id(transformed: DataFrame) -> DataFrame:
-    return transformed.withColumn("fact", fact_id("entity", "field", "value"))
-
-
-def _days(col: str) -> Column:
-    """ISO date text -> days since 1970 (NULL for anything else)."""
-    return F.datediff(F.try_to_timestamp(F.col(col), F.lit("yyyy-MM-dd")).cast("date"),
-                      F.lit("1970-01-01").cast("date"))
-
-
 def make_facts(transformed: DataFrame, keep_dataset: bool = False) -> DataFrame:
     """fact table: one row per fact, with the best (lowest) priority and
     the latest entry date of its observations. ``reference_entity`` carries
     the value of ``organisation_entity`` facts (a pointer to another
     entity; ``keep_dataset`` adds the dataset, for a table partitioned by
-    it). A fact is determined by (entity, field, value), so those are the
-    grouping keys, the aggregation buffers stay numeric (hash aggregation,
-    partial on the map side) and the sha256 id is computed once per fact."""
+    it). Entry dates are text and stay as they are: the latest is the
+    greatest text. A fact is determined by (entity, field, value), so those
+    are the grouping keys and the sha256 id is computed once per fact."""
     keys = (["dataset"] if keep_dataset else []) + ["entity", "field", "value"]
     agg = transformed.groupBy(*keys).agg(
-        F.max(_days("entry_date")).alias("_d"), F.min("priority").alias("priority"))
+        F.max("entry_date").alias("entry_date"), F.min("priority").alias("priority"))
     return agg.select(
         *(["dataset"] if keep_dataset else []),
         "entity", fact_id("entity", "field", "value").alias("fact"), "field",
-        F.date_add(F.lit("1970-01-01").cast("date"), F.col("_d")).cast("string").alias("entry_date"),
-        "priority",
+        "entry_date", "priority",
         F.when(F.col("field") == "organisation_entity", F.col("value")).alias("reference_entity"),
         "value")
 
@@ -67,46 +56,31 @@ def make_fact_resources(transformed: DataFrame, keep_dataset: bool = False) -> D
                       "entry_number", "priority", "resource")
 
 
-# The winner of an (entity, field) is the observation with the lowest
-# priority, then the latest entry date, then the latest entry number, then
-# the smallest fact id. The first three are packed into one BIGINT so that
-# finding the best key is a hash aggregation over a fixed-width buffer (with
-# map-side partial aggregation); a min over a struct holding strings would
-# force a sort-based aggregation of every row.
-#   priority * 10^16 + (999999 - (days + 100000)) * 10^10 + (10^10 - 1 - entry_number)
-_DAY0, _NMAX = 100_000, 10**10 - 1
-
-
-def _packed_key() -> Column:
-    days = _days("entry_date").cast("bigint") + _DAY0
-    day_part = F.lit(999_999) - F.least(F.greatest(F.coalesce(days, F.lit(0)), F.lit(0)),
-                                        F.lit(999_999))
-    n_part = F.lit(_NMAX) - F.least(F.greatest(F.coalesce("entry_number", F.lit(0)), F.lit(0)),
-                                    F.lit(_NMAX))
-    p_part = F.least(F.greatest(F.coalesce("priority", F.lit(900)), F.lit(0)), F.lit(900))
-    return (p_part.cast("bigint") * F.lit(10**16) + day_part.cast("bigint") * F.lit(10**10)
-            + n_part.cast("bigint"))
+def _merit() -> Column:
+    """What ranks an observation, the greatest first: the lowest priority
+    (none is worst), then the latest entry date (text; none is worst), then
+    the latest entry number. The columns themselves are compared, so any
+    date text, number or priority ranks as it stands."""
+    return F.struct(F.bitwise_not("priority").alias("p"), F.col("entry_date").alias("d"),
+                    F.col("entry_number").alias("n"))
 
 
 def resolve_fields(transformed: DataFrame) -> DataFrame:
     """(dataset, entity, field) -> winning value, its entry date and fact.
 
     Two aggregations, both with map-side partial aggregation: rows collapse
-    to one per (entity, field, value) holding that value's best packed key
-    (a hash aggregation over a BIGINT buffer); the field's winner is then the
-    smallest (key, fact id) among its values, with the sha256 fact id
-    computed once per value rather than once per row. The entry date is read
-    back from the key.
+    to one per (entity, field, value) with that value's best observation; the
+    field's winner is the value with the best of those, on a tie the one with
+    the smallest fact id. The sha256 fact id is computed once per value
+    rather than once per row.
     """
     g = ["dataset", "entity", "field"]
-    per_value = transformed.groupBy(*g, "value").agg(F.min(_packed_key()).alias("_k"))
+    per_value = transformed.groupBy(*g, "value").agg(F.max(_merit()).alias("m"))
     cand = per_value.withColumn("fact", fact_id("entity", "field", "value"))
-    w = cand.groupBy(*g).agg(F.min(F.struct("_k", "fact", "value")).alias("w"))
-    day_part = (F.col("w._k") % F.lit(10**16)) / F.lit(10**10)
-    days = F.lit(999_999) - F.floor(day_part).cast("int") - F.lit(_DAY0)
-    entry_date = F.when(F.floor(day_part) == 999_999, F.lit(None).cast("string")) \
-        .otherwise(F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string"))
-    return w.select(*g, F.col("w.value").alias("value"), entry_date.alias("entry_date"),
+    # digits turned round, so that the greatest stands for the smallest id
+    turned = F.translate("fact", "0123456789abcdef", "fedcba9876543210")
+    w = cand.groupBy(*g).agg(F.max(F.struct("m", turned.alias("t"), "fact", "value")).alias("w"))
+    return w.select(*g, F.col("w.value").alias("value"), F.col("w.m.d").alias("entry_date"),
                     F.col("w.fact").alias("fact"))
 
 
@@ -128,15 +102,26 @@ def resolve_entities(transformed: DataFrame) -> DataFrame:
     return entities_from_fields(resolve_fields(transformed))
 
 
+# Columns that a flattened table may have at most.
+MAX_FLATTENED = 10_000
+
+
+def _bounded_names(names: DataFrame) -> list[str]:
+    found = [r[0] for r in names.distinct().limit(MAX_FLATTENED + 1).collect()]
+    if len(found) > MAX_FLATTENED:
+        raise ValueError(f"more than {MAX_FLATTENED} field names; pass the specification's field list")
+    return sorted(found)
+
+
 def flatten_entities(entities: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Entity rows with their json keys as columns; an explicit column wins
-    over a json key of the same name. ``keys`` defaults to the distinct json
-    keys (one small aggregation: keys are field names, bounded by the
-    specification)."""
+    over a json key of the same name. ``keys`` is the specification's field
+    list; without one, the distinct json keys are read first, and a table
+    with more than ``MAX_FLATTENED`` of them is an error (unmapped raw
+    headers become fields, so their number is not bounded by itself)."""
     m = F.from_json("json", "map<string,string>")
     if keys is None:
-        keys = sorted(r["k"] for r in entities.select(F.explode(F.map_keys(m)).alias("k"))
-                      .distinct().collect())
+        keys = _bounded_names(entities.select(F.explode(F.map_keys(m)).alias("k")))
     base = [c for c in entities.columns if c != "json"]
     extra = [F.element_at(m, k).alias(k) for k in keys if k not in base]
     return entities.select(*base, *extra)
@@ -144,10 +129,9 @@ def flatten_entities(entities: DataFrame, keys: list[str] | None = None) -> Data
 
 def json_fields(transformed: DataFrame, columns=ENTITY_FIELD_COLUMNS) -> list[str]:
     """Field names that end up as json keys (fields without an entity
-    column). A distinct over field names: the result is bounded by the
-    specification's field list, so it is collected."""
-    return sorted(r["field"] for r in transformed.select("field").distinct()
-                  .where(~F.col("field").isin(list(columns))).collect())
+    column), at most ``MAX_FLATTENED``; pass the specification's field list
+    to :func:`flatten_entities` instead where there is one."""
+    return _bounded_names(transformed.select("field").where(~F.col("field").isin(list(columns))))
 
 
 def fact_provenance(facts: DataFrame, fact_resources: DataFrame) -> DataFrame:
@@ -175,7 +159,7 @@ def table_checksum(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     prefix of each row (as DECIMAL(38,0), so the sum cannot overflow).
     A sum, not an xor, so equal rows do not cancel."""
     cols = cols or df.columns
-    row = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000"))
+    row = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0002"))
                                   for c in cols])
     h = F.conv(F.substring(F.md5(row), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).cast("decimal(38,0)").alias("checksum"))

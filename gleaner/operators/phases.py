@@ -42,9 +42,11 @@ _ISSUE_T = "struct<field:string,issue_type:string,value:string,message:string>"
 
 # -------------------------------------------------------------- config
 
-# Config columns read per phase (besides ``dataset`` and an optional
-# ``resource``: rows with a resource apply to that resource only; for keyed
-# configs they take precedence over the dataset-wide row of the same key).
+# Config columns read per phase, besides ``dataset`` and two optional ones:
+# ``resource`` (rows with a resource apply to that resource only; for keyed
+# configs they take precedence over the dataset-wide rows of the same key)
+# and ``seq`` (a number that orders a phase's rows; rows without one follow
+# in order of their values).
 _CFG_SHAPES = {
     "column": ["column", "field"],
     "skip": ["pattern"],
@@ -58,8 +60,8 @@ _CFG_SHAPES = {
 }
 
 # configs looked up by one key per entry field become maps: key
-# "<resource>\x01<key>" ('' for dataset-wide rows) -> value. Duplicate keys
-# are reduced to one value (the greatest) so a repeated row never fails.
+# "<resource>\x01<key>" ('' for dataset-wide rows) -> the ordered list of all
+# rows of the key (equal rows once).
 _KEYED = {
     "column": ("column", "field"),
     "patch": ("field", ["pattern", "replacement"]),
@@ -67,14 +69,14 @@ _KEYED = {
 }
 
 _CFG_TYPES = {
-    "column": "map<string,string>",
+    "column": "map<string,array<string>>",
     "skip": "array<struct<resource:string,pattern:string>>",
-    "patch": "map<string,struct<pattern:string,replacement:string>>",
+    "patch": "map<string,array<struct<pattern:string,replacement:string>>>",
     "filter": "array<struct<resource:string,field:string,pattern:string>>",
     "concat": "array<struct<resource:string,field:string,parts:array<string>,separator:string>>",
     "default": "array<struct<resource:string,field:string,default_field:string>>",
     "default_value": "array<struct<resource:string,field:string,value:string>>",
-    "transform": "map<string,string>",
+    "transform": "map<string,array<string>>",
     "prefix": "string",
 }
 
@@ -83,29 +85,32 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     """Fold the long config tables into one row per dataset holding an array
     or map per phase (``cfg_<name>``) and the dataset's prefix: one union,
     one aggregation. The result is as small as the configs."""
-    width = 3
+    width, text = 3, "string"
+    payload = [f"_c{i}" for i in range(width)]
+    list_t = "array<struct<_c0:string,_c1:string>>"
     rows = []
     for name, df in configs.items():
         shape = _CFG_SHAPES[name]
         res = F.coalesce(F.trim(F.col("resource")), F.lit("")) if "resource" in df.columns \
             else F.lit("")
-        cols = [F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")
-                for c in shape]
+        seq = F.coalesce(F.col("seq").try_cast("bigint"), F.lit((1 << 63) - 1)) if "seq" in df.columns \
+            else F.lit((1 << 63) - 1)
+        cols = [F.col(c).cast(text) if c in df.columns else F.lit(None).cast(text) for c in shape]
+        kind = F.lit(name).alias("_kind")
         if name in _KEYED:
-            # one row per (dataset, resource, key): the greatest value wins
             key = F.concat(res, F.lit("\u0001"), cols[0])
-            d = df.select("dataset", key.alias("_key"),
-                          F.struct(*[c.alias(f"_c{i}") for i, c in enumerate(cols[1:])]).alias("_v"))
-            d = d.groupBy("dataset", "_key").agg(F.max("_v").alias("_v"))
-            payload = [F.col(f"_v._c{i}") for i in range(len(cols) - 1)]
-            rows.append(d.select("dataset", F.lit(name).alias("_kind"), F.lit("").alias("_res"), "_key",
-                                 *[(payload[i] if i < len(payload) else F.lit(None).cast("string"))
-                                   .alias(f"_c{i}") for i in range(width)]))
+            values = (cols[1:] + [F.lit(None).cast(text)])[:2]
+            d = df.select("dataset", key.alias("_key"), F.struct(
+                seq.alias("_seq"), values[0].alias("_c0"), values[1].alias("_c1")).alias("_v"))
+            d = d.where(F.col("_key").isNotNull()).groupBy("dataset", "_key").agg(F.array_sort(F.collect_list("_v")).alias("_v"))
+            listed = F.array_distinct(F.transform("_v", lambda v: F.struct(v["_c0"].alias("_c0"), v["_c1"].alias("_c1"))))
+            rows.append(d.select("dataset", kind, F.lit("").alias("_res"), "_key", F.lit(0).cast("bigint").alias("_seq"),
+                                 listed.alias("_list"), *[F.lit(None).cast(text).alias(c) for c in payload]))
         else:
-            rows.append(df.select("dataset", F.lit(name).alias("_kind"), res.alias("_res"),
-                                  F.lit(None).cast("string").alias("_key"),
-                                  *[(cols[i] if i < len(cols) else F.lit(None).cast("string"))
-                                    .alias(f"_c{i}") for i in range(width)]))
+            cols += [F.lit(None).cast(text)] * (width - len(cols))
+            rows.append(df.select("dataset", kind, res.alias("_res"), F.lit(None).cast(text).alias("_key"),
+                                  seq.cast("bigint").alias("_seq"), F.lit(None).cast(list_t).alias("_list"),
+                                  *[c.alias(n) for c, n in zip(cols, payload)]))
     u = reduce(lambda a, b: a.unionByName(b), rows)
     aggs = []
     for name in configs:
@@ -114,19 +119,13 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
         if name == "prefix":
             aggs.append(F.max(F.when(is_kind, F.col("_c0"))).alias("cfg_prefix"))
         elif name in _KEYED:
-            val_cols = shape[1:]
-            v = F.col("_c0") if len(val_cols) == 1 else \
-                F.struct(*[F.col(f"_c{i}").alias(c) for i, c in enumerate(val_cols)])
+            v = F.transform("_list", lambda x: x["_c0"]) if len(shape) == 2 else F.transform(
+                "_list", lambda x: F.struct(x["_c0"].alias("pattern"), x["_c1"].alias("replacement")))
             aggs.append(F.map_from_entries(F.collect_list(F.when(is_kind, F.struct(F.col("_key"), v))))
                         .alias(f"cfg_{name}"))
-        elif name == "concat":
-            st = F.struct(F.col("_res").alias("resource"), F.col("_c0").alias("field"),
-                          F.split(F.col("_c1"), ";").alias("parts"), F.col("_c2").alias("separator"))
-            aggs.append(F.collect_list(F.when(is_kind, st)).alias("cfg_concat"))
         else:
-            st = F.struct(F.col("_res").alias("resource"),
-                          *[F.col(f"_c{i}").alias(c) for i, c in enumerate(shape)])
-            aggs.append(F.collect_list(F.when(is_kind, st)).alias(f"cfg_{name}"))
+            ordered = F.array_sort(F.collect_list(F.when(is_kind, F.struct("_seq", "_res", *payload))))
+            aggs.append(_listed(ordered, name).alias(f"cfg_{name}"))
     out = u.groupBy("dataset").agg(*aggs)
     for name, t in _CFG_TYPES.items():
         if f"cfg_{name}" not in out.columns:
@@ -134,6 +133,17 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _listed(ordered: Column, name: str) -> Column:
+    """Ordered payload structs -> the phase's own structs."""
+    def row(v: Column) -> Column:
+        if name == "concat":
+            return F.struct(v["_res"].alias("resource"), v["_c0"].alias("field"),
+                            F.split(v["_c1"], ";").alias("parts"), v["_c2"].alias("separator"))
+        return F.struct(v["_res"].alias("resource"),
+                        *[v[f"_c{i}"].alias(c) for i, c in enumerate(_CFG_SHAPES[name])])
+    return F.transform(ordered, row)
+
+
 def attach_config(entries: DataFrame, cfg: DataFrame) -> DataFrame:
     return entries.join(cfg, "dataset", "left")
 
@@ -155,8 +165,8 @@ def _cfg(name: str) -> str:
 
 
 def _lookup(name: str, key: str) -> str:
-    """Keyed config value for ``key``: the entry's resource-specific row,
-    else the dataset-wide row, else NULL."""
+    """All config rows of ``key``, in order: the entry's resource-specific
+    ones, else the dataset-wide ones, else NULL."""
     return (f"coalesce(try_element_at(cfg_{name}, concat(resource, '\\u0001', {key})), "
             f"try_element_at(cfg_{name}, concat('\\u0001', {key})))")
 
@@ -188,18 +198,8 @@ def _issues_for(arr: str, issue_type: str, message: str) -> str:
             f"'value', a.value, 'message', '{message}'))")
 
 
-def value_of(field: str) -> Column:
-    """Value of a field in the entry (first occurrence), NULL if absent."""
-    return F.expr(_value_of("st.fields", f"'{field}'"))
-
-
 # -------------------------------------------------------------- T1 skip + entries
 
-def raw_line(columns: list[str]) -> Column:
-    """The raw line text a skip pattern is matched against."""
-    return F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns])
-
-
 def to_entries(raw: DataFrame, columns: list[str], cfg: DataFrame) -> DataFrame:
     """Raw wide rows -> entries with their dataset config attached; rows
     matching a skip pattern of their dataset are dropped; empty cells are
@@ -228,27 +228,30 @@ def cells_to_entries(df: DataFrame, cfg: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- T2 column map
 
 def map_columns(e: DataFrame) -> DataFrame:
-    """column -> field by the dataset's column config; unmapped columns
-    keep their normalised name (lowercase, each run of non-alphanumerics
-    becomes one underscore)."""
-    mapped = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
-              f"{_lookup('column', 'x.column')}, "
-              f"lower(regexp_replace(x.column, '[^A-Za-z0-9]+', '_'))), 'value', x.value))")
+    """column -> field by the dataset's column config (a column named in
+    several rows fills several fields); unmapped columns keep their
+    normalised name (lowercase, each run of non-alphanumerics becomes one
+    underscore)."""
+    mapped = (f"flatten(transform(s.fields, x -> transform(coalesce({_lookup('column', 'x.column')}, "
+              f"array(lower(regexp_replace(x.column, '[^A-Za-z0-9]+', '_')))), "
+              f"f -> named_struct('column', x.column, 'field', f, 'value', x.value))))")
     return _phase(e, _state(fields=mapped))
 
 
 # -------------------------------------------------------------- T5 patch
 
 def patch_values(e: DataFrame) -> DataFrame:
-    """Rewrite values matching the field's patch pattern; one issue each."""
-    pf = ("transform(s.fields, x -> " + _let(
-        _lookup("patch", "x.field"), "p",
-        "named_struct('x', x, 'p', p, 'hit', p IS NOT NULL AND x.value rlike p.pattern)") + ")")
-    fields = ("transform(pf, y -> named_struct('column', y.x.column, 'field', y.x.field, 'value', "
-              "CASE WHEN y.hit THEN regexp_replace(y.x.value, y.p.pattern, y.p.replacement) "
-              "ELSE y.x.value END))")
-    new = ("transform(filter(pf, y -> y.hit), y -> named_struct('field', y.x.field, "
-           "'issue_type', 'patch', 'value', y.x.value, 'message', 'value patched'))")
+    """Rewrite values by the field's patch rules, in order: each rule whose
+    pattern the value (as the rules before left it) matches; an issue for
+    every rule that matched."""
+    patched = (f"aggregate(coalesce({_lookup('patch', 'x.field')}, array()), "
+               f"named_struct('v', x.value, 'old', cast(array() as array<string>)), "
+               f"(a, p) -> CASE WHEN a.v rlike p.pattern THEN named_struct("
+               f"'v', regexp_replace(a.v, p.pattern, p.replacement), 'old', concat(a.old, array(a.v))) ELSE a END)")
+    pf = f"transform(s.fields, x -> named_struct('x', x, 'r', {patched}))"
+    fields = ("transform(pf, y -> named_struct('column', y.x.column, 'field', y.x.field, 'value', y.r.v))")
+    new = ("flatten(transform(pf, y -> transform(y.r.old, o -> named_struct('field', y.x.field, "
+           "'issue_type', 'patch', 'value', o, 'message', 'value patched'))))")
     issues = f"CASE WHEN s.keep THEN concat(s.issues, {new}) ELSE s.issues END"
     return _phase(e, _let(pf, "pf", _state(fields=fields, issues=issues)))
 
@@ -308,8 +311,8 @@ def default_values(e: DataFrame) -> DataFrame:
 # -------------------------------------------------------------- T11 field map
 
 def rename_fields(e: DataFrame) -> DataFrame:
-    fields = (f"transform(s.fields, x -> named_struct('column', x.column, 'field', coalesce("
-              f"{_lookup('transform', 'x.field')}, x.field), 'value', x.value))")
+    fields = (f"flatten(transform(s.fields, x -> transform(coalesce({_lookup('transform', 'x.field')}, "
+              f"array(x.field)), f -> named_struct('column', x.column, 'field', f, 'value', x.value))))")
     return _phase(e, _state(fields=fields))
 
 
@@ -357,12 +360,14 @@ def assign_entities(e: DataFrame, lookup: DataFrame, reference_field: str = "ref
 
 def redirect_entities(e: DataFrame, old_entity: DataFrame) -> DataFrame:
     """301 entries move to the new entity; 410 entries are dropped. Keys are
-    text in the config; bad numbers never match."""
+    text in the config; bad numbers never match. Of several rows of one old
+    entity the last (greatest ``seq``, where that column exists) counts."""
+    order = (F.col("seq").cast("bigint") if "seq" in old_entity.columns else F.lit(0).cast("bigint")).alias("_seq")
     oe = old_entity.select(F.col("old_entity").try_cast("bigint").alias("_old"),
                            F.col("entity").try_cast("bigint").alias("_new"),
-                           F.col("status").alias("_st")).where(F.col("_old").isNotNull())
-    # one rule per old entity (repeated rows never duplicate entries)
-    oe = oe.groupBy("_old").agg(F.max(F.struct("_st", "_new")).alias("_r")) \
+                           F.col("status").alias("_st"), order).where(F.col("_old").isNotNull())
+    # one rule per old entity (repeated rows never duplicate entries): the last
+    oe = oe.groupBy("_old").agg(F.max(F.struct("_seq", "_st", "_new")).alias("_r")) \
         .select("_old", F.col("_r._new").alias("_new"), F.col("_r._st").alias("_st"))
     j = e.join(oe, e["entity"] == F.col("_old"), "left")
     j = _phase(j, _state(keep="s.keep AND (_st IS NULL OR _st <> '410')"))

@@ -44,8 +44,10 @@ CTE = {
          'org-' || CAST(c_nationkey AS VARCHAR) AS organisation,
          'ep-' || CAST(c_custkey AS VARCHAR) AS endpoint,
          lower(c_mktsegment) AS collection,
-         lower(c_mktsegment) AS pipelines
+         lower(c_mktsegment) || CASE WHEN c_custkey % 3 = 0 THEN ';common' ELSE '' END AS pipelines
   FROM customer)""",
+    "srcd": """srcd AS (
+  SELECT endpoint, organisation, unnest(string_split(pipelines, ';')) AS dataset FROM src)""",
     "rmap": """rmap AS (
   SELECT old_resource, arg_max_null(resource, seq) AS target
   FROM old_resource GROUP BY old_resource)""",
@@ -80,9 +82,14 @@ CTE = {
     "tin": """tin AS (
   SELECT 'part-' || CAST(p.p_partkey // 1000 AS VARCHAR) AS dataset, p.p_partkey AS entity,
          sha256(CAST(l.l_orderkey AS VARCHAR)) AS resource,
-         CAST(l.l_linenumber AS BIGINT) AS entry_number,
-         CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) AS entry_date,
-         CAST(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 2 END AS BIGINT) AS priority,
+         CAST(l.l_linenumber - 1 AS BIGINT) AS entry_number,
+         CASE l.l_orderkey % 40 WHEN 0 THEN '9999-12-31' WHEN 1 THEN '1960-05-05' WHEN 2 THEN NULL
+              WHEN 3 THEN CAST(year(l.l_shipdate) AS VARCHAR)
+              WHEN 4 THEN CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) || 'T10:00:00'
+              ELSE CAST(CAST(l.l_shipdate AS DATE) AS VARCHAR) END AS entry_date,
+         CAST(CASE WHEN l.l_returnflag = 'R' THEN 1 WHEN l.l_orderkey % 40 = 5 THEN 901
+                   WHEN l.l_orderkey % 40 = 6 THEN 5000 WHEN l.l_orderkey % 40 = 7 THEN NULL
+                   ELSE 2 END AS BIGINT) AS priority,
          p.p_name AS name, 'P' || CAST(p.p_partkey AS VARCHAR) AS reference,
          CAST(l.l_suppkey AS VARCHAR) AS organisation_entity,
          CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS quantity,
@@ -98,7 +105,8 @@ CTE = {
     "rfields": """rfields AS (
   SELECT dataset, entity, field, value, entry_date, fact FROM (
     SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
-                                 ORDER BY priority, entry_date DESC, entry_number DESC, fact) AS rn
+                                 ORDER BY priority NULLS LAST, entry_date DESC NULLS LAST,
+                                          entry_number DESC NULLS LAST, fact) AS rn
     FROM tfact) WHERE rn = 1)""",
     "ents": """ents AS (
   SELECT dataset, NULL::VARCHAR AS end_date, entity, max(entry_date) AS entry_date,
@@ -139,7 +147,7 @@ _DEPS = {
     "pair": ["docs"], "old_resource": ["docs"], "version_log": ["docs"],
     "current": ["version_log"], "clog": ["docs"], "rmap": ["old_resource"],
     "resolved": ["pair", "rmap"], "enrich": ["clog", "src"],
-    "tasks": ["resolved", "enrich", "current"],
+    "tasks": ["resolved", "enrich", "current"], "srcd": ["src"],
     "tfact": ["tin"], "rfields": ["tfact"], "ents": ["rfields"],
 }
 

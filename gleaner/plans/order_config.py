@@ -19,10 +19,15 @@ CONFIG: dict[str, tuple[list[str], list[tuple]]] = {
     "column": (["dataset", "column", "field"],
                [(d, c, f) for d in DATASETS for c, f in [
                    ("OrderKey", "reference"), ("Customer", "customer"), ("Status", "status"),
-                   ("Priority", "priority_text"), ("OrderDate", "start_date")]]),
+                   ("Priority", "priority_text"), ("OrderDate", "start_date")]]
+               + [("order-o", "Status", "state")]),
     "skip": (["dataset", "pattern"], [("order-p", "7,[0-9]+,P,")]),
-    "patch": (["dataset", "field", "pattern", "replacement"],
-              [(d, "priority_text", "^4-NOT SPECIFIED$", "4-UNSPECIFIED") for d in DATASETS]),
+    # several rules on one field, applied in order: the second sees the first's result
+    "patch": (["dataset", "field", "pattern", "replacement", "seq"],
+              [(d, "priority_text", "^4-NOT SPECIFIED$", "4-UNSPECIFIED", "1") for d in DATASETS]
+              + [("order-f", "priority_text", "UNSPECIFIED$", "NONE", "2"),
+                 ("order-f", "priority_text", "^5-", "5/", "3"),
+                 ("order-o", "priority_text", "-UNSPEC", "-unspec", "3")]),
     "filter": (["dataset", "field", "pattern"], [("order-o", "priority_text", "^[1-3]-")]),
     "concat": (["dataset", "field", "fields", "separator"],
                [(d, "name", "status;priority_text", " / ") for d in DATASETS]),
@@ -65,20 +70,33 @@ def concat_parts_sql() -> str:
 
 def order_old_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """old-entity rows for order entities: low-priority fulfilled orders are
-    redirected (301) to a new entity, or retired (410) above a price."""
+    redirected (301) to a new entity, or retired (410) above a price. Every
+    fifth one has an earlier row that says otherwise; the last row counts."""
     o = ST.table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_orderstatus",
                  "o_totalprice")
     big = F.col("o_totalprice") > 400000
-    return (o.where((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"))
-            .select((F.col("o_orderkey") + ST.ORDER_ENTITY_BASE).cast("string").alias("old_entity"),
+    low = o.where((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"))
+    earlier = low.where(F.col("o_orderkey") % 5 == 0).select(
+        (F.col("o_orderkey") * 2).alias("seq"),
+        (F.col("o_orderkey") + ST.ORDER_ENTITY_BASE).cast("string").alias("old_entity"),
+        F.when(big, "1").otherwise("").alias("entity"), F.when(big, "301").otherwise("410").alias("status"))
+    return (low.select((F.col("o_orderkey") * 2 + 1).alias("seq"), (F.col("o_orderkey") + ST.ORDER_ENTITY_BASE).cast("string").alias("old_entity"),
                     F.when(big, F.lit("")).otherwise(
                         (F.col("o_orderkey") + ST.ORDER_ENTITY_BASE + 1_000_000).cast("string"))
                     .alias("entity"),
-                    F.when(big, "410").otherwise("301").alias("status")))
+                    F.when(big, "410").otherwise("301").alias("status")).unionByName(earlier))
 
 
 ORDER_OLD_ENTITY_SQL = """oold AS (
-  SELECT CAST(o_orderkey + 3000000 AS VARCHAR) AS old_entity,
+  SELECT o_orderkey * 2 + 1 AS seq, CAST(o_orderkey + 3000000 AS VARCHAR) AS old_entity,
          CASE WHEN o_totalprice > 400000 THEN '' ELSE CAST(o_orderkey + 4000000 AS VARCHAR) END AS entity,
          CASE WHEN o_totalprice > 400000 THEN '410' ELSE '301' END AS status
-  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F')"""
+  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F'
+  UNION ALL
+  SELECT o_orderkey * 2, CAST(o_orderkey + 3000000 AS VARCHAR),
+         CASE WHEN o_totalprice > 400000 THEN '1' ELSE '' END,
+         CASE WHEN o_totalprice > 400000 THEN '301' ELSE '410' END
+  FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus = 'F' AND o_orderkey % 5 = 0),
+oldlast AS (
+  SELECT TRY_CAST(old_entity AS BIGINT) AS old, arg_max(entity, seq) AS entity, arg_max(status, seq) AS status
+  FROM oold WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL GROUP BY ALL)"""

@@ -172,35 +172,35 @@ def q_resource_enrichment(spark, d):
                     F.coalesce("organisations", F.lit("")).alias("organisations"))
 
 
-@register("dataset_resource_map", with_ctes(["clog", "src"], """
-SELECT DISTINCT s.pipelines AS dataset, c.resource
+@register("dataset_resource_map", with_ctes(["clog", "srcd"], """
+SELECT DISTINCT s.dataset, c.resource
 FROM (SELECT DISTINCT endpoint, resource FROM clog WHERE resource IS NOT NULL) c
-JOIN src s ON s.endpoint = c.endpoint"""))
+JOIN srcd s ON s.endpoint = c.endpoint"""))
 def q_dataset_resource_map(spark, d):
     return C.dataset_resource_map(ST.collection_log(spark, d), ST.source_table(spark, d))
 
 
-@register("resource_lists", with_ctes(["clog", "src"], """
+@register("resource_lists", with_ctes(["clog", "srcd"], """
 SELECT dataset, CAST(row_number() OVER (PARTITION BY dataset ORDER BY resource) - 1 AS BIGINT) AS pos,
        resource
-FROM (SELECT DISTINCT s.pipelines AS dataset, c.resource
+FROM (SELECT DISTINCT s.dataset, c.resource
       FROM (SELECT DISTINCT endpoint, resource FROM clog WHERE resource IS NOT NULL) c
-      JOIN src s ON s.endpoint = c.endpoint)"""))
+      JOIN srcd s ON s.endpoint = c.endpoint)"""))
 def q_resource_lists(spark, d):
     return C.resource_lists(C.dataset_resource_map(ST.collection_log(spark, d),
                                                    ST.source_table(spark, d)))
 
 
-@register("resource_index", with_ctes(["clog", "src"], """
+@register("resource_index", with_ctes(["clog", "srcd"], """
 SELECT f.resource, f.start_date, f.end_date, p.endpoints, p.organisations, p.datasets
 FROM (SELECT resource, min(entry_date) AS start_date, max(entry_date) AS end_date
       FROM clog WHERE resource IS NOT NULL GROUP BY resource) f
 JOIN (SELECT c.resource,
              string_agg(DISTINCT c.endpoint, ';' ORDER BY c.endpoint) AS endpoints,
              string_agg(DISTINCT s.organisation, ';' ORDER BY s.organisation) AS organisations,
-             string_agg(DISTINCT s.pipelines, ';' ORDER BY s.pipelines) AS datasets
+             string_agg(DISTINCT s.dataset, ';' ORDER BY s.dataset) AS datasets
       FROM (SELECT DISTINCT resource, endpoint FROM clog WHERE resource IS NOT NULL) c
-      LEFT JOIN src s ON s.endpoint = c.endpoint
+      LEFT JOIN srcd s ON s.endpoint = c.endpoint
       GROUP BY c.resource) p ON p.resource = f.resource"""))
 def q_resource_index(spark, d):
     return C.resource_index(ST.collection_log(spark, d), ST.source_table(spark, d))
@@ -460,8 +460,8 @@ def q_fact_provenance(spark, d):
 @register("update_entities", with_ctes(["ents"], "SELECT * FROM ents"))
 def q_update_entities(spark, d):
     t = ST.transformed_facts_input(spark, d)
-    old = t.where(F.col("entry_date") < "1998-01-01")
-    new = t.where(F.col("entry_date") >= "1998-01-01")
+    late = F.coalesce(F.col("entry_date") >= "1998-01-01", F.lit(False))
+    old, new = t.where(~late), t.where(late)
     return FA.update_entities(FA.resolve_entities(old), old, new)
 
 
@@ -540,14 +540,14 @@ _PHASE_CTES = [
   FROM olong l LEFT JOIN {OC.config_sql('column', 'c')}
     ON c.dataset = l.dataset AND c."column" = l."column")""",
     "omap AS (SELECT dataset, resource, entry_number, field, value FROM omapc)",
-    f"""opatchx AS (
+    *[f"""opatchx{k} AS (
   SELECT m.dataset, m.resource, m.entry_number, m.field, m.value AS old,
          (p.pattern IS NOT NULL AND regexp_matches(m.value, p.pattern)) AS hit,
          CASE WHEN p.pattern IS NOT NULL AND regexp_matches(m.value, p.pattern)
               THEN regexp_replace(m.value, p.pattern, p.replacement, 'g') ELSE m.value END AS value
-  FROM omap m LEFT JOIN {OC.config_sql('patch', 'p')}
-    ON p.dataset = m.dataset AND p.field = m.field)""",
-    "opatch AS (SELECT dataset, resource, entry_number, field, value FROM opatchx)",
+  FROM {"omap" if k == 1 else f"opatchx{k - 1}"} m LEFT JOIN {OC.config_sql('patch', 'p')}
+    ON p.dataset = m.dataset AND p.field = m.field AND p.seq = '{k}')""" for k in (1, 2, 3)],
+    "opatch AS (SELECT dataset, resource, entry_number, field, value FROM opatchx3)",
     f"""ofilter AS (
   SELECT o.* FROM opatch o
   WHERE NOT EXISTS (
@@ -598,19 +598,19 @@ _PHASE_CTES = [
     """oent AS (
   SELECT r.dataset, r.resource, r.entry_number, r.field, r.value,
          CASE WHEN o.status = '301' THEN TRY_CAST(o.entity AS BIGINT) ELSE r.entity END AS entity
-  FROM olookup r LEFT JOIN (SELECT TRY_CAST(old_entity AS BIGINT) AS old, entity, status FROM oold
-                            WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL) o
+  FROM olookup r LEFT JOIN oldlast o
     ON o.old = r.entity
   WHERE o.status IS NULL OR o.status <> '410')""",
     """oentity AS (
   SELECT f.dataset, f.resource, f.entry_number,
          CASE WHEN o.status = '301' THEN TRY_CAST(o.entity AS BIGINT) ELSE f.entity END AS entity
-  FROM orefs f LEFT JOIN (SELECT TRY_CAST(old_entity AS BIGINT) AS old, entity, status FROM oold
-                          WHERE TRY_CAST(old_entity AS BIGINT) IS NOT NULL) o ON o.old = f.entity)""",
+  FROM orefs f LEFT JOIN oldlast o ON o.old = f.entity)""",
     f"""oissues0 AS (
   SELECT NULL::VARCHAR AS entry_date, entry_number, field,
          'patch' AS issue_type, entry_number + 1 AS line_number, dataset, resource, old AS value,
-         'value patched' AS message FROM opatchx WHERE hit
+         'value patched' AS message
+  FROM (SELECT * FROM opatchx1 WHERE hit UNION ALL SELECT * FROM opatchx2 WHERE hit
+        UNION ALL SELECT * FROM opatchx3 WHERE hit)
   UNION ALL
   SELECT NULL::VARCHAR, entry_number, field, 'default-field', entry_number + 1,
          dataset, resource, value, 'value taken from another field' FROM odefadd

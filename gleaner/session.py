@@ -1,5 +1,5 @@
-"""Session helpers: a configured SparkSession, checkpoint location and
-size-checked broadcasts."""
+"""Session helpers: a configured SparkSession, the checkpoint location and
+small literal tables."""
 
 from __future__ import annotations
 
@@ -67,44 +67,6 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Row bound for a "small side" broadcast. Beyond it the planner keeps its
-# shuffle join (sort-merge, with AQE re-planning on real sizes).
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded scan (``limit(max_rows + 1).count()``), so it costs
-    at most ``max_rows + 1`` rows of work whatever the size of ``df``. When the
-    bound fails the frame is returned unhinted and joins against it stay
-    shuffle joins.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-# Scans with fewer splits than this (and than the task slots) are spread.
-MIN_SCAN_SPLITS = 16
-
-
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a scan that has only a handful of splits (e.g. one file with a
-    single row group) over the task slots with a round-robin repartition.
-    Inputs with more than a handful of splits pass unchanged, so on a
-    cluster only tiny tables are ever moved (and AQE coalesces the result).
-    Filters and column pruning still reach the scan below the repartition."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): leave as is
-        return df
-    if parts < min(slots, MIN_SCAN_SPLITS):
-        return df.repartition(slots)
-    return df
-
-
 def literal_df(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small literal table built inside the JVM (``inline`` over an array
     of structs), so scanning it never starts Python workers. For config

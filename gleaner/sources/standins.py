@@ -13,11 +13,8 @@ hashes cross the network, never document bodies.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from gleaner.session import ensure_parallelism
-
 # The versions the current run would record in its
 # dataset-resource log (code version, config hash, specification hash).
 CODE_VERSION = "0.1.0"
@@ -34,22 +31,15 @@ ORDER_ENTITY_BASE = 3_000_000
 
 def table(spark: SparkSession, sf_dir: str, name: str, *cols) -> DataFrame:
     """A driver table, projected to ``cols`` (names or expressions) right at
-    the scan, then spread over the task slots if it is a single split."""
+    the scan."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if cols:
-        df = df.select(*cols)
-    return ensure_parallelism(df)
+    return df.select(*cols) if cols else df
 
 
 def docs(spark, sf_dir) -> DataFrame:
-    """documents with the text replaced by its sha256 (the resource id).
-
-    Several stand-ins derive from it, so it is persisted: every text is read
-    and hashed once per session, and only (id, source, language, 64-char
-    hash) is kept. Lost blocks are recomputed from lineage."""
+    """documents with the text replaced by its sha256 (the resource id)."""
     return table(spark, sf_dir, "documents",
-                 "doc_id", "source", "lang", F.sha2("text", 256).alias("resource")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+                 "doc_id", "source", "lang", F.sha2("text", 256).alias("resource"))
 
 
 def dataset_resource_map(spark, sf_dir) -> DataFrame:
@@ -126,15 +116,8 @@ def source_table(spark, sf_dir) -> DataFrame:
         F.concat(F.lit("org-"), F.col("c_nationkey").cast("string")).alias("organisation"),
         F.concat(F.lit("ep-"), F.col("c_custkey").cast("string")).alias("endpoint"),
         F.lower("c_mktsegment").alias("collection"),
-        F.lower("c_mktsegment").alias("pipelines"),
-    )
-
-
-def endpoint_table(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "customer",
-        F.concat(F.lit("ep-"), F.col("c_custkey").cast("string")).alias("endpoint"),
-        F.concat(F.lit("https://data.example.org/"), F.col("c_custkey").cast("string"),
-                 F.lit("/data.csv")).alias("endpoint_url"),
+        F.concat(F.lower("c_mktsegment"), F.when(F.col("c_custkey") % 3 == 0, ";common").otherwise(""))
+        .alias("pipelines"),
     )
 
 
@@ -184,7 +167,8 @@ def transformed_facts_input(spark, sf_dir) -> DataFrame:
     pipeline run leaves for dataset-create.
 
     Each order is a resource; each line describes part entity ``l_partkey``
-    of dataset ``part-<k>``. Fields: name, reference, organisation_entity,
+    of dataset ``part-<k>``. Some orders carry dates far off, before 1970,
+    missing or not of the usual form, and high or missing priorities. Fields: name, reference, organisation_entity,
     quantity, status (the last two are not entity columns and end in json).
     """
     li = table(spark, sf_dir, "lineitem",
@@ -192,14 +176,19 @@ def transformed_facts_input(spark, sf_dir) -> DataFrame:
                "l_returnflag", "l_linestatus", "l_shipdate")
     p = table(spark, sf_dir, "part", "p_partkey", "p_name")
     w = PART_DATASET_WIDTH
+    kind = F.col("l_orderkey") % 40
+    day = F.col("l_shipdate").cast("date").cast("string")
     rows = li.join(p, li.l_partkey == p.p_partkey).select(
         F.concat(F.lit("part-"), F.floor(F.col("p_partkey") / w).cast("bigint").cast("string"))
         .alias("dataset"),
         F.col("p_partkey").alias("entity"),
         F.sha2(F.col("l_orderkey").cast("string"), 256).alias("resource"),
-        F.col("l_linenumber").cast("bigint").alias("entry_number"),
-        F.col("l_shipdate").cast("date").cast("string").alias("entry_date"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(2).cast("bigint").alias("priority"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("entry_number"),
+        F.when(kind == 0, "9999-12-31").when(kind == 1, "1960-05-05").when(kind == 2, F.lit(None).cast("string"))
+        .when(kind == 3, F.substring(day, 1, 4)).when(kind == 4, F.concat(day, F.lit("T10:00:00")))
+        .otherwise(day).alias("entry_date"),
+        F.when(F.col("l_returnflag") == "R", 1).when(kind == 5, 901).when(kind == 6, 5000)
+        .when(kind == 7, F.lit(None).cast("int")).otherwise(2).cast("bigint").alias("priority"),
         F.col("p_name").alias("name"),
         F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("reference"),
         F.col("l_suppkey").cast("string").alias("organisation_entity"),
