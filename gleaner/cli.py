@@ -4,6 +4,8 @@ Each command reads the collection's files with Spark, runs one job from
 :mod:`gleaner.plans.jobs` and writes its result as parquet (and the small
 summaries to stdout). Paths may be any Hadoop-compatible location.
 
+  collect                  resource index, dataset-resource table, new
+                           resources and the state of a collection
   build-package            seven tables of one dataset's package + counts
   plan-transform           task list of a transform run
   plan-resources           raw resources to fetch (url, path)
@@ -22,6 +24,7 @@ import datetime
 import json
 import logging
 import sys
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +34,11 @@ from gleaner import __version__
 from gleaner.operators import package as PK
 from gleaner.operators import phases as PH
 from gleaner.operators import selection as SEL
+from gleaner.operators.batch import summarise_results
 from gleaner.operators.collection import dataset_resource_map
 from gleaner.plans import jobs as J
+from gleaner.schemas import package_schema
+from gleaner.session import reliable_checkpoint
 from gleaner.sources import files as SRC
 
 LOG_COLUMNS = ["endpoint", "resource", "entry_date", "status"]
@@ -40,6 +46,12 @@ SOURCE_COLUMNS = ["source", "organisation", "endpoint", "collection", "pipelines
 OLD_RESOURCE_COLUMNS = ["old_resource", "resource", "status"]
 
 
+TRANSFORMED_SCHEMA = ("entity bigint, resource string, entry_number bigint, entry_date string, priority bigint, "
+                      "field string, value string, dataset string")
+# Raw files read in one scan; a longer list is read in several.
+FILES_PER_SCAN = 10_000
+
+
 def load_collection(spark: SparkSession, collection_dir: str) -> dict[str, DataFrame]:
     """log, source and old-resource tables of a collection directory.
     old-resource entries keep their file order (``seq``) so the last
@@ -53,10 +65,13 @@ def load_collection(spark: SparkSession, collection_dir: str) -> dict[str, DataF
 
 
 def _old_resource(spark: SparkSession, path: str) -> DataFrame:
-    """old-resource.csv with ``seq`` = row number in the file."""
+    """old-resource.csv with ``seq`` = row number in the file; an absent file
+    is an empty table, any other error is raised."""
     try:
-        raw = spark.read.option("header", "true").csv(path)
-    except AnalysisException:
+        raw = spark.read.option("header", "true").options(**SRC.CSV_OPTIONS).csv(path)
+    except AnalysisException as err:
+        if not SRC._path_missing(err):
+            raise
         return spark.createDataFrame(
             [], "seq bigint, old_resource string, resource string, status string")
     numbered = SRC.number_file_rows(raw, "seq")
@@ -66,6 +81,27 @@ def _old_resource(spark: SparkSession, path: str) -> DataFrame:
                                     for c in OLD_RESOURCE_COLUMNS])
 
 
+def cmd_collect(spark, a) -> dict:
+    """Resource index, dataset -> resource table, the resources not seen
+    before and the state document of the collection."""
+    c = load_collection(spark, a.collection_dir)
+    index, pairs = J.collect_index(c["log"], c["source"])
+    out = a.output.rstrip("/")
+    seen = None
+    try:
+        seen = reliable_checkpoint(spark.read.parquet(f"{out}/resource").select("resource"))
+    except AnalysisException as err:
+        if not SRC._path_missing(err):
+            raise
+    index = reliable_checkpoint(index)
+    new = index if seen is None else index.join(seen, "resource", "left_anti")
+    new.write.mode("overwrite").parquet(f"{out}/new-resource")
+    index.write.mode("overwrite").parquet(f"{out}/resource")
+    pairs.write.mode("overwrite").parquet(f"{out}/dataset-resource")
+    PK.write_state(pairs, f"{out}/state")
+    return {"resources": index.count(), "new": spark.read.parquet(f"{out}/new-resource").count()}
+
+
 def _versions(spark, pipeline_dir: str, specification_dir: str) -> SEL.Versions:
     return SEL.Versions(__version__, PK.content_hash(spark, pipeline_dir),
                         PK.content_hash(spark, specification_dir))
@@ -81,8 +117,7 @@ def _state(spark, path: str | None):
 
 def cmd_build_package(spark, a) -> dict:
     spec = SRC.scan_csv_table(spark, f"{a.specification_dir.rstrip('/')}/dataset.csv",
-                              ["dataset", "collection", "entity_minimum", "entity_maximum"]) \
-        if a.specification_dir else None
+                              ["dataset", "collection", "entity_minimum", "entity_maximum"])
     counts = J.build_package(spark, a.dataset, a.parquet_datasets_path, a.output_path,
                              a.collection_data_path, a.collection, spec)
     return {r["table"]: r["rows"] for r in counts.collect()}
@@ -148,10 +183,14 @@ PIPELINE_CONFIGS = {
 }
 
 
+def _in_file_order(df: DataFrame) -> DataFrame:
+    return df.withColumn("seq", F.monotonically_increasing_id())
+
+
 def load_pipeline(spark, pipeline_dir: str, specification_dir: str) -> dict[str, DataFrame]:
     base = pipeline_dir.rstrip("/")
     # an optional resource column scopes a row to one resource
-    configs = {name: SRC.scan_csv_table(spark, f"{base}/{fname}", ["resource", *cols])
+    configs = {name: _in_file_order(SRC.scan_csv_table(spark, f"{base}/{fname}", ["resource", *cols]))
                for name, (fname, cols) in PIPELINE_CONFIGS.items()}
     configs["prefix"] = SRC.scan_csv_table(
         spark, f"{specification_dir.rstrip('/')}/dataset.csv", ["dataset", "prefix"])
@@ -159,41 +198,48 @@ def load_pipeline(spark, pipeline_dir: str, specification_dir: str) -> dict[str,
 
 
 def cmd_transform(spark, a) -> dict:
+    """One batch: its rows, issues, logs and results replace those of its
+    (dataset, resource) pairs; other batches' stay."""
     tasks = spark.read.parquet(a.tasks)
-    pattern = f"{a.resource_dir.rstrip('/')}/*"
-    present = spark.read.format("binaryFile").load(pattern).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("resource"))
-    failed = 0
+    out = a.output_dir.rstrip("/")
+    folder = a.resource_dir.rstrip("/")
+    present = reliable_checkpoint(SRC.list_files(spark, folder).join(tasks.select("resource").distinct(), "resource", "left_semi"))
     if a.on_missing == "fail":
         SEL.require_resources_present(tasks, present)
-    else:
-        errors = SEL.missing_resources(tasks, present)
-        errors.write.mode("overwrite").parquet(f"{a.output_dir.rstrip('/')}/errors")
-        failed = spark.read.parquet(f"{a.output_dir.rstrip('/')}/errors").count()
-    # read only the files the task list names (not every resource ever
-    # collected); the path list is what Spark's file index would hold anyway
-    wanted = [f"{a.resource_dir.rstrip('/')}/{r['resource']}" for r in
-              present.join(tasks.select("resource").distinct(), "resource", "left_semi").collect()]
-    cells = J.task_rows(SRC.scan_raw_cells(spark, wanted or pattern), tasks)
+    errors = SEL.missing_resources(tasks, present)
+    # the raw files of the task list, a block of paths a scan
+    paths = [r[0] for r in present.select("path").sort("path").toLocalIterator()]
+    blocks = [J.task_rows(SRC.scan_raw_cells(spark, paths[k:k + FILES_PER_SCAN]), tasks)
+              for k in range(0, len(paths), FILES_PER_SCAN)] or [J.task_rows(SRC.scan_raw_cells(spark, []), tasks)]
+    cells = reduce(lambda x, y: x.unionByName(y), blocks)
     configs = load_pipeline(spark, a.pipeline_dir, a.specification_dir)
     base = a.pipeline_dir.rstrip("/")
     lookup = SRC.scan_csv_table(spark, f"{base}/lookup.csv",
                                 ["prefix", "reference", "organisation", "entity"]) \
         .withColumn("entity", F.col("entity").try_cast("bigint"))
-    old_entity = SRC.scan_csv_table(spark, f"{base}/old-entity.csv", ["old_entity", "entity", "status"])
-    t = J.transform_cells(cells, configs, lookup, old_entity)
-    out = a.output_dir.rstrip("/")
-    t.facts_input.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/transformed")
-    t.issues.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/issue")
-    t.column_field.write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/column-field")
-    done = (tasks.join(present.withColumnRenamed("resource", "_p"), tasks["resource"] == F.col("_p"),
-                       "left_semi")
+    old_entity = _in_file_order(SRC.scan_csv_table(spark, f"{base}/old-entity.csv", ["old_entity", "entity", "status"]))
+    combine = SRC.scan_csv_table(spark, f"{base}/combine.csv", ["dataset", "field", "separator"])
+    t = J.transform_cells(cells, configs, lookup, old_entity, combine=combine, store=reliable_checkpoint)
+    done = (tasks.join(present.select(F.col("resource").alias("_p")), tasks["resource"] == F.col("_p"), "left_semi")
             .select("dataset", F.col("old_resource").alias("resource")).distinct())
+    PK.replace_resources(t.facts_input, f"{out}/transformed", done)
+    PK.replace_resources(t.issues, f"{out}/issue", done)
+    PK.replace_resources(t.column_field, f"{out}/column-field", done)
+    listed = tasks.select("dataset", F.col("old_resource").alias("resource"))
+    results = (listed.join(errors.select("dataset", F.col("old_resource").alias("resource"), "error"), ["dataset", "resource"], "left")
+               .select("dataset", "resource", F.col("error").isNull().alias("ok"), "error").distinct())
+    PK.replace_resources(results, f"{out}/result", listed)
     v = _versions(spark, a.pipeline_dir, a.specification_dir)
     entry_date = a.entry_date or datetime.date.today().isoformat()
-    PH.provenance_log(done, v.code_version, v.config_hash, v.specification_hash, entry_date) \
-        .write.mode("overwrite").partitionBy("dataset").parquet(f"{out}/dataset-resource")
-    n = tasks.count()
+    log = PH.provenance_log(done, v.code_version, v.config_hash, v.specification_hash, entry_date)
+    PK.replace_resources(log, f"{out}/dataset-resource", done)
+    if a.dataset_resource_dir:  # where plan-transform looks for it
+        (log.withColumn("log_dataset", F.col("dataset")).withColumn("log_date", F.lit(entry_date))
+         .toDF(*[c.replace("_", "-") if c not in ("log_dataset", "log_date") else c for c in log.columns + ["log_dataset", "log_date"]])
+         .repartition("log_dataset").write.mode("append").option("header", "true").option("escape", '"')
+         .partitionBy("log_dataset").csv(a.dataset_resource_dir))
+    counts = summarise_results(results).first()
+    n, failed = counts["successful"] + counts["failed"], counts["failed"]
     summary = {"tasks": n, "successful": n - failed, "failed": failed}
     if failed:
         print(json.dumps(summary))
@@ -206,13 +252,21 @@ def cmd_assemble(spark, a) -> dict:
     from gleaner.operators.collection import require_nonempty
     from gleaner.operators.expectations import check_expectations
     src = a.transformed_dir.rstrip("/")
-    t = spark.read.parquet(f"{src}/transformed")
-    issues = spark.read.parquet(f"{src}/issue")
+    t = spark.read.schema(TRANSFORMED_SCHEMA).parquet(f"{src}/transformed")
+    issues = spark.read.schema(package_schema("issue")).parquet(f"{src}/issue")
     if a.dataset:
         t, issues = t.where(F.col("dataset") == a.dataset), issues.where(F.col("dataset") == a.dataset)
     require_nonempty(t, "transformed rows")
     out = a.output_dir.rstrip("/")
     entity = FA.resolve_entities(t)
+    if a.pipeline_dir:
+        entity = J.fill_organisations(entity, SRC.scan_csv_table(
+            spark, f"{a.pipeline_dir.rstrip('/')}/entity-organisation.csv",
+            ["dataset", "entity_minimum", "entity_maximum", "organisation"]))
+    fields = None
+    if a.specification_dir:
+        listed = SRC.scan_csv_table(spark, f"{a.specification_dir.rstrip('/')}/field.csv", ["field"])
+        fields = sorted(r[0].replace("-", "_") for r in listed.where("field is not null").distinct().collect()) or None
     tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True),
               "fact_resource": FA.make_fact_resources(t, keep_dataset=True),
               "issue": issues.select(*PK.PACKAGE_COLUMNS["issue"])}
@@ -220,10 +274,12 @@ def cmd_assemble(spark, a) -> dict:
     for name, df in tables.items():
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("dataset").parquet(f"{out}/{name}")
-        counts[name] = spark.read.parquet(f"{out}/{name}").count()
-    written = spark.read.parquet(f"{out}/entity")
+        counts[name] = spark.read.schema(package_schema(name)).parquet(f"{out}/{name}").count() if not df.isEmpty() else 0
+    written = spark.read.schema(package_schema("entity")).parquet(f"{out}/entity")
     PK.write_csv(written, f"{out}/csv")
-    PK.write_flattened(FA.flatten_entities(written), f"{out}/flattened")
+    PK.write_flattened(FA.flatten_entities(written, fields), f"{out}/flattened")
+    if a.history_dir:
+        PK.append_operational_issues(issues, a.history_dir, a.entry_date or datetime.date.today().isoformat())
     if a.expectations:
         exp = SRC.scan_csv_table(spark, a.expectations, ["name", "condition", "min_count", "max_count"]) \
             .select("name", "condition", F.col("min_count").try_cast("bigint").alias("min_count"),
@@ -244,7 +300,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--output-path", required=True)
     b.add_argument("--collection-data-path", required=True)
     b.add_argument("--collection", required=True)
-    b.add_argument("--specification-dir", default=None)
+    b.add_argument("--specification-dir", required=True)
     b.set_defaults(fn=cmd_build_package)
 
     def selection_args(s, versions=True):
@@ -287,6 +343,11 @@ def parser() -> argparse.ArgumentParser:
     location_args(v)
     v.set_defaults(fn=cmd_plan_dataset_resource)
 
+    i = sub.add_parser("collect")
+    i.add_argument("--collection-dir", required=True)
+    i.add_argument("--output", required=True)
+    i.set_defaults(fn=cmd_collect)
+
     w = sub.add_parser("transform")
     w.add_argument("--tasks", required=True, help="task list written by plan-transform")
     w.add_argument("--resource-dir", required=True)
@@ -295,6 +356,8 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--output-dir", required=True)
     w.add_argument("--entry-date", default=None)
     w.add_argument("--on-missing", choices=["fail", "record"], default="fail")
+    w.add_argument("--dataset-resource-dir", default=None,
+                   help="version log that plan-transform reads; the batch's versions are added")
     w.set_defaults(fn=cmd_transform)
 
     m = sub.add_parser("assemble")
@@ -302,6 +365,10 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--output-dir", required=True)
     m.add_argument("--dataset", default=None)
     m.add_argument("--expectations", default=None, help="CSV: name,condition,min-count,max-count")
+    m.add_argument("--pipeline-dir", default=None, help="for entity-organisation.csv")
+    m.add_argument("--specification-dir", default=None, help="for field.csv: the columns of the flattened tables")
+    m.add_argument("--history-dir", default=None, help="add the issues to this operational history")
+    m.add_argument("--entry-date", default=None)
     m.set_defaults(fn=cmd_assemble)
     return p
 

@@ -2,10 +2,8 @@
 
 The built-in phases are set-based and never fail a batch on bad rows (they
 use try_* casts and issue rows). This module is for *user* callbacks that
-must run per resource: each Arrow batch is split by resource, the callback
-runs on each piece, and a failure becomes a result row for that resource
-instead of failing the task. No grouping shuffle: pieces are processed
-where they are, so a huge resource is spread over many batches.
+must run per resource: the callback gets all rows of one resource, and a
+failure becomes a result row for that resource instead of failing the task.
 """
 
 from __future__ import annotations
@@ -21,24 +19,19 @@ RESULT_SCHEMA = "resource string, ok boolean, rows bigint, error string"
 
 def run_with_errors(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
                     key: str = "resource") -> DataFrame:
-    """Per (resource, batch piece): rows produced or the error text.
-    Returns one row per resource: ok when no piece failed, the first error
-    otherwise."""
-    def per_batch(batches):
-        for pdf in batches:
-            out = []
-            for res, piece in pdf.groupby(key, sort=False):
-                try:
-                    got = fn(piece)
-                    out.append((res, True, int(len(got)), None))
-                except Exception as e:  # noqa: BLE001 - errors become rows
-                    out.append((res, False, 0, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["resource", "ok", "rows", "error"])
-
-    pieces = df.mapInPandas(per_batch, RESULT_SCHEMA)
-    return pieces.groupBy("resource").agg(
-        F.bool_and("ok").alias("ok"), F.sum("rows").alias("rows"),
-        F.min("error").alias("error"))
+    """One row per resource (a NULL one included): ok and the number of rows
+    the callback returned, or the error text. The callback needs a whole
+    resource at once, so a resource must fit in a task's memory; jobs whose
+    work is row by row use the phases instead."""
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        res = pdf[key].iloc[0]
+        try:
+            out = (res, True, int(len(fn(pdf))), None)
+        except Exception as e:  # noqa: BLE001 - errors become rows
+            out = (res, False, 0, f"{type(e).__name__}: {e}")
+        return pd.DataFrame([out], columns=["resource", "ok", "rows", "error"])
+
+    return df.groupBy(key).applyInPandas(one, RESULT_SCHEMA)
 
 
 def summarise_results(results: DataFrame) -> DataFrame:

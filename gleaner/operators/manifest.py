@@ -102,13 +102,12 @@ def failed_downloads(reconciled: DataFrame) -> DataFrame:
     return reconciled.where(~F.col("present")).select("url")
 
 
-def raise_on_failed(reconciled: DataFrame, listed: int = 50) -> None:
-    """Any failed object fails the job. The message gives the count and the
-    first ``listed`` urls in url order (the full list is the
-    ``failed_downloads`` frame, which callers write out)."""
+def raise_on_failed(reconciled: DataFrame, listing: str) -> None:
+    """Any failed object fails the job. Every failed url is written, sorted,
+    as text under ``listing``; the error names the count and that place, so
+    nothing unbounded reaches the driver."""
     failed = failed_downloads(reconciled)
-    n = failed.count()
+    failed.select("url").sort("url").write.mode("overwrite").text(listing)
+    n = failed.sparkSession.read.text(listing).count()
     if n:
-        urls = [r["url"] for r in failed.orderBy("url").limit(listed).collect()]
-        more = "" if n <= listed else f"\n... and {n - listed} more"
-        raise RuntimeError(f"Failed to download {n} file(s):\n" + "\n".join(urls) + more)
+        raise RuntimeError(f"Failed to download {n} file(s), listed in {listing}")

@@ -3,12 +3,15 @@ the state document, issue logs, incremental sync, counts and checksums."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.schemas import CSV_COLUMNS, CSV_TABLES, PACKAGE_COLUMNS
+from gleaner.session import reliable_checkpoint
 from gleaner.sources import files as SRC
 
 
@@ -24,7 +27,9 @@ def build_package(spark: SparkSession, dataset: str, parquet_root: str,
                   collection_root: str | None = None, collection: str | None = None,
                   entity_range: tuple[int, int] | None = None) -> dict[str, DataFrame]:
     """The seven tables of one dataset's package: four from the parquet
-    tree, three from the collection CSVs (loaded by header name)."""
+    tree, three from the collection CSVs (loaded by header name). The
+    dataset's entity range is required with the latter: it selects the
+    old-entity rows. Old entities that are no numbers become issue rows."""
     tables = {t: SRC.scan_partitioned(spark, parquet_root, t, dataset) for t in PACKAGE_COLUMNS}
     if collection_root and collection:
         base = f"{collection_root.rstrip('/')}/{collection}-collection"
@@ -32,9 +37,11 @@ def build_package(spark: SparkSession, dataset: str, parquet_root: str,
             spark, f"{base}/var/dataset-resource/{dataset}/*.csv", "dataset_resource")
         tables["column_field"] = SRC.scan_log_csv(
             spark, f"{base}/var/column-field/{dataset}/*.csv", "column_field")
-        lo, hi = entity_range if entity_range else (-(1 << 63), (1 << 63) - 1)
-        tables["old_entity"] = SRC.scan_old_entity(
-            spark, f"{collection_root.rstrip('/')}/config/pipeline/{collection}/old-entity.csv", lo, hi)
+        if entity_range is None:
+            raise ValueError("the entity range of the dataset (specification) is required")
+        old = f"{collection_root.rstrip('/')}/config/pipeline/{collection}/old-entity.csv"
+        tables["old_entity"] = SRC.scan_old_entity(spark, old, *entity_range)
+        tables["issue"] = tables["issue"].unionByName(SRC.rejected_old_entity(spark, old, dataset))
     return tables
 
 
@@ -45,30 +52,58 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _replace_partition(df: DataFrame, path: str) -> None:
+    """Write ``df`` as all there is under ``path``. An empty table leaves a
+    file with its schema, so it reads back as empty and nothing stale stays."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_package(tables: dict[str, DataFrame], out_root: str, dataset: str) -> DataFrame:
-    """Write every table under ``<out>/<table>/dataset=<dataset>/`` replacing
-    only that dataset's partition (dynamic partition overwrite), and the
-    row counts (observed while writing, no second pass) under
-    ``<out>/counts``. Returns the counts."""
+    """Write every table under ``<out>/<table>/dataset=<dataset>/``, replacing
+    that dataset's partition alone, and the row counts (observed while
+    writing, no second pass) under ``<out>/counts``. Returns the counts."""
     spark = next(iter(tables.values())).sparkSession
     counts = []
     for name, df in tables.items():
-        out = df.drop("dataset") if "dataset" in df.columns else df
         obs = Observation(f"rows_{name}")
-        out = out.withColumn("dataset", F.lit(dataset)).observe(obs, F.count(F.lit(1)).alias("rows"))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("dataset").parquet(f"{out_root.rstrip('/')}/{name}"))
+        out = df.drop("dataset").observe(obs, F.count(F.lit(1)).alias("rows"))
+        _replace_partition(out, f"{out_root.rstrip('/')}/{name}/dataset={dataset}")
         counts.append((name, int(obs.get.get("rows", 0))))
     result = spark.createDataFrame(counts, "table string, rows bigint")
-    result.withColumn("dataset", F.lit(dataset)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic") \
-        .partitionBy("dataset").parquet(f"{out_root.rstrip('/')}/counts")
+    _replace_partition(result, f"{out_root.rstrip('/')}/counts/dataset={dataset}")
     return result
 
 
+def replace_resources(df: DataFrame, path: str, done: DataFrame) -> None:
+    """Store a batch's rows in a table partitioned by dataset: rows of the
+    batch's (dataset, resource) pairs (``done``) are replaced, those of other
+    resources and datasets stay. Only the batch's datasets are rewritten."""
+    spark = df.sparkSession
+    pairs = done.select("dataset", "resource").distinct()
+    names = sorted(r[0] for r in pairs.select("dataset").distinct().collect())  # datasets of one batch
+    try:
+        stored = spark.read.schema(df.schema).parquet(path)
+    except AnalysisException as err:
+        if not SRC._path_missing(err):
+            raise
+        kept = None
+    else:
+        stored = stored.select(*df.columns).where(F.col("dataset").isin(names))
+        kept = reliable_checkpoint(stored.join(pairs, ["dataset", "resource"], "left_anti"))
+    out = df if kept is None else kept.select(*df.columns).unionByName(df)
+    out = reliable_checkpoint(out)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("dataset").parquet(path))
+    filled = {r[0] for r in out.select("dataset").distinct().collect()}
+    for name in names:  # nothing left of a dataset: an empty partition, not the old one
+        if name not in filled:
+            _replace_partition(out.drop("dataset").limit(0), f"{path.rstrip('/')}/dataset={name}")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Entities (or any table) as CSV with a header."""
-    df.write.mode("overwrite").option("header", "true").csv(path)
+    """Entities (or any table) as standard CSV with a header: quotes inside
+    a value are doubled."""
+    df.write.mode("overwrite").option("header", "true").option("escape", '"').csv(path)
 
 
 def write_flattened(df: DataFrame, path: str) -> None:
@@ -98,35 +133,52 @@ def merge_issues(existing: DataFrame | None, new: DataFrame) -> DataFrame:
 
 
 def append_operational_issues(issues: DataFrame, path: str, entry_date: str) -> None:
-    """Append today's issues to the per-dataset history."""
-    (issues.withColumn("log_date", F.lit(entry_date)).write.mode("append")
-     .partitionBy("dataset", "log_date").parquet(path))
-
-
-def sync_new(local: DataFrame, remote: DataFrame, keys: list[str], path: str) -> DataFrame:
-    """Append to ``path`` only rows missing remotely or differing on
-    ``keys`` (size-only sync); returns what was written."""
-    new = local.join(remote.select(*keys), keys, "left_anti")
-    new.write.mode("append").parquet(path)
+    """Add a day's issues to the per-dataset history; a second run of the
+    same day replaces that day's rows of the datasets it has."""
+    (issues.withColumn("log_date", F.lit(entry_date)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("dataset", "log_date").parquet(path))
+
+
+def sync_new(local: DataFrame, remote: DataFrame, keys: list[str], path: str,
+             identity: list[str] | None = None) -> DataFrame:
+    """Bring ``path`` up to date with the rows missing remotely or differing
+    on ``keys`` (such as name and size); returns those rows. With
+    ``identity`` (the columns that name an object) a changed object replaces
+    its stored row; without it, rows are only added."""
+    new = reliable_checkpoint(local.join(remote.select(*keys), keys, "left_anti"))
+    if identity is None:
+        new.write.mode("append").parquet(path)
+        return new
+    try:
+        stored = local.sparkSession.read.schema(local.schema).parquet(path)
+    except AnalysisException as err:
+        if not SRC._path_missing(err):
+            raise
+        out = new
+    else:
+        out = reliable_checkpoint(stored.join(new.select(*identity).distinct(), identity, "left_anti").unionByName(new))
+    out.write.mode("overwrite").parquet(path)
     return new
 
 
 def write_artefacts(df: DataFrame, path: str) -> None:
-    """Per-(dataset, resource) artefacts: partitioned by dataset and
-    clustered by resource inside it (a directory per resource would create
-    millions of tiny partitions at scale). The ``rebalance`` hint lets AQE
-    split a resource holding a large share of the rows over several writer
-    tasks and merge small ones, instead of one task per hash bucket."""
-    (df.hint("rebalance", "dataset", "resource").sortWithinPartitions("dataset", "resource")
-     .write.mode("overwrite").partitionBy("dataset").parquet(path))
+    """Per-(dataset, resource) artefacts: partitioned by dataset (a directory
+    per resource would create millions of tiny partitions at scale). The
+    resources of ``df`` are replaced, all others stay. The ``rebalance`` hint
+    lets AQE split a resource holding a large share of the rows over several
+    writer tasks and merge small ones."""
+    replace_resources(df.hint("rebalance", "dataset", "resource"), path, df)
 
 
 def content_hash(spark: SparkSession, directory: str) -> str:
     """Hash of a config/specification directory: sha256 of the sorted
     (relative path, sha256(content)) list. Used as a version key."""
-    base = directory.rstrip("/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
-    rel = F.regexp_replace(F.col("path"), r"^.*?" + base.split("/")[-1] + "/", "")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+    # relative path: what follows the folder's own path in the file's
+    root = spark._jvm.org.apache.hadoop.fs.Path(directory)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toString().rstrip("/")
+    plain = F.regexp_replace(F.col("path"), "^([a-z0-9]+:)/+", "$1/")
+    rel = F.substr(plain, F.lit(len(re.sub("^([a-z0-9]+:)/+", r"\1/", root)) + 2))
     per = files.select(rel.alias("p"), F.sha2("content", 256).alias("h"))
     row = per.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "h"))),
                                                   lambda x: F.concat_ws(":", x["p"], x["h"])), "\n"),

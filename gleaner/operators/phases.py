@@ -445,6 +445,24 @@ def combine_values(rows: DataFrame, combine_cfg: DataFrame) -> DataFrame:
         .select("dataset", "entity", "field", F.expr("array_join(_v, separator)").alias("value"))
 
 
+def combine_facts(facts: DataFrame, combine_cfg: DataFrame) -> DataFrame:
+    """Fact input with the values that several entries of one resource give a
+    configured (dataset, field) of an entity merged into one: sorted,
+    distinct, joined by the separator, dated as the latest of them. Distinct
+    values are formed first, so what is gathered is a resource's own values
+    of one entity and field."""
+    cfg = combine_cfg.groupBy("dataset", "field").agg(F.min("separator").alias("separator"))
+    keyed = facts.join(cfg, ["dataset", "field"], "left")
+    plain = keyed.where(F.col("separator").isNull()).select(facts.columns)
+    group = ["dataset", "entity", "resource", "field", "separator"]
+    once = keyed.where(F.col("separator").isNotNull()).groupBy(*group, "value").agg(
+        F.max("entry_number").alias("entry_number"), F.max("entry_date").alias("entry_date"), F.min("priority").alias("priority"))
+    merged = once.groupBy(*group).agg(
+        F.max("entry_number").alias("entry_number"), F.max("entry_date").alias("entry_date"), F.min("priority").alias("priority"),
+        F.array_sort(F.collect_list("value")).alias("_v"))
+    return plain.unionByName(merged.withColumn("value", F.expr("array_join(_v, separator)")).select(facts.columns))
+
+
 # -------------------------------------------------------------- T18 provenance log
 
 def provenance_log(pairs: DataFrame, code_version: str, config_hash: str,

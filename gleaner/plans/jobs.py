@@ -18,6 +18,7 @@ from gleaner.operators import manifest as M
 from gleaner.operators import package as PK
 from gleaner.operators import phases as PH
 from gleaner.operators import selection as SEL
+from gleaner.operators.joins import range_join
 
 
 def plan_transform(dataset_resources: DataFrame, old_resource: DataFrame, log: DataFrame,
@@ -32,7 +33,9 @@ def plan_transform(dataset_resources: DataFrame, old_resource: DataFrame, log: D
                            dataset=dataset, offset=offset, limit=limit, reprocess=reprocess,
                            state=state)
     resolved = SEL.filter_removed(SEL.resolve_redirect(work, old_resource))
-    tasks = C.enrich_pairs(resolved, C.resource_enrichment(log, source))
+    # only the log rows of the listed resources are aggregated
+    listed = work.select("resource").distinct()
+    tasks = C.enrich_pairs(resolved, C.resource_enrichment(log.join(listed, "resource", "left_semi"), source))
     return tasks.select("old_resource", "dataset", "resource",
                         F.concat(F.lit(collection_dir.rstrip("/") + "/resource/"), "resource")
                         .alias("path"), "endpoints", "organisations", "entry_date")
@@ -78,14 +81,30 @@ def build_package(spark: SparkSession, dataset: str, parquet_root: str, out_root
                   spec_dataset: DataFrame | None = None) -> DataFrame:
     """Read the seven tables of a dataset and write its package;
     returns the row counts."""
-    rng = None
-    if spec_dataset is not None:
-        from gleaner.sources.files import dataset_entity_range
-        rng = dataset_entity_range(spec_dataset, dataset)
+    from gleaner.sources.files import dataset_entity_range
+    rng = dataset_entity_range(spec_dataset, dataset) if spec_dataset is not None else None
     tables = PK.build_package(spark, dataset, parquet_root, collection_root, collection, rng)
     return PK.write_package(tables, out_root, dataset)
 
 
+def fill_organisations(entities: DataFrame, entity_organisation: DataFrame) -> DataFrame:
+    """Entities without an organisation get the one whose entity range
+    (dataset, entity_minimum, entity_maximum, organisation; a dataset column
+    is optional) holds them; of several, the least name."""
+    ranges = entity_organisation.select(
+        *(["dataset"] if "dataset" in entity_organisation.columns else []),
+        F.col("entity_minimum").try_cast("bigint").alias("entity_minimum"),
+        F.col("entity_maximum").try_cast("bigint").alias("entity_maximum"), F.col("organisation").alias("_org"))
+    ranges = ranges.where("entity_minimum <= entity_maximum")
+    keys = entities.where(F.col("organisation_entity").isNull()).select("dataset", "entity")
+    found = range_join(keys, "entity", ranges.withColumnRenamed("dataset", "_d") if "dataset" in ranges.columns else ranges)
+    if "_d" in found.columns:
+        found = found.where("_d = '' or _d is null or _d = dataset")
+    found = found.groupBy("dataset", "entity").agg(F.min("_org").alias("_org"))
+    return (entities.join(found, ["dataset", "entity"], "left")
+            .withColumn("organisation_entity", F.coalesce("organisation_entity", "_org")).select(*entities.columns))
+
+
 class Assembled(NamedTuple):
     entity: DataFrame
     fact: DataFrame
@@ -95,12 +114,15 @@ class Assembled(NamedTuple):
 
 
 def assemble(transformed: DataFrame, expectations: DataFrame | None = None,
-             flatten_keys: list[str] | None = None) -> Assembled:
+             flatten_keys: list[str] | None = None,
+             entity_organisation: DataFrame | None = None) -> Assembled:
     """Transformed rows -> facts, fact_resource, resolved entities,
     flattened entities and expectation results. Write the outputs with
     :mod:`gleaner.operators.package` (persist ``entity`` first when all
     outputs are written in one run)."""
     ent = FA.resolve_entities(transformed)
+    if entity_organisation is not None:
+        ent = fill_organisations(ent, entity_organisation)
     exp = EX.check_expectations(ent, expectations) if expectations is not None else None
     return Assembled(ent, FA.make_facts(transformed), FA.make_fact_resources(transformed),
                      FA.flatten_entities(ent, flatten_keys), exp)
@@ -133,7 +155,8 @@ class Transformed(NamedTuple):
 
 
 def transform(raw: DataFrame, columns: list[str], configs: dict[str, DataFrame],
-              lookup: DataFrame, old_entity: DataFrame, priority=None) -> Transformed:
+              lookup: DataFrame, old_entity: DataFrame, priority=None,
+              combine: DataFrame | None = None) -> Transformed:
     """Every resource of a batch through the phases at once.
 
     ``raw``: (dataset, resource, entry_number, <columns>) text rows;
@@ -141,46 +164,60 @@ def transform(raw: DataFrame, columns: list[str], configs: dict[str, DataFrame],
     :mod:`gleaner.operators.phases`); ``lookup``: (prefix, reference,
     entity); ``old_entity``: (old_entity, entity, status)."""
     cfg = PH.dataset_config(raw.sparkSession, configs)
-    return transform_entries(PH.to_entries(raw, columns, cfg), lookup, old_entity, priority)
+    return transform_entries(PH.to_entries(raw, columns, cfg), lookup, old_entity, priority, combine)
 
 
 def transform_cells(cells: DataFrame, configs: dict[str, DataFrame], lookup: DataFrame,
-                    old_entity: DataFrame, priority=None) -> Transformed:
+                    old_entity: DataFrame, priority=None, combine: DataFrame | None = None,
+                    store=None) -> Transformed:
     """W6 over rows of (dataset, resource, entry_number, cells), e.g. raw
     resources with differing headers read by
     :func:`gleaner.sources.files.scan_raw_cells` and :func:`task_rows`."""
     cfg = PH.dataset_config(cells.sparkSession, configs)
-    return transform_entries(PH.cells_to_entries(cells, cfg), lookup, old_entity, priority)
+    return transform_entries(PH.cells_to_entries(cells, cfg), lookup, old_entity, priority, combine, store)
 
 
 def transform_entries(e: DataFrame, lookup: DataFrame, old_entity: DataFrame,
-                      priority=None) -> Transformed:
-    mapped = PH.map_columns(e)
-    e = mapped
-    for step in (PH.patch_values, PH.filter_entries, PH.concat_fields, PH.default_fields,
+                      priority=None, combine: DataFrame | None = None, store=None) -> Transformed:
+    """The phases in order. ``combine`` (dataset, field, separator) merges the
+    values that several entries of a resource give one (entity, field).
+    ``store`` (a function of a DataFrame that writes it and reads it back)
+    materialises the staged entries once, for callers that write several of
+    the outputs."""
+    for step in (PH.map_columns, PH.patch_values, PH.filter_entries, PH.concat_fields, PH.default_fields,
                  PH.default_values, PH.rename_fields):
         e = step(e)
+        if step is PH.map_columns:  # the log shows the fields as mapped
+            e = e.withColumn("mapped", F.expr("transform(st.fields, x -> struct(x.column, x.field))"))
     e = PH.redirect_entities(PH.assign_entities(e, lookup), old_entity)
+    e = e.select(*PH.ENTRY, "entity", "st", "mapped")
+    if store is not None:
+        e = store(e)
     prio = priority if priority is not None else F.lit(1)
-    return Transformed(PH.entry_rows(e, with_entity=True), PH.entry_issues(e),
-                       PH.column_field_log(mapped), PH.facts_input(e, prio))
+    facts = PH.facts_input(e, prio)
+    if combine is not None:
+        facts = PH.combine_facts(facts, combine)
+    column_field = e.select("dataset", "resource", F.explode("mapped").alias("m")).select("dataset", "resource", "m.*").distinct()
+    return Transformed(PH.entry_rows(e, with_entity=True), PH.entry_issues(e), column_field, facts)
 
 
 def nightly(log: DataFrame, source: DataFrame, old_resource: DataFrame, raw: DataFrame,
             columns: list[str], configs: dict[str, DataFrame], lookup: DataFrame,
             old_entity: DataFrame, *, version_log: DataFrame | None = None,
             versions: SEL.Versions | None = None, reprocess: bool = False,
-            expectations: DataFrame | None = None) -> dict[str, DataFrame]:
+            expectations: DataFrame | None = None, combine: DataFrame | None = None,
+            entity_organisation: DataFrame | None = None) -> dict[str, DataFrame]:
     """Collect index -> work selection -> transform of the selected
-    resources' raw rows -> assembled dataset tables. All lazy; the caller
-    writes what it needs."""
+    resources' raw rows -> assembled dataset tables. ``raw`` is keyed by the
+    stored resource; a redirected resource's rows are those of its target,
+    filed under the listed id. All lazy; the caller writes what it needs."""
     index, ds_res = collect_index(log, source)
     tasks = plan_transform(ds_res, old_resource, log, source, version_log=version_log,
                            versions=versions, reprocess=reprocess)
-    picked = raw.join(tasks.select("dataset", F.col("old_resource").alias("resource")).distinct(),
-                      ["dataset", "resource"], "left_semi")
-    t = transform(picked, columns, configs, lookup, old_entity)
-    a = assemble(t.facts_input, expectations)
+    if "dataset" in raw.columns:  # a resource's rows are the same for all its datasets
+        raw = raw.drop("dataset").dropDuplicates(["resource", "entry_number"])
+    t = transform(task_rows(raw, tasks), columns, configs, lookup, old_entity, combine=combine)
+    a = assemble(t.facts_input, expectations, entity_organisation=entity_organisation)
     return {"resource_index": index, "tasks": tasks, "issues": t.issues,
             "column_field": t.column_field, "entity": a.entity, "fact": a.fact,
             "fact_resource": a.fact_resource, "flattened": a.flattened,

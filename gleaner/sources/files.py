@@ -58,51 +58,67 @@ def scan_table(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 # ------------------------------------------------------------------ S2 / P3 / D3 / D22
 
+CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true"}
+
+
 def _underscored(name):
     return F.translate(F.trim(name), "-", "_")
 
 
-def scan_log_csv(spark: SparkSession, pattern: str, table: str) -> DataFrame:
-    """Many small CSV files (one per resource) as one table in the fixed
-    column order, matched **by header name** per file.
-
-    Each file's header is read as data (from the file's first line); every
-    row is read positionally and mapped to names through its own file's
-    header. Files with permuted, missing or extra columns therefore line up
-    by name (a plain multi-file CSV read would swap columns silently).
-    Hyphenated headers are normalised to underscores before matching.
-    Absent directory or no file -> empty table with the fixed schema.
-    """
-    target = csv_schema(table)
+def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame | None:
+    """CSV files, each read by its own header: (file, header ARRAY, values
+    ARRAY, block, place). None when there is no file or no header.
+
+    The data is read by Spark's CSV parser, positionally, its first line
+    skipped as header; the header line itself comes from a text scan of the
+    files (splittable like the data) and goes through the same parser, so
+    quoted names, commas and doubled quotes in names, and a byte order mark
+    are understood. Quoted line breaks in values need ``multi_line`` (a file is
+    then one split); pass False for large files known to have none. ``block``
+    and ``place`` order a file's rows."""
     try:
-        files = spark.read.format("binaryFile").load(pattern)
+        lines = spark.read.text(pattern).select(
+            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"),
+            F.monotonically_increasing_id().alias("id"), "value")
     except AnalysisException as err:
         if _path_missing(err):
-            return _empty(spark, target)
+            return None
         raise
-    heads = files.select(
-        F.col("path").alias("_hp"),
-        F.split(F.regexp_replace(
-            F.substring_index(F.decode("content", "UTF-8"), "\n", 1), "\r$", ""), ",")
-        .alias("_raw")).withColumn("_header", F.transform("_raw", _underscored))
-    # read as many positional columns as the widest header has (one small
-    # aggregate over the per-file headers), so no column is ever cut off
-    width = heads.agg(F.max(F.size("_raw")).alias("w")).first()["w"] or 0
+    first = lines.where("b = 0").groupBy("file").agg(F.min_by("value", "id").alias("line"))
+    first = first.select("file", F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
+    # as many positional columns as the widest header can have
+    width = first.agg(F.max(F.size(F.split("line", ","))).alias("w")).first()["w"] or 0
     if width == 0:
-        return _empty(spark, target)
+        return None
     wide = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
-    rows = (spark.read.schema(wide).option("header", "false").option("mode", "PERMISSIVE")
-            .csv(pattern)
-            .select(F.col("_metadata.file_path").alias("_fp"),
-                    F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("_v")))
+    names = F.from_csv("line", ", ".join(f"_c{i} string" for i in range(width)), {"quote": '"', "escape": '"'})
+    heads = first.select(F.col("file").alias("_hf"), F.array(*[names[f"_c{i}"] for i in range(width)]).alias("_h"))
+    last = F.aggregate(F.transform("_h", lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(0)), F.lit(0), lambda a, b: F.greatest(a, b))
+    heads = heads.select("_hf", F.transform(F.slice("_h", F.lit(1), last), lambda c: F.trim(F.coalesce(c, F.lit("")))).alias("header"))
+    rows = (spark.read.schema(wide).option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE")
+            .options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower()}).csv(pattern)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("place"), F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("values")))
     # one small row per file: AQE broadcasts it when the file count is small
-    j = rows.join(heads, rows["_fp"] == heads["_hp"])
-    j = j.where(~F.expr("slice(_v, 1, size(_raw)) <=> _raw"))
+    return rows.join(heads, rows["file"] == heads["_hf"]).drop("_hf")
+
+
+def scan_log_csv(spark: SparkSession, pattern: str | list[str], table: str) -> DataFrame:
+    """Many small CSV files (one per resource) as one table in the fixed
+    column order, matched **by header name** per file: files with permuted,
+    missing or extra columns line up by name (a plain multi-file CSV read
+    would swap columns silently). Hyphenated headers are normalised to
+    underscores before matching. Absent directory or no file -> empty table
+    with the fixed schema."""
+    target = csv_schema(table)
+    found = csv_by_header(spark, pattern)
+    if found is None:
+        return _empty(spark, target)
+    found = found.withColumn("header", F.transform("header", _underscored))
+
     def pick(name):
-        pos = f"CAST(array_position(_header, '{name}') AS INT)"
-        return F.expr(f"CASE WHEN {pos} BETWEEN 1 AND {width} THEN element_at(_v, {pos}) END")
-    out = [pick(f.name).cast(f.dataType).alias(f.name) for f in target.fields]
-    return j.select(*out)
+        return F.expr(f"try_element_at(values, nullif(CAST(array_position(header, '{name}') AS INT), 0))")
+    return found.select(*[pick(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
 
 def normalise_columns(df: DataFrame, target: list[str]) -> DataFrame:
@@ -115,19 +131,22 @@ def normalise_columns(df: DataFrame, target: list[str]) -> DataFrame:
 # ------------------------------------------------------------------ S3 / F3
 
 def scan_old_entity(spark: SparkSession, path: str, entity_min: int, entity_max: int) -> DataFrame:
-    """old-entity config rows whose old entity lies in [min, max]. Bad text
-    and out-of-range numbers never fail the load; they just fall outside."""
-    try:
-        df = spark.read.option("header", "true").schema(
-            "`old-entity` string, entity string, status string").csv(path)
-    except AnalysisException as err:
-        if _path_missing(err):
-            return _empty(spark, csv_schema("old_entity"))
-        raise
-    df = normalise_columns(df, ["old_entity", "entity", "status"])
+    """old-entity config rows (columns by header name) whose old entity lies
+    in [min, max]. Bad text and out-of-range numbers never fail the load;
+    see :func:`rejected_old_entity`."""
+    df = scan_csv_table(spark, path, ["old_entity", "entity", "status"])
     return df.where(F.col("old_entity").try_cast("bigint").between(entity_min, entity_max))
 
 
+def rejected_old_entity(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """Issue rows for old-entity config rows whose old entity is no number."""
+    df = scan_csv_table(spark, path, ["old_entity", "entity", "status"])
+    bad = df.where(F.col("old_entity").isNotNull() & F.col("old_entity").try_cast("bigint").isNull())
+    values = {"field": F.lit("old-entity"), "issue_type": F.lit("invalid-old-entity"), "dataset": F.lit(dataset),
+              "value": F.col("old_entity"), "message": F.lit("old entity is not a number")}
+    return bad.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in package_schema("issue").fields])
+
+
 # ------------------------------------------------------------------ S4 / S6 / S7
 
 def scan_csv_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -135,12 +154,12 @@ def scan_csv_table(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     normalised to underscores; absent file -> empty."""
     schema = StructType([StructField(c, StringType()) for c in columns])
     try:
-        df = spark.read.option("header", "true").option("enforceSchema", "false").csv(path)
+        df = spark.read.option("header", "true").options(**CSV_OPTIONS).csv(path)
     except AnalysisException as err:
         if _path_missing(err):
             return _empty(spark, schema)
         raise
-    df = df.toDF(*[c.strip().replace("-", "_") for c in df.columns])
+    df = df.toDF(*[c.lstrip("\ufeff").strip().replace("-", "_") for c in df.columns])
     return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c)
                        for c in columns])
 
@@ -179,7 +198,7 @@ def scan_artefacts(spark: SparkSession, root: str, family_dir: str, fmt: str = "
     base = f"{root.rstrip('/')}/{family_dir.strip('/')}"
     reader = spark.read.option("recursiveFileLookup", "true")
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").options(**CSV_OPTIONS).option("enforceSchema", "false")
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.format(fmt).load(base)
@@ -214,11 +233,14 @@ def number_file_rows(df: DataFrame, entry_col: str = "entry_number",
     return out.drop(*drop)
 
 
-def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = True) -> DataFrame:
     """Collected raw files as all-text columns plus ``resource`` (the file
-    name) and ``entry_number`` (row within the file)."""
+    name) and ``entry_number`` (row within the file). CSV files must share
+    one header (else see :func:`scan_raw_cells`); without quoted line breaks
+    (``multi_line`` False) large ones are read in several splits."""
     if fmt == "csv":
-        df = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+        df = (spark.read.option("header", "true").option("inferSchema", "false").option("enforceSchema", "false")
+              .options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower()}).csv(path))
     elif fmt == "json":
         df = spark.read.option("primitivesAsString", "true").json(path)
     else:
@@ -228,36 +250,40 @@ def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
     return number_file_rows(df)
 
 
-def scan_raw_cells(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
+def _file_name(path):
+    """Last part of a file URI, decoded."""
+    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]+)$", 1), F.lit("+"), F.lit("%2B")))
+
+
+def scan_raw_cells(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame:
     """Raw CSV resources with heterogeneous headers as
     (resource, entry_number, cells ARRAY<STRUCT<column, value>>).
 
-    Every file is read positionally and each row is paired with its own
-    file's header (read as data from the file's first line), so files with
-    different, permuted or extra columns never mix. ``entry_number`` is the
-    row number after the header; rows are numbered per file split without
-    sorting a file in one task. ``pattern`` is a glob or a list of files."""
+    Every row is paired with its own file's header (see
+    :func:`csv_by_header`), so files with different, permuted or extra
+    columns never mix. ``entry_number`` is the row number after the header;
+    rows are numbered per file split without sorting a file in one task.
+    ``pattern`` is a glob or a list of files; no files, no rows."""
+    found = csv_by_header(spark, pattern, multi_line) if pattern else None
+    if found is None:
+        return spark.createDataFrame(
+            [], "resource string, entry_number bigint, cells array<struct<column:string,value:string>>")
+    splits = found.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("place").alias("_m0"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file split; the window sorts splits of one file, not rows
+    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    j = found.join(splits.select("file", "block", "_off", "_m0"), ["file", "block"])
+    cells = F.transform("header", lambda c, i: F.struct(c.alias("column"), F.get(F.col("values"), i).alias("value")))
+    return j.select(_file_name("file").alias("resource"),
+                    (F.col("_off") + F.col("place") - F.col("_m0") + 1).alias("entry_number"), cells.alias("cells"))
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(resource, path) of the files of a folder; contents are not read."""
     try:
-        files = spark.read.format("binaryFile").load(pattern)
+        files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*")
     except AnalysisException as err:
         if _path_missing(err):
-            return spark.createDataFrame(
-                [], "resource string, entry_number bigint, "
-                    "cells array<struct<column:string,value:string>>")
+            return spark.createDataFrame([], "resource string, path string")
         raise
-    heads = files.select(
-        F.col("path").alias("_hp"),
-        F.transform(F.split(F.regexp_replace(
-            F.substring_index(F.decode("content", "UTF-8"), "\n", 1), "\r$", ""), ","),
-            lambda c: F.trim(c)).alias("_header"))
-    width = heads.agg(F.max(F.size("_header")).alias("w")).first()["w"] or 0
-    wide = StructType([StructField(f"_c{i}", StringType()) for i in range(max(width, 1))])
-    raw = spark.read.schema(wide).option("header", "false").csv(pattern)
-    rows = number_file_rows(raw, "_row", path_col="_fp").where(F.col("_row") > 1)
-    j = rows.join(heads, rows["_fp"] == heads["_hp"])
-    vals = F.array(*[F.col(f"_c{i}") for i in range(max(width, 1))])
-    cells = F.transform(F.sequence(F.lit(1), F.size("_header")),
-                        lambda i: F.struct(F.element_at("_header", i).alias("column"),
-                                           F.element_at(vals, i).alias("value")))
-    return j.select(F.regexp_extract("_fp", r"([^/]+)$", 1).alias("resource"),
-                    (F.col("_row") - 1).alias("entry_number"), cells.alias("cells"))
+    return files.select(_file_name("path").alias("resource"), "path")

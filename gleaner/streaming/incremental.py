@@ -3,9 +3,9 @@
 The collector appends one directory per day (``log/YYYY-MM-DD/*.csv``).
 Instead of re-reading every day on each run, a file stream with an
 ``availableNow`` trigger picks up only files not seen before (the stream's
-checkpoint remembers them), appends them to the log table partitioned by
-day, and stops. Re-running after a crash resumes from the checkpoint, so
-each file is loaded exactly once.
+checkpoint remembers them) and stops. Every micro-batch is written to its
+own ``batch_id`` partition, so a batch replayed after a crash replaces what
+its first try left and each file is loaded once.
 """
 
 from __future__ import annotations
@@ -13,36 +13,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import ensure_checkpoint_dir
+from gleaner.sources.files import csv_by_header
 
-LOG_CSV_SCHEMA = "endpoint string, resource string, status string, `entry-date` string"
+FILES_PER_BATCH = 1000
 
 
-def log_stream(spark: SparkSession, log_dir: str) -> DataFrame:
-    """The daily log CSVs as a stream, with the day taken from the path."""
-    raw = (spark.readStream.schema(LOG_CSV_SCHEMA).option("header", "true")
-           .option("recursiveFileLookup", "true").csv(log_dir))
-    day = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
-    return raw.select("endpoint", "resource", "status",
-                      F.to_date(day).alias("log_date"),
-                      F.to_date(F.substring("entry-date", 1, 10)).alias("entry_date"))
+def log_files(spark: SparkSession, log_dir: str) -> DataFrame:
+    """The daily log files as a stream of their lines' paths."""
+    raw = (spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_BATCH)
+           .text(log_dir))
+    return raw.select(F.col("_metadata.file_path").alias("path"))
+
+
+def read_logs(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """Log rows of the files, columns by each file's own header, with the day
+    taken from the path."""
+    found = csv_by_header(spark, paths)
+    if found is None:
+        return None
+
+    def pick(name):
+        return F.expr(f"try_element_at(values, nullif(CAST(array_position(header, '{name}') AS INT), 0))")
+    found = found.withColumn("header", F.transform("header", lambda c: F.translate(c, "-", "_")))
+    day = F.regexp_extract("file", r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1)
+    return found.select(pick("endpoint").alias("endpoint"), pick("resource").alias("resource"), pick("status").alias("status"),
+                        F.to_date(F.nullif(day, F.lit(""))).alias("log_date"),
+                        F.to_date(F.substring(pick("entry_date"), 1, 10)).alias("entry_date"))
 
 
 def load_new_logs(spark: SparkSession, log_dir: str, table_path: str,
                   checkpoint: str | None = None) -> int:
-    """Append log rows of files not loaded before; returns the number of
-    rows appended in this run. The stream checkpoint defaults to a folder
-    under the session's shared ``spark.checkpoint.dir``."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/log-stream"
-    appended = {"rows": 0}
+    """Add the log rows of files not loaded before; returns the number of
+    rows added in this run. The stream's state lies beside the table
+    (``<table_path>-stream``) unless told otherwise: a path that stays the
+    same from run to run, on the same storage as the table."""
+    checkpoint = checkpoint or f"{table_path.rstrip('/')}-stream"
+    added = {"rows": 0}
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # at most FILES_PER_BATCH paths
+        paths = [r[0] for r in batch.select("path").distinct().collect()]
+        rows = read_logs(batch.sparkSession, paths) if paths else None
+        if rows is None:
+            return
         obs = Observation(f"log_batch_{batch_id}")
-        (batch.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("append").partitionBy("log_date").parquet(table_path))
-        appended["rows"] += int(obs.get.get("rows", 0))
+        (rows.withColumn("batch_id", F.lit(batch_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id", "log_date").parquet(table_path))
+        added["rows"] += int(obs.get.get("rows", 0))
 
-    q = (log_stream(spark, log_dir).writeStream.foreachBatch(write_batch)
+    q = (log_files(spark, log_dir).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return appended["rows"]
+    return added["rows"]

@@ -84,7 +84,8 @@ def test_transform_resources_with_different_headers(spark, tree):
     (pipe / "default-value.csv").write_text("dataset,field,value\ntree,size,unknown\n")
     (pipe / "lookup.csv").write_text("prefix,reference,organisation,entity\n"
                                     "tree,T1,,1\ntree,T2,,2\ntree,T3,,3\n")
-    (tree / "specification" / "dataset.csv").write_text("dataset,prefix\ntree,tree\ntree-zone,tree\n")
+    (tree / "specification" / "dataset.csv").write_text(
+        "dataset,prefix,entity-minimum,entity-maximum\ntree,tree,1,99\ntree-zone,tree,1,99\n")
     tasks = str(tree / "tasks")
     cli.main(["plan-transform", *_common(tree), "--output", tasks, "--reprocess"], spark=spark)
     out = tree / "out"
@@ -126,7 +127,7 @@ def test_transform_resources_with_different_headers(spark, tree):
     (coll / "trees-collection").mkdir(parents=True)
     pkg = cli.main(["build-package", "--dataset", "tree", "--parquet-datasets-path", str(built),
                     "--output-path", str(tree / "package"), "--collection-data-path", str(coll),
-                    "--collection", "trees"], spark=spark)
+                    "--collection", "trees", "--specification-dir", str(tree / "specification")], spark=spark)
     assert pkg["entity"] == 3 and pkg["issue"] == 2 and pkg["fact"] > 0
 
 
@@ -143,3 +144,70 @@ def test_transform_missing_resource(spark, tree):
         cli.main(args, spark=spark)
     with pytest.raises(SystemExit):
         cli.main(args + ["--on-missing", "record"], spark=spark)
+
+
+def test_batches_accumulate_and_close_the_loop(spark, tree):
+    res = tree / "collection" / "resource"
+    res.mkdir()
+    (res / "aaa").write_text('Ref,"Name, full",Tag\nT1,"Oak, ""old""",b\nT1,Oak again,a\n')
+    (res / "yyy").write_text("\ufeffTag,Ref\nx,T3\n")
+    pipe = tree / "pipeline"
+    (pipe / "column.csv").write_text('dataset,column,field\ntree,Ref,reference\ntree,"Name, full",name\ntree-zone,Ref,reference\n')
+    (pipe / "patch.csv").write_text("dataset,field,pattern,replacement\ntree,tag,^b$,c\ntree,tag,^c$,d\n")
+    (pipe / "lookup.csv").write_text("prefix,reference,organisation,entity\ntree,T1,,1\ntree,T3,,3\n")
+    (pipe / "combine.csv").write_text("dataset,field,separator\ntree,tag,;\n")
+    (pipe / "entity-organisation.csv").write_text("dataset,entity-minimum,entity-maximum,organisation\ntree,1,2,org-x\ntree,2,9,org-y\n")
+    spec = tree / "specification"
+    (spec / "dataset.csv").write_text("dataset,prefix\ntree,tree\ntree-zone,tree\n")
+    (spec / "field.csv").write_text("field\ntag\nheight\n")
+    logs, out = tree / "log", tree / "out"
+    logs.mkdir()
+
+    def plan(*extra):
+        args = ["plan-transform", "--collection-dir", str(tree / "collection"), "--dataset-resource-dir", str(logs),
+                "--pipeline-dir", str(pipe), "--specification-dir", str(spec), "--output", str(tree / "tasks"), *extra]
+        return cli.main(args, spark=spark)["tasks"]
+
+    def transform():
+        return cli.main(["transform", "--tasks", str(tree / "tasks"), "--resource-dir", str(res), "--pipeline-dir", str(pipe),
+                         "--specification-dir", str(spec), "--output-dir", str(out), "--dataset-resource-dir", str(logs),
+                         "--entry-date", "2024-02-01"], spark=spark)
+
+    assert plan("--offset", "0", "--limit", "1") == 1
+    assert transform() == {"tasks": 1, "successful": 1, "failed": 0}
+    assert plan() == 2
+    assert transform() == {"tasks": 2, "successful": 2, "failed": 0}
+    assert plan() == 0
+    rows = spark.read.parquet(str(out / "transformed"))
+    assert sorted((r["dataset"], r["resource"], r["field"], r["value"]) for r in rows.where("field in ('tag', 'name')").collect()) == [
+        ("tree", "aaa", "name", "Oak again"), ("tree", "aaa", "name", 'Oak, "old"'), ("tree", "aaa", "tag", "a;d"),
+        ("tree", "bbb", "tag", "x"), ("tree-zone", "bbb", "tag", "x")]
+    issues = spark.read.parquet(str(out / "issue"))
+    assert sorted(r["value"] for r in issues.where("issue_type = 'patch'").collect()) == ["b", "c"]
+    assert spark.read.parquet(str(out / "result")).where("ok").count() == 3
+    built = tree / "built"
+    counts = cli.main(["assemble", "--transformed-dir", str(out), "--output-dir", str(built), "--pipeline-dir", str(pipe),
+                       "--specification-dir", str(spec), "--history-dir", str(tree / "history"), "--entry-date", "2024-02-01"], spark=spark)
+    assert counts["entity"] == 3
+    got = {(r["dataset"], r["entity"]): r["organisation_entity"] for r in spark.read.parquet(str(built / "entity")).collect()}
+    assert got == {("tree", 1): "org-x", ("tree", 3): "org-y", ("tree-zone", 3): None}
+    flat = spark.read.option("header", "true").csv(str(built / "flattened" / "csv"))
+    assert "tag" in flat.columns and "height" in flat.columns
+    assert spark.read.parquet(str(tree / "history")).count() == counts["issue"]
+
+
+def test_assemble_without_issues(spark, tree):
+    facts = spark.createDataFrame([("tree", 1, "aaa", 1, None, 1, "reference", "T1")],
+                                  "dataset string, entity bigint, resource string, entry_number bigint, entry_date string, priority bigint, field string, value string")
+    facts.write.partitionBy("dataset").parquet(str(tree / "t" / "transformed"))
+    (tree / "t" / "issue").mkdir()
+    counts = cli.main(["assemble", "--transformed-dir", str(tree / "t"), "--output-dir", str(tree / "b")], spark=spark)
+    assert counts == {"entity": 1, "fact": 1, "fact_resource": 1, "issue": 0}
+
+
+def test_collect(spark, tree):
+    args = ["collect", "--collection-dir", str(tree / "collection"), "--output", str(tree / "index")]
+    assert cli.main(args, spark=spark) == {"resources": 3, "new": 3}
+    assert cli.main(args, spark=spark) == {"resources": 3, "new": 0}
+    index = {r["resource"]: r["datasets"] for r in spark.read.parquet(str(tree / "index" / "resource")).collect()}
+    assert index == {"aaa": "tree", "bbb": "tree;tree-zone", "ccc": "tree;tree-zone"}

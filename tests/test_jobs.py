@@ -54,6 +54,15 @@ def test_nightly(spark):
     assert issues == [("default-value", "name")]
 
 
+def test_nightly_reads_redirected_resources(spark):
+    log, source, _old, raw, configs, lookup, old_entity = _inputs(spark)
+    old = spark.createDataFrame([(1, "r1", "r1-new", "301")], "seq bigint, old_resource string, resource string, status string")
+    raw = raw.unionByName(spark.createDataFrame([("trees", "r1-new", 1, "T1", "From the new file")], raw.schema))
+    combine = spark.createDataFrame([("trees", "name", " + ")], "dataset string, field string, separator string")
+    out = J.nightly(log, source, old, raw, ["Ref", "Name"], configs, lookup, old_entity, reprocess=True, combine=combine)
+    assert {r["entity"]: r["name"] for r in out["entity"].collect()} == {1: "From the new file", 2: "Ash", 3: "unnamed"}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("d", "r1", "x"), ("d", "r2", "y")],
                                "dataset string, resource string, value string")

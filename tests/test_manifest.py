@@ -60,14 +60,15 @@ def test_files_per_task_zero_tasks(spark):
     assert M.files_per_task(man, empty).first()["files_per_task"] == 0
 
 
-def test_failure_summary_lists_urls(spark):
+def test_failed_urls_are_all_listed_in_a_file(spark, tmp_path):
     rec = spark.createDataFrame([("https://x/a", False), ("https://x/b", True), ("https://x/c", False)],
                                 "url string, present boolean")
     with pytest.raises(RuntimeError) as err:
-        M.raise_on_failed(rec)
-    assert str(err.value) == "Failed to download 2 file(s):\nhttps://x/a\nhttps://x/c"
+        M.raise_on_failed(rec, str(tmp_path / "failed"))
+    assert str(err.value) == f"Failed to download 2 file(s), listed in {tmp_path / 'failed'}"
+    assert sorted(r[0] for r in spark.read.text(str(tmp_path / "failed")).collect()) == ["https://x/a", "https://x/c"]
     ok = rec.where("present")
-    M.raise_on_failed(ok)
+    M.raise_on_failed(ok, str(tmp_path / "none"))
 
 
 def test_scalar_helpers(spark):

@@ -63,7 +63,7 @@ def test_raw_rows_numbered_across_splits(spark, tmp_path):
     (d / "r1").write_text("a\n" + "".join(f"{i}\n" for i in range(n)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        df = SRC.scan_raw_resource(spark, str(d))
+        df = SRC.scan_raw_resource(spark, str(d), multi_line=False)
         assert df.rdd.getNumPartitions() > 1
         rows = df.select("entry_number", "a").collect()
     finally:
