@@ -99,3 +99,20 @@ def test_repeats_edge_tables(spark, edge_docs, empty_docs, clashing_docs):
     assert got.count() == clashing_docs.count()
     first = got.filter("doc_id = 1").collect()
     assert len(first) == 2 and first[0] == first[1] and first[0]["n_removed"] == 0
+
+
+def test_unlinked_candidates_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(circulant_minhash, "BLOCK", 3)
+    monkeypatch.setattr(circulant_minhash, "STAR_ROUNDS", 1)
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(60):  # copies far enough apart that few pairs are linked
+        own = list(words)
+        for place in rng.integers(0, 120, 3 + k % 7):
+            own[place] = f"x{rng.integers(0, 10**6)}"
+        rows.append((k, " ".join(own)))
+    rows += [(100 + k, " ".join(words) + " tail" * (k % 2)) for k in range(20)]
+    want = brute.near_duplicates(rows, 2, 80)
+    got = near(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2, percent=80)
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
