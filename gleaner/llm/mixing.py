@@ -4,9 +4,10 @@ Each source may take at most ``max_repeat`` times its size; targets share the
 total by weight, the excess of capped sources reshared by weight. A source
 with target ``t`` and size ``s`` takes every document ``t // s`` times, and once
 more the documents whose hash is at or below a threshold. The threshold is
-found without sorting documents: sizes are summed by (source, 20-bit hash
+found without sorting documents: sizes are summed by (source, 12-bit hash
 bucket), the bucket in which the budget runs out is found, and only that
-bucket is summed again by the next 20 bits, three times in all. Thresholds are
+bucket is summed again by the next 12 bits, five times in all; so a source
+never has more than 4096 sums, whatever its size. Thresholds are
 nested: a larger budget takes a superset.
 
 Defined results: NULL text has size 0; a NULL source is one source, last in
@@ -27,8 +28,8 @@ from gleaner.llm.common import private_names, read_table, split_words, write_out
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
-_DIGIT = 5  # hex digits of each refinement
-_LEVELS = 3
+_DIGIT = 3  # hex digits of each refinement
+_LEVELS = 5
 _EXACT = "decimal(38,0)"
 
 

@@ -84,6 +84,81 @@ def test_unigram_scores_equal_brute_force(spark, monkeypatch):
             assert r["base_score"] == pytest.approx(score, rel=1e-9)
 
 
+def recursive_scores(train, texts):
+    """Context-tree weighting from its definition: block probabilities of
+    every node, and each bit as a ratio of mixed predictions."""
+    from collections import Counter
+    from functools import cache
+
+    depth, classes = context_tree.DEPTH, context_tree._CLASS
+    bits = Counter()
+
+    def steps(text):
+        b = text.encode().lower()
+        for k, byte in enumerate(b):
+            past = tuple(int(classes[b[k - j]]) if k >= j else int(classes[0]) for j in range(1, depth + 1))
+            node = 1
+            for shift in range(7, -1, -1):
+                bit = byte >> shift & 1
+                yield past, node, bit
+                node = node * 2 + bit
+
+    children = {}
+    for text in train:
+        for past, node, bit in steps(text):
+            for d in range(depth + 1):
+                bits[past[:d], node, bit] += 1
+                if d:
+                    children.setdefault((past[:d - 1], node), set()).add(past[:d])
+
+    @cache
+    def own(past, node):
+        a, b = bits[past, node, 0], bits[past, node, 1]
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+
+    @cache
+    def mixed(past, node):
+        if len(past) == depth:
+            return own(past, node)
+        longer = sum(mixed(c, node) for c in children.get((past, node), ()))
+        top = max(own(past, node), longer)
+        return math.log(0.5) + top + math.log(math.exp(own(past, node) - top) + math.exp(longer - top))
+
+    def predict(past, node, d, bit):
+        at = past[:d]
+        kt = (bits[at, node, bit] + 0.5) / (bits[at, node, 0] + bits[at, node, 1] + 1)
+        if d == depth:
+            return kt
+        w = math.exp(math.log(0.5) + own(at, node) - mixed(at, node))
+        return w * kt + (1 - w) * predict(past, node, d + 1, bit)
+
+    return [sum(math.log10(predict(past, node, 0, bit)) for past, node, bit in steps(t)) for t in texts]
+
+
+def test_tree_scores_equal_the_recursion():
+    train = ["abracadabra, abra!", "cad abr 12", "", "ééa b-c"]
+    texts = ["abra cad", "zzz 9", "", "aéb", "Abracadabra, abra!"]
+
+    def arrays(rows):
+        raw = [t.encode() for t in rows]
+        return np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+
+    codes, counts = np.unique(context_tree._codes(*arrays(train)), return_counts=True)
+    got = context_tree.ContextTree(codes, counts).score(*arrays(texts))
+    assert got == pytest.approx(recursive_scores([t.lower() for t in train], [t.lower() for t in texts]))
+    # probabilities of all bytes after any context add up to one
+    table = context_tree.ContextTree(codes, counts).table.reshape(-1, 256)
+    assert (10 ** table).sum(axis=1) == pytest.approx(np.ones(len(table)))
+    empty = context_tree.ContextTree(codes[:0], counts[:0])
+    assert empty.score(*arrays(["ab"]))[0] == pytest.approx(16 * math.log10(0.5))
+
+
+def test_held_out_texts_code_shorter_than_by_single_bytes(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = context_tree.score_documents(rows).join(rows, "doc_id").filter("held_out").selectExpr("-sum(score) / log10(2) / sum(octet_length(text)) AS bits").first()
+    assert 0 < got["bits"] < 3.6
+
+
 def test_scores_of_edge_tables(spark, edge_docs, empty_docs, clashing_docs):
     got = {r["doc_id"]: r for r in context_tree.score_documents(edge_docs).collect()}
     assert got[3]["score"] == got[4]["score"] == 0.0 and got[1]["score"] == got[2]["score"] < 0
