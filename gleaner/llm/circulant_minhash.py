@@ -9,12 +9,17 @@ slices. ``BANDS`` bands of ``ROWS`` coordinates name candidates: a pair at
 similarity 0.8 shares no band with probability (1 - 0.8**6)**40 = 5e-6.
 
 Documents with equal sets form a class, found by an aggregation; only class
-representatives (least ids) go on. In every band bucket that holds several
-components, one member of the smallest component is the centre and is compared
-exactly, on full sets, with the members of the other components; confirmed
-links join components and the centre leaves the bucket. This repeats until no
-bucket holds two components, so every pair that shares a bucket and is not yet
-connected is compared, without ever listing all pairs of a group.
+representatives (least ids) go on. First, in every band bucket that holds
+several components, one member of the smallest component is the centre and is
+compared exactly, on full sets, with the members of the other components;
+confirmed links join components. After ``STAR_ROUNDS`` such rounds few buckets
+hold two components. Their members are dealt to blocks of about ``BLOCK``, and
+each pair of blocks is a task's group: one matrix product gives all
+intersections there, and a spanning forest of the links is kept. So every pair
+that shares a bucket and is not yet connected is compared, a large bucket is
+spread over many tasks, and no list of all pairs is ever made. (A group of g
+documents that share a bucket without being linked costs g * g / BLOCK copies of
+a set; that is the price of losing no link.)
 
 Defined results: a text without words, or NULL, has an empty set and is linked
 with nothing; a text with fewer words than a shingle has its whole word
@@ -40,7 +45,10 @@ from gleaner.llm.components import connected_components
 BANDS = 40
 ROWS = 6
 UNIVERSE = 1 << 18
-_BLOCK = 4096  # elements whose slices are held at a time
+STAR_ROUNDS = 2
+BLOCK = 512
+_SLICES = 4096  # elements whose slices are held at a time
+_COLUMNS = 4096  # distinct elements of a matrix product
 
 _SKETCH = "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"
 
@@ -54,9 +62,9 @@ def _table() -> np.ndarray:
 def signature(elements: np.ndarray, slices: np.ndarray) -> np.ndarray:
     """All coordinates of one set (not empty)."""
     at = (mix(elements ^ U64(0x5851F42D4C957F2D)) >> U64(64 - 18)).astype(np.int64)
-    low = slices[at[:_BLOCK]].min(axis=0)
-    for k in range(_BLOCK, len(at), _BLOCK):
-        np.minimum(low, slices[at[k:k + _BLOCK]].min(axis=0), out=low)
+    low = slices[at[:_SLICES]].min(axis=0)
+    for k in range(_SLICES, len(at), _SLICES):
+        np.minimum(low, slices[at[k:k + _SLICES]].min(axis=0), out=low)
     return low
 
 
@@ -118,6 +126,84 @@ def _confirmer(percent: int):
     return confirm
 
 
+def linked_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links (places in ``sets``) that connect whatever the sets' pairs at the
+    given similarity connect."""
+    m = len(sets)
+    sizes = np.array([len(x) for x in sets], dtype=np.int64)
+    owner = np.repeat(np.arange(m), sizes)
+    _, element, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    several = counts[element] > 1  # an element of one set is in no intersection
+    owner, element = owner[several], element[several]
+    order = np.argsort(element, kind="stable")
+    owner, element = owner[order], np.unique(element[order], return_inverse=True)[1]
+    both = np.zeros((m, m), dtype=np.float32)
+    for first in range(0, int(element[-1]) + 1 if len(element) else 0, _COLUMNS):
+        a, b = np.searchsorted(element, [first, first + _COLUMNS])
+        part = np.zeros((m, _COLUMNS), dtype=np.float32)
+        part[owner[a:b], element[a:b] - first] = 1
+        both += part @ part.T
+    both = both.astype(np.int64)
+    linked = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+    out, seen = [], np.zeros(m, dtype=bool)
+    for start in range(m):
+        if seen[start]:
+            continue
+        seen[start], front = True, [start]
+        while front:
+            x = front.pop()
+            new = np.flatnonzero(linked[x] & ~seen)
+            seen[new] = True
+            out += [(x, int(y)) for y in new]
+            front += new.tolist()
+    return out
+
+
+def _block_links(percent: int):
+    def links(table: pa.Table) -> pa.Table:
+        reps = table.column("rep").to_pylist()
+        kept = {rep: k for k, rep in enumerate(reps)}  # a row of a block paired with itself comes once
+        rows = list(kept.values())
+        found = linked_forest([np.frombuffer(table.column("elements")[k].as_buffer(), np.uint64) for k in rows], percent)
+        return pa.table({"a": pa.array([reps[rows[x]] for x, _ in found], pa.int64()), "b": pa.array([reps[rows[y]] for _, y in found], pa.int64())})
+    return links
+
+
+def _with_components(waiting: DataFrame, parts: DataFrame | None) -> DataFrame:
+    rows = waiting if parts is None else waiting.join(parts, F.col("rep") == F.col("node"), "left").drop("node")
+    comp = F.col("rep") if parts is None else F.coalesce("component", "rep")
+    return rows.select("bucket", "rep", "n", comp.alias("comp"))
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """(k, members, centre, centre_n, centre_comp, big, big_n) of the buckets
+    that hold several components; ``big`` is the largest of them."""
+    by_comp = rows.groupBy("bucket", "comp").agg(F.count("*").alias("size"), F.min_by(F.struct("rep", "n"), "rep").alias("least"))
+    found = by_comp.groupBy("bucket").agg(
+        F.count("*").alias("comps"), F.sum("size").alias("members"), F.min(F.struct("size", "comp", "least")).alias("c"), F.max(F.struct("size", "comp")).alias("g"))
+    return found.filter("comps > 1").select(
+        F.col("bucket").alias("k"), "members", F.col("c.least.rep").alias("centre"), F.col("c.least.n").alias("centre_n"), F.col("c.comp").alias("centre_comp"),
+        F.col("g.comp").alias("big"), F.col("g.size").alias("big_n"))
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """Rows of mixed buckets -> (bucket, kind, i, j, rep), a row for each pair of
+    blocks it takes part in. Members of a large component form blocks of their
+    own, which meet the other blocks but not each other."""
+    apart = (F.col("comp") == F.col("big")) & (F.col("big_n") > BLOCK)
+    large = F.when(F.col("big_n") > BLOCK, F.col("big_n")).otherwise(0)
+    n_rest = F.ceil((F.col("members") - large) / BLOCK).cast("int")
+    n_large = F.ceil(large / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), F.when(apart, n_large).otherwise(n_rest)).cast("int")
+    x = rows.select("bucket", "rep", apart.alias("apart"), n_rest.alias("n_rest"), n_large.alias("n_large"), own.alias("own"))
+    among = F.transform(F.sequence(F.lit(0), F.col("n_rest") - 1), lambda o: F.struct(
+        F.lit(0).alias("kind"), F.least(o, F.col("own")).alias("i"), F.greatest(o, F.col("own")).alias("j")))
+    across = F.when(F.col("n_large") > 0, F.transform(F.sequence(F.lit(0), F.col("n_large") - 1), lambda o: F.struct(
+        F.lit(1).alias("kind"), F.col("own").alias("i"), o.alias("j")))).otherwise(F.array().cast("array<struct<kind:int,i:int,j:int>>"))
+    onto = F.transform(F.sequence(F.lit(0), F.col("n_rest") - 1), lambda o: F.struct(F.lit(1).alias("kind"), o.alias("i"), F.col("own").alias("j")))
+    return x.select("bucket", "rep", F.explode(F.when(F.col("apart"), onto).otherwise(F.concat(among, across))).alias("p")).select("bucket", "p.*", "rep")
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(_sketcher(shingle), _SKETCH)
 
@@ -135,31 +221,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     own_sets = write_out(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("t")).join(members, "rep", "left_semi")
                          .dropDuplicates(["rep"]).mapInArrow(_setter(shingle), "rep long, elements binary"))
     links, parts = None, None
-    while True:
-        rows = waiting if parts is None else waiting.join(parts, F.col("rep") == F.col("node"), "left").drop("node")
-        comp = F.col("rep") if parts is None else F.coalesce("component", "rep")
-        rows = rows.select("bucket", "rep", "n", comp.alias("comp"))
-        by_comp = rows.groupBy("bucket", "comp").agg(F.count("*").alias("size"), F.min_by(F.struct("rep", "n"), "rep").alias("least"))
-        mixed = by_comp.groupBy("bucket").agg(F.count("*").alias("comps"), F.min(F.struct("size", "comp", "least")).alias("c")).filter("comps > 1")
-        mixed = mixed.select(F.col("bucket").alias("k"), F.col("c.least.rep").alias("centre"), F.col("c.least.n").alias("centre_n"), F.col("c.comp").alias("centre_comp"))
-        rows = write_out(rows.join(mixed, F.col("bucket") == F.col("k")))  # buckets of one component are done
+    for _ in range(STAR_ROUNDS):
+        rows = _with_components(waiting, parts)
+        rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")))  # buckets of one component are done
         pairs = rows.filter((F.col("comp") != F.col("centre_comp")) & (100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")))
         pairs = pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-        if rows.isEmpty():
-            break
         left = own_sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
         right = own_sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
         confirmed = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmer(percent), "a long, b long")
         links = write_out(confirmed if links is None else links.unionAll(confirmed))
         parts = write_out(connected_components(links))
         waiting = rows.filter("rep <> centre").select("bucket", "rep", "n")
+    rows = _with_components(waiting, parts)
+    rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")))
+    blocks = _block_pairs(rows).join(own_sets, "rep").groupBy("bucket", "kind", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
+    parts = write_out(connected_components(links.unionAll(blocks)))
     members = classes.select(*[F.col(c).alias("c_" + c) for c in sets], "rep")
     same = (F.col("n_shingles") == F.col("c_n_shingles")) & (F.col("h1") == F.col("c_h1")) & (F.col("h2") == F.col("c_h2"))
     joined = sketched.drop("bands").join(members, same, "left")
-    if parts is None:
-        joined = joined.withColumn("component", F.lit(None).cast("long"))
-    else:
-        joined = joined.join(parts, F.col("rep") == F.col("node"), "left")
+    joined = joined.join(parts, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "doc_id")
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
