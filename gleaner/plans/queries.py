@@ -697,19 +697,35 @@ def q_assign_entities(spark, d):
 
 @register("redirect_entities", _phase_sql(f"SELECT {_ENTRY}, field, value, entity FROM oent"))
 def q_redirect_entities(spark, d):
-    return TJ.run_transform(spark, d).rows
+    return TJ.rows(spark, d)
 
 
 @register("transform_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
 def q_transform_issues(spark, d):
-    return TJ.run_transform(spark, d).issues
+    return TJ.issues(spark, d)
+
+
+@register("stack_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
+def q_stack_issues(spark, d):
+    log = TJ.issues(spark, d)
+    late = F.col("issue_type") == "unknown-entity"
+    # a frame without the columns that are empty is stacked by name
+    return PH.stack_issues(log.where(~late).drop("entry_date"), log.where(late))
+
+
+@register("merge_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
+def q_merge_issues(spark, d):
+    from gleaner.operators import package as PK
+    log = TJ.issues(spark, d)
+    patched = F.col("issue_type") == "patch"
+    return PK.merge_issues(log.where(patched), log.where(~patched).drop("entry_date")).select(*PK.PACKAGE_COLUMNS["issue"])
 
 
 @register("issue_counts", _phase_sql("""
 SELECT dataset, issue_type, CAST(count(*) AS BIGINT) AS issues FROM oissues
 GROUP BY dataset, issue_type"""))
 def q_issue_counts(spark, d):
-    return TJ.run_transform(spark, d).issues.groupBy("dataset", "issue_type") \
+    return TJ.issues(spark, d).groupBy("dataset", "issue_type") \
         .agg(F.count(F.lit(1)).alias("issues"))
 
 
@@ -717,7 +733,7 @@ def q_issue_counts(spark, d):
 SELECT DISTINCT sha256(CAST(entity AS VARCHAR) || '|' || field || '|' || value) AS fact,
        entry_date, entry_number, priority, resource FROM ofacts"""))
 def q_transformed_facts(spark, d):
-    return FA.make_fact_resources(TJ.run_transform(spark, d).facts_input)
+    return FA.make_fact_resources(TJ.facts_input(spark, d))
 
 
 @register("order_entities", _phase_sql("""
@@ -730,7 +746,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
       FROM ofacts) WHERE rn = 1
 GROUP BY dataset, entity"""))
 def q_order_entities(spark, d):
-    ents = FA.resolve_entities(TJ.run_transform(spark, d).facts_input)
+    ents = FA.resolve_entities(TJ.facts_input(spark, d))
     return ents.select("dataset", "entity", "name", "typology", "start_date")
 
 
@@ -777,6 +793,37 @@ def q_check_expectations(spark, d):
     return EX.check_expectations(ents, EX.expectations_table(spark, ENTITY_EXPECTATIONS))
 
 
+@register("project_fixed", with_ctes(["tfact"], """
+SELECT max(entity) AS entity, fact, max(field) AS field, max(entry_date) AS entry_date, min(priority) AS priority,
+       CASE WHEN max(field) = 'organisation_entity' THEN max(value) END AS reference_entity, max(value) AS value
+FROM tfact GROUP BY fact"""))
+def q_project_fixed(spark, d):
+    from gleaner.operators import package as PK
+    wide = FA.make_facts(ST.transformed_facts_input(spark, d), keep_dataset=True)
+    return PK.project_fixed(wide.withColumn("unused", F.lit(1)), "fact")
+
+
+@register("summarise_results", with_ctes(["tasks", "clog"], """
+SELECT CAST(count(*) FILTER (WHERE ok) AS BIGINT) AS successful, CAST(count(*) FILTER (WHERE NOT ok) AS BIGINT) AS failed
+FROM (SELECT t.resource IN (SELECT resource FROM clog WHERE resource IS NOT NULL) AS ok FROM tasks t)"""))
+def q_summarise_results(spark, d):
+    from gleaner.operators.batch import summarise_results
+    present = ST.collection_log(spark, d).where(F.col("resource").isNotNull()).select("resource")
+    missing = SEL.missing_resources(_tasks(spark, d), present).select("old_resource", "dataset", "error")
+    results = _tasks(spark, d).join(missing, ["old_resource", "dataset"], "left")
+    return summarise_results(results.select(F.col("old_resource").alias("resource"), F.col("error").isNull().alias("ok")))
+
+
+@register("dedup_manifest", with_ctes(["docs"], """
+SELECT 'https://files.example.org/' || source AS url, arg_max('doc/' || CAST(doc_id AS VARCHAR), doc_id) AS path
+FROM docs GROUP BY source"""))
+def q_dedup_manifest(spark, d):
+    man = ST.docs(spark, d).select(
+        F.concat(F.lit("https://files.example.org/"), "source").alias("url"),
+        F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"), "doc_id")
+    return M.dedup_manifest(man, "doc_id")
+
+
 @register("table_counts", with_ctes(["ents", "tfact"], """
 SELECT 'entity' AS "table", CAST(count(*) AS BIGINT) AS rows FROM ents
 UNION ALL SELECT 'fact', CAST(count(DISTINCT fact) AS BIGINT) FROM tfact

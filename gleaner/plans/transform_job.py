@@ -9,8 +9,6 @@ small); the lookup is the only join that can be large (shuffle on
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,14 +17,6 @@ from gleaner.plans.order_config import CONFIG, config_df, order_old_entity
 from gleaner.sources import standins as ST
 
 
-class TransformResult(NamedTuple):
-    entries: DataFrame        # entries after the last phase
-    rows: DataFrame           # long rows with entity
-    issues: DataFrame         # issue log
-    column_field: DataFrame   # column -> field log
-    facts_input: DataFrame    # rows shaped for fact creation (T17)
-
-
 def order_raw(spark, d) -> DataFrame:
     return ST.raw_order_rows(spark, d)
 
@@ -59,13 +49,17 @@ def staged(spark, d, upto: str = "old_entity") -> DataFrame:
     return e
 
 
-def run_transform(spark, d) -> TransformResult:
-    e = staged(spark, d)
+def rows(spark, d) -> DataFrame:
+    """Long rows with entity."""
+    return PH.entry_rows(staged(spark, d), with_entity=True)
+
+
+def issues(spark, d) -> DataFrame:
+    """Issue log."""
+    return PH.entry_issues(staged(spark, d))
+
+
+def facts_input(spark, d) -> DataFrame:
+    """Rows shaped for fact creation."""
     priority = F.when(F.col("dataset") == "order-f", 1).otherwise(2)
-    return TransformResult(
-        entries=e,
-        rows=PH.entry_rows(e, with_entity=True),
-        issues=PH.entry_issues(e),
-        column_field=PH.column_field_log(staged(spark, d, "columns")),
-        facts_input=PH.facts_input(e, priority),
-    )
+    return PH.facts_input(staged(spark, d), priority)
