@@ -256,3 +256,31 @@ def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents on 2-word shingles at 80 percent."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_duplicates(docs, shingle=2, percent=80)
+
+
+# Candidates by the rarest shingles of each text (a pair at 0.8 shares one of
+# them), exact sizes of all intersections, reachability.
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
+                             WHEN len(w) = 1 THEN w ELSE [] END) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS MATERIALIZED (SELECT g, count(*) AS c FROM s GROUP BY g),
+p AS MATERIALIZED (
+  SELECT * FROM (SELECT s.doc_id, s.g, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY f.c, s.g) AS r
+                 FROM s JOIN f ON f.g = s.g JOIN n ON n.doc_id = s.doc_id) WHERE r <= n - ceil(0.8 * n) + 1),
+x AS MATERIALIZED (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM p a JOIN p b ON a.g = b.g AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+l AS MATERIALIZED (
+  SELECT x.a, x.b FROM x JOIN s s1 ON s1.doc_id = x.a JOIN s s2 ON s2.doc_id = x.b AND s2.g = s1.g
+  GROUP BY x.a, x.b, na, nb HAVING 100 * count(*) >= 80 * (na + nb - count(*))),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON r.node = e.a),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

@@ -22,10 +22,10 @@ QUERIES = {
     "op1_quality_divergence": (quality_divergence.op1_quality_divergence, None),
     "op2_snapshot_collapse": (snapshot_collapse.op2_snapshot_collapse, snapshot_collapse.OP2_SQL),
     "op3_redirect_equivalence": (url_filter.op3_redirect_equivalence, url_filter.OP3_SQL),
-    "op4_suffix_array_dedup": (suffix_dedup.op4_suffix_array_dedup, None),
+    "op4_suffix_array_dedup": (suffix_dedup.op4_suffix_array_dedup, suffix_dedup.OP4_SQL),
     "op5_candidate_boosting": (pii_boosting.op5_candidate_boosting, None),
     "op6_source_mixing": (mixing.op6_source_mixing, mixing.OP6_SQL),
-    "op7_circulant_minhash": (circulant_minhash.op7_circulant_minhash, None),
+    "op7_circulant_minhash": (circulant_minhash.op7_circulant_minhash, circulant_minhash.OP7_SQL),
     "op8_context_tree_weighting": (context_tree.op8_context_tree_weighting, None),
     "op9_canonical_digests": (license_digests.op9_canonical_digests, license_digests.OP9_SQL),
     "op10_benchmark_decontamination": (decontamination.op10_benchmark_decontamination, decontamination.OP10_SQL),

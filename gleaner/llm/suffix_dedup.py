@@ -277,3 +277,24 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Removed bytes and the digest of what is left, of every document."""
     return remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP4_SQL = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, (length(h) // 2)::BIGINT AS n FROM t),
+q AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2198) AS h, least(1000, n - 99 - base) AS m
+      FROM (SELECT doc_id, h, n, unnest(range(0, n - 99, 1000)) AS base FROM b WHERE n >= 100)),
+g AS MATERIALIZED (SELECT doc_id, base + o AS p, md5_number(substr(h, 2 * o + 1, 200)) AS g FROM (SELECT *, unnest(range(m)) AS o FROM q)),
+f AS (SELECT g, min({'d': doc_id, 'p': p}) AS first FROM g GROUP BY g HAVING count(*) > 1),
+k AS (SELECT g.doc_id, g.p FROM g JOIN f ON f.g = g.g WHERE g.doc_id <> f.first.d OR g.p <> f.first.p),
+i AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(range(p, p + 100)) AS i FROM k),
+v AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE before IS NULL OR before < i - 1) AS n_spans
+      FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM i) GROUP BY doc_id),
+y AS (SELECT doc_id, base, substr(h, 2 * base + 1, 2000) AS h, least(1000, n - base) AS m
+      FROM (SELECT b.doc_id, b.h, b.n, unnest(range(0, b.n, 1000)) AS base FROM b JOIN v ON v.doc_id = b.doc_id)),
+x AS (SELECT doc_id, base + o AS i, substr(h, 2 * o + 1, 2) AS x FROM (SELECT *, unnest(range(m)) AS o FROM y)),
+c AS (SELECT x.doc_id, string_agg(x.x, '' ORDER BY x.i) AS kept FROM x ANTI JOIN i ON i.doc_id = x.doc_id AND i.i = x.i GROUP BY x.doc_id)
+SELECT b.doc_id, b.n AS n_bytes, coalesce(v.n_removed, 0)::BIGINT AS n_removed, coalesce(v.n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN v.doc_id IS NULL THEN b.h ELSE coalesce(c.kept, '') END)) AS kept_sha256
+FROM b LEFT JOIN v ON v.doc_id = b.doc_id LEFT JOIN c ON c.doc_id = b.doc_id
+"""
