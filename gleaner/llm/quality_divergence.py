@@ -185,3 +185,55 @@ def op1_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                               F.round("char_distance", 6).alias("char_distance"), F.round("word_distance", 6).alias("word_distance"))
+
+
+def _common_sql() -> str:
+    """All common words as rows of a VALUES list."""
+    return ", ".join(f"('{w}')" for w in sorted({w for ws in COMMON_WORDS.values() for w in ws}))
+
+
+_XLOG = "CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END"
+
+
+def _js_sql(p: str, q: str) -> str:
+    return f"sqrt(greatest(sum(({_XLOG.format(p=p, q=q)}) + ({_XLOG.format(p=q, q=p)})) / 2, 0))"
+
+
+OP1_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, lang, coalesce(text, '') AS t, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM documents),
+win AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 7], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS p FROM d WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, count(DISTINCT i) AS n FROM (
+          SELECT doc_id, unnest(range(p, p + 8)) AS i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1) GROUP BY doc_id),
+c AS (
+  SELECT d.doc_id, lang, w, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars, length(regexp_replace(t, '[^\p{{Ll}}]+', '', 'g')) AS c0,
+         length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS c1, length(regexp_replace(t, '[^0-9]+', '', 'g')) AS c2,
+         length(regexp_replace(t, '[^!-/:-@\[-`{{-~]+', '', 'g')) AS c4
+  FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id),
+b AS MATERIALIZED (
+  SELECT *, n_chars - word_chars AS c3, word_chars - c0 - c1 - c2 - c4 AS c5,
+         n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM c),
+k AS (SELECT doc_id, i, v FROM (SELECT doc_id, [c0, c1, c2, c3, c4, c5] AS vs, unnest(range(1, 7)) AS i, vs[i]::DOUBLE AS v FROM b)),
+p AS (SELECT doc_id, i, CASE WHEN sum(v) OVER (PARTITION BY doc_id) > 0 THEN v / sum(v) OVER (PARTITION BY doc_id) ELSE 0 END AS p FROM k),
+good AS (SELECT doc_id, lang, n_words FROM b WHERE NOT base_failed AND lang IN ({', '.join(f"'{x}'" for x in COMMON_WORDS)})),
+q AS (SELECT lang, i, v / sum(v) OVER (PARTITION BY lang) AS q FROM (SELECT lang, i, sum(v) AS v FROM k JOIN good ON good.doc_id = k.doc_id GROUP BY lang, i)),
+cd AS (SELECT doc_id, min(js) AS char_distance FROM (SELECT p.doc_id, q.lang, {_js_sql('p.p', 'q.q')} AS js FROM p JOIN q ON q.i = p.i GROUP BY p.doc_id, q.lang) GROUP BY doc_id),
+common(word) AS (VALUES {_common_sql()}),
+h AS (SELECT doc_id, x AS word, count(*) AS n FROM (SELECT doc_id, lower(unnest(w)) AS x FROM b) WHERE x IN (SELECT word FROM common) GROUP BY doc_id, x),
+wq AS (SELECT lang, word, sum(n) / any_value(total) AS q FROM (SELECT good.lang, h.word, h.n, total FROM h JOIN good ON good.doc_id = h.doc_id
+         JOIN (SELECT lang, sum(n_words)::DOUBLE AS total FROM good GROUP BY lang) g ON g.lang = good.lang) GROUP BY lang, word),
+langs AS (SELECT lang FROM good GROUP BY lang HAVING sum(n_words) > 0),
+wp AS (SELECT b.doc_id, langs.lang, common.word, coalesce(h.n, 0) / n_words::DOUBLE AS p, coalesce(wq.q, 0) AS q
+       FROM b CROSS JOIN langs CROSS JOIN common LEFT JOIN h ON h.doc_id = b.doc_id AND h.word = common.word
+       LEFT JOIN wq ON wq.lang = langs.lang AND wq.word = common.word WHERE n_words > 0),
+wa AS (SELECT * FROM wp UNION ALL SELECT doc_id, lang, NULL, greatest(1 - sum(p), 0), greatest(1 - sum(q), 0) FROM wp GROUP BY doc_id, lang),
+wd AS (SELECT doc_id, min(js) AS word_distance FROM (SELECT doc_id, lang, {_js_sql('p', 'q')} AS js FROM wa GROUP BY doc_id, lang) GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(n_chars >= {MIN_CHARS} AND char_distance > {MAX_CHAR_DISTANCE}, false)
+         AND NOT coalesce(n_words >= {MIN_HISTOGRAM_WORDS} AND word_distance > {MAX_WORD_DISTANCE}, false) AS kept,
+       round(char_distance, 6) AS char_distance, round(word_distance, 6) AS word_distance
+FROM b LEFT JOIN cd ON cd.doc_id = b.doc_id LEFT JOIN wd ON wd.doc_id = b.doc_id
+"""

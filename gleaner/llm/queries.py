@@ -19,7 +19,7 @@ from gleaner.llm import (
 )
 
 QUERIES = {
-    "op1_quality_divergence": (quality_divergence.op1_quality_divergence, None),
+    "op1_quality_divergence": (quality_divergence.op1_quality_divergence, quality_divergence.OP1_SQL),
     "op2_snapshot_collapse": (snapshot_collapse.op2_snapshot_collapse, snapshot_collapse.OP2_SQL),
     "op3_redirect_equivalence": (url_filter.op3_redirect_equivalence, url_filter.OP3_SQL),
     "op4_suffix_array_dedup": (suffix_dedup.op4_suffix_array_dedup, suffix_dedup.OP4_SQL),
