@@ -38,3 +38,23 @@ def test_incremental_log_loading(spark, tmp_path):
     assert back.count() == 4
     assert sorted(str(r["log_date"]) for r in back.select("log_date").distinct().collect()) == [
         "2024-01-01", "2024-01-02", "2024-01-03"]
+
+
+def test_logs_with_other_headers_and_a_replayed_batch(spark, tmp_path):
+    day = tmp_path / "log" / "2024-03-01"
+    day.mkdir(parents=True)
+    (day / "one.csv").write_text("endpoint,resource,status,entry-date\ne1,r1,200,2024-03-01T01:00:00Z\n")
+    (day / "two files.csv").write_text('status,entry-date,"resource",extra,endpoint\n404,2024-03-01,,x,e2\n')
+    table, state = str(tmp_path / "table"), str(tmp_path / "state")
+    assert INC.load_new_logs(spark, str(tmp_path / "log"), table, state) == 2
+    # the same files again under a fresh state are batch 0 again: replaced, not doubled
+    assert INC.load_new_logs(spark, str(tmp_path / "log"), table, str(tmp_path / "other")) == 2
+    got = sorted((r["endpoint"], r["resource"], r["status"], str(r["entry_date"]), str(r["log_date"])) for r in spark.read.parquet(table).collect())
+    assert got == [("e1", "r1", "200", "2024-03-01", "2024-03-01"), ("e2", None, "404", "2024-03-01", "2024-03-01")]
+
+
+def test_a_resource_without_name_is_kept_and_callbacks_see_whole_resources(spark):
+    rows = [("a", k) for k in range(95)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "resource string, value long").repartition(6)
+    got = {r["resource"]: (r["ok"], r["rows"]) for r in B.run_with_errors(df, lambda pdf: pdf).collect()}
+    assert got == {"a": (True, 95), None: (True, 2)}
