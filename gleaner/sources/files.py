@@ -250,9 +250,13 @@ def scan_raw_resource(spark: SparkSession, path: str, fmt: str = "csv", multi_li
     return number_file_rows(df)
 
 
-def _file_name(path):
-    """Last part of a file URI, decoded."""
-    return F.url_decode(F.replace(F.regexp_extract(path, r"([^/]+)$", 1), F.lit("+"), F.lit("%2B")))
+def decoded(uri):
+    """A file URI as it stands in ``_metadata.file_path``, as a path to read."""
+    return F.url_decode(F.replace(F.col(uri) if isinstance(uri, str) else uri, F.lit("+"), F.lit("%2B")))
+
+
+def _file_name(uri):
+    return decoded(F.regexp_extract(uri, r"([^/]+)$", 1))
 
 
 def scan_raw_cells(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -286,4 +290,4 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
         if _path_missing(err):
             return spark.createDataFrame([], "resource string, path string")
         raise
-    return files.select(_file_name("path").alias("resource"), "path")
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("resource"), "path")

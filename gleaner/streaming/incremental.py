@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.sources.files import csv_by_header
+from gleaner.sources.files import csv_by_header, decoded
 
 FILES_PER_BATCH = 1000
 
@@ -22,7 +22,7 @@ def log_files(spark: SparkSession, log_dir: str) -> DataFrame:
     """The daily log files as a stream of their lines' paths."""
     raw = (spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", FILES_PER_BATCH)
            .text(log_dir))
-    return raw.select(F.col("_metadata.file_path").alias("path"))
+    return raw.select(decoded(F.col("_metadata.file_path")).alias("path"))
 
 
 def read_logs(spark: SparkSession, paths: list[str]) -> DataFrame | None:
