@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.bytescan import U64, chunks, mix, shingle_sets, text_bytes, word_hashes, words
-from gleaner.llm.common import private_names, read_table, write_out
+from gleaner.llm.common import broadcast_if_few, private_names, read_table, write_out
 from gleaner.llm.components import connected_components
 
 BANDS = 40
@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     keyed = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("bucket")
     waiting = write_out(keyed.join(shared, "bucket", "left_semi"))
-    members = waiting.select("rep").distinct()
+    members = broadcast_if_few(write_out(waiting.select("rep").distinct()))  # texts of the others stay where they are
     own_sets = write_out(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("t")).join(members, "rep", "left_semi")
                          .dropDuplicates(["rep"]).mapInArrow(_setter(shingle), "rep long, elements binary"))
     links, parts = None, None
@@ -249,7 +249,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", **params) -> DataFrame:
     stay. Repeated rows of one id stay together."""
     gone_id = private_names(docs.columns, ["gone"])["gone"]
     gone = near_duplicates(docs, doc_id=doc_id, **params).filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct()
-    return docs.join(gone, docs[doc_id].cast("long") == F.col(gone_id), "left_anti")
+    return docs.join(broadcast_if_few(write_out(gone)), docs[doc_id].cast("long") == F.col(gone_id), "left_anti")
 
 
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,6 +23,17 @@ def write_out(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
+#: Rows of ids that may be sent to every task; beyond it Spark plans the join.
+FEW_IDS = 500_000
+
+
+def broadcast_if_few(ids: DataFrame, limit: int = FEW_IDS) -> DataFrame:
+    """``ids`` (a stored table of a few narrow columns) with a broadcast hint
+    if it has at most ``limit`` rows, so that what it is joined to need not be
+    shuffled; without one beyond that."""
+    return F.broadcast(ids) if ids.count() <= limit else ids
+
+
 def lower_ascii(text: Column) -> Column:
     """Lower-case A-Z alone; other letters stay as they are."""
     return F.translate(text, _UPPER, _UPPER.lower())

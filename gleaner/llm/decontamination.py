@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import fill_null, lower_ascii, private_names, read_table, write_out
+from gleaner.llm.common import broadcast_if_few, fill_null, lower_ascii, private_names, read_table, write_out
 
 WINDOW = 10
 BLOCK = 20_000
@@ -141,7 +141,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
     n = private_names(docs.columns, ["bad_doc", "bad_key"])
     bad = found.select(F.col("doc").alias(n["bad_doc"]), F.col("key").alias(n["bad_key"])).distinct()
     same = docs[doc_id].eqNullSafe(F.col(n["bad_doc"])) & (F.xxhash64(docs[text].isNull(), docs[text]) == F.col(n["bad_key"]))
-    return docs.join(bad, same, "left_anti")
+    return docs.join(broadcast_if_few(write_out(bad)), same, "left_anti")
 
 
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
