@@ -12,12 +12,16 @@ in the corpus (smaller ``doc_id``, or the same document at an earlier place).
    equal context repeats it entirely. First runs of a context whose anchor
    also has other contexts go on: there, matches begin or end.
 3. Shards. Those contexts are cut at the anchor's two sides (every string holds
-   34 bytes before or after the anchor's) and dealt by those bytes; a shard
-   gets a suffix array by induced sorting, permuted common prefixes find
-   equal strings, and all but the earliest of each are repeats.
+   34 bytes before or after the anchor's) and range-partitioned by those bytes,
+   doc_id and place; a shard gets a suffix array by induced sorting, permuted
+   common prefixes find equal strings, and all but the earliest of each are
+   repeats. A key of more than _HOT contexts, and one that a neighbouring
+   partition may continue, gets none: its strings are hashed one by one, sorted
+   over all partitions by (hash, doc_id, start) and compared with neighbours.
 4. Runs and strings found are united to spans by document and cut out.
 
-Anchors and contexts are compared by 64-bit hashes each (128 together).
+Anchors and contexts are compared by 64-bit hashes each (128 together),
+strings of hot keys by 128-bit hashes.
 
 Defined results: NULL text is empty; texts under LENGTH bytes lose nothing;
 matches never cross documents; a NULL ``doc_id`` sorts first; rows that share
@@ -47,6 +51,7 @@ _SIDE = 34  # of the LENGTH - GRAM bytes beside an anchor, one side has as many
 _PLACE = U64((1 << 31) - 1)
 _NO_ID = -(1 << 63)
 _SHARD_BYTES = 1 << 20
+_HOT = _SHARD_BYTES // (2 * LENGTH)  # contexts of one key that a suffix array takes
 _REPEATS, _OPEN = 0, 1
 
 
@@ -106,29 +111,39 @@ def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated and open runs of one sorted partition."""
-    columns: list[list[np.ndarray]] = [[], [], [], []]
-    for batch in batches:
-        for held, column in zip(columns, batch.columns):
-            held.append(column.to_numpy(zero_copy_only=False))
-    if not columns[0]:
-        return
-    anchor, context, doc, place = (np.concatenate(c) for c in columns)
-    n = len(anchor)
-    new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
-    new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
-    first = np.maximum.accumulate(np.where(new_context, np.arange(n), 0))
-    repeats = (doc != doc[first]) | (place != place[first])
-    group = np.cumsum(new_anchor) - 1
-    contexts = np.bincount(group, weights=new_context)
+    """Repeated and open runs of one sorted partition; of what was read, only
+    the first run of the last context is held."""
+    carry: list[np.ndarray] = []
     # what a neighbouring partition may continue stays open
-    contexts[[0, -1]] = 2
-    open_ = new_context & (contexts[group] > 1)
-    rows = np.flatnonzero(repeats | open_)
-    for k in range(0, len(rows), 65_536):
-        at = rows[k:k + 65_536]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.where(repeats[at], _REPEATS, _OPEN).astype(np.int32)), pa.array(doc[at]), pa.array(place[at])], names=["kind", "doc_id", "place"])
+    several, sent = True, False  # the last anchor has several contexts; carry was given out
+
+    def given(kinds: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(kinds), 65_536):
+            kind, doc, place = (c[k:k + 65_536] for c in (kinds, *columns[2:]))
+            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), pa.array(doc), pa.array(place)], names=["kind", "doc_id", "place"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if carry:
+            columns = [np.concatenate(c) for c in zip(carry, columns)]
+        anchor, context, doc, place = columns
+        new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
+        new_context = new_anchor | np.concatenate([[True], context[1:] != context[:-1]])
+        first = np.maximum.accumulate(np.where(new_context, np.arange(len(anchor)), 0))
+        repeats = (doc != doc[first]) | (place != place[first])
+        group = np.cumsum(new_anchor) - 1
+        contexts = np.bincount(group, weights=new_context)
+        contexts[0] += several
+        open_ = new_context & (contexts[group] > 1)
+        open_[0] &= not sent
+        rows = np.flatnonzero(repeats | open_)
+        yield from given(np.where(repeats[rows], _REPEATS, _OPEN), [c[rows] for c in columns])
+        carry = [c[first[-1]:first[-1] + 1].copy() for c in columns]
+        several = sent = bool(contexts[-1] > 1)
+    if carry and not sent:
+        yield from given(np.array([_OPEN]), carry)
 
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,40 +201,125 @@ def repeated_starts(parts: list[bytes], docs: np.ndarray, firsts: np.ndarray) ->
     return part[later], offset[later]
 
 
-def _search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted contexts -> (doc_id, first, count) of repeated starts. Contexts of
-    one key stay together; keys are put together up to _SHARD_BYTES."""
-    held: list[tuple[int, int, int, bytes]] = []
-    size, kept = 0, 0  # bytes held; rows of finished keys among held
-
-    def search(rows: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        if len(rows) < 2:
-            return
-        # equal bytes under equal keys are one context: its earliest stands for it
-        docs, firsts = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-        part, offset = repeated_starts([r[3] for r in rows], docs, firsts)
-        if len(part):
-            doc, start = docs[part], firsts[part] + offset
-            by = np.lexsort((start, doc))
-            doc, start = doc[by], start[by]
-            heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)]))
-            ends = np.append(heads[1:], len(doc)) - 1
-            yield pa.RecordBatch.from_arrays([pa.array(doc[heads]), pa.array(start[heads]), pa.array(start[ends] - start[heads] + 1)], names=["doc_id", "first", "count"])
+def _searcher(hot: int):
+    def search_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted contexts -> (doc_id, first, count) of repeated starts. Contexts
+        of one key stay together; keys are put together up to _SHARD_BYTES. The
+        contexts of keys with more than ``hot`` of them, and of the first and
+        last key, are given back with their bytes."""
+        held: list[tuple[int, int, int, bytes]] = []
+        back: list[tuple[int, int, int, bytes]] = []
+        size, kept = 0, 0  # bytes held; rows of finished keys among held
+        key, passed = None, True  # the key being read; whether its contexts go back
+
+        def give_back() -> Iterator[pa.RecordBatch]:
+            nonlocal back
+            if back:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(back), _OPEN, np.int32)), pa.array([r[1] for r in back], pa.int64()), pa.array([r[2] for r in back], pa.int64()),
+                     pa.array([None] * len(back), pa.int64()), pa.array([r[3] for r in back], pa.binary())], names=["kind", "doc_id", "first", "count", "bytes"])
+                back = []
+
+        def search(rows: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+            if len(rows) < 2:
+                return
+            # equal bytes under equal keys are one context: its earliest stands for it
+            docs, firsts = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+            part, offset = repeated_starts([r[3] for r in rows], docs, firsts)
+            if len(part):
+                doc, start = docs[part], firsts[part] + offset
+                by = np.lexsort((start, doc))
+                doc, start = doc[by], start[by]
+                heads = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)]))
+                ends = np.append(heads[1:], len(doc)) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(heads), _REPEATS, np.int32)), pa.array(doc[heads]), pa.array(start[heads]), pa.array(start[ends] - start[heads] + 1),
+                     pa.array([None] * len(heads), pa.binary())], names=["kind", "doc_id", "first", "count", "bytes"])
+
+        for batch in batches:
+            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if row[0] != key:
+                    passed = key is None
+                    key = row[0]
+                    if kept == len(held) - 1:  # a key with one context repeats nothing
+                        size -= len(held.pop()[3])
+                    kept = len(held)
+                    if size >= _SHARD_BYTES:
+                        yield from search(held)
+                        held, size, kept = [], 0, 0
+                if not passed and len(held) - kept == hot:
+                    passed = True
+                    back += held[kept:]
+                    size -= sum(len(r[3]) for r in held[kept:])
+                    del held[kept:]
+                if passed:
+                    back.append(row)
+                    if len(back) >= 1_024:
+                        yield from give_back()
+                else:
+                    held.append(row)
+                    size += len(row[3])
+        back += held[kept:]
+        yield from give_back()
+        yield from search(held[:kept])
+    return search_shards
+
+
+def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts -> (128-bit hash, doc_id, start) of each of their strings."""
+    names = ["high", "low", "doc_id", "start"]
+    for batch in batches:
+        for k in range(0, batch.num_rows, 1_024):
+            part = batch.slice(k, 1_024)
+            digests, ids, starts = [], [], []
+            for doc, first, own in zip(*(part.column(c).to_pylist() for c in range(3))):
+                count = len(own) - LENGTH + 1
+                digests += [hashlib.blake2b(own[j:j + LENGTH], digest_size=16).digest() for j in range(count)]
+                ids += [doc] * count
+                starts += range(first, first + count)
+            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(ids, pa.int64()), pa.array(starts, pa.int64())], names=names)
+
+
+def _compare_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeated strings of one sorted partition; its first string and the first
+    of its last group stay open, as neighbours may hold more of their groups."""
+    carry: list[np.ndarray] = []
+
+    def given(kind: int, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(columns[0]), 65_536):
+            cut = [c[k:k + 65_536] for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(cut[0]), kind, np.int32)), *map(pa.array, cut)], names=["kind", "high", "low", "doc_id", "start"])
 
     for batch in batches:
-        for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-            if held and held[-1][0] != row[0]:
-                if kept == len(held) - 1:  # a key with one context repeats nothing
-                    size -= len(held.pop()[3])
-                kept = len(held)
-                if size >= _SHARD_BYTES:
-                    yield from search(held)
-                    held, size, kept = [], 0, 0
-            held.append(row)
-            size += len(row[3])
-    if kept == len(held) - 1:
-        held.pop()
-    yield from search(held)
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if carry:
+            columns = [np.concatenate(c) for c in zip(carry, columns)]
+        else:
+            yield from given(_OPEN, [c[:1] for c in columns])
+        high, low, doc, start = columns
+        new = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])])
+        first = np.maximum.accumulate(np.where(new, np.arange(len(high)), 0))
+        rows = np.flatnonzero((doc != doc[first]) | (start != start[first]))
+        yield from given(_REPEATS, [c[rows] for c in columns])
+        carry = [c[first[-1]:first[-1] + 1].copy() for c in columns]
+    if carry:
+        yield from given(_OPEN, carry)
+
+
+def _repeated_strings(contexts: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, first, count) of repeated starts, without bringing a key together."""
+    keys = ["high", "low", "doc_id", "start"]
+    strings = contexts.mapInArrow(_cut_strings, "high long, low long, doc_id long, start long")
+    compared = write_out(strings.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(
+        _compare_strings, "kind int, high long, low long, doc_id long, start long"))
+    # two rows of a partition at most
+    edges = compared.filter(F.col("kind") == _OPEN).groupBy("high", "low").agg(F.sort_array(F.collect_set(F.struct("doc_id", "start"))).alias("at"))
+    edges = edges.select(F.explode(F.slice("at", F.lit(2), F.size("at"))).alias("at")).select("at.doc_id", "at.start")
+    repeated = compared.filter(F.col("kind") == _REPEATS).select("doc_id", "start").unionAll(edges)
+    return repeated.select("doc_id", F.col("start").alias("first"), F.lit(1).cast("long").alias("count"))
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,8 +337,12 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     contexts = named.join(wanted, F.col("doc_id") == F.col("id")).select("doc_id", "text", "places").mapInArrow(
         _cut_contexts, "shard long, doc_id long, first long, bytes binary")
     # the earliest of equal contexts stands for them in its shard; later ones repeat it
-    found = contexts.repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_search_shards, "doc_id long, first long, count long")
-    return whole.unionAll(found)
+    keys = ["shard", "doc_id", "first"]
+    found = write_out(contexts.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(
+        _searcher(_HOT), "kind int, doc_id long, first long, count long, bytes binary"))
+    inside = found.filter(F.col("kind") == _REPEATS).select("doc_id", "first", "count")
+    strings = _repeated_strings(found.filter(F.col("kind") == _OPEN).select("doc_id", "first", "bytes"), parts)
+    return whole.unionAll(inside).unionAll(strings)
 
 
 def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

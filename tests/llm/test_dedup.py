@@ -1,5 +1,6 @@
 import brute
 import numpy as np
+import pyarrow as pa
 from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,3 +117,59 @@ def test_unlinked_candidates_meet_in_blocks(spark, monkeypatch):
     want = brute.near_duplicates(rows, 2, 80)
     got = near(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2, percent=80)
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == want
+
+
+def passage_rows(n):
+    """Texts of their own around one passage: at its edges, one key and n contexts."""
+    rng = np.random.default_rng(11)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz ", np.uint8)
+    passage = letters[rng.integers(0, 27, 130)].tobytes().decode()
+    own = [letters[rng.integers(0, 27, 180)].tobytes().decode() for _ in range(n)]
+    return [(k, x[:90] + passage + x[90:]) for k, x in enumerate(own)]
+
+
+def test_a_passage_with_a_new_neighbour_in_every_text(spark):
+    rows = passage_rows(3 * suffix_dedup._HOT // 2)
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)) == brute.repeats(rows)
+
+
+def test_a_hot_key_gets_no_suffix_array(monkeypatch):
+    sizes, own, hot = [], suffix_dedup.repeated_starts, 200
+    monkeypatch.setattr(suffix_dedup, "repeated_starts", lambda parts, *a: sizes.append(len(parts)) or own(parts, *a))
+    keys = [1] * 3 + [2] * 5 + [3] * 5_000 + [4] * 200 + [5] * 2
+    bytes_ = [bytes([65 + k]) * 99 + bytes([97 + j % 3]) for j, k in enumerate(keys)]
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(range(len(keys))), pa.array([0] * len(keys)), pa.array(bytes_)], names=["shard", "doc_id", "first", "bytes"])
+    read = []
+    out = suffix_dedup._searcher(hot)(read.append(k) or rows.slice(k, 100) for k in range(0, len(keys), 100))
+    got = next(out).to_pylist()
+    assert len(read) < 20
+    got += [r for b in out for r in b.to_pylist()]
+    back = sorted(keys[r["doc_id"]] for r in got if r["kind"] == suffix_dedup._OPEN)
+    assert back == [1] * 3 + [3] * 5_000 + [5] * 2  # the first and last key, and the hot one
+    assert sizes == [205]
+    assert sum(r["count"] for r in got if r["kind"] == suffix_dedup._REPEATS) == 205 - 3 - 3
+
+
+def test_strings_dealt_one_by_one_equal_brute_force(spark, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    monkeypatch.setattr(suffix_dedup, "_HOT", 1)
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string")) == brute.repeats(rows)
+
+
+def test_runs_are_compared_batch_by_batch():
+    rng = np.random.default_rng(5)
+    columns = [rng.integers(0, 6, 400), rng.integers(0, 3, 400), rng.integers(0, 20, 400), rng.integers(0, 9, 400)]
+    by = np.lexsort(columns[::-1])
+    whole = pa.RecordBatch.from_arrays([pa.array(c[by]) for c in columns], names=["anchor", "context", "doc_id", "place"])
+
+    def compared(step):
+        read = []
+        out = suffix_dedup._compare_runs(read.append(k) or whole.slice(k, step) for k in range(0, 400, step))
+        rows = next(out).to_pylist()
+        seen = len(read)
+        return seen, sorted(tuple(r.values()) for r in rows + [r for b in out for r in b.to_pylist()])
+
+    one, want = compared(400)
+    for step in (1, 7, 90):
+        seen, got = compared(step)
+        assert got == want and seen < 4
