@@ -1,21 +1,29 @@
 """License scans by canonical digest, in DataFrame operations only.
 
-A text is made canonical (case folded, copyright lines and all punctuation
+A text is made canonical (case folded, copyright notices and all punctuation
 dropped, equivalent spellings unified) and its SHA-256 is hash-joined to those
 of known licence texts. Entire texts are compared; besides, every line of a
 document is looked up, as licence statements often stand on a line of their
 own.
 
+A line is a copyright notice if it begins with ``copyright``, ``(c)`` or the
+sign, unless the next word shows a wrapped line or a clause of a licence.
+Holders named inside a text (BSD's last clause) make it another text.
+
 Defined results: NULL and empty texts, and texts of copyright lines alone,
 have no digest and match nothing; known licences with the same canonical text
 are told by the least name; equal rows are judged alike; other columns are
-ignored. The known texts are a parameter: a list is at most a few hundred
+ignored. The SQL twin knows ``KNOWN`` alone and drops every line that begins
+like a notice, so the two agree on tables without whole licences or wrapped
+copyright lines. The known texts are a parameter: a list is at most a few hundred
 short texts, whose digests are literals of the plan.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,19 +61,49 @@ KNOWN = (
     ("MIT", _GRANT_MIT),
     ("MIT", "Released under the MIT License."),
 )
+#: Entire texts under ``licenses/``: heading lines that may stand before them, and where their appendix begins.
+_HEADS = {"BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License"), "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License")}
+_APPENDIX = ("APPENDIX: How to apply", "How to Apply These Terms")
+
+
+def _whole_texts() -> Iterator[tuple[str, str]]:
+    for file in sorted(resources.files("gleaner.llm").joinpath("licenses").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        texts = [text]
+        for mark in _APPENDIX:
+            # the last mention is the heading
+            if mark in text:
+                texts.append(text[:text.rindex(mark)])
+        if name in _HEADS:
+            texts.append(re.sub(r"(?m)^[123]\. ", "* ", text))
+            texts += [f"{head}\n{t}" for t in texts for head in _HEADS[name]]
+        for t in texts:
+            yield name, t
+
+
+#: Fixed values: ``KNOWN`` and the entire texts of common licences.
+EVERY = KNOWN + tuple(_whole_texts())
 #: Spellings that count as equal, after punctuation is gone.
 SPELLINGS = (
     ("licence", "license"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("non commercial", "noncommercial"),
     ("copyright owner", "copyright holder"), ("organisation", "organization"), ("authorisation", "authorization"), ("recognise", "recognize"),
     ("favour", "favor"), ("per cent", "percent"), ("https", "http"), ("while", "whilst"),
 )
-_COPYRIGHT = r"(^|\n)[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*"
+_COPYRIGHT = r"(^|\n)[^a-z0-9\n]*(?:copyright|\(c\)|©)[^\n]*"  # of the SQL twin
+#: Words that follow "copyright", or the mark of a clause (c), in the body of a licence.
+_BODY_WORDS = (
+    "act|also|and|as|are|assignments?|at|claims?|disclaimers?|doctrines?|does|exceptions?|for|grants?|has|have|holders?|if|in|interests?|is|it|laws?|licen[cs]es?|like|limitations?|lines?|may|notices?|of|on|"
+    "or|ownership|owners?|patents?|permission|protection|resulting|rights?|shall|statements?|status|that|the[^\\p{L}\\p{N}\\n]+(?:library|software)|those|to|trademarks?|treaty|under|which|without")
+_CLAUSE_WORDS = "any|each|for|if|in|such|that|this|to|under|when|where|you"
+_NOTICE = (
+    rf"(^|\n)[^a-z0-9\n]*(?:copyright(?!\p{{L}})(?![^\p{{L}}\p{{N}}\n]*(?:{_BODY_WORDS})(?![\p{{L}}\p{{N}}]))"
+    rf"|\(c\)(?![^\p{{L}}\p{{N}}\n]*(?:{_CLAUSE_WORDS})(?![\p{{L}}\p{{N}}]))|©)[^\n]*")
 _GAP = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
     x = F.lower(fill_null(text))
-    x = F.when(x.contains("copyright") | x.contains("(c)") | x.contains("©"), F.regexp_replace(x, _COPYRIGHT, "\n")).otherwise(x)
+    x = F.when(x.contains("copyright") | x.contains("(c)") | x.contains("©"), F.regexp_replace(x, _NOTICE, "\n")).otherwise(x)
     x = F.regexp_replace(x, _GAP, " ")
     for old, new in SPELLINGS:
         x = F.replace(x, F.lit(old), F.lit(new))
@@ -73,7 +111,7 @@ def canonical(text: Column) -> Column:
 
 
 def canonical_sql(text: str) -> str:
-    """``canonical`` in DuckDB's SQL."""
+    """``canonical`` in DuckDB's SQL, with any line that begins like a notice."""
     x = f"regexp_replace(lower(coalesce({text}, '')), '{_COPYRIGHT}', chr(10), 'g')"
     x = f"regexp_replace({x}, '{_GAP}', ' ', 'g')"
     for old, new in SPELLINGS:
@@ -87,7 +125,7 @@ def digest(text: Column) -> Column:
     return F.when(c != "", F.sha2(c, 256))
 
 
-def scan_licenses(docs: DataFrame, known: Sequence[tuple[str, str]] = KNOWN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan_licenses(docs: DataFrame, known: Sequence[tuple[str, str]] = EVERY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, digest, license (of the entire text), line_licenses (names of
     licences that lines state, sorted, comma-joined), one row per input row."""
     names = literal_df(docs.sparkSession, list(known), "license string, text string")

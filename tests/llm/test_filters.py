@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 import pandas as pd
 import pytest
@@ -125,3 +127,27 @@ def test_licences_by_canonical_text(spark, edge_docs, empty_docs):
     assert license_digests.scan_licenses(edge_docs).count() == edge_docs.count()
     assert license_digests.scan_licenses(empty_docs).count() == 0
     assert license_digests.scan_licenses(docs, known=[]).filter("license is not null").count() == 0
+
+
+def test_wrapped_licences_keep_their_copyright_lines(spark):
+    def wrapped(text, width):
+        paragraphs = "\n".join(line.strip() for line in text.split("\n")).split("\n\n")
+        # lines of a notice are never joined to others
+        return "\n\n".join(x if "copyright (c)" in x.lower() else textwrap.fill(x, width, break_long_words=False, break_on_hyphens=False) for x in paragraphs)
+
+    isc = license_digests._ISC.replace("this permission", "\nthis permission").replace("above copyright", "above\ncopyright")
+    rows = [("ISC", "ISC License\n\nCopyright (c) 2020, Some One\n\n" + isc)]
+    for name, text in license_digests.EVERY:
+        if len(text) > 200:
+            rows += [(name, text)] + [(name, "Copyright Some One and other contributors\n(c) The Others\n\n" + wrapped(line, w)) for line in [text] for w in (72, 76, 80)]
+    docs = spark.createDataFrame([(k, t) for k, (_n, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license"] for r in license_digests.scan_licenses(docs).collect()}
+    assert [(n, k) for k, (n, _t) in enumerate(rows) if got[k] != n] == []
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "MPL-2.0", "Unlicense"} <= set(got.values())
+
+
+def test_wrapped_body_line_is_not_a_notice(spark):
+    rows = [("copyright notice and this permission notice appear in all copies.", True), ("COPYRIGHT HOLDERS BE LIABLE", True), ("(c) You must retain all notices", True),
+            ("Copyright (c) 2020 X", False), ("Copyright 2020 X", False), ("Copyright by X", False), ("(c) Others", False), ("\u00a9 X", False), ("Copyright Joyent, Inc.", False), ("Copyright [yyyy] [name of copyright owner]", False)]
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    assert [r["digest"] is not None for r in license_digests.scan_licenses(docs).orderBy("doc_id").collect()] == [kept for _t, kept in rows]
