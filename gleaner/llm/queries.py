@@ -9,7 +9,9 @@ from gleaner.llm import (
     circulant_minhash,
     context_tree,
     decontamination,
+    fill_middle,
     license_digests,
+    line_dedup,
     mixing,
     pii_boosting,
     quality_divergence,
@@ -29,4 +31,6 @@ QUERIES = {
     "op8_context_tree_weighting": (context_tree.op8_context_tree_weighting, None),
     "op9_canonical_digests": (license_digests.op9_canonical_digests, license_digests.OP9_SQL),
     "op10_benchmark_decontamination": (decontamination.op10_benchmark_decontamination, decontamination.OP10_SQL),
+    "op12_fill_in_middle": (fill_middle.op12_fill_in_middle, fill_middle.OP12_SQL),
+    "op13_line_dedup": (line_dedup.op13_line_dedup, line_dedup.OP13_SQL),
 }

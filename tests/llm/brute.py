@@ -116,3 +116,39 @@ def unigram(rows):
         score = sum(math.log10((counts[x] + 1) / (n + v + 1)) for x in w) + math.log10((len(train) + 1) / (n + v + 1))
         out[i] = (held(i), len(w) + 1, sum(x in counts for x in w) + bool(train), n, score)
     return out
+
+
+_UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+def fill_middle(doc_id, text):
+    """(n, form, prefix chars, middle chars, output)."""
+    t = text or ""
+    units = _UNIT.findall(t)
+    n, h = len(units), hashlib.sha256(f"42:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[k:k + 8], 16) for k in (0, 8, 16, 24))
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+    if not t or any(x in t for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 50:
+        return n, "plain", None, None, t
+    if h4 % 100 < 80:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def common_lines(rows, min_chars=1, min_docs=10):
+    """[(id, n, dropped, rest)] of (id, text) rows; NULL ids count by text."""
+    def key(line):
+        return line.strip(" \t\n\v\f\r").translate(_FOLD)
+
+    holders = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add((i, t if i is None else None))
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        rest = [x for x in lines if len(holders.get(key(x), ())) < min_docs]
+        out.append((i, len(lines), len(lines) - len(rest), "\n".join(rest)))
+    return out
