@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from gleaner.llm import (
     circulant_minhash,
+    collocations,
     context_tree,
     decontamination,
     fill_middle,
@@ -31,6 +32,7 @@ QUERIES = {
     "op8_context_tree_weighting": (context_tree.op8_context_tree_weighting, None),
     "op9_canonical_digests": (license_digests.op9_canonical_digests, license_digests.OP9_SQL),
     "op10_benchmark_decontamination": (decontamination.op10_benchmark_decontamination, decontamination.OP10_SQL),
+    "op11_phrase_collocations": (collocations.op11_phrase_collocations, collocations.OP11_SQL),
     "op12_fill_in_middle": (fill_middle.op12_fill_in_middle, fill_middle.OP12_SQL),
     "op13_line_dedup": (line_dedup.op13_line_dedup, line_dedup.OP13_SQL),
 }

@@ -152,3 +152,28 @@ def common_lines(rows, min_chars=1, min_docs=10):
         rest = [x for x in lines if len(holders.get(key(x), ())) < min_docs]
         out.append((i, len(lines), len(lines) - len(rest), "\n".join(rest)))
     return out
+
+
+def collocations(rows, least=100, longest=5, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] of (lang, text) rows."""
+    counts, totals = {}, Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(_FOLD)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            own = counts.setdefault(lang, Counter())
+            for k in range(1, longest + 1):
+                own.update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        n, found = totals[lang], {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        gone = {q for p, a in found.items() for k in range(2, len(p)) for i in range(len(p) - k + 1) for q in [p[i:i + k]] if a >= f[q]}
+        ranked = []
+        for p, a in found.items():
+            if p not in gone:
+                score, _k, l, r = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k, f[p[:k]], f[p[k:]]) for k in range(1, len(p)))
+                ranked.append((-score, -a, " ".join(p).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(ranked)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, n, -score))
+    return out
