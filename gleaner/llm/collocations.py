@@ -10,7 +10,9 @@ Phrases are of one language each and never cross a piece (a stretch without
    takes several rounds over the stored runs.
 2. Level by level (2 to ``longest`` words): a phrase is a candidate if it
    occurs, and its first and last words but one are frequent phrases of the
-   level before, so that no frequent phrase is missed. Candidates are cut by
+   level before, so that no frequent phrase is missed. Pairs have only single
+   words below them, and nearly all of them would pass: what the tasks met of
+   a pair, summed, bounds its support first. Candidates are cut by
    hash into shards of about PHRASES; each shard becomes a double-array trie
    that is broadcast, all places of a run move through it at once, symbol by
    symbol, and accepting states are counted by ``bincount``. A task sends one
@@ -191,28 +193,52 @@ def _rows(matrix: np.ndarray, last: np.ndarray, names: list[str]) -> Iterator[pa
         yield pa.RecordBatch.from_arrays([*columns, pa.array(last[k:k + _BATCH])], names=names)
 
 
-def _proposer(sent: Broadcast | None, width: int):
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    own, at = np.unique(np.concatenate(keys), return_inverse=True)
+    total = np.zeros(len(own), np.int64)
+    np.add.at(total, at, np.concatenate(counts))
+    return own, total
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct pairs of neighbours, with how often a task met them."""
+    held, counts, size = [], [], 0
+
+    def given(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from _rows(np.stack([keys >> 32, keys & 0xFFFFFFFF], axis=1).astype(np.int32), n, ["c1", "c2", "f"])
+
+    for codes in _runs(batches):
+        both = (codes[:-1] != 0) & (codes[1:] != 0)
+        keys, n = np.unique((codes[:-1][both].astype(np.int64) << 32) | codes[1:][both], return_counts=True)
+        held.append(keys)
+        counts.append(n)
+        size += len(keys)
+        if size > 2 * _HELD:
+            keys, n = _merged(held, counts)
+            held, counts, size = [keys], [n], len(keys)
+            if size > _HELD:
+                yield from given(keys, n)
+                held, counts, size = [], [], 0
+    if held:
+        yield from given(*_merged(held, counts))
+
+
+def _proposer(sent: Broadcast, width: int):
     names = [f"c{w}" for w in range(1, width + 1)]
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct phrases of ``width`` words that begin with one of the trie's
-        (with any word, for two words)."""
-        phrases, trie = sent.value if sent else (None, None)
+        """Distinct phrases of ``width`` words that begin with one of the trie's."""
+        phrases, trie = sent.value
         held: list[np.ndarray] = []
         size = 0
 
         def given(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-            head, last = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32)
-            yield from _rows(head.astype(np.int32)[:, None] if phrases is None else phrases[head], last, names)
+            yield from _rows(phrases[keys >> 32], (keys & 0xFFFFFFFF).astype(np.int32), names)
 
         for codes in _runs(batches):
-            if trie is None:
-                places, head = np.flatnonzero(codes[:-1]), codes[:-1][codes[:-1] != 0]
-            else:
-                places, head = trie.walk(codes[:-1])
+            places, head = trie.walk(codes[:-1])
             follow = codes[places + width - 1]
-            keys = (head[follow != 0].astype(np.int64) << 32) | follow[follow != 0]
-            held.append(np.unique(keys))
+            held.append(np.unique((head[follow != 0].astype(np.int64) << 32) | follow[follow != 0]))
             size += len(held[-1])
             if size > _HELD:
                 held = [np.unique(np.concatenate(held))]
@@ -270,7 +296,8 @@ def frequent_phrases(runs: DataFrame, n_words: int, min_count: int = MIN_COUNT,
         names = [f"c{w}" for w in range(1, width + 1)]
         ddl = ", ".join(f"{c} int" for c in names)
         if width == 2:
-            seen = write_out(runs.mapInArrow(_proposer(None, 2), ddl).distinct())
+            met = runs.mapInArrow(_pairs, f"{ddl}, f long").groupBy(*names).agg(F.sum("f").alias("bound"))
+            seen = write_out(met.filter(F.col("bound") >= min_count).select(*names))
         else:
             heads = _in_tries(runs, levels[-1], names[:-1], n_symbols, shard, lambda sent: _proposer(sent, width), ddl)
             tails = levels[-1].select(*[F.col(a).alias(b) for a, b in zip(names, names[1:])])
