@@ -99,18 +99,18 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
 
     for batch in batches:
-        langs = batch.column(0).fill_null("und")
+        langs = batch.column(0).fill_null("und").to_pylist()
         for raw, starts, ends, row, _begins, hashes in _coded_chunks(batch):
             own, first, n = np.unique(hashes.view(np.int64), return_index=True, return_counts=True)
             for h, k, count in zip(own.tolist(), first.tolist(), n.tolist()):
-                key = (h, langs[int(row[k])].as_py())
+                key = (h, langs[int(row[k])])
                 if key in held:
                     held[key][1] += count
                 else:
                     held[key] = [raw[starts[k]:ends[k]].tobytes().decode(), count]
             rows, sizes = np.unique(row, return_counts=True)
             for k, count in zip(rows.tolist(), sizes.tolist()):
-                held.setdefault((0, langs[k].as_py()), [None, 0])[1] += count
+                held.setdefault((0, langs[k]), [None, 0])[1] += count
             if len(held) > _HELD:
                 yield from given()
     yield from given()
