@@ -9,14 +9,13 @@ Phrases are of one language each and never cross a piece (a stretch without
    hashes of at most WORDS words are broadcast at a time; a larger vocabulary
    takes several rounds over the stored runs.
 2. Level by level (2 to ``longest`` words): a phrase is a candidate if it
-   occurs, and its first and last words but one are frequent phrases of the
-   level before, so that no frequent phrase is missed. Pairs have only single
-   words below them, and nearly all of them would pass: what the tasks met of
-   a pair, summed, bounds its support first. Candidates are cut by
-   hash into shards of about PHRASES; each shard becomes a double-array trie
+   follows a frequent phrase of the level before by a frequent word, and if
+   what the tasks met of it bounds its support by ``min_count`` or more; so no
+   frequent phrase is missed, and hardly any other is left. Candidates are cut
+   by hash into shards of about PHRASES; each shard becomes a double-array trie
    that is broadcast, all places of a run move through it at once, symbol by
-   symbol, and accepting states are counted by ``bincount``. A task sends one
-   row per phrase it met; Spark sums them.
+   symbol, and accepting states are counted by ``bincount``. A task sends its
+   counts in blocks of _CELLS, which are added up block by block.
 3. Frequent phrases are joined with the counts of both sides of every cut,
    scored in exact decimals, and the best of each language are ranked. A phrase
    inside a longer one of the same count goes.
@@ -51,7 +50,9 @@ LONGEST = 5
 TOP = 2_000
 WORDS = 1 << 22  # broadcast word hashes, 8 bytes each
 PHRASES = 1 << 18  # phrases of a trie, about
-_HELD = 1 << 20  # distinct rows a task holds before it sends them
+_CELLS = 1 << 12  # counts of a row
+_HELD = 1 << 20  # distinct phrases a task holds before it sends them
+_HELD_WORDS = 1 << 18
 _BATCH = 1 << 16
 
 # piece ends become line ends, which are no part of any word
@@ -111,7 +112,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, sizes = np.unique(row, return_counts=True)
             for k, count in zip(rows.tolist(), sizes.tolist()):
                 held.setdefault((0, langs[k]), [None, 0])[1] += count
-            if len(held) > _HELD:
+            if len(held) > _HELD_WORDS:
                 yield from given()
     yield from given()
 
@@ -200,83 +201,90 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return own, total
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct pairs of neighbours, with how often a task met them."""
-    held, counts, size = [], [], 0
-
-    def given(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        yield from _rows(np.stack([keys >> 32, keys & 0xFFFFFFFF], axis=1).astype(np.int32), n, ["c1", "c2", "f"])
-
-    for codes in _runs(batches):
-        both = (codes[:-1] != 0) & (codes[1:] != 0)
-        keys, n = np.unique((codes[:-1][both].astype(np.int64) << 32) | codes[1:][both], return_counts=True)
-        held.append(keys)
-        counts.append(n)
-        size += len(keys)
-        if size > 2 * _HELD:
-            keys, n = _merged(held, counts)
-            held, counts, size = [keys], [n], len(keys)
-            if size > _HELD:
-                yield from given(keys, n)
-                held, counts, size = [], [], 0
-    if held:
-        yield from given(*_merged(held, counts))
-
-
-def _proposer(sent: Broadcast, width: int):
-    names = [f"c{w}" for w in range(1, width + 1)]
+def _proposer(sent: Broadcast | None, width: int):
+    names = [*(f"c{w}" for w in range(1, width + 1)), "f"]
 
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Distinct phrases of ``width`` words that begin with one of the trie's."""
-        phrases, trie = sent.value
-        held: list[np.ndarray] = []
-        size = 0
+        """Distinct phrases of ``width`` words that begin with one of the trie's
+        (with any word, for two words), with how often a task met them."""
+        phrases, trie = sent.value if sent else (None, None)
+        held, counts, size = [], [], 0
 
-        def given(keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-            yield from _rows(phrases[keys >> 32], (keys & 0xFFFFFFFF).astype(np.int32), names)
+        def given(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            head, last = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32)
+            rows = head.astype(np.int32)[:, None] if phrases is None else phrases[head]
+            yield from _rows(np.concatenate([rows, last[:, None]], axis=1), n, names)
 
         for codes in _runs(batches):
-            places, head = trie.walk(codes[:-1])
+            if trie is None:
+                places, head = np.flatnonzero(codes[:-1]), codes[:-1][codes[:-1] != 0]
+            else:
+                places, head = trie.walk(codes[:-1])
             follow = codes[places + width - 1]
-            held.append(np.unique((head[follow != 0].astype(np.int64) << 32) | follow[follow != 0]))
-            size += len(held[-1])
-            if size > _HELD:
-                held = [np.unique(np.concatenate(held))]
-                size = len(held[0])
-                if size > _HELD // 2:
-                    yield from given(held[0])
-                    held, size = [], 0
+            keys, n = np.unique((head[follow != 0].astype(np.int64) << 32) | follow[follow != 0], return_counts=True)
+            held.append(keys)
+            counts.append(n)
+            size += len(keys)
+            if size > 2 * _HELD:
+                keys, n = _merged(held, counts)
+                held, counts, size = [keys], [n], len(keys)
+                if size > _HELD:
+                    yield from given(keys, n)
+                    held, counts, size = [], [], 0
         if held:
-            yield from given(np.unique(np.concatenate(held)))
+            yield from given(*_merged(held, counts))
     return propose
 
 
-def _counter(sent: Broadcast, width: int):
-    names = [*(f"c{w}" for w in range(1, width + 1)), "f"]
-
+def _counter(sent: Broadcast):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Occurrences of the trie's phrases, a row for each that occurs."""
+        """Occurrences of the trie's phrases, _CELLS to a row."""
         phrases, trie = sent.value
         counts = np.zeros(len(phrases), np.int64)
         for codes in _runs(batches):
             _places, found = trie.walk(codes)
             counts += np.bincount(found, minlength=len(phrases))
-        met = np.flatnonzero(counts)
-        yield from _rows(phrases[met], counts[met], names)
+        for k in range(0, len(counts), _CELLS):
+            if counts[k:k + _CELLS].any():
+                yield pa.RecordBatch.from_arrays([pa.array([k // _CELLS], pa.int32()), pa.array([counts[k:k + _CELLS].tobytes()], pa.binary())], names=["block", "counts"])
     return count
 
 
-def _in_tries(runs: DataFrame, phrases: DataFrame, names: list[str], n_symbols: int, shard: int, task, ddl: str) -> list[DataFrame]:
-    """The stored results of ``task(broadcast)`` over all runs, for each trie of
-    about ``shard`` phrases."""
+def _summer(sent: Broadcast, min_count: int):
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tasks' counts of a block, which come one after the other, added
+        up -> the frequent phrases."""
+        phrases, _trie = sent.value
+        names = [*(f"c{w}" for w in range(1, phrases.shape[1] + 1)), "f"]
+        now, total = None, None
+
+        def given() -> Iterator[pa.RecordBatch]:
+            if now is not None:
+                often = np.flatnonzero(total >= min_count)
+                yield from _rows(phrases[now * _CELLS + often], total[often], names)
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block, counts = batch.column(0)[k].as_py(), np.frombuffer(batch.column(1)[k].as_py(), np.int64)
+                if block == now:
+                    total += counts
+                else:
+                    yield from given()
+                    now, total = block, counts.copy()
+        yield from given()
+    return add
+
+
+def _in_tries(runs: DataFrame, phrases: DataFrame, names: list[str], n_symbols: int, shard: int, task) -> list[DataFrame]:
+    """The stored results of ``task(broadcast)`` for each trie of about
+    ``shard`` phrases."""
     sc, out = runs.sparkSession.sparkContext, []
     shards = -(-phrases.count() // shard)
     for k in range(shards):
         own = phrases.filter(F.pmod(F.xxhash64(*names), F.lit(shards)) == k) if shards > 1 else phrases
         matrix = own.select(*names).toPandas().to_numpy(np.int32)  # about shard rows
         sent = sc.broadcast((matrix, PhraseTrie(matrix, n_symbols)))
-        out.append(write_out(runs.mapInArrow(task(sent), ddl).groupBy(*names).agg(F.sum("f").alias("f")) if "f long" in ddl else
-                             runs.mapInArrow(task(sent), ddl)))
+        out.append(write_out(task(sent)))
         sent.destroy()
     return out
 
@@ -292,18 +300,23 @@ def frequent_phrases(runs: DataFrame, n_words: int, min_count: int = MIN_COUNT,
     """(c1..ck, f) of the phrases of 2 to ``longest`` words that occur
     ``min_count`` times or more, by length."""
     spark, levels, n_symbols = runs.sparkSession, [], symbols_per_code(n_words)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     for width in range(2, longest + 1):
         names = [f"c{w}" for w in range(1, width + 1)]
-        ddl = ", ".join(f"{c} int" for c in names)
-        if width == 2:
-            met = runs.mapInArrow(_pairs, f"{ddl}, f long").groupBy(*names).agg(F.sum("f").alias("bound"))
-            seen = write_out(met.filter(F.col("bound") >= min_count).select(*names))
-        else:
-            heads = _in_tries(runs, levels[-1], names[:-1], n_symbols, shard, lambda sent: _proposer(sent, width), ddl)
-            tails = levels[-1].select(*[F.col(a).alias(b) for a, b in zip(names, names[1:])])
-            seen = write_out(_union(heads, spark, ddl).distinct().join(tails, names[1:], "left_semi").select(*names))
-        counted = _in_tries(runs, seen, names, n_symbols, shard, lambda sent: _counter(sent, width), f"{ddl}, f long")
-        levels.append(write_out(_union(counted, spark, f"{ddl}, f long").filter(F.col("f") >= min_count)))
+        ddl = ", ".join(f"{c} int" for c in names) + ", f long"
+
+        def propose(sent: Broadcast | None) -> DataFrame:
+            met = runs.mapInArrow(_proposer(sent, width), ddl).groupBy(*names).agg(F.sum("f").alias("bound"))
+            return met.filter(F.col("bound") >= min_count).select(*names)
+
+        def count(sent: Broadcast) -> DataFrame:
+            blocks = runs.mapInArrow(_counter(sent), "block int, counts binary")
+            return blocks.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_summer(sent, min_count), ddl)
+
+        # a phrase has one head, so no two tries propose the same one
+        proposed = [write_out(propose(None))] if width == 2 else _in_tries(runs, levels[-1], names[:-1], n_symbols, shard, propose)
+        seen = _union(proposed, spark, ddl.removesuffix(", f long"))
+        levels.append(_union(_in_tries(runs, seen, names, n_symbols, shard, count), spark, ddl))
     return levels
 
 
