@@ -201,20 +201,29 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return own, total
 
 
-def _proposer(sent: Broadcast | None, width: int):
-    names = [*(f"c{w}" for w in range(1, width + 1)), "f"]
+_PACKED = "bucket int, keys binary, counts binary"
 
+
+def _packed(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Keys and counts as one row for each hash bucket that has any."""
+    bucket = (mix(keys.view(np.uint64)) % U64(buckets)).astype(np.int32)
+    by = np.argsort(bucket, kind="stable")
+    keys, counts, bucket = keys[by], counts[by], bucket[by]
+    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))[:len(keys)]
+    ends = np.append(heads[1:], len(keys))
+    for k in range(0, len(heads), 64):
+        cuts = list(zip(heads[k:k + 64].tolist(), ends[k:k + 64].tolist()))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[heads[k:k + 64]]), pa.array([keys[i:j].tobytes() for i, j in cuts], pa.binary()),
+                                          pa.array([counts[i:j].tobytes() for i, j in cuts], pa.binary())], names=["bucket", "keys", "counts"])
+
+
+def _proposer(sent: Broadcast | None, width: int, buckets: int):
     def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct phrases of ``width`` words that begin with one of the trie's
-        (with any word, for two words), with how often a task met them."""
-        phrases, trie = sent.value if sent else (None, None)
+        (with any word, for two words), with how often a task met them; a key
+        is the number of the first words (or the word) and the last word."""
+        trie = sent.value[1] if sent else None
         held, counts, size = [], [], 0
-
-        def given(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            head, last = keys >> 32, (keys & 0xFFFFFFFF).astype(np.int32)
-            rows = head.astype(np.int32)[:, None] if phrases is None else phrases[head]
-            yield from _rows(np.concatenate([rows, last[:, None]], axis=1), n, names)
-
         for codes in _runs(batches):
             if trie is None:
                 places, head = np.flatnonzero(codes[:-1]), codes[:-1][codes[:-1] != 0]
@@ -229,13 +238,44 @@ def _proposer(sent: Broadcast | None, width: int):
                 keys, n = _merged(held, counts)
                 held, counts, size = [keys], [n], len(keys)
                 if size > _HELD:
-                    yield from given(keys, n)
+                    yield from _packed(keys, n, buckets)
                     held, counts, size = [], [], 0
         if held:
-            yield from given(*_merged(held, counts))
+            yield from _packed(*_merged(held, counts), buckets)
     return propose
 
 
+def _bounder(sent: Broadcast | None, width: int, min_count: int):
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tasks' keys of a bucket, which come one after the other, added
+        up -> the phrases whose support may reach ``min_count``. Holds a
+        bucket's distinct keys."""
+        phrases = sent.value[0] if sent else None
+        now, held, counts, size, base = None, [], [], 0, 0
+
+        def given() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, n = _merged(held, counts)
+                keys = keys[n >= min_count]
+                head = keys >> 32
+                rows = head.astype(np.int32)[:, None] if phrases is None else phrases[head]
+                yield from _rows(rows, (keys & 0xFFFFFFFF).astype(np.int32), [f"c{w}" for w in range(1, width + 1)])
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                if batch.column(0)[k].as_py() != now:
+                    yield from given()
+                    now, held, counts, size, base = batch.column(0)[k].as_py(), [], [], 0, 0
+                held.append(np.frombuffer(batch.column(1)[k].as_py(), np.int64))
+                counts.append(np.frombuffer(batch.column(2)[k].as_py(), np.int64))
+                size += len(held[-1])
+                if size > 2 * base + _HELD:
+                    keys, n = _merged(held, counts)
+                    held, counts, size, base = [keys], [n], len(keys), len(keys)
+        yield from given()
+    return bound
+
+
 def _counter(sent: Broadcast):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Occurrences of the trie's phrases, _CELLS to a row."""
@@ -306,8 +346,9 @@ def frequent_phrases(runs: DataFrame, n_words: int, min_count: int = MIN_COUNT,
         ddl = ", ".join(f"{c} int" for c in names) + ", f long"
 
         def propose(sent: Broadcast | None) -> DataFrame:
-            met = runs.mapInArrow(_proposer(sent, width), ddl).groupBy(*names).agg(F.sum("f").alias("bound"))
-            return met.filter(F.col("bound") >= min_count).select(*names)
+            met = runs.mapInArrow(_proposer(sent, width, 2 * parts), _PACKED)
+            return met.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+                _bounder(sent, width, min_count), ddl.removesuffix(", f long"))
 
         def count(sent: Broadcast) -> DataFrame:
             blocks = runs.mapInArrow(_counter(sent), "block int, counts binary")
