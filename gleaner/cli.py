@@ -24,6 +24,7 @@ import datetime
 import json
 import logging
 import sys
+import time
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -83,7 +84,8 @@ def _old_resource(spark: SparkSession, path: str) -> DataFrame:
 
 def cmd_collect(spark, a) -> dict:
     """Resource index, dataset -> resource table, the resources not seen
-    before and the state document of the collection."""
+    before, the state of the collection (``--state-path`` of the plan commands)
+    and its counts by dataset, skip-aware where a version log is named."""
     c = load_collection(spark, a.collection_dir)
     index, pairs = J.collect_index(c["log"], c["source"])
     out = a.output.rstrip("/")
@@ -99,6 +101,10 @@ def cmd_collect(spark, a) -> dict:
     index.write.mode("overwrite").parquet(f"{out}/resource")
     pairs.write.mode("overwrite").parquet(f"{out}/dataset-resource")
     PK.write_state(pairs, f"{out}/state")
+    kw = {}
+    if a.dataset_resource_dir:
+        kw = {"version_log": _version_log(spark, a.dataset_resource_dir), "versions": _versions(spark, a.pipeline_dir, a.specification_dir)}
+    SEL.work_counts(pairs, **kw).write.mode("overwrite").parquet(f"{out}/state-counts")
     return {"resources": index.count(), "new": spark.read.parquet(f"{out}/new-resource").count()}
 
 
@@ -108,11 +114,11 @@ def _versions(spark, pipeline_dir: str, specification_dir: str) -> SEL.Versions:
 
 
 def _version_log(spark, dataset_resource_dir: str) -> DataFrame:
-    return SRC.scan_log_csv(spark, f"{dataset_resource_dir.rstrip('/')}/*/*.csv", "dataset_resource")
+    return SRC.scan_version_log(spark, f"{dataset_resource_dir.rstrip('/')}/*/*.csv")
 
 
 def _state(spark, path: str | None):
-    return SRC.scan_state(spark, path) if path else None
+    return SRC.scan_any_state(spark, path) if path else None
 
 
 def cmd_build_package(spark, a) -> dict:
@@ -234,10 +240,7 @@ def cmd_transform(spark, a) -> dict:
     log = PH.provenance_log(done, v.code_version, v.config_hash, v.specification_hash, entry_date)
     PK.replace_resources(log, f"{out}/dataset-resource", done)
     if a.dataset_resource_dir:  # where plan-transform looks for it
-        (log.withColumn("log_dataset", F.col("dataset")).withColumn("log_date", F.lit(entry_date))
-         .toDF(*[c.replace("_", "-") if c not in ("log_dataset", "log_date") else c for c in log.columns + ["log_dataset", "log_date"]])
-         .repartition("log_dataset").write.mode("append").option("header", "true").option("escape", '"')
-         .partitionBy("log_dataset").csv(a.dataset_resource_dir))
+        PK.write_versions(log, a.dataset_resource_dir, time.time_ns() // 1000)
     counts = summarise_results(results).first()
     n, failed = counts["successful"] + counts["failed"], counts["failed"]
     summary = {"tasks": n, "successful": n - failed, "failed": failed}
@@ -346,6 +349,9 @@ def parser() -> argparse.ArgumentParser:
     i = sub.add_parser("collect")
     i.add_argument("--collection-dir", required=True)
     i.add_argument("--output", required=True)
+    i.add_argument("--dataset-resource-dir", default=None, help="version log: counts leave out what is up to date")
+    i.add_argument("--pipeline-dir", default="pipeline/")
+    i.add_argument("--specification-dir", default="specification/")
     i.set_defaults(fn=cmd_collect)
 
     w = sub.add_parser("transform")

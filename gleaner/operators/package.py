@@ -100,6 +100,27 @@ def replace_resources(df: DataFrame, path: str, done: DataFrame) -> None:
             _replace_partition(out.drop("dataset").limit(0), f"{path.rstrip('/')}/dataset={name}")
 
 
+def write_versions(log: DataFrame, path: str, run: int) -> None:
+    """Add a batch's versions to the dataset-resource log under ``path``,
+    compacted: the folder ``log_dataset=<dataset>`` holds one row per resource,
+    the one of its last run. Only the batch's datasets are rewritten; rows that
+    others put into other folders of ``path`` stay as they are."""
+    from gleaner.operators.selection import latest_versions
+    spark = log.sparkSession
+    names = sorted(r[0] for r in log.select("dataset").distinct().collect())  # datasets of one batch
+    if not names:
+        return
+    folders = [f"{path.rstrip('/')}/log_dataset={name}" for name in names]
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    stored = [f"{f}/*.csv" for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
+    new = log.withColumn("run", F.lit(run).cast("bigint"))
+    both = new.unionByName(SRC.scan_version_log(spark, stored)) if stored else new
+    kept = reliable_checkpoint(latest_versions(both).withColumn("log_dataset", F.col("dataset")))
+    (kept.toDF(*[c.replace("_", "-") if c != "log_dataset" else c for c in kept.columns])
+     .repartition("log_dataset").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("header", "true").option("escape", '"').partitionBy("log_dataset").csv(path))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Entities (or any table) as standard CSV with a header: quotes inside
     a value are doubled."""

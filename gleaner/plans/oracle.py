@@ -24,13 +24,17 @@ CTE = {
   WHERE l.toxic = 1 OR l.quality = 0)""",
     "version_log": """version_log AS (
   SELECT d.source AS dataset, d.resource,
-         CASE WHEN d.lang = 'es' THEN NULL ELSE '0.1.0' END AS code_version,
-         CASE WHEN d.lang = 'de' THEN 'stale' ELSE 'config-1' END AS config_hash,
-         'specification-1' AS specification_hash
-  FROM docs d JOIN labels l ON l.doc_id = d.doc_id)""",
+         CASE WHEN r.run = 0 AND d.lang = 'es' THEN NULL ELSE '0.1.0' END AS code_version,
+         CASE WHEN (r.run = 0 AND d.lang = 'de') OR r.run = 2 THEN 'stale' ELSE 'config-1' END AS config_hash,
+         'specification-1' AS specification_hash,
+         CASE r.run WHEN 0 THEN '2024-03-01' WHEN 1 THEN '2024-02-01' ELSE '2024-01-01' END AS entry_date
+  FROM docs d JOIN labels l ON l.doc_id = d.doc_id JOIN (VALUES (0), (1), (2)) r(run)
+    ON r.run = 0 OR (r.run = 1 AND d.doc_id % 3 = 0) OR (r.run = 2 AND d.doc_id % 5 = 0))""",
     "current": """current_pairs AS (
-  SELECT DISTINCT dataset, resource FROM version_log
-  WHERE code_version IS NOT DISTINCT FROM '0.1.0'
+  SELECT dataset, resource FROM (
+    SELECT *, row_number() OVER (PARTITION BY dataset, resource ORDER BY entry_date DESC, code_version DESC NULLS LAST,
+                                 config_hash DESC NULLS LAST, specification_hash DESC NULLS LAST) AS place FROM version_log)
+  WHERE place = 1 AND code_version IS NOT DISTINCT FROM '0.1.0'
     AND config_hash IS NOT DISTINCT FROM 'config-1'
     AND specification_hash IS NOT DISTINCT FROM 'specification-1')""",
     "clog": """clog AS (

@@ -67,7 +67,7 @@ def _underscored(name):
 
 def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame | None:
     """CSV files, each read by its own header: (file, header ARRAY, values
-    ARRAY, block, place). None when there is no file or no header.
+    ARRAY, block, place, written). None when there is no file or no header.
 
     The data is read by Spark's CSV parser, positionally, its first line
     skipped as header; the header line itself comes from a text scan of the
@@ -75,7 +75,8 @@ def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: boo
     quoted names, commas and doubled quotes in names, and a byte order mark
     are understood. Quoted line breaks in values need ``multi_line`` (a file is
     then one split); pass False for large files known to have none. ``block``
-    and ``place`` order a file's rows."""
+    and ``place`` order a file's rows; ``written`` is the file's modification
+    time."""
     try:
         lines = spark.read.text(pattern).select(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"),
@@ -98,11 +99,29 @@ def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: boo
     rows = (spark.read.schema(wide).option("header", "true").option("enforceSchema", "true").option("mode", "PERMISSIVE")
             .options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower()}).csv(pattern)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("place"), F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("values")))
+                    F.monotonically_increasing_id().alias("place"), F.col("_metadata.file_modification_time").alias("written"),
+                    F.array(*[F.col(f"_c{i}") for i in range(width)]).alias("values")))
     # one small row per file: AQE broadcasts it when the file count is small
     return rows.join(heads, rows["file"] == heads["_hf"]).drop("_hf")
 
 
+def scan_version_log(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
+    """The dataset-resource log with ``run``, a number that orders runs: the
+    file's own ``run`` column where it has one, else the time (microseconds)
+    its file was written."""
+    target = csv_schema("dataset_resource")
+    found = csv_by_header(spark, pattern)
+    if found is None:
+        return _empty(spark, target).withColumn("run", F.lit(None).cast("bigint"))
+    found = found.withColumn("header", F.transform("header", _underscored))
+    run = F.coalesce(_picked("run").try_cast("bigint"), F.unix_micros("written"))
+    return found.select(*[_picked(f.name).cast(f.dataType).alias(f.name) for f in target.fields], run.alias("run"))
+
+
+def _picked(name: str):
+    return F.expr(f"try_element_at(values, nullif(CAST(array_position(header, '{name}') AS INT), 0))")
+
+
 def scan_log_csv(spark: SparkSession, pattern: str | list[str], table: str) -> DataFrame:
     """Many small CSV files (one per resource) as one table in the fixed
     column order, matched **by header name** per file: files with permuted,
@@ -115,10 +134,7 @@ def scan_log_csv(spark: SparkSession, pattern: str | list[str], table: str) -> D
     if found is None:
         return _empty(spark, target)
     found = found.withColumn("header", F.transform("header", _underscored))
-
-    def pick(name):
-        return F.expr(f"try_element_at(values, nullif(CAST(array_position(header, '{name}') AS INT), 0))")
-    return found.select(*[pick(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+    return found.select(*[_picked(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
 
 def normalise_columns(df: DataFrame, target: list[str]) -> DataFrame:
@@ -189,6 +205,18 @@ def scan_state_pairs(spark: SparkSession, path: str) -> DataFrame:
         .select("dataset", "pos", "resource")
 
 
+def scan_any_state(spark: SparkSession, path: str) -> DataFrame:
+    """A state of either form, told apart by what its first record holds: the
+    document (``transform_resources``) or the long form (``pos``), whose
+    datasets are its partitions. A state without any record is a long one."""
+    schema = "transform_resources map<string,array<string>>, pos bigint, resource string"
+    first = spark.read.schema(schema).option("multiLine", "true").json(path).select(
+        F.col("transform_resources").isNotNull().alias("document"), F.col("pos").isNotNull().alias("long")).first()
+    if first is not None and not first["long"]:
+        return scan_state(spark, path)
+    return scan_state_pairs(spark, path)
+
+
 # ------------------------------------------------------------------ S8
 
 def scan_artefacts(spark: SparkSession, root: str, family_dir: str, fmt: str = "csv",

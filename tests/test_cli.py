@@ -211,3 +211,62 @@ def test_collect(spark, tree):
     assert cli.main(args, spark=spark) == {"resources": 3, "new": 0}
     index = {r["resource"]: r["datasets"] for r in spark.read.parquet(str(tree / "index" / "resource")).collect()}
     assert index == {"aaa": "tree", "bbb": "tree;tree-zone", "ccc": "tree;tree-zone"}
+
+
+def test_revert_is_due_again_and_the_log_stays_compact(spark, tree):
+    res = tree / "collection" / "resource"
+    res.mkdir()
+    for name in ("aaa", "yyy"):
+        (res / name).write_text("Ref\nT1\n")
+    logs = tree / "log"
+    logs.mkdir()
+    config = tree / "pipeline" / "x.csv"
+    args = ["--pipeline-dir", str(tree / "pipeline"), "--specification-dir", str(tree / "specification")]
+
+    def plan(*extra):
+        return cli.main(["plan-transform", "--collection-dir", str(tree / "collection"), "--dataset-resource-dir", str(logs), *args,
+                         "--output", str(tree / "tasks"), *extra], spark=spark)["tasks"]
+
+    def transform():
+        cli.main(["transform", "--tasks", str(tree / "tasks"), "--resource-dir", str(res), *args, "--output-dir", str(tree / "out"),
+                  "--dataset-resource-dir", str(logs), "--entry-date", "2024-02-01"], spark=spark)
+
+    assert plan() == 3
+    transform()
+    first, runs = config.read_text(), 0
+    for text in ("b\n", first):  # to another configuration, and back
+        assert plan() == 0
+        config.write_text(text)
+        assert plan() == 3
+        transform()
+        runs += 1
+    assert plan() == 0 and runs == 2
+    stored = cli._version_log(spark, str(logs))
+    assert stored.count() == stored.select("dataset", "resource").distinct().count() == 3
+    # a batch of one dataset leaves the others' rows
+    config.write_text("c\n")
+    assert plan("--dataset", "tree-zone") == 1
+    transform()
+    assert plan() == 2 and cli._version_log(spark, str(logs)).count() == 3
+
+
+def test_collect_state_feeds_the_plan(spark, tree):
+    index = tree / "index"
+    cli.main(["collect", "--collection-dir", str(tree / "collection"), "--output", str(index), *_common(tree)[2:]], spark=spark)
+    counts = {r["dataset"]: (r["listed"], r["skipped"], r["remaining"]) for r in spark.read.parquet(str(index / "state-counts")).collect()}
+    assert counts == {"tree": (3, 0, 3), "tree-zone": (2, 0, 2)}
+
+    def plan(state, dataset, *extra):
+        out = str(tree / "tasks")
+        cli.main(["plan-transform", *_common(tree), "--output", out, "--state-path", str(state), "--dataset", dataset, *extra], spark=spark)
+        return sorted(r["old_resource"] for r in spark.read.parquet(out).collect())
+
+    assert plan(index / "state", "tree") == ["aaa", "bbb"]
+    assert plan(index / "state", "tree-zone") == ["bbb"]
+    assert plan(index / "state", "tree", "--offset", "1", "--limit", "1") == ["bbb"]
+    document = tree / "state.json"
+    document.write_text('{\n  "transform_resources": {\n    "tree": ["bbb", "aaa"],\n    "none": []\n  }\n}\n')
+    assert plan(document, "tree") == ["aaa", "bbb"] and plan(document, "tree", "--offset", "1") == ["aaa"]
+    for state in (index / "state", document):
+        with pytest.raises(KeyError, match="absent"):
+            plan(state, "absent")
