@@ -24,13 +24,17 @@ def test_query_on_given_table(spark):
 
 
 def test_divergence_drops_odd_characters_and_keeps_prose(spark):
-    prose = "the men of the town and the women in a house that was on the hill with a garden for all and as old as it is to be "
-    rows = [(i, prose.replace("men", f"men{chr(97 + i % 26)}{chr(97 + i // 26)}") + " ".join(f"{chr(97 + (i * 7 + k) % 26)}{chr(97 + (k * k + i) % 26)}ness" for k in range(60)), "en") for i in range(40)]
+    rows = []
+    for i in range(40):
+        own = [f"{chr(97 + i % 26)}{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i // 26)}ness" for k in range(60)]  # no window twice
+        link = "the of and to in a is that for it was on are as with".split()
+        rows.append((i, " ".join(w for k, x in enumerate(own) for w in (x, link[k % 15])), "en"))
     odd = " ".join(f"a{chr(97 + k % 26)}{chr(97 + k // 26)}$$%%##" for k in range(120))
     rows.append((99, odd, "en"))
-    kept = {r["doc_id"]: r["kept"] for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
-    assert not kept.pop(99)
-    assert all(kept.values())
+    judged = {r["doc_id"]: r for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(r["base_failed"] for r in judged.values())
+    assert not judged.pop(99)["kept"]
+    assert all(r["kept"] for r in judged.values())
 
 
 def test_short_texts_are_not_judged_by_histograms(spark):
