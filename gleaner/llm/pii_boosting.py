@@ -4,13 +4,16 @@ Generators of high recall propose spans, which may overlap; boosted trees rate
 each by its format and its surroundings; a span is redacted when its rating is
 at or above its kind's threshold. Spans of the fixed patterns always stay.
 
-The trees are fitted on at most ``SAMPLE`` candidates, taken in order of a hash
-over all documents: those the fixed patterns confirm are positive, other
-proposals negative. The marks by which the patterns decide (a leading plus, an
-unbroken ``@``) are not features, so a look-alike in a fitting place can be
-rated as high. A fifth of the sample is held out; a kind's threshold is the
-least rating from which at least ``PRECISION`` of the held-out candidates of the
-kind are positive, and above 1 (nothing is added) if too few are.
+The trees learn from spans of the fixed patterns, as they stand and once more
+in a disguise that the patterns do not match (``name (at) host (dot) com``, a
+phone without plus, other separators), each in its own surroundings; other
+proposals that touch no such span are the counter-examples. The fit takes about
+``SAMPLE`` candidates of each kind and class, by a hash over all documents. All
+candidates of the corpus are rated, and a kind's threshold is the least rating
+(in BINS steps) from which at least ``PRECISION`` of the disguised spans and of
+the unconfirmed proposals together are disguised spans; so every proposal that
+would be added counts as an error. Without disguised spans of a kind nothing of
+that kind is added.
 
 Defined results: NULL text is empty and holds nothing; without candidates of
 both classes nothing is added; rows that share an id are judged by their own
@@ -30,11 +33,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import private_names, read_table, write_out
-from gleaner.llm.pii_spans import FEATURES, KINDS, base_spans, candidates
+from gleaner.llm.pii_spans import FEATURES, KINDS, base_spans, candidates, disguised_candidates
 
-SAMPLE = 20_000
-PRECISION = 0.995
-_LEAST = 20  # held-out positives a kind needs for a threshold
+SAMPLE = 4_000
+PRECISION = 0.9
+BINS = 500
+LEAST = 20  # candidates in a leaf, so that a few look-alikes among the counter-examples get no leaf of their own
+_PLAIN, _BASE, _DISGUISED = 0, 1, 2
 
 _SPAN = "struct<start:int,kind:int,end:int>"
 _FOUND = pa.schema([
@@ -52,7 +57,8 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             t = text.as_py() or ""
             base = base_spans(t)
             rows.append({"doc_id": doc, "tag": tag, "base": [{"start": a, "kind": k, "end": b} for a, k, b in base],
-                         "proposed": [{"kind": k, "start": a, "end": b, "label": y, "touches": o, "x": x} for k, a, b, y, o, x in candidates(t, base)]})
+                         "proposed": [{"kind": k, "start": a, "end": b, "label": y, "touches": o, "x": x} for k, a, b, y, o, x in candidates(t, base)]
+                         + [{"kind": k, "start": a, "end": b, "label": _DISGUISED, "touches": False, "x": x} for k, a, b, x in disguised_candidates(t, base)]})
         yield pa.RecordBatch.from_pylist(rows, schema=_FOUND)
 
 
@@ -61,34 +67,31 @@ def _rated(found: DataFrame, sample: int, precision: float) -> DataFrame:
     each = found.filter(F.size("proposed") > 0).select("doc_id", "tag", F.explode("proposed").alias("p")).select("doc_id", "tag", "p.*")
     each = each.select("*", *[F.col("x")[k].alias(f"f_{name}") for k, name in enumerate(FEATURES)])
     features = [f"f_{name}" for name in FEATURES]
-    order = F.xxhash64("doc_id", "tag", "start", "end", "kind")
-    taken = write_out(each.withColumn("at", order).orderBy("at", "doc_id", "start", "end", "kind").limit(sample)
-                      .withColumn("held", F.pmod(F.shiftright("at", 8), F.lit(5)) == 0))
-    sizes = {(r["held"], r["label"]): r["count"] for r in taken.groupBy("held", "label").count().collect()}
+    each = each.filter((F.col("label") != _PLAIN) | ~F.col("touches"))
     none = found.filter("false").select("doc_id", "tag", F.lit(None).cast(_SPAN).alias("span"))
-    if not all(sizes.get((False, y), 0) for y in (0, 1)):
+    sizes = {(r["kind"], r["label"]): r["count"] for r in each.groupBy("kind", "label").count().collect()}
+    if not any(y == _DISGUISED for _k, y in sizes) or not any(y == _PLAIN for _k, y in sizes):
         return none
+    share = F.lit(0.0)
+    for (kind, label), n in sizes.items():
+        share = F.when((F.col("kind") == kind) & (F.col("label") == label), F.lit(min(1.0, sample / n))).otherwise(share)
+    at = F.pmod(F.xxhash64("doc_id", "tag", "start", "end", "kind", "label"), F.lit(1 << 20)) / (1 << 20)
     vectors = VectorAssembler(inputCols=features, outputCol="features")
-    trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=10, maxDepth=3, stepSize=0.3, seed=17).fit(
-        vectors.transform(taken.filter("not held").coalesce(2)))
-
-    def rate(rows: DataFrame) -> DataFrame:
-        return trees.transform(vectors.transform(rows)).withColumn("rating", vector_to_array("probability")[1])
-
-    held = rate(taken.filter("held")).select("kind", "label", "rating").toPandas()  # at most SAMPLE rows
-    thresholds = {}
-    for kind, rows in held.groupby("kind"):
-        rows = rows.sort_values("rating", ascending=False, kind="stable")
-        share = rows["label"].cumsum() / range(1, len(rows) + 1)
-        last = ~rows["rating"].duplicated(keep="last")  # equal ratings stand or fall together
-        good = rows[(share >= precision) & last & (rows["label"].cumsum() >= _LEAST)]
-        thresholds[int(kind)] = float(good["rating"].min()) if len(good) else 2.0
-    if not thresholds:
-        return none
-    limit = F.lit(2.0)
-    for kind, value in thresholds.items():
-        limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    return rate(each.filter("label = 0 and not touches")).filter(F.col("rating") >= limit).select("doc_id", "tag", F.struct("start", "kind", "end").alias("span"))
+    taken = write_out(vectors.transform(each.filter(at < share).withColumn("y", (F.col("label") != _PLAIN).cast("int"))).select("y", "features"))
+    trees = GBTClassifier(featuresCol="features", labelCol="y", maxIter=10, maxDepth=3, stepSize=0.3, minInstancesPerNode=LEAST, seed=17).fit(taken.coalesce(2))
+    rated = trees.transform(vectors.transform(each.filter(F.col("label") != _BASE))).withColumn("bin", F.floor(vector_to_array("probability")[1] * BINS).cast("int"))
+    rated = write_out(rated.select("doc_id", "tag", "kind", "start", "end", "label", "bin"))
+
+    # 4 kinds x BINS rows at most
+    counts = rated.groupBy("kind", "bin").agg(F.count_if(F.col("label") == _DISGUISED).alias("right"), F.count_if(F.col("label") == _PLAIN).alias("wrong")).toPandas()
+    limit = F.lit(BINS + 1)
+    for kind, rows in counts.groupby("kind"):
+        rows = rows.sort_values("bin", ascending=False)
+        right, wrong = rows["right"].cumsum(), rows["wrong"].cumsum()
+        good = rows[(right > 0) & (right >= precision * (right + wrong))]
+        if len(good):
+            limit = F.when(F.col("kind") == int(kind), F.lit(int(good["bin"].min()))).otherwise(limit)
+    return rated.filter((F.col("label") == _PLAIN) & (F.col("bin") >= limit)).select("doc_id", "tag", F.struct("start", "kind", "end").alias("span"))
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> DataFrame:

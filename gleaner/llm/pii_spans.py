@@ -4,6 +4,7 @@ tasks). All offsets count code points, ends are exclusive."""
 from __future__ import annotations
 
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -77,7 +78,7 @@ _LOOSE = (
     (IP, re.compile(r"[0-9]{1,5}(?:[.:][0-9]{1,5}){3,4}")),
     (IP, re.compile(r"[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7}")),
     (CARD, re.compile(r"(?<![0-9])[0-9]{3,19}(?:[ ./-][0-9]{2,8}){0,6}")),
-    (PHONE, re.compile(r"(?:\+|00)?[ ]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ ./()-]{1,3}[0-9]{2,5}){1,5}")),
+    (PHONE, re.compile(r"(?:(?:\+|00)[ ]?)?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ ./()-]{1,3}[0-9]{2,5}){1,5}")),
     (PHONE, re.compile(r"(?<![0-9])[0-9]{9,13}(?![0-9])")),
 )
 _HINTS = (
@@ -133,3 +134,34 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         touches = earlier > 0 and furthest[earlier - 1] > a
         out.append((kind, a, b, int(known), touches, _features(text, kind, a, b)))
     return out
+
+
+def _disguised(kind: int, own: str, style: int) -> str:
+    """A span of a fixed pattern in a form that its pattern does not match."""
+    if kind == EMAIL:
+        name, domain = own.split("@", 1)
+        at = (" (at) ", "(at)", " [at] ", " @ ")[style % 4]
+        head, last = domain.rsplit(".", 1)
+        return f"{name}{at}{head}{'.' if style // 4 % 2 else ' (dot) '}{last}"
+    if kind == IP:
+        return own.replace(".", ":")
+    if kind == CARD:
+        digits = _NOT_DIGIT.sub("", own)
+        return (". "[style % 2].strip() or "/").join(digits[k:k + 4] for k in range(0, len(digits), 4))
+    return own[1:] if style % 2 else "00" + own[1:]
+
+
+def disguised_candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, list[float]]]:
+    """(kind, start, end, features) of the fixed patterns' spans, each written
+    in another form into its own surroundings, where the loose generators
+    propose that form."""
+    out = []
+    for style, (a, kind, b) in enumerate(base, start=zlib.crc32(text.encode("utf-8", "replace"))):
+        style = (style * 0x9E3779B1 >> 16) & 0xFF
+        left = max(0, a - 4 * CONTEXT)
+        new = _disguised(kind, text[a:b], style)
+        around = text[left:a] + new + text[b:b + 4 * CONTEXT]
+        span = (a - left, a - left + len(new))
+        if any(m.start() <= span[0] and m.end() >= span[1] for k, pattern in _LOOSE if k == kind for m in pattern.finditer(around)):
+            out.append((kind, a, b, _features(around, kind, *span)))
+    return out

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from gleaner.llm import context_tree, mixing, pii_boosting
-from gleaner.llm.pii_spans import KINDS, base_spans
+from gleaner.llm.pii_spans import FEATURES, KINDS, _disguised, base_spans, disguised_candidates
 
 
 def said(spans):
@@ -44,10 +44,13 @@ def test_boosting_adds_likely_spans_and_keeps_clean_texts(spark):
     rows = []
     for k in range(900):
         phone = f"({200 + k % 700}) {100 + k % 900:03d}-{k * 37 % 10000:04d}"
-        rows.append((3 * k, f"please call phone +1 {phone} or mail u{k}@host{k % 9}.example.com now"))
+        mail = f"{'user' if k % 2 else 'u' + str(k)}@{'host' if k % 4 < 2 else 'box' + str(k % 9)}.example.com"
+        rows.append((3 * k, (f"please call phone +1 {phone} or mail {mail} now", f"call us: +1 {phone}\nor write to {mail}", f"{mail} is where to contact me, tel +1 {phone}",
+                             f"You can mail {mail} at any time. My phone is +1 {phone}, thank you")[k % 4]))
         rows.append((3 * k + 1, f"part numbers {k:03d} {k + 1:03d} {k + 2:04d} {k + 3:05d} and version 300.{k}.400.{k} of item {10 ** 13 + k * 7919}"))
         rows.append((3 * k + 2, f"plain prose without any figures at all, take {k % 7}"))
     rows.append((90_000, "please call phone 1 (555) 123-4567 or mail me"))
+    rows.append((90_001, "please call us or mail jane (at) host3.example (dot) com now"))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r["doc_id"]: r for r in pii_boosting.find_spans(docs).collect()}
     assert len(found) == len(rows)
@@ -55,6 +58,24 @@ def test_boosting_adds_likely_spans_and_keeps_clean_texts(spark):
     assert all(set(r["base"]) <= set(r["spans"]) for r in found.values())
     wrong = sum(len(found[k]["spans"]) > len(found[k]["base"]) for k in range(1, 2700, 3))
     assert wrong <= 9
+    added = {k: {(s["kind"], s["start"], s["end"]) for s in found[k]["spans"]} for k in (90_000, 90_001)}
+    assert (3, 18, 34) in added[90_000] and not found[90_000]["base"]
+    assert (0, 23, 56) in added[90_001] and not found[90_001]["base"]
+    shown = pii_boosting.redact(docs.filter("doc_id >= 90000")).count()
+    assert shown == 2
+
+
+def test_disguises_escape_the_patterns_and_meet_the_generators():
+    text = "write to a.b@mail.example.com, host 10.20.30.40, card 4111111111111111, call +1 (403) 555-9312 now"
+    for pad in range(8):
+        padded = text + " " * pad
+        base = base_spans(padded)
+        assert [k for _a, k, _b in base] == [0, 1, 2, 3]
+        made = disguised_candidates(padded, base)
+        assert [k for k, *_ in made] == [0, 1, 2, 3] and all(len(x) == len(FEATURES) for *_, x in made)
+        for style in range(8):
+            for a, kind, b in base:
+                assert not any(k == kind for _s, k, _e in base_spans(_disguised(kind, padded[a:b], style)))
 
 
 def test_redaction_cuts_every_span_and_nothing_else(spark, edge_docs, empty_docs, clashing_docs):
