@@ -39,7 +39,7 @@ from gleaner.operators.batch import summarise_results
 from gleaner.operators.collection import dataset_resource_map
 from gleaner.plans import jobs as J
 from gleaner.schemas import package_schema
-from gleaner.session import reliable_checkpoint
+from gleaner.session import literal_df, reliable_checkpoint
 from gleaner.sources import files as SRC
 
 LOG_COLUMNS = ["endpoint", "resource", "entry_date", "status"]
@@ -213,12 +213,23 @@ def cmd_transform(spark, a) -> dict:
     if a.on_missing == "fail":
         SEL.require_resources_present(tasks, present)
     errors = SEL.missing_resources(tasks, present)
+    configs = load_pipeline(spark, a.pipeline_dir, a.specification_dir)
+    # resources whose config cannot be used fail alone; the others go on
+    invalid = PH.invalid_patterns(spark, configs)
+    bad = literal_df(spark, invalid, "_d string, _r string, _e string")
+    hit = (F.col("dataset") == F.col("_d")) & ((F.col("_r") == "") | (F.col("_r") == F.col("old_resource")))
+    unusable = tasks.join(bad, hit).groupBy("dataset", "old_resource").agg(F.min("_e").alias("error"))
+    errors = errors.select("dataset", "old_resource", "error").unionByName(unusable)
+    errors = reliable_checkpoint(errors.groupBy("dataset", "old_resource").agg(F.min("error").alias("error")))
+    listed = tasks.select("dataset", F.col("old_resource").alias("resource"))
+    tasks = tasks.join(unusable, ["dataset", "old_resource"], "left_anti")
+    for name in ("skip", "patch", "filter"):
+        configs[name] = configs[name].where(F.col("pattern").isNull() | ~F.concat_ws(": invalid pattern ", F.lit(name), "pattern").isin([e for _d, _r, e in invalid]))
     # the raw files of the task list, a block of paths a scan
     paths = [r[0] for r in present.select("path").sort("path").toLocalIterator()]
     blocks = [J.task_rows(SRC.scan_raw_cells(spark, paths[k:k + FILES_PER_SCAN]), tasks)
               for k in range(0, len(paths), FILES_PER_SCAN)] or [J.task_rows(SRC.scan_raw_cells(spark, []), tasks)]
     cells = reduce(lambda x, y: x.unionByName(y), blocks)
-    configs = load_pipeline(spark, a.pipeline_dir, a.specification_dir)
     base = a.pipeline_dir.rstrip("/")
     lookup = SRC.scan_csv_table(spark, f"{base}/lookup.csv",
                                 ["prefix", "reference", "organisation", "entity"]) \
@@ -231,7 +242,6 @@ def cmd_transform(spark, a) -> dict:
     PK.replace_resources(t.facts_input, f"{out}/transformed", done)
     PK.replace_resources(t.issues, f"{out}/issue", done)
     PK.replace_resources(t.column_field, f"{out}/column-field", done)
-    listed = tasks.select("dataset", F.col("old_resource").alias("resource"))
     results = (listed.join(errors.select("dataset", F.col("old_resource").alias("resource"), "error"), ["dataset", "resource"], "left")
                .select("dataset", "resource", F.col("error").isNull().alias("ok"), "error").distinct())
     PK.replace_resources(results, f"{out}/result", listed)

@@ -133,6 +133,32 @@ def dataset_config(spark, configs: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+# Phases whose config holds patterns, and the most config rows with patterns.
+_PATTERNS = ("skip", "patch", "filter")
+MAX_PATTERNS = 100_000
+
+
+def invalid_patterns(spark, configs: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
+    """(dataset, resource or '', message) of the config rows whose pattern is
+    no regular expression. Patterns are a bounded config, compiled here once;
+    left in a phase, one of them would fail every resource of the batch."""
+    found = []
+    for name in _PATTERNS:
+        if name not in configs:
+            continue
+        df = configs[name]
+        res = F.coalesce(F.trim(F.col("resource")), F.lit("")) if "resource" in df.columns else F.lit("")
+        rows = df.where("pattern is not null").select("dataset", res.alias("resource"), "pattern").distinct().limit(MAX_PATTERNS + 1).collect()
+        if len(rows) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} patterns in the {name} config")
+        for r in rows:
+            try:
+                spark._jvm.java.util.regex.Pattern.compile(r["pattern"])
+            except Exception:  # noqa: BLE001 - any refusal of the JVM
+                found.append((r["dataset"], r["resource"], f"{name}: invalid pattern {r['pattern']}"))
+    return sorted(set(found), key=str)
+
+
 def _listed(ordered: Column, name: str) -> Column:
     """Ordered payload structs -> the phase's own structs."""
     def row(v: Column) -> Column:

@@ -58,3 +58,27 @@ def test_a_resource_without_name_is_kept_and_callbacks_see_whole_resources(spark
     df = spark.createDataFrame(rows, "resource string, value long").repartition(6)
     got = {r["resource"]: (r["ok"], r["rows"]) for r in B.run_with_errors(df, lambda pdf: pdf).collect()}
     assert got == {"a": (True, 95), None: (True, 2)}
+
+
+def test_streamed_callbacks_fail_one_by_one(spark):
+    from helpers_batch import double_in_pieces
+
+    from gleaner.operators.batch import run_streamed
+    rows = [("big", i, f"v{i}") for i in range(1, 3001)] + [("late", i, "bad" if i == 2500 else "x") for i in range(1, 3001)]
+    rows += [(f"r{k}", 1, "a") for k in range(40)] + [(None, 1, "n"), (None, 2, "m")]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.createDataFrame(rows, "resource string, entry_number long, value string").repartition(4)
+        out, results = run_streamed(df, double_in_pieces, "resource string, entry_number bigint, value string")
+        got = {r["resource"]: (r["ok"], r["rows"], r["error"]) for r in results.collect()}
+        assert got.pop("late") == (False, 0, "ValueError: bad value in late")
+        assert got.pop("big") == (True, 3000, None) and got.pop(None) == (True, 2, None)
+        assert len(got) == 40 and set(got.values()) == {(True, 1, None)}
+        want = sorted((r, n, v * 2) for r, n, v in rows if r not in ("late", None))
+        assert sorted(tuple(r) for r in out.where("resource is not null").collect()) == want
+        assert out.where("resource is null").count() == 2
+        empty, none = run_streamed(df.limit(0), double_in_pieces, "resource string, entry_number bigint, value string")
+        assert empty.count() == 0 and none.count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

@@ -270,3 +270,25 @@ def test_collect_state_feeds_the_plan(spark, tree):
     for state in (index / "state", document):
         with pytest.raises(KeyError, match="absent"):
             plan(state, "absent")
+
+
+def test_a_bad_pattern_costs_its_resources_alone(spark, tree):
+    res = tree / "collection" / "resource"
+    res.mkdir()
+    for name in ("aaa", "yyy"):
+        (res / name).write_text("Ref\nT1\n")
+    pipe = tree / "pipeline"
+    (pipe / "column.csv").write_text("dataset,column,field\ntree,Ref,reference\ntree-zone,Ref,reference\n")
+    (pipe / "skip.csv").write_text("dataset,resource,pattern\ntree,aaa,(unclosed\ntree,,^nothing$\n")
+    (pipe / "lookup.csv").write_text("prefix,reference,organisation,entity\ntree,T1,,1\n")
+    (tree / "specification" / "dataset.csv").write_text("dataset,prefix\ntree,tree\ntree-zone,tree\n")
+    tasks, out = str(tree / "tasks"), tree / "out"
+    cli.main(["plan-transform", *_common(tree), "--output", tasks, "--reprocess"], spark=spark)
+    with pytest.raises(SystemExit):
+        cli.main(["transform", "--tasks", tasks, "--resource-dir", str(res), "--pipeline-dir", str(pipe), "--specification-dir",
+                  str(tree / "specification"), "--output-dir", str(out), "--entry-date", "2024-02-01"], spark=spark)
+    results = {(r["dataset"], r["resource"]): r["error"] for r in spark.read.parquet(str(out / "result")).collect()}
+    assert results == {("tree", "aaa"): "skip: invalid pattern (unclosed", ("tree", "bbb"): None, ("tree-zone", "bbb"): None}
+    rows = spark.read.parquet(str(out / "transformed"))
+    assert {(r["dataset"], r["resource"]) for r in rows.collect()} == {("tree", "bbb"), ("tree-zone", "bbb")}
+    assert spark.read.parquet(str(out / "dataset-resource")).count() == 2
