@@ -32,11 +32,10 @@ CTE = {
     ON r.run = 0 OR (r.run = 1 AND d.doc_id % 3 = 0) OR (r.run = 2 AND d.doc_id % 5 = 0))""",
     "current": """current_pairs AS (
   SELECT dataset, resource FROM (
-    SELECT *, row_number() OVER (PARTITION BY dataset, resource ORDER BY entry_date DESC, code_version DESC NULLS LAST,
-                                 config_hash DESC NULLS LAST, specification_hash DESC NULLS LAST) AS place FROM version_log)
-  WHERE place = 1 AND code_version IS NOT DISTINCT FROM '0.1.0'
-    AND config_hash IS NOT DISTINCT FROM 'config-1'
-    AND specification_hash IS NOT DISTINCT FROM 'specification-1')""",
+    SELECT *, rank() OVER (PARTITION BY dataset, resource ORDER BY entry_date DESC) AS place FROM version_log)
+  WHERE place = 1 GROUP BY dataset, resource
+  HAVING bool_and(code_version IS NOT DISTINCT FROM '0.1.0' AND config_hash IS NOT DISTINCT FROM 'config-1'
+                  AND specification_hash IS NOT DISTINCT FROM 'specification-1'))""",
     "clog": """clog AS (
   SELECT 'ep-' || CAST(e.user_id AS VARCHAR) AS endpoint,
          CASE WHEN e.event_type = 'error' THEN NULL ELSE d.resource END AS resource,
