@@ -271,7 +271,8 @@ def cmd_assemble(spark, a) -> dict:
         t, issues = t.where(F.col("dataset") == a.dataset), issues.where(F.col("dataset") == a.dataset)
     require_nonempty(t, "transformed rows")
     out = a.output_dir.rstrip("/")
-    entity = FA.resolve_entities(t)
+    ranks = FA.rank_dates(t)
+    entity = FA.resolve_entities(t, ranks)
     if a.pipeline_dir:
         entity = J.fill_organisations(entity, SRC.scan_csv_table(
             spark, f"{a.pipeline_dir.rstrip('/')}/entity-organisation.csv",
@@ -280,7 +281,7 @@ def cmd_assemble(spark, a) -> dict:
     if a.specification_dir:
         listed = SRC.scan_csv_table(spark, f"{a.specification_dir.rstrip('/')}/field.csv", ["field"])
         fields = sorted(r[0].replace("-", "_") for r in listed.where("field is not null").distinct().collect()) or None
-    tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True),
+    tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True, ranks=ranks),
               "fact_resource": FA.make_fact_resources(t, keep_dataset=True),
               "issue": issues.select(*PK.PACKAGE_COLUMNS["issue"])}
     counts = {}

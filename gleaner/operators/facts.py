@@ -3,16 +3,18 @@ resolved ``entity`` row per entity, plus flattening, provenance and
 incremental update.
 
 Resolution is an aggregation, not a window: the winning observation of an
-(entity, field) is ``max`` of an orderable struct, which Spark aggregates
-partially on the map side. A field observed in a third of all rows is then
+(entity, field) is a ``max``, which Spark aggregates partially on the map side. A field observed in a third of all rows is then
 combined in parallel instead of being sorted inside one task.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.operators.selection import number_rows
 from gleaner.schemas import PACKAGE_COLUMNS
 
 # Entity-table columns that a field can fill directly; every other field goes
@@ -26,17 +28,75 @@ def fact_id(entity, field, value) -> Column:
     return F.sha2(F.concat_ws("|", F.col(entity).cast("string"), F.col(field), F.col(value)), 256)
 
 
-def make_facts(transformed: DataFrame, keep_dataset: bool = False) -> DataFrame:
+# Bytes that a table of ranked entry dates may hold to be broadcast; a larger
+# one is not used, dates are then compared as text.
+MAX_RANKED_BYTES = 64 << 20
+
+
+class DateRanks(NamedTuple):
+    """The distinct entry dates of a table, numbered in the order of their
+    texts (none first), and the ranges of its priorities and entry numbers."""
+    table: DataFrame
+    count: int
+    text_bytes: int
+    priorities: tuple[int, int] | None
+    numbers: tuple[int, int] | None
+
+    @property
+    def small(self) -> bool:
+        return self.text_bytes + 32 * self.count <= MAX_RANKED_BYTES
+
+    @property
+    def widths(self) -> tuple[int, int, int]:
+        """Bits that hold a priority, a date rank and an entry number; the
+        first and the last have a code for none beside those of their range."""
+        span = [0 if r is None else r[1] - r[0] + 1 for r in (self.priorities, self.numbers)]
+        return span[0].bit_length(), max(self.count - 1, 0).bit_length(), span[1].bit_length()
+
+    def encode(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``_rank``; a date that the ranks do not know is an error."""
+        ranked = rows.join(F.broadcast(self.table), F.col("entry_date").eqNullSafe(F.col("_date")), "left")
+        unknown = F.raise_error(F.lit("entry date without a rank")).cast("bigint")
+        return ranked.withColumn("_rank", F.coalesce("_rank", unknown)).drop("_date")
+
+    def decode(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the ``entry_date`` of their ``_rank``."""
+        return rows.join(F.broadcast(self.table), "_rank").withColumnRenamed("_date", "entry_date")
+
+
+def rank_dates(transformed: DataFrame) -> DateRanks:
+    """Number the entry dates of ``transformed``: one pass over three columns,
+    then one row per distinct date. Ranks are exact for any text, and an
+    aggregation over them is hash-based, which one over texts is not. Runs at
+    once; the same ranks serve :func:`make_facts` and :func:`resolve_fields`."""
+    seen = transformed.groupBy(F.col("entry_date").alias("_date")).agg(
+        F.min("priority").alias("_p0"), F.max("priority").alias("_p1"),
+        F.min("entry_number").alias("_n0"), F.max("entry_number").alias("_n1"))
+    numbered, count = number_rows(seen, ["_date"], "_rank")
+    r = numbered.agg(F.sum(F.octet_length("_date")), F.min("_p0"), F.max("_p1"),
+                     F.min("_n0"), F.max("_n1")).first()
+    return DateRanks(numbered.select("_date", "_rank"), count, r[0] or 0,
+                     None if r[1] is None else (r[1], r[2]), None if r[3] is None else (r[3], r[4]))
+
+
+def make_facts(transformed: DataFrame, keep_dataset: bool = False,
+               ranks: DateRanks | None = None) -> DataFrame:
     """fact table: one row per fact, with the best (lowest) priority and
     the latest entry date of its observations. ``reference_entity`` carries
     the value of ``organisation_entity`` facts (a pointer to another
     entity; ``keep_dataset`` adds the dataset, for a table partitioned by
     it). Entry dates are text and stay as they are: the latest is the
-    greatest text. A fact is determined by (entity, field, value), so those
-    are the grouping keys and the sha256 id is computed once per fact."""
+    greatest text, found by its rank. A fact is determined by (entity, field,
+    value), so those are the grouping keys and the sha256 id is computed once
+    per fact."""
     keys = (["dataset"] if keep_dataset else []) + ["entity", "field", "value"]
-    agg = transformed.groupBy(*keys).agg(
-        F.max("entry_date").alias("entry_date"), F.min("priority").alias("priority"))
+    ranks = ranks or rank_dates(transformed)
+    priority = F.min("priority").alias("priority")
+    if ranks.small:
+        agg = ranks.decode(ranks.encode(transformed.select(*keys, "entry_date", "priority"))
+                           .groupBy(*keys).agg(F.max("_rank").alias("_rank"), priority))
+    else:
+        agg = transformed.groupBy(*keys).agg(F.max("entry_date").alias("entry_date"), priority)
     return agg.select(
         *(["dataset"] if keep_dataset else []),
         "entity", fact_id("entity", "field", "value").alias("fact"), "field",
@@ -65,7 +125,18 @@ def _merit() -> Column:
                     F.col("entry_number").alias("n"))
 
 
-def resolve_fields(transformed: DataFrame) -> DataFrame:
+def _packed_merit(ranks: DateRanks) -> Column:
+    """The same order as one BIGINT: the priority's distance from the worst
+    one, the date's rank and the entry number side by side."""
+    _, date_bits, number_bits = ranks.widths
+    none = F.lit(0).cast("bigint")
+    p = none if ranks.priorities is None else F.coalesce(F.lit(ranks.priorities[1]) - F.col("priority") + 1, none)
+    n = none if ranks.numbers is None else F.coalesce(F.col("entry_number") - F.lit(ranks.numbers[0]) + 1, none)
+    return (F.shiftleft(F.shiftleft(p.cast("bigint"), date_bits).bitwiseOR(F.col("_rank")), number_bits)
+            .bitwiseOR(n.cast("bigint")))
+
+
+def resolve_fields(transformed: DataFrame, ranks: DateRanks | None = None) -> DataFrame:
     """(dataset, entity, field) -> winning value, its entry date and fact.
 
     Two aggregations, both with map-side partial aggregation: rows collapse
@@ -73,8 +144,25 @@ def resolve_fields(transformed: DataFrame) -> DataFrame:
     field's winner is the value with the best of those, on a tie the one with
     the smallest fact id. The sha256 fact id is computed once per value
     rather than once per row.
+
+    Observations are compared by a number packed from priority, date rank and
+    entry number, so the first aggregation, over all rows, is hash-based. If
+    the ranges at hand need over 63 bits, or there are too many dates to
+    broadcast, the columns themselves are compared: the same result, by sorting.
     """
     g = ["dataset", "entity", "field"]
+    ranks = ranks or rank_dates(transformed)
+    packed = ranks.small and sum(ranks.widths) <= 63
+    if packed:
+        # turned round, as the smallest fact id wins a tie
+        rows = ranks.encode(transformed.select(*g, "value", "entry_date", "priority", "entry_number"))
+        per_value = rows.groupBy(*g, "value").agg(F.max(_packed_merit(ranks)).alias("m"))
+        cand = per_value.withColumn("m", F.bitwise_not("m")).withColumn("fact", fact_id("entity", "field", "value"))
+        w = cand.groupBy(*g).agg(F.min(F.struct("m", "fact", "value")).alias("w"))
+        _, date_bits, number_bits = ranks.widths
+        rank = F.shiftright(F.bitwise_not(F.col("w.m")), number_bits).bitwiseAND(F.lit((1 << date_bits) - 1))
+        w = ranks.decode(w.withColumn("_rank", rank))
+        return w.select(*g, F.col("w.value").alias("value"), "entry_date", F.col("w.fact").alias("fact"))
     per_value = transformed.groupBy(*g, "value").agg(F.max(_merit()).alias("m"))
     cand = per_value.withColumn("fact", fact_id("entity", "field", "value"))
     # digits turned round, so that the greatest stands for the smallest id
@@ -98,8 +186,8 @@ def entities_from_fields(resolved: DataFrame, columns=ENTITY_FIELD_COLUMNS) -> D
     return wide.withColumn("json", json).select(*PACKAGE_COLUMNS["entity"])
 
 
-def resolve_entities(transformed: DataFrame) -> DataFrame:
-    return entities_from_fields(resolve_fields(transformed))
+def resolve_entities(transformed: DataFrame, ranks: DateRanks | None = None) -> DataFrame:
+    return entities_from_fields(resolve_fields(transformed, ranks))
 
 
 # Columns that a flattened table may have at most.

@@ -120,11 +120,12 @@ def assemble(transformed: DataFrame, expectations: DataFrame | None = None,
     flattened entities and expectation results. Write the outputs with
     :mod:`gleaner.operators.package` (persist ``entity`` first when all
     outputs are written in one run)."""
-    ent = FA.resolve_entities(transformed)
+    ranks = FA.rank_dates(transformed)
+    ent = FA.resolve_entities(transformed, ranks)
     if entity_organisation is not None:
         ent = fill_organisations(ent, entity_organisation)
     exp = EX.check_expectations(ent, expectations) if expectations is not None else None
-    return Assembled(ent, FA.make_facts(transformed), FA.make_fact_resources(transformed),
+    return Assembled(ent, FA.make_facts(transformed, ranks=ranks), FA.make_fact_resources(transformed),
                      FA.flatten_entities(ent, flatten_keys), exp)
 
 

@@ -45,8 +45,8 @@ def test_no_windows_in_registered_plans(plans):
 
 
 def test_fact_aggregations_are_hash_based(plans):
-    # facts and winners carry date text, which only a sort-based aggregate can hold
-    for name in ("make_fact_resources", "resource_index", "skip_counts"):
+    # winners carry their value as text, which only a sort-based aggregate can hold
+    for name in ("make_facts", "make_fact_resources", "resource_index", "skip_counts"):
         assert "SortAggregate" not in plans[name][1], name
 
 
