@@ -16,8 +16,10 @@ in the corpus (smaller ``doc_id``, or the same document at an earlier place).
    doc_id and place; a shard gets a suffix array by induced sorting, permuted
    common prefixes find equal strings, and all but the earliest of each are
    repeats. A key of more than _HOT contexts, and one that a neighbouring
-   partition may continue, gets none: its strings are hashed one by one, sorted
-   over all partitions by (hash, doc_id, start) and compared with neighbours.
+   partition may continue, gets none: its strings are hashed one by one and
+   combined by blocks of contexts; the earliest of each string in each block
+   are sorted over all partitions by (hash, doc_id, start) and compared with
+   neighbours.
 4. Runs and strings found are united to spans by document and cut out.
 
 Anchors and contexts are compared by 64-bit hashes each (128 together),
@@ -52,6 +54,7 @@ _PLACE = U64((1 << 31) - 1)
 _NO_ID = -(1 << 63)
 _SHARD_BYTES = 1 << 20
 _HOT = _SHARD_BYTES // (2 * LENGTH)  # contexts of one key that a suffix array takes
+_BLOCK = 4_096  # contexts whose strings are combined before they are shuffled
 _REPEATS, _OPEN = 0, 1
 
 
@@ -266,19 +269,38 @@ def _searcher(hot: int):
 
 
 def _cut_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts -> (128-bit hash, doc_id, start) of each of their strings."""
-    names = ["high", "low", "doc_id", "start"]
+    """Contexts -> their strings by 128-bit hash, combined within a block of
+    contexts: a string that also starts earlier in its block is a repeat, given
+    as runs (doc_id, start, count); the earliest of each goes on alone."""
+    names = ["kind", "high", "low", "doc_id", "start", "count"]
     for batch in batches:
-        for k in range(0, batch.num_rows, 1_024):
-            part = batch.slice(k, 1_024)
-            digests, ids, starts = [], [], []
-            for doc, first, own in zip(*(part.column(c).to_pylist() for c in range(3))):
-                count = len(own) - LENGTH + 1
-                digests += [hashlib.blake2b(own[j:j + LENGTH], digest_size=16).digest() for j in range(count)]
-                ids += [doc] * count
-                starts += range(first, first + count)
-            halves = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), pa.array(ids, pa.int64()), pa.array(starts, pa.int64())], names=names)
+        for k in range(0, batch.num_rows, _BLOCK):
+            part = batch.slice(k, _BLOCK)
+            doc, first = (part.column(c).to_numpy(zero_copy_only=False) for c in range(2))
+            bytes_ = part.column(2).to_pylist()
+            count = np.array([len(own) - LENGTH + 1 for own in bytes_], np.int64)
+            digests = b"".join(hashlib.blake2b(own[j:j + LENGTH], digest_size=16).digest() for own, n in zip(bytes_, count) for j in range(n))
+            high, low = np.frombuffer(digests, dtype="<i8").reshape(-1, 2).T
+            doc = np.repeat(doc, count)
+            start = np.repeat(first - np.cumsum(count) + count, count) + np.arange(len(doc))
+            order = np.lexsort((start, doc, low, high))
+            new = np.concatenate([[True], (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])])
+            alone = order[new]
+            # what equals the earliest of its string in place too is that very start
+            earliest = alone[np.cumsum(new) - 1]
+            later = order[(doc[order] != doc[earliest]) | (start[order] != start[earliest])]
+            later = later[np.lexsort((start[later], doc[later]))]
+            at, place = doc[later], start[later]
+            heads = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (place[1:] > place[:-1] + 1)])) if len(later) else later
+            length = place[np.append(heads[1:], len(later)) - 1] - place[heads] + 1 if len(later) else later
+            rows = len(alone) + len(heads)
+            none = pa.nulls(len(heads), pa.int64())
+            for c in range(0, rows, 65_536):
+                yield pa.RecordBatch.from_arrays([x.slice(c, 65_536) for x in (
+                    pa.array(np.repeat(np.array([_OPEN, _REPEATS], np.int32), [len(alone), len(heads)])),
+                    pa.concat_arrays([pa.array(high[alone]), none]), pa.concat_arrays([pa.array(low[alone]), none]),
+                    pa.array(np.concatenate([doc[alone], at[heads]])), pa.array(np.concatenate([start[alone], place[heads]])),
+                    pa.array(np.concatenate([np.ones(len(alone), np.int64), length])))], names=names)
 
 
 def _compare_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,14 +334,16 @@ def _compare_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _repeated_strings(contexts: DataFrame, parts: int) -> DataFrame:
     """(doc_id, first, count) of repeated starts, without bringing a key together."""
     keys = ["high", "low", "doc_id", "start"]
-    strings = contexts.mapInArrow(_cut_strings, "high long, low long, doc_id long, start long")
+    cut = write_out(contexts.mapInArrow(_cut_strings, "kind int, high long, low long, doc_id long, start long, count long"))
+    inside = cut.filter(F.col("kind") == _REPEATS).select("doc_id", F.col("start").alias("first"), "count")
+    strings = cut.filter(F.col("kind") == _OPEN).select(*keys)
     compared = write_out(strings.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).mapInArrow(
         _compare_strings, "kind int, high long, low long, doc_id long, start long"))
     # two rows of a partition at most
     edges = compared.filter(F.col("kind") == _OPEN).groupBy("high", "low").agg(F.sort_array(F.collect_set(F.struct("doc_id", "start"))).alias("at"))
     edges = edges.select(F.explode(F.slice("at", F.lit(2), F.size("at"))).alias("at")).select("at.doc_id", "at.start")
     repeated = compared.filter(F.col("kind") == _REPEATS).select("doc_id", "start").unionAll(edges)
-    return repeated.select("doc_id", F.col("start").alias("first"), F.lit(1).cast("long").alias("count"))
+    return inside.unionAll(repeated.select("doc_id", F.col("start").alias("first"), F.lit(1).cast("long").alias("count")))
 
 
 def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

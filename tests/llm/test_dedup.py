@@ -173,3 +173,20 @@ def test_runs_are_compared_batch_by_batch():
     for step in (1, 7, 90):
         seen, got = compared(step)
         assert got == want and seen < 4
+
+
+def test_strings_of_a_block_are_combined_before_they_are_shuffled(spark, monkeypatch):
+    rng = np.random.default_rng(23)
+    passage = "".join(chr(97 + x) for x in rng.integers(0, 26, 118))
+    contexts = pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array([7] * 900), pa.array([(passage + f"{k:016d}").encode() for k in range(900)])],
+                                          names=["doc_id", "first", "bytes"])
+    monkeypatch.setattr(suffix_dedup, "_BLOCK", 300)
+    rows = [r for b in suffix_dedup._cut_strings(iter([contexts])) for r in b.to_pylist()]
+    runs = [r for r in rows if r["kind"] == suffix_dedup._REPEATS]
+    # all but the first context of a block: one run of the strings inside the passage or its zeros
+    assert len(runs) == 3 * 299 and all(r["start"] == 7 and r["count"] >= 19 for r in runs)
+    assert len(rows) - len(runs) == len({(r["high"], r["low"], r["doc_id"] // 300) for r in rows if r["kind"] == suffix_dedup._OPEN})
+    monkeypatch.setattr(suffix_dedup, "_BLOCK", 3)
+    monkeypatch.setattr(suffix_dedup, "_HOT", 1)
+    rows = passage_rows(40) + [(100 + k, t) for k, t in passage_rows(5)]
+    assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute.repeats(rows)
