@@ -25,7 +25,6 @@ import json
 import logging
 import sys
 import time
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +40,7 @@ from gleaner.plans import jobs as J
 from gleaner.schemas import package_schema
 from gleaner.session import literal_df, reliable_checkpoint
 from gleaner.sources import files as SRC
+from gleaner.sources import raw as RAW
 
 LOG_COLUMNS = ["endpoint", "resource", "entry_date", "status"]
 SOURCE_COLUMNS = ["source", "organisation", "endpoint", "collection", "pipelines"]
@@ -49,8 +49,6 @@ OLD_RESOURCE_COLUMNS = ["old_resource", "resource", "status"]
 
 TRANSFORMED_SCHEMA = ("entity bigint, resource string, entry_number bigint, entry_date string, priority bigint, "
                       "field string, value string, dataset string")
-# Raw files read in one scan; a longer list is read in several.
-FILES_PER_SCAN = 10_000
 
 
 def load_collection(spark: SparkSession, collection_dir: str) -> dict[str, DataFrame]:
@@ -219,17 +217,18 @@ def cmd_transform(spark, a) -> dict:
     bad = literal_df(spark, invalid, "_d string, _r string, _e string")
     hit = (F.col("dataset") == F.col("_d")) & ((F.col("_r") == "") | (F.col("_r") == F.col("old_resource")))
     unusable = tasks.join(bad, hit).groupBy("dataset", "old_resource").agg(F.min("_e").alias("error"))
+    # the raw files of the task list, each by its own format; a file that cannot be read fails alone
+    paths = [r[0] for r in present.select("path").sort("path").toLocalIterator()]
+    raw = RAW.scan_raw_files(spark, paths, multi_line=not a.single_line)
+    unread = tasks.join(raw.failed.select("resource", F.concat_ws(": ", "error", "resource").alias("error")), "resource")
+    unusable = reliable_checkpoint(unusable.unionByName(unread.select("dataset", "old_resource", "error")))
     errors = errors.select("dataset", "old_resource", "error").unionByName(unusable)
     errors = reliable_checkpoint(errors.groupBy("dataset", "old_resource").agg(F.min("error").alias("error")))
     listed = tasks.select("dataset", F.col("old_resource").alias("resource"))
     tasks = tasks.join(unusable, ["dataset", "old_resource"], "left_anti")
     for name in ("skip", "patch", "filter"):
         configs[name] = configs[name].where(F.col("pattern").isNull() | ~F.concat_ws(": invalid pattern ", F.lit(name), "pattern").isin([e for _d, _r, e in invalid]))
-    # the raw files of the task list, a block of paths a scan
-    paths = [r[0] for r in present.select("path").sort("path").toLocalIterator()]
-    blocks = [J.task_rows(SRC.scan_raw_cells(spark, paths[k:k + FILES_PER_SCAN]), tasks)
-              for k in range(0, len(paths), FILES_PER_SCAN)] or [J.task_rows(SRC.scan_raw_cells(spark, []), tasks)]
-    cells = reduce(lambda x, y: x.unionByName(y), blocks)
+    cells = J.task_rows(raw.cells, tasks)
     base = a.pipeline_dir.rstrip("/")
     lookup = SRC.scan_csv_table(spark, f"{base}/lookup.csv",
                                 ["prefix", "reference", "organisation", "entity"]) \
@@ -242,6 +241,9 @@ def cmd_transform(spark, a) -> dict:
     PK.replace_resources(t.facts_input, f"{out}/transformed", done)
     PK.replace_resources(t.issues, f"{out}/issue", done)
     PK.replace_resources(t.column_field, f"{out}/column-field", done)
+    PK.replace_resources(J.task_rows(raw.rejected, tasks), f"{out}/rejected", done)
+    if a.keep_converted:
+        PK.replace_resources(cells, f"{out}/converted-resource", done)
     results = (listed.join(errors.select("dataset", F.col("old_resource").alias("resource"), "error"), ["dataset", "resource"], "left")
                .select("dataset", "resource", F.col("error").isNull().alias("ok"), "error").distinct())
     PK.replace_resources(results, f"{out}/result", listed)
@@ -372,6 +374,8 @@ def parser() -> argparse.ArgumentParser:
     w.add_argument("--specification-dir", default="specification/")
     w.add_argument("--output-dir", required=True)
     w.add_argument("--entry-date", default=None)
+    w.add_argument("--single-line", action="store_true", help="no CSV value holds a line break: large files are read in splits")
+    w.add_argument("--keep-converted", action="store_true", help="also write the records as read, before any phase")
     w.add_argument("--on-missing", choices=["fail", "record"], default="fail")
     w.add_argument("--dataset-resource-dir", default=None,
                    help="version log that plan-transform reads; the batch's versions are added")

@@ -14,6 +14,7 @@ from gleaner.functions import scalar as X
 from gleaner.operators import collection as C
 from gleaner.operators import selection as SEL
 from gleaner.plans.oracle import with_ctes
+from gleaner.sources import raw as RAW
 from gleaner.sources import standins as ST
 
 QUERIES: dict = {}
@@ -867,3 +868,46 @@ def q_provenance_log(spark, d):
     tasks = _tasks(spark, d).select("dataset", F.col("old_resource").alias("resource")).distinct()
     return PH.provenance_log(tasks, ST.CODE_VERSION, ST.CONFIG_HASH, ST.SPECIFICATION_HASH,
                              "2024-02-01")
+
+
+# ----------------------------------------------------------------- raw formats
+
+_RAW_JSON = """
+SELECT o_orderkey + 1 AS entry_number, unnest(['OrderKey', 'Customer', 'Status', 'Priority']) AS "column",
+       unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority]) AS value
+FROM orders"""
+
+
+def _json_records(spark, d):
+    rows = ST.raw_order_rows(spark, d)
+    return rows.select("entry_number", F.to_json(F.struct("OrderKey", "Customer", "Status", "Priority")).alias("record"))
+
+
+@register("raw_json_cells", f"""
+SELECT * FROM ({_RAW_JSON}) WHERE entry_number % 11 <> 0
+UNION ALL SELECT o_orderkey + 1, NULL, 'not a JSON object' FROM orders WHERE (o_orderkey + 1) % 11 = 0""")
+def q_raw_json_cells(spark, d):
+    # every eleventh line is cut off in its midst
+    record = F.when(F.col("entry_number") % 11 == 0, F.expr("left(record, length(record) - 3)")).otherwise(F.col("record"))
+    lines = _json_records(spark, d).select("entry_number", RAW.json_cells(record).alias("cells"))
+    rejected = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit("not a JSON object").alias("value")))
+    return lines.select("entry_number", F.explode(F.coalesce("cells", rejected)).alias("c")).select("entry_number", "c.*")
+
+
+@register("raw_json_documents", f"""
+SELECT entry_number, 'features' AS form, CAST(1 AS BIGINT) AS place, "column", value FROM ({_RAW_JSON})
+UNION ALL SELECT o_orderkey + 1, 'features', 1, 'geometry', '{{"type":"Point","coordinates":[' || o_custkey || ',1]}}' FROM orders
+UNION ALL SELECT entry_number, 'array', 2, "column", value FROM ({_RAW_JSON})
+UNION ALL SELECT o_orderkey + 1, 'array', 1, NULL, NULL FROM orders""")
+def q_raw_json_documents(spark, d):
+    # each order as a feature collection, and as an array whose first element is no object
+    records = _json_records(spark, d)
+    point = F.concat(F.lit('{"type":"Point","coordinates":['), F.get_json_object("record", "$.Customer"), F.lit(",1]}"))
+    features = F.concat(F.lit('{"type":"FeatureCollection","features":[{"type":"Feature","properties":'), "record",
+                        F.lit(',"geometry":'), point, F.lit("}]}"))
+    docs = records.select("entry_number", F.explode(F.array(
+        F.struct(F.lit("features").alias("form"), features.alias("text")),
+        F.struct(F.lit("array").alias("form"), F.concat(F.lit("[5, "), "record", F.lit("]")).alias("text")))).alias("d"))
+    each = docs.select("entry_number", "d.form", F.posexplode(RAW.json_document_cells(F.col("d.text"))).alias("_at", "cells"))
+    return each.select("entry_number", "form", (F.col("_at") + 1).cast("bigint").alias("place"), F.explode_outer("cells").alias("c")).select(
+        "entry_number", "form", "place", "c.*")

@@ -65,7 +65,17 @@ def _underscored(name):
     return F.translate(F.trim(name), "-", "_")
 
 
-def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame | None:
+def first_lines(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
+    """(file, line): the first line of each file that is not empty, without a
+    byte order mark; files without one are left out."""
+    lines = spark.read.text(pattern).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "^\ufeff|\r$", "").alias("value"))
+    return lines.where("b = 0 and value <> ''").groupBy("file").agg(F.min_by("value", "id").alias("line"))
+
+
+def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: bool = True,
+                  first: DataFrame | None = None) -> DataFrame | None:
     """CSV files, each read by its own header: (file, header ARRAY, values
     ARRAY, block, place, written). None when there is no file or no header.
 
@@ -76,17 +86,13 @@ def csv_by_header(spark: SparkSession, pattern: str | list[str], multi_line: boo
     are understood. Quoted line breaks in values need ``multi_line`` (a file is
     then one split); pass False for large files known to have none. ``block``
     and ``place`` order a file's rows; ``written`` is the file's modification
-    time."""
+    time. ``first``: the files' :func:`first_lines`, where they are known."""
     try:
-        lines = spark.read.text(pattern).select(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("b"),
-            F.monotonically_increasing_id().alias("id"), "value")
+        first = first_lines(spark, pattern) if first is None else first
     except AnalysisException as err:
         if _path_missing(err):
             return None
         raise
-    first = lines.where("b = 0").groupBy("file").agg(F.min_by("value", "id").alias("line"))
-    first = first.select("file", F.regexp_replace("line", "^\ufeff|\r$", "").alias("line"))
     # as many positional columns as the widest header can have
     width = first.agg(F.max(F.size(F.split("line", ","))).alias("w")).first()["w"] or 0
     if width == 0:
@@ -283,11 +289,23 @@ def decoded(uri):
     return F.url_decode(F.replace(F.col(uri) if isinstance(uri, str) else uri, F.lit("+"), F.lit("%2B")))
 
 
-def _file_name(uri):
+def file_name(uri):
     return decoded(F.regexp_extract(uri, r"([^/]+)$", 1))
 
 
-def scan_raw_cells(spark: SparkSession, pattern: str | list[str], multi_line: bool = True) -> DataFrame:
+def number_places(found: DataFrame) -> DataFrame:
+    """Rows of (file, block, place, ...) with their 1-based ``entry_number`` in
+    the file: the rows of the file's earlier splits plus the place in the own
+    one. No file is sorted in one task."""
+    splits = found.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("place").alias("_m0"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file split; the window sorts splits of one file, not rows
+    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    j = found.join(splits.select("file", "block", "_off", "_m0"), ["file", "block"])
+    return j.withColumn("entry_number", F.col("_off") + F.col("place") - F.col("_m0") + 1).drop("_off", "_m0")
+
+
+def scan_raw_cells(spark: SparkSession, pattern: str | list[str], multi_line: bool = True, first: DataFrame | None = None) -> DataFrame:
     """Raw CSV resources with heterogeneous headers as
     (resource, entry_number, cells ARRAY<STRUCT<column, value>>).
 
@@ -296,18 +314,12 @@ def scan_raw_cells(spark: SparkSession, pattern: str | list[str], multi_line: bo
     columns never mix. ``entry_number`` is the row number after the header;
     rows are numbered per file split without sorting a file in one task.
     ``pattern`` is a glob or a list of files; no files, no rows."""
-    found = csv_by_header(spark, pattern, multi_line) if pattern else None
+    found = csv_by_header(spark, pattern, multi_line, first) if pattern else None
     if found is None:
         return spark.createDataFrame(
             [], "resource string, entry_number bigint, cells array<struct<column:string,value:string>>")
-    splits = found.groupBy("file", "block").agg(F.count(F.lit(1)).alias("_n"), F.min("place").alias("_m0"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per file split; the window sorts splits of one file, not rows
-    splits = splits.withColumn("_off", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    j = found.join(splits.select("file", "block", "_off", "_m0"), ["file", "block"])
     cells = F.transform("header", lambda c, i: F.struct(c.alias("column"), F.get(F.col("values"), i).alias("value")))
-    return j.select(_file_name("file").alias("resource"),
-                    (F.col("_off") + F.col("place") - F.col("_m0") + 1).alias("entry_number"), cells.alias("cells"))
+    return number_places(found).select(file_name("file").alias("resource"), "entry_number", cells.alias("cells"))
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
