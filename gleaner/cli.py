@@ -15,6 +15,8 @@ summaries to stdout). Paths may be any Hadoop-compatible location.
   assemble                 transformed rows -> entity, fact, fact_resource, issue
                            tables (the layout build-package reads), CSV,
                            flattened files and expectation results
+  update                   the entity, fact, fact_resource and issue tables that
+                           assemble built, after one more batch of transform
 """
 
 from __future__ import annotations
@@ -41,6 +43,7 @@ from gleaner.schemas import package_schema
 from gleaner.session import literal_df, reliable_checkpoint
 from gleaner.sources import files as SRC
 from gleaner.sources import raw as RAW
+from gleaner.streaming.incremental import daily_log
 
 LOG_COLUMNS = ["endpoint", "resource", "entry_date", "status"]
 SOURCE_COLUMNS = ["source", "organisation", "endpoint", "collection", "pipelines"]
@@ -83,8 +86,14 @@ def _old_resource(spark: SparkSession, path: str) -> DataFrame:
 def cmd_collect(spark, a) -> dict:
     """Resource index, dataset -> resource table, the resources not seen
     before, the state of the collection (``--state-path`` of the plan commands)
-    and its counts by dataset, skip-aware where a version log is named."""
+    and its counts by dataset, skip-aware where a version log is named. With
+    ``--log-dir`` the log is that of the collector's daily partitions."""
     c = load_collection(spark, a.collection_dir)
+    added = {}
+    if a.log_dir:
+        today = None if a.no_refill or a.regenerate_log else a.today or datetime.date.today().isoformat()
+        log, rows = daily_log(spark, a.log_dir, f"{a.output.rstrip('/')}/log-index", today, a.regenerate_log)
+        c["log"], added = log.drop("log_date"), {"log_rows_added": rows}
     index, pairs = J.collect_index(c["log"], c["source"])
     out = a.output.rstrip("/")
     seen = None
@@ -103,7 +112,7 @@ def cmd_collect(spark, a) -> dict:
     if a.dataset_resource_dir:
         kw = {"version_log": _version_log(spark, a.dataset_resource_dir), "versions": _versions(spark, a.pipeline_dir, a.specification_dir)}
     SEL.work_counts(pairs, **kw).write.mode("overwrite").parquet(f"{out}/state-counts")
-    return {"resources": index.count(), "new": spark.read.parquet(f"{out}/new-resource").count()}
+    return {"resources": index.count(), "new": spark.read.parquet(f"{out}/new-resource").count(), **added}
 
 
 def _versions(spark, pipeline_dir: str, specification_dir: str) -> SEL.Versions:
@@ -306,6 +315,35 @@ def cmd_assemble(spark, a) -> dict:
     return counts
 
 
+def cmd_update(spark, a) -> dict:
+    """Bring the tables that ``assemble`` built up to date with one batch of
+    ``transform``. Datasets that the batch does not touch are neither read nor
+    written; of the others, only touched entities are resolved again."""
+    tasks = spark.read.parquet(a.tasks)
+    done = reliable_checkpoint(tasks.select("dataset", F.col("old_resource").alias("resource")).distinct())
+    names = sorted(r[0] for r in done.select("dataset").distinct().collect())  # datasets of one batch
+    src, out = a.transformed_dir.rstrip("/"), a.output_dir.rstrip("/")
+    t = PK.stored_datasets(spark, SRC.ddl(TRANSFORMED_SCHEMA), f"{src}/transformed", names)
+    if t is None:
+        raise FileNotFoundError(f"No transformed rows under {src}")
+    with_dataset = {name: SRC.with_partition(package_schema(name)) for name in ("entity", "fact", "fact_resource", "issue")}
+    stored = {name: PK.stored_datasets(spark, schema, f"{out}/{name}", names) for name, schema in with_dataset.items()}
+    stored = {name: spark.createDataFrame([], with_dataset[name]) if df is None else df for name, df in stored.items()}
+    organisation = None
+    if a.pipeline_dir:
+        organisation = SRC.scan_csv_table(spark, f"{a.pipeline_dir.rstrip('/')}/entity-organisation.csv",
+                                          ["dataset", "entity_minimum", "entity_maximum", "organisation"])
+    tables = J.update_built(t, done, stored, organisation)
+    issues = PK.stored_datasets(spark, with_dataset["issue"], f"{src}/issue", names)
+    if issues is not None:
+        kept = stored["issue"].join(done, ["dataset", "resource"], "left_anti")
+        tables["issue"] = PK.merge_issues(kept, issues.join(done, ["dataset", "resource"], "left_semi")).select(*with_dataset["issue"].names)
+    tables = {name: reliable_checkpoint(df) for name, df in tables.items()}  # all are read before the first is replaced
+    for name, df in tables.items():
+        PK.replace_datasets(df, f"{out}/{name}", names)
+    return {"datasets": len(names), **{name: df.count() for name, df in tables.items()}}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="gleaner")
     sub = p.add_subparsers(dest="command", required=True)
@@ -365,6 +403,10 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--dataset-resource-dir", default=None, help="version log: counts leave out what is up to date")
     i.add_argument("--pipeline-dir", default="pipeline/")
     i.add_argument("--specification-dir", default="specification/")
+    i.add_argument("--log-dir", default=None, help="daily log partitions <dir>/<yyyy-mm-dd>/*.csv, in place of log.csv")
+    i.add_argument("--regenerate-log", action="store_true", help="read every day again")
+    i.add_argument("--no-refill", action="store_true", help="do not read today's partition afresh")
+    i.add_argument("--today", default=None, help="the day that is read afresh (default: the current date)")
     i.set_defaults(fn=cmd_collect)
 
     w = sub.add_parser("transform")
@@ -381,6 +423,13 @@ def parser() -> argparse.ArgumentParser:
                    help="version log that plan-transform reads; the batch's versions are added")
     w.set_defaults(fn=cmd_transform)
 
+    u = sub.add_parser("update")
+    u.add_argument("--tasks", required=True, help="task list of the batch")
+    u.add_argument("--transformed-dir", required=True, help="output dir of transform")
+    u.add_argument("--output-dir", required=True, help="output dir of assemble")
+    u.add_argument("--pipeline-dir", default=None, help="for entity-organisation.csv")
+    u.set_defaults(fn=cmd_update)
+
     m = sub.add_parser("assemble")
     m.add_argument("--transformed-dir", required=True, help="output dir of transform")
     m.add_argument("--output-dir", required=True)

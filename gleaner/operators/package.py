@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gleaner.schemas import CSV_COLUMNS, CSV_TABLES, PACKAGE_COLUMNS
 from gleaner.session import reliable_checkpoint
@@ -81,17 +82,28 @@ def replace_resources(df: DataFrame, path: str, done: DataFrame) -> None:
     spark = df.sparkSession
     pairs = done.select("dataset", "resource").distinct()
     names = sorted(r[0] for r in pairs.select("dataset").distinct().collect())  # datasets of one batch
+    kept = stored_datasets(spark, df.schema, path, names)
+    if kept is not None:
+        kept = reliable_checkpoint(kept.join(pairs, ["dataset", "resource"], "left_anti"))
+    replace_datasets(df if kept is None else kept.unionByName(df), path, names)
+
+
+def stored_datasets(spark: SparkSession, schema: StructType, path: str, names: list[str]) -> DataFrame | None:
+    """The rows of some datasets of a table partitioned by dataset; None where
+    there is no table."""
     try:
-        stored = spark.read.schema(df.schema).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as err:
         if not SRC._path_missing(err):
             raise
-        kept = None
-    else:
-        stored = stored.select(*df.columns).where(F.col("dataset").isin(names))
-        kept = reliable_checkpoint(stored.join(pairs, ["dataset", "resource"], "left_anti"))
-    out = df if kept is None else kept.select(*df.columns).unionByName(df)
-    out = reliable_checkpoint(out)
+        return None
+    return stored.select(*schema.names).where(F.col("dataset").isin(names))
+
+
+def replace_datasets(df: DataFrame, path: str, names: list[str]) -> None:
+    """Replace the partitions of the named datasets by ``df``, which may have
+    been read from them; other datasets keep their files."""
+    out = reliable_checkpoint(df)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dataset").parquet(path))
     filled = {r[0] for r in out.select("dataset").distinct().collect()}

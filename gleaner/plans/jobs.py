@@ -19,6 +19,7 @@ from gleaner.operators import package as PK
 from gleaner.operators import phases as PH
 from gleaner.operators import selection as SEL
 from gleaner.operators.joins import range_join
+from gleaner.session import reliable_checkpoint
 
 
 def plan_transform(dataset_resources: DataFrame, old_resource: DataFrame, log: DataFrame,
@@ -129,6 +130,30 @@ def assemble(transformed: DataFrame, expectations: DataFrame | None = None,
                      FA.flatten_entities(ent, flatten_keys), exp)
 
 
+def update_built(transformed: DataFrame, done: DataFrame, stored: dict[str, DataFrame],
+                 entity_organisation: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The built tables after a batch, all of the batch's datasets.
+
+    ``transformed``: the rows of those datasets, the batch's included; ``done``:
+    the batch's (dataset, resource) pairs; ``stored``: the ``entity``, ``fact``
+    and ``fact_resource`` rows of those datasets before the batch. Touched are
+    the entities that the pairs' rows name now and those that their stored facts
+    named before. Only these are resolved anew, from all their rows; the others
+    keep their stored rows."""
+    before = (stored["fact"].join(stored["fact_resource"].join(done, ["dataset", "resource"], "left_semi").select("dataset", "fact"),
+                                  ["dataset", "fact"], "left_semi").select("dataset", "entity"))
+    touched = reliable_checkpoint(transformed.join(done, ["dataset", "resource"], "left_semi").select("dataset", "entity").unionByName(before).distinct())
+    rows = transformed.join(touched, ["dataset", "entity"], "left_semi")
+    ranks = FA.rank_dates(rows)
+    entity = FA.resolve_entities(rows, ranks)
+    if entity_organisation is not None:
+        entity = fill_organisations(entity, entity_organisation)
+    stale = stored["fact"].join(touched, ["dataset", "entity"], "left_semi").select("dataset", "fact").distinct()
+    new = {"entity": (entity, touched, ["dataset", "entity"]), "fact": (FA.make_facts(rows, keep_dataset=True, ranks=ranks), touched, ["dataset", "entity"]),
+           "fact_resource": (FA.make_fact_resources(rows, keep_dataset=True), stale, ["dataset", "fact"])}
+    return {name: stored[name].join(gone, keys, "left_anti").select(*df.columns).unionByName(df) for name, (df, gone, keys) in new.items()}
+
+
 def collect_index(log: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Resource index and dataset -> resource table from the log."""
     return C.resource_index(log, source), C.dataset_resource_map(log, source)

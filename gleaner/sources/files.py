@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
 from gleaner.schemas import PACKAGE_COLUMNS, STATE, csv_schema, package_schema
 
@@ -24,6 +24,15 @@ def _path_missing(err: Exception) -> bool:
         or "UNABLE_TO_INFER_SCHEMA" in str(err)
 
 
+def ddl(schema: str) -> StructType:
+    return _parse_datatype_string(schema)
+
+
+def with_partition(schema: StructType) -> StructType:
+    """The schema with the partition column ``dataset``, where it lacks it."""
+    return schema if "dataset" in schema.names else StructType([*schema.fields, StructField("dataset", StringType())])
+
+
 # ------------------------------------------------------------------ S1 / P1 / P2 / F2
 
 def scan_partitioned(spark: SparkSession, root: str, table: str, dataset: str) -> DataFrame:

@@ -25,7 +25,7 @@ def log_files(spark: SparkSession, log_dir: str) -> DataFrame:
     return raw.select(decoded(F.col("_metadata.file_path")).alias("path"))
 
 
-def read_logs(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+def read_logs(spark: SparkSession, paths: str | list[str]) -> DataFrame | None:
     """Log rows of the files, columns by each file's own header, with the day
     taken from the path."""
     found = csv_by_header(spark, paths)
@@ -66,3 +66,31 @@ def load_new_logs(spark: SparkSession, log_dir: str, table_path: str,
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return added["rows"]
+
+
+def daily_log(spark: SparkSession, log_dir: str, table_path: str, today: str | None = None,
+              rebuild: bool = False) -> tuple[DataFrame, int]:
+    """The log index over all daily partitions, and the number of rows that
+    this run added to it. Only files not loaded before are read, and with
+    ``today`` (yyyy-mm-dd) that day's folder afresh, as its files may have
+    changed since; a day whose folder is gone keeps its stored rows. ``rebuild``
+    forgets what was loaded and reads every day again."""
+    if f"{log_dir.rstrip('/')}/".startswith(f"{table_path.rstrip('/')}/"):
+        raise ValueError(f"The log table {table_path} would hold the daily logs {log_dir}")
+    checkpoint = f"{table_path.rstrip('/')}-stream"
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if rebuild:
+        fs.delete(path(checkpoint), True)
+    if not fs.exists(path(checkpoint)):  # also what a rebuild that broke off left
+        fs.delete(path(table_path), True)
+    added = 0
+    if fs.exists(path(log_dir)):
+        added = load_new_logs(spark, log_dir, table_path, checkpoint)
+    columns = "endpoint string, resource string, status string, entry_date date, batch_id bigint, log_date date"
+    stored = (spark.read.schema(columns).parquet(table_path) if fs.exists(path(table_path)) else spark.createDataFrame([], columns)).drop("batch_id")
+    if today is not None:
+        fresh = read_logs(spark, f"{log_dir.rstrip('/')}/{today}/*.csv")
+        if fresh is not None:
+            stored = stored.where(~F.col("log_date").eqNullSafe(F.lit(today).cast("date"))).unionByName(fresh)
+    return stored.select("endpoint", "resource", "entry_date", "status", "log_date"), added
