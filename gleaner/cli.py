@@ -274,7 +274,7 @@ def cmd_transform(spark, a) -> dict:
 def cmd_assemble(spark, a) -> dict:
     from gleaner.operators import facts as FA
     from gleaner.operators.collection import require_nonempty
-    from gleaner.operators.expectations import check_expectations
+    from gleaner.operators.expectations import watch_expectations
     src = a.transformed_dir.rstrip("/")
     t = spark.read.schema(TRANSFORMED_SCHEMA).parquet(f"{src}/transformed")
     issues = spark.read.schema(package_schema("issue")).parquet(f"{src}/issue")
@@ -295,23 +295,27 @@ def cmd_assemble(spark, a) -> dict:
     tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True, ranks=ranks),
               "fact_resource": FA.make_fact_resources(t, keep_dataset=True),
               "issue": issues.select(*PK.PACKAGE_COLUMNS["issue"])}
-    counts = {}
+    exp = None
+    if a.expectations:
+        exp = SRC.scan_csv_table(spark, a.expectations, ["name", "condition", "min_count", "max_count"]) \
+            .select("name", "condition", F.col("min_count").try_cast("bigint").alias("min_count"),
+                    F.col("max_count").try_cast("bigint").alias("max_count"))
+    # rows and expectations are counted by the write itself: each table is computed once
+    counts, checked = {}, None
     for name, df in tables.items():
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        watched, results = watch_expectations(df, exp if name == "entity" else None)
+        watched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("dataset").parquet(f"{out}/{name}")
-        counts[name] = spark.read.schema(package_schema(name)).parquet(f"{out}/{name}").count() if not df.isEmpty() else 0
+        counts[name], found = results()
+        checked = found if name == "entity" else checked
     written = spark.read.schema(package_schema("entity")).parquet(f"{out}/entity")
     PK.write_csv(written, f"{out}/csv")
     PK.write_flattened(FA.flatten_entities(written, fields), f"{out}/flattened")
     if a.history_dir:
         PK.append_operational_issues(issues, a.history_dir, a.entry_date or datetime.date.today().isoformat())
-    if a.expectations:
-        exp = SRC.scan_csv_table(spark, a.expectations, ["name", "condition", "min_count", "max_count"]) \
-            .select("name", "condition", F.col("min_count").try_cast("bigint").alias("min_count"),
-                    F.col("max_count").try_cast("bigint").alias("max_count"))
-        res = check_expectations(written, exp)
-        res.write.mode("overwrite").parquet(f"{out}/expectations")
-        counts["expectations_failed"] = res.where(~F.col("passed")).count()
+    if exp is not None:
+        checked.write.mode("overwrite").parquet(f"{out}/expectations")
+        counts["expectations_failed"] = checked.where(~F.col("passed")).count()
     return counts
 
 
