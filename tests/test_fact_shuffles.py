@@ -40,3 +40,15 @@ def test_fact_resources_are_dealt_before_they_are_compared(spark):
     plan = plan_of(df)
     below = plan[plan.index("Exchange hashpartitioning"):]
     assert len(exchanges(df)) == 1 and "Aggregate" not in below and "_resource_raw" in below.splitlines()[0]
+
+
+def test_provenance_joins_ids_of_any_form(spark):
+    ids = [HEX, HEX.upper(), "abc", "0abc", "", "x", None]
+    facts = spark.createDataFrame([(i, k, "name", "v") for k, i in enumerate(ids)], "fact string, entity bigint, field string, value string")
+    stated = spark.createDataFrame([(i, r, "2020-01-01", k) for k, i in enumerate(ids) for r in RESOURCES],
+                                   "fact string, resource string, entry_date string, entry_number bigint")
+    df = FA.fact_provenance(facts, stated)
+    assert df.columns == ["fact", "entity", "field", "value", "resource", "resource_entry_date", "entry_number"]
+    got = {(r["fact"], r["entity"], r["resource"], r["entry_number"]) for r in df.collect()}
+    assert got == {(i, k, r, k) for k, i in enumerate(ids) if i is not None for r in RESOURCES}
+    assert df.count() == len(got) and "_fact_raw" in exchanges(df)[0]
