@@ -106,10 +106,11 @@ def make_facts(transformed: DataFrame, keep_dataset: bool = False,
     ranks = ranks or rank_dates(transformed)
     priority = F.min("priority").alias("priority")
     if ranks.small:
-        agg = ranks.decode(ranks.encode(transformed.select(*keys, "entry_date", "priority"))
-                           .groupBy(*keys).agg(F.max("_rank").alias("_rank"), priority))
+        rows = ranks.encode(transformed.select(*keys, "entry_date", "priority")).select(*keys, "_rank", "priority")
+        agg = ranks.decode(rows.repartition("entity").groupBy(*keys).agg(F.max("_rank").alias("_rank"), priority))
     else:
-        agg = transformed.groupBy(*keys).agg(F.max("entry_date").alias("entry_date"), priority)
+        rows = transformed.select(*keys, "entry_date", "priority")
+        agg = rows.repartition("entity").groupBy(*keys).agg(F.max("entry_date").alias("entry_date"), priority)
     return agg.select(
         *(["dataset"] if keep_dataset else []),
         "entity", fact_id("entity", "field", "value").alias("fact"), "field",
