@@ -3,12 +3,17 @@ resolved ``entity`` row per entity, plus flattening, provenance and
 incremental update.
 
 Resolution is an aggregation, not a window: the winning observation of an
-(entity, field) is a ``max``, which Spark aggregates partially on the map side. A field observed in a third of all rows is then
-combined in parallel instead of being sorted inside one task.
+(entity, field) is a ``max``. Observations of one entity are dealt to one
+partition first, in the columns that the aggregation reads. Hardly two rows of
+a task are equal in their keys, so a table of groups on the map side would
+fill the memory and spill without making the shuffle smaller; the rows of one
+entry, which follow each other, compress well instead, and every later
+aggregation by entity finds its rows in place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -154,34 +159,46 @@ def _packed_merit(ranks: DateRanks) -> Column:
             .bitwiseOR(n.cast("bigint")))
 
 
-def resolve_fields(transformed: DataFrame, ranks: DateRanks | None = None) -> DataFrame:
+def _rows_by_entity(rows: DataFrame) -> DataFrame:
+    return rows.repartition("dataset", "entity")
+
+
+def resolve_fields(transformed: DataFrame, ranks: DateRanks | None = None, ranked: bool = True,
+                   deal: Callable[[DataFrame], DataFrame] = _rows_by_entity, marks: tuple[str, ...] = ()) -> DataFrame:
     """(dataset, entity, field) -> winning value, its entry date and fact.
 
-    Two aggregations, both with map-side partial aggregation: rows collapse
-    to one per (entity, field, value) with that value's best observation; the
-    field's winner is the value with the best of those, on a tie the one with
-    the smallest fact id. The sha256 fact id is computed once per value
-    rather than once per row.
+    Rows are dealt by (dataset, entity) once; two aggregations follow where
+    they are: rows collapse to one per (entity, field, value) with that value's
+    best observation; the field's winner is the value with the best of those,
+    on a tie the one with the smallest fact id. The sha256 fact id is computed
+    once per value rather than once per row.
 
     Observations are compared by a number packed from priority, date rank and
     entry number, so the first aggregation, over all rows, is hash-based. If
     the ranges at hand need over 63 bits, or there are too many dates to
     broadcast, the columns themselves are compared: the same result, by sorting.
+    Ranking reads the rows once before; ``ranked`` = False spares that where
+    they are dear to make, and compares the columns.
+
+    ``deal`` puts the rows of a (dataset, entity) into one partition; it may
+    leave rows out by ``marks``, columns of ``transformed`` that it gets too.
     """
     g = ["dataset", "entity", "field"]
-    ranks = ranks or rank_dates(transformed)
-    packed = ranks.small and sum(ranks.widths) <= 63
+    if ranks is None and ranked:
+        ranks = rank_dates(transformed)
+    packed = ranks is not None and ranks.small and sum(ranks.widths) <= 63
+    columns = transformed.select(*g, "value", "entry_date", "priority", "entry_number", *marks)
     if packed:
         # turned round, as the smallest fact id wins a tie
-        rows = ranks.encode(transformed.select(*g, "value", "entry_date", "priority", "entry_number"))
-        per_value = rows.groupBy(*g, "value").agg(F.max(_packed_merit(ranks)).alias("m"))
+        rows = deal(ranks.encode(columns).select(*g, "value", _packed_merit(ranks).alias("_m"), *marks))
+        per_value = rows.groupBy(*g, "value").agg(F.max("_m").alias("m"))
         cand = per_value.withColumn("m", F.bitwise_not("m")).withColumn("fact", fact_id("entity", "field", "value"))
         w = cand.groupBy(*g).agg(F.min(F.struct("m", "fact", "value")).alias("w"))
         _, date_bits, number_bits = ranks.widths
         rank = F.shiftright(F.bitwise_not(F.col("w.m")), number_bits).bitwiseAND(F.lit((1 << date_bits) - 1))
         w = ranks.decode(w.withColumn("_rank", rank))
         return w.select(*g, F.col("w.value").alias("value"), "entry_date", F.col("w.fact").alias("fact"))
-    per_value = transformed.groupBy(*g, "value").agg(F.max(_merit()).alias("m"))
+    per_value = deal(columns).groupBy(*g, "value").agg(F.max(_merit()).alias("m"))
     cand = per_value.withColumn("fact", fact_id("entity", "field", "value"))
     # digits turned round, so that the greatest stands for the smallest id
     turned = F.translate("fact", "0123456789abcdef", "fedcba9876543210")
@@ -204,8 +221,8 @@ def entities_from_fields(resolved: DataFrame, columns=ENTITY_FIELD_COLUMNS) -> D
     return wide.withColumn("json", json).select(*PACKAGE_COLUMNS["entity"])
 
 
-def resolve_entities(transformed: DataFrame, ranks: DateRanks | None = None) -> DataFrame:
-    return entities_from_fields(resolve_fields(transformed, ranks))
+def resolve_entities(transformed: DataFrame, ranks: DateRanks | None = None, ranked: bool = True) -> DataFrame:
+    return entities_from_fields(resolve_fields(transformed, ranks, ranked))
 
 
 # Columns that a flattened table may have at most.

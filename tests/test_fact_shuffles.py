@@ -1,5 +1,7 @@
 """What the fact steps send through the network, and that it changes no row."""
 
+import pytest
+
 from gleaner.operators import facts as FA
 
 SCHEMA = ("dataset string, entity bigint, resource string, entry_number bigint, "
@@ -52,3 +54,13 @@ def test_provenance_joins_ids_of_any_form(spark):
     got = {(r["fact"], r["entity"], r["resource"], r["entry_number"]) for r in df.collect()}
     assert got == {(i, k, r, k) for k, i in enumerate(ids) if i is not None for r in RESOURCES}
     assert df.count() == len(got) and "_fact_raw" in exchanges(df)[0]
+
+
+@pytest.mark.parametrize("run", ["make_facts", "resolve_fields", "resolve_entities"])
+def test_one_shuffle_by_entity(spark, run):
+    t = odd(spark)
+    ranks = FA.rank_dates(t)
+    df = getattr(FA, run)(t, ranks=ranks)
+    plan = plan_of(df)
+    assert len(exchanges(df)) == 1 and "REPARTITION_BY_COL" in exchanges(df)[0]
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):].split("BroadcastExchange")[0]
