@@ -275,10 +275,20 @@ def update_entities(existing_entities: DataFrame, existing_transformed: DataFram
                     new_transformed: DataFrame) -> DataFrame:
     """Add new transformed rows to a built dataset: only entities the new
     rows touch are re-resolved (from old and new rows); the others keep their
-    stored rows."""
+    stored rows.
+
+    Old and new rows are dealt by entity together, marked, and the old rows of
+    untouched entities are left out there, so old rows are shuffled once."""
     touched = new_transformed.select("dataset", "entity").distinct()
-    old_touched = existing_transformed.join(touched, ["dataset", "entity"], "left_semi")
-    redone = resolve_entities(old_touched.unionByName(new_transformed))
+
+    def touched_rows(rows: DataFrame) -> DataFrame:
+        mark = touched.withColumn("_touched", F.lit(True)).hint("shuffle_hash")  # rows of one partition need no sort
+        found = rows.repartition("dataset", "entity").join(mark, ["dataset", "entity"], "left")
+        return found.where(F.col("_new") | F.col("_touched")).drop("_new", "_touched")
+
+    both = (existing_transformed.withColumn("_new", F.lit(False))
+            .unionByName(new_transformed.withColumn("_new", F.lit(True))))
+    redone = entities_from_fields(resolve_fields(both, deal=touched_rows, marks=("_new",)))
     kept = existing_entities.join(touched, ["dataset", "entity"], "left_anti")
     return kept.unionByName(redone).select(*PACKAGE_COLUMNS["entity"])
 

@@ -64,3 +64,22 @@ def test_one_shuffle_by_entity(spark, run):
     plan = plan_of(df)
     assert len(exchanges(df)) == 1 and "REPARTITION_BY_COL" in exchanges(df)[0]
     assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):].split("BroadcastExchange")[0]
+
+
+def test_update_shuffles_old_rows_once(spark):
+    data = [("d", e, f"r{i}", i, f"2020-01-{i % 28 + 1:02d}", 1 + i % 2, "name", f"v{i % 5}") for e in range(5) for i in range(20)]
+    t = rows(spark, data)
+    old, new = t.where("entry_number < 12"), t.where("entry_number >= 12 and entity < 2")
+    made = FA.resolve_entities(old)
+    stored = spark.createDataFrame(made.collect(), made.schema)
+    upd = FA.update_entities(stored, old, new)
+    assert sorted(map(tuple, upd.collect())) == sorted(map(tuple, FA.resolve_entities(old.union(new)).collect()))
+    dealt = [line for line in exchanges(upd) if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 1 and sum("SortMergeJoin" in line for line in plan_of(upd).splitlines()) <= 1
+
+
+def test_update_leaves_rows_without_entity_as_they_were(spark):
+    old = rows(spark, [("d", None, "r1", 1, "2020-01-01", 1, "name", "old"), ("d", 1, "r1", 2, "2020-01-01", 1, "name", "kept")])
+    new = rows(spark, [("d", None, "r2", 1, "2019-01-01", 2, "name", "new")])
+    got = sorted((repr(r["entity"]), r["name"]) for r in FA.update_entities(FA.resolve_entities(old), old, new).collect())
+    assert got == [("1", "kept"), ("None", "new"), ("None", "old")]
