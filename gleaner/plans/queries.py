@@ -747,7 +747,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
       FROM ofacts) WHERE rn = 1
 GROUP BY dataset, entity"""))
 def q_order_entities(spark, d):
-    ents = FA.resolve_entities(TJ.facts_input(spark, d))
+    # the phases are dearer than a sort by dates: they run once
+    ents = FA.resolve_entities(TJ.facts_input(spark, d), ranked=False)
     return ents.select("dataset", "entity", "name", "typology", "start_date")
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 from gleaner.operators import facts as FA
+from gleaner.plans import queries as Q
 
 SCHEMA = ("dataset string, entity bigint, resource string, entry_number bigint, "
           "entry_date string, priority bigint, field string, value string")
@@ -66,6 +67,14 @@ def test_one_shuffle_by_entity(spark, run):
     assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):].split("BroadcastExchange")[0]
 
 
+def test_unranked_resolution_is_the_same_and_reads_once(spark):
+    t = rows(spark, [("d", e, "r", n, date, p, "name", f"{n}{p}{date}") for e in (1, 2, None) for n in (1, None, 7)
+                     for p in (1, None, 5) for date in ("2020-01-01", None, "", "2020-01-01T1")])
+    ranked, plain = FA.resolve_fields(t), FA.resolve_fields(t, ranked=False)
+    assert sorted(map(repr, ranked.collect())) == sorted(map(repr, plain.collect())) and ranked.count() == 3
+    assert "_rank" not in plan_of(plain) and len(exchanges(plain)) == 1, plan_of(plain)
+
+
 def test_update_shuffles_old_rows_once(spark):
     data = [("d", e, f"r{i}", i, f"2020-01-{i % 28 + 1:02d}", 1 + i % 2, "name", f"v{i % 5}") for e in range(5) for i in range(20)]
     t = rows(spark, data)
@@ -83,3 +92,8 @@ def test_update_leaves_rows_without_entity_as_they_were(spark):
     new = rows(spark, [("d", None, "r2", 1, "2019-01-01", 2, "name", "new")])
     got = sorted((repr(r["entity"]), r["name"]) for r in FA.update_entities(FA.resolve_entities(old), old, new).collect())
     assert got == [("1", "kept"), ("None", "new"), ("None", "old")]
+
+
+def test_order_entities_evaluate_the_phases_once(spark, monkeypatch):
+    monkeypatch.setattr(FA, "rank_dates", lambda t: pytest.fail("a pass over the phases for ranks alone"))
+    assert Q.QUERIES["order_entities"][0](spark, "/root/testdata/sf0.001").count() > 0
