@@ -14,6 +14,7 @@ from gleaner.functions import scalar as X
 from gleaner.operators import collection as C
 from gleaner.operators import selection as SEL
 from gleaner.plans.oracle import with_ctes
+from gleaner.session import stored_once
 from gleaner.sources import raw as RAW
 from gleaner.sources import standins as ST
 
@@ -708,7 +709,7 @@ def q_transform_issues(spark, d):
 
 @register("stack_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
 def q_stack_issues(spark, d):
-    log = TJ.issues(spark, d)
+    log = stored_once(TJ.issues(spark, d))  # read twice; the phases run once
     late = F.col("issue_type") == "unknown-entity"
     # a frame without the columns that are empty is stacked by name
     return PH.stack_issues(log.where(~late).drop("entry_date"), log.where(late))
@@ -717,7 +718,7 @@ def q_stack_issues(spark, d):
 @register("merge_issues", _phase_sql(f"SELECT {_ISSUE_COLS} FROM oissues"))
 def q_merge_issues(spark, d):
     from gleaner.operators import package as PK
-    log = TJ.issues(spark, d)
+    log = stored_once(TJ.issues(spark, d))  # read three times; the phases run once
     patched = F.col("issue_type") == "patch"
     return PK.merge_issues(log.where(patched), log.where(~patched).drop("entry_date")).select(*PK.PACKAGE_COLUMNS["issue"])
 

@@ -94,6 +94,15 @@ def test_update_leaves_rows_without_entity_as_they_were(spark):
     assert got == [("1", "kept"), ("None", "new"), ("None", "old")]
 
 
+def test_phases_run_once_in_queries_that_read_their_log_twice(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(Q.TJ, "issues", lambda s, d, run=Q.TJ.issues: made.append(run(s, d)) or made[-1])
+    for name in ("merge_issues", "stack_issues"):
+        plan = plan_of(Q.QUERIES[name][0](spark, "/root/testdata/sf0.001"))
+        assert "transform(" not in plan and "orders.parquet" not in plan, name
+    assert len(made) == 2
+
+
 def test_order_entities_evaluate_the_phases_once(spark, monkeypatch):
     monkeypatch.setattr(FA, "rank_dates", lambda t: pytest.fail("a pass over the phases for ranks alone"))
     assert Q.QUERIES["order_entities"][0](spark, "/root/testdata/sf0.001").count() > 0
