@@ -47,6 +47,7 @@ ROWS = 6
 UNIVERSE = 1 << 18
 STAR_ROUNDS = 2
 BLOCK = 512
+SETS = 2_000  # documents for which a stored table of sets, or of links found on them, gets a part
 _SLICES = 4096  # elements whose slices are held at a time
 _COLUMNS = 4096  # distinct elements of a matrix product
 
@@ -211,31 +212,32 @@ def sketches(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; a row per input row."""
     sketched = write_out(sketches(docs, doc_id, text, shingle))
+    n = sketched.count()
     sets = ["n_shingles", "h1", "h2"]
-    classes = write_out(sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("rep")))
+    classes = write_out(sketched.filter("n_shingles > 0 and doc_id is not null").groupBy(*sets).agg(F.min("doc_id").alias("rep")), n)
     reps = sketched.select("doc_id", *sets, "bands").join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", *sets], "left_semi").dropDuplicates(["doc_id"])
     keyed = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi").select("bucket")
-    waiting = write_out(keyed.join(shared, "bucket", "left_semi"))
-    members = broadcast_if_few(write_out(waiting.select("rep").distinct()))  # texts of the others stay where they are
+    waiting = write_out(keyed.join(shared, "bucket", "left_semi"), n)  # at most BANDS * n rows
+    members = broadcast_if_few(write_out(waiting.select("rep").distinct(), n))  # texts of the others stay where they are
     own_sets = write_out(docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("t")).join(members, "rep", "left_semi")
-                         .dropDuplicates(["rep"]).mapInArrow(_setter(shingle), "rep long, elements binary"))
+                         .dropDuplicates(["rep"]).mapInArrow(_setter(shingle), "rep long, elements binary"), n, SETS)
     links, parts = None, None
     for _ in range(STAR_ROUNDS):
         rows = _with_components(waiting, parts)
-        rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")))  # buckets of one component are done
+        rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")), n)  # buckets of one component are done
         pairs = rows.filter((F.col("comp") != F.col("centre_comp")) & (100 * F.least("n", "centre_n") >= percent * F.greatest("n", "centre_n")))
         pairs = pairs.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
         left = own_sets.select(F.col("rep").alias("a"), F.col("elements").alias("x"))
         right = own_sets.select(F.col("rep").alias("b"), F.col("elements").alias("y"))
         confirmed = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_confirmer(percent), "a long, b long")
-        links = write_out(confirmed if links is None else links.unionAll(confirmed))
-        parts = write_out(connected_components(links))
+        links = write_out(confirmed if links is None else links.unionAll(confirmed), n, SETS)
+        parts = write_out(connected_components(links, links=n), n)
         waiting = rows.filter("rep <> centre").select("bucket", "rep", "n")
     rows = _with_components(waiting, parts)
-    rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")))
+    rows = write_out(rows.join(_mixed(rows), F.col("bucket") == F.col("k")), n)
     blocks = _block_pairs(rows).join(own_sets, "rep").groupBy("bucket", "kind", "i", "j").applyInArrow(_block_links(percent), "a long, b long")
-    parts = write_out(connected_components(links.unionAll(blocks)))
+    parts = write_out(connected_components(links.unionAll(blocks), links=n), n)
     members = classes.select(*[F.col(c).alias("c_" + c) for c in sets], "rep")
     same = (F.col("n_shingles") == F.col("c_n_shingles")) & (F.col("h1") == F.col("c_h1")) & (F.col("h2") == F.col("c_h2"))
     joined = sketched.drop("bands").join(members, same, "left")

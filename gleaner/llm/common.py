@@ -18,8 +18,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def write_out(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder."""
+#: Rows for which a stored table of known size gets a part, and the least parts it gets.
+PART_ROWS = 10_000
+LEAST_PARTS = 8
+
+
+def write_out(df: DataFrame, rows: int | None = None, each: int = PART_ROWS) -> DataFrame:
+    """Cut lineage through the shared checkpoint folder. A table of about
+    ``rows`` rows is stored as a part for every ``each`` of them, never as more
+    parts than it has: every file of a part costs requests to the store (on a
+    local one, processes that set its rights)."""
+    if rows is not None:
+        df = df.coalesce(max(LEAST_PARTS, -(-rows // each)))
     return reliable_checkpoint(df)
 
 

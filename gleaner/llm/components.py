@@ -34,21 +34,22 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter(F.col("a") > F.col("b")).distinct()
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b", links: int | None = None) -> DataFrame:
     """(node, component) for every node that has a link; the component is its
     least node. NULL ends, loops and repeated links count for nothing.
 
     Steps repeat until two rounds give the same links (about log2 of the
-    longest path); each round is written to the shared checkpoint folder."""
+    longest path); each round is written to the shared checkpoint folder, in
+    parts by the number of its links (``links``: about how many come in)."""
     now = write_out(
         edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"), F.col(a).alias("x"), F.col(b).alias("y"))
-        .filter("x is not null and y is not null and x <> y").select("a", "b").distinct())
+        .filter("x is not null and y is not null and x <> y").select("a", "b").distinct(), links)
     mark = None
     while True:
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == mark or seen[0] == 0:
             break
         mark = tuple(seen)
-        now = write_out(_star(_star(now, large=True), large=False))
+        now = write_out(_star(_star(now, large=True), large=False), seen[0])
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -84,11 +84,12 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     key, start, wid, n) of windows, start counted in words from 0; windows:
     (wid, item_id). ``key`` tells texts of one id apart."""
     owned = write_out(item_windows(items, item_id, item_text, window))
-    windows = write_out(owned.groupBy("words").agg(F.count("*").alias("n")).select(F.sha2(F.to_json("words"), 256).alias("wid"), "words"))
+    n = owned.count()
+    windows = write_out(owned.groupBy("words").agg(F.count("*").alias("n")).select(F.sha2(F.to_json("words"), 256).alias("wid"), "words"), n)
     owners = owned.select(F.sha2(F.to_json("words"), 256).alias("wid"), "item_id").distinct()
-    vocabulary = write_out(windows.select(F.explode("words").alias("word")).distinct())
-    prefixes = write_out(rarest_words(windows, word_counts(docs, text, vocabulary)))
-    tokens = write_out(prefixes.groupBy(F.col("token").alias("word")).agg(F.count("*").alias("n")))
+    vocabulary = write_out(windows.select(F.explode("words").alias("word")).distinct(), n)
+    prefixes = write_out(rarest_words(windows, word_counts(docs, text, vocabulary)), n)
+    tokens = write_out(prefixes.groupBy(F.col("token").alias("word")).agg(F.count("*").alias("n")), n)
 
     base = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text).isNull(), text).alias("key"), item_words(F.col(text)).alias("w"))
     reach = window - 1
@@ -114,7 +115,7 @@ def find_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: s
     if documents is None:
         documents = write_out(base.select("doc", "key", F.size("w").alias("n_words")))
         found = documents.filter("false").select("doc", "key", F.lit(0).alias("start"), F.lit("").alias("wid"), F.lit(0).alias("n"))
-    return documents, write_out(found), write_out(owners)
+    return documents, write_out(found), write_out(owners, n)
 
 
 def contamination(docs: DataFrame, items: DataFrame, **names) -> DataFrame:

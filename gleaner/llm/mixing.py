@@ -71,6 +71,7 @@ def hash_thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
     nearest to its budget; -1 takes none.
 
     sized: (source, position, size); budgets: (source, budget double)."""
+    n = budgets.count()
     # what is taken for sure, and the prefix in which the budget runs out
     state = write_out(budgets.select("source", "budget", F.lit(0).cast(_EXACT).alias("below"), F.lit(0).cast("long").alias("prefix")))
     for level in range(_LEVELS):
@@ -92,7 +93,7 @@ def hash_thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:
         if not last:
             state = write_out(joined.groupBy("source").agg(F.first("budget").alias("budget"), hit, F.first("prefix").alias("old")).select(
                 "source", "budget", (F.col("hit.upto") - F.col("hit.size")).cast(_EXACT).alias("below"),
-                F.coalesce("hit.bucket", "old").alias("prefix")))
+                F.coalesce("hit.bucket", "old").alias("prefix")), n)
         else:
             done = joined.groupBy("source").agg(F.first("budget").alias("budget"), hit)
             above = F.col("hit.upto").cast("double") - F.col("budget")

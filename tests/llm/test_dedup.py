@@ -190,3 +190,26 @@ def test_strings_of_a_block_are_combined_before_they_are_shuffled(spark, monkeyp
     monkeypatch.setattr(suffix_dedup, "_HOT", 1)
     rows = passage_rows(40) + [(100 + k, t) for k, t in passage_rows(5)]
     assert removed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute.repeats(rows)
+
+
+def test_links_are_stored_in_parts_by_their_number(spark):
+    """A part is a file, and every file costs requests to the store."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from gleaner.session import ensure_checkpoint_dir
+
+    folder = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    before = set(folder.glob("rdd-*"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = connected_components(spark.range(400).selectExpr("id AS a", "id + 1 - id % 2 AS b"), links=400).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {(r["node"], r["component"]) for r in found} == {(k, k - k % 2) for k in range(400)}
+    stored = [len(list(p.glob("part-*"))) for p in set(folder.glob("rdd-*")) - before]
+    assert stored and max(stored) <= 8
