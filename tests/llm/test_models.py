@@ -174,6 +174,22 @@ def test_tree_scores_equal_the_recursion():
     assert empty.score(*arrays(["ab"]))[0] == pytest.approx(16 * math.log10(0.5))
 
 
+def test_table_of_nodes_scores_as_the_recursion(spark):
+    """Digits and accented letters are contexts of their own; rare codes meet the table in a join."""
+    texts = ["abracadabra 12, 17 abra!", "cad abr 12", "ééa b-c \u00e8\u00eaa", "", "in 1917 and 1918, 1917 again", "zzz 9", "abra 1917", "A b\u0107 1818", "abracadabra 12, 17 abra!", "ab"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = context_tree.score_documents(docs).collect()
+    train = [texts[r["doc_id"]].lower() for r in rows if not r["held_out"]]
+    assert 0 < len(train) < len(texts)
+    want = recursive_scores(train, [t.lower() for t in texts])
+    assert [r["score"] for r in sorted(rows)] == pytest.approx(want)
+    got = {r["doc_id"]: r["score"] for r in context_tree.score_documents(docs, frequent_codes=5).collect()}
+    assert [got[k] for k in range(len(texts))] == pytest.approx(want)
+    # contexts that differ in a digit alone are told apart
+    two = recursive_scores(["q1x q2y"] * 20, ["q1x", "q1y"])
+    assert two[0] > two[1] + 0.5
+
+
 def test_held_out_texts_code_shorter_than_by_single_bytes(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = context_tree.score_documents(rows).join(rows, "doc_id").filter("held_out").selectExpr("-sum(score) / log10(2) / sum(octet_length(text)) AS bits").first()
