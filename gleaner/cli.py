@@ -293,7 +293,7 @@ def cmd_assemble(spark, a) -> dict:
         listed = SRC.scan_csv_table(spark, f"{a.specification_dir.rstrip('/')}/field.csv", ["field"])
         fields = sorted(r[0].replace("-", "_") for r in listed.where("field is not null").distinct().collect()) or None
     tables = {"entity": entity, "fact": FA.make_facts(t, keep_dataset=True, ranks=ranks),
-              "fact_resource": FA.make_fact_resources(t, keep_dataset=True),
+              "fact_resource": FA.make_fact_resources(t, keep_dataset=True, ranks=ranks),
               "issue": issues.select(*PK.PACKAGE_COLUMNS["issue"])}
     exp = None
     if a.expectations:

@@ -126,7 +126,7 @@ def assemble(transformed: DataFrame, expectations: DataFrame | None = None,
     if entity_organisation is not None:
         ent = fill_organisations(ent, entity_organisation)
     exp = EX.check_expectations(ent, expectations) if expectations is not None else None
-    return Assembled(ent, FA.make_facts(transformed, ranks=ranks), FA.make_fact_resources(transformed),
+    return Assembled(ent, FA.make_facts(transformed, ranks=ranks), FA.make_fact_resources(transformed, ranks=ranks),
                      FA.flatten_entities(ent, flatten_keys), exp)
 
 
@@ -150,7 +150,7 @@ def update_built(transformed: DataFrame, done: DataFrame, stored: dict[str, Data
         entity = fill_organisations(entity, entity_organisation)
     stale = stored["fact"].join(touched, ["dataset", "entity"], "left_semi").select("dataset", "fact").distinct()
     new = {"entity": (entity, touched, ["dataset", "entity"]), "fact": (FA.make_facts(rows, keep_dataset=True, ranks=ranks), touched, ["dataset", "entity"]),
-           "fact_resource": (FA.make_fact_resources(rows, keep_dataset=True), stale, ["dataset", "fact"])}
+           "fact_resource": (FA.make_fact_resources(rows, keep_dataset=True, ranks=ranks), stale, ["dataset", "fact"])}
     return {name: stored[name].join(gone, keys, "left_anti").select(*df.columns).unionByName(df) for name, (df, gone, keys) in new.items()}
 
 

@@ -44,3 +44,28 @@ def test_provenance_is_joined_where_its_tables_lie(spark):
     assert len(shuffles(df)) == 2 and all(s.startswith("(_place") for s in shuffles(df))
     query = Q.QUERIES["fact_provenance"][0](spark, "/root/testdata/sf0.001")
     assert len(shuffles(query)) == 2
+
+
+def test_fact_resources_of_entries_are_those_of_their_rows(spark, ranked, monkeypatch):
+    t = entries(spark)
+    ranks = FA.rank_dates(t) if ranked else None
+    want = FA.explode_fields(t).select(FA.fact_id("entity", "field", "value").alias("fact"), "entry_date",
+                                       "entry_number", "priority", "resource").distinct()
+    got = FA.make_fact_resources(t, ranks=ranks)
+    assert collected(got) == collected(want) == collected(FA.make_fact_resources(FA.explode_fields(t), ranks=ranks))
+    assert got.schema["priority"].dataType == t.schema["priority"].dataType
+    assert len(shuffles(got)) == 1 and "inline" not in shuffles(got)[0]
+    # a merit that does not fit into a number is compared as it is
+    monkeypatch.setattr(FA, "MAX_RANKED_BYTES", 0)
+    assert collected(FA.make_fact_resources(t, ranks=ranks)) == collected(want)
+
+
+def test_rows_are_dealt_to_as_many_parts_as_they_need(spark, monkeypatch):
+    t = entries(spark)
+    n = t.count()
+    monkeypatch.setattr(FA, "ENTRIES_PER_PART", 1)
+    ranks = FA.rank_dates(t)
+    assert ranks.rows == n > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for df in (FA.make_fact_resources(t, size=n), FA.make_fact_resources(t, ranks=ranks), FA.make_facts(t, ranks=ranks),
+               FA.resolve_fields(t, ranks)):
+        assert f", {n}), REPARTITION_BY_NUM" in shuffles(df)[0].splitlines()[0]
