@@ -416,7 +416,7 @@ SELECT max(entity) AS entity, fact, max(field) AS field, max(entry_date) AS entr
        max(value) AS value
 FROM tfact GROUP BY fact"""))
 def q_make_facts(spark, d):
-    return FA.make_facts(ST.transformed_facts_input(spark, d))
+    return FA.make_facts(ST.transformed_entries(spark, d))
 
 
 @register("make_fact_resources", with_ctes(["tfact"], """
@@ -429,12 +429,12 @@ def q_make_fact_resources(spark, d):
 @register("resolve_fields", with_ctes(["rfields"],
           "SELECT dataset, entity, field, value, entry_date, fact FROM rfields"))
 def q_resolve_fields(spark, d):
-    return FA.resolve_fields(ST.transformed_facts_input(spark, d))
+    return FA.resolve_fields(ST.transformed_entries(spark, d))
 
 
 @register("resolve_entities", with_ctes(["ents"], "SELECT * FROM ents"))
 def q_resolve_entities(spark, d):
-    return FA.resolve_entities(ST.transformed_facts_input(spark, d))
+    return FA.resolve_entities(ST.transformed_entries(spark, d))
 
 
 @register("flatten_entities", with_ctes(["ents"], """
@@ -796,7 +796,7 @@ def _expectation_sql() -> str:
 
 @register("check_expectations", with_ctes(["ents"], _expectation_sql()))
 def q_check_expectations(spark, d):
-    ents = FA.resolve_entities(ST.transformed_facts_input(spark, d))
+    ents = FA.resolve_entities(ST.transformed_entries(spark, d))
     return EX.check_expectations(ents, EX.expectations_table(spark, ENTITY_EXPECTATIONS))
 
 
@@ -806,7 +806,7 @@ SELECT max(entity) AS entity, fact, max(field) AS field, max(entry_date) AS entr
 FROM tfact GROUP BY fact"""))
 def q_project_fixed(spark, d):
     from gleaner.operators import package as PK
-    wide = FA.make_facts(ST.transformed_facts_input(spark, d), keep_dataset=True)
+    wide = FA.make_facts(ST.transformed_entries(spark, d), keep_dataset=True)
     return PK.project_fixed(wide.withColumn("unused", F.lit(1)), "fact")
 
 
@@ -838,9 +838,10 @@ UNION ALL SELECT 'fact_resource', CAST(count(*) AS BIGINT)
   FROM (SELECT DISTINCT fact, entry_date, entry_number, priority, resource FROM tfact)"""))
 def q_table_counts(spark, d):
     from gleaner.operators import package as PK
-    t = ST.transformed_facts_input(spark, d)
-    return PK.table_counts({"entity": FA.resolve_entities(t), "fact": FA.make_facts(t),
-                            "fact_resource": FA.make_fact_resources(t)})
+    t = ST.transformed_entries(spark, d)
+    ranks = FA.rank_dates(t)
+    return PK.table_counts({"entity": FA.resolve_entities(t, ranks), "fact": FA.make_facts(t, ranks=ranks),
+                            "fact_resource": FA.make_fact_resources(t, ranks=ranks)})
 
 
 # ----------------------------------------------------------------- collection config, logs

@@ -69,3 +69,21 @@ def test_rows_are_dealt_to_as_many_parts_as_they_need(spark, monkeypatch):
     for df in (FA.make_fact_resources(t, size=n), FA.make_fact_resources(t, ranks=ranks), FA.make_facts(t, ranks=ranks),
                FA.resolve_fields(t, ranks)):
         assert f", {n}), REPARTITION_BY_NUM" in shuffles(df)[0].splitlines()[0]
+
+
+def test_facts_and_winners_of_entries_are_those_of_their_rows(spark):
+    t = entries(spark)
+    for run in (FA.make_facts, FA.resolve_fields, FA.resolve_entities):
+        assert collected(run(t)) == collected(run(FA.explode_fields(t)))
+        assert "inline" not in shuffles(run(t))[-1]
+    assert collected(FA.make_facts(t)) == collected(FA.make_facts(t, ranked=False))
+    assert FA.json_fields(t.where("size(fields) = 4")) == FA.json_fields(FA.explode_fields(t.where("size(fields) = 4")))
+
+
+def test_table_counts_deal_entries_whole(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(PK, "table_counts", lambda tables, run=PK.table_counts: made.append(tables) or run(tables))
+    rows = {r["table"]: r["rows"] for r in Q.QUERIES["table_counts"][0](spark, "/root/testdata/sf0.001").collect()}
+    assert rows == {name: df.count() for name, df in made[0].items()} and len(rows) == 3
+    for df in made[0].values():
+        assert all("inline" not in s for s in shuffles(df) if "REPARTITION" in s.splitlines()[0])
