@@ -443,17 +443,29 @@ def stack_issues(*frames: DataFrame) -> DataFrame:
         .select(*ISSUE_FIELDS)
 
 
-def facts_input(e: DataFrame, priority: Column) -> DataFrame:
-    """Rows shaped for fact creation: each kept entry with an entity, its
-    start date as entry date."""
-    body = (f"CASE WHEN s.keep AND entity IS NOT NULL THEN " + _let(
-        _value_of("s.fields", "'start_date'"), "sd",
-        "transform(s.fields, x -> named_struct('field', x.field, 'value', x.value, "
-        "'entry_date', sd))") + " END")
+def facts_entries(e: DataFrame, priority: Column) -> DataFrame:
+    """Entries shaped for fact creation: each kept one with an entity, its
+    start date as entry date and its ``fields`` as (field, value)."""
+    body = (f"CASE WHEN s.keep AND entity IS NOT NULL THEN array(named_struct("
+            f"'entry_date', {_value_of('s.fields', repr('start_date'))}, "
+            f"'fields', transform(s.fields, x -> named_struct('field', x.field, 'value', x.value)))) END")
     return e.select("dataset", "entity", "resource", "entry_number",
                     priority.cast("bigint").alias("priority"), _explode_state(body).alias("f")) \
         .select("dataset", "entity", "resource", "entry_number", F.col("f.entry_date").alias("entry_date"),
-                "priority", "f.field", "f.value")
+                "priority", F.col("f.fields").alias("fields"))
+
+
+def facts_input(e: DataFrame, priority: Column) -> DataFrame:
+    """The same as rows of one field each."""
+    rows = facts_entries(e, priority)
+    return rows.select(*[c for c in rows.columns if c != "fields"], F.inline("fields"))
+
+
+def without_log(e: DataFrame) -> DataFrame:
+    """Entries without the issues raised so far and without source columns, for
+    outputs that list neither: a join that follows sends less."""
+    fields = "transform(s.fields, x -> named_struct('column', CAST(NULL AS STRING), 'field', x.field, 'value', x.value))"
+    return _phase(e, _state(fields=fields, issues=_EMPTY_ISSUES))
 
 
 # -------------------------------------------------------------- T10 combine

@@ -739,7 +739,7 @@ def q_issue_counts(spark, d):
 SELECT DISTINCT sha256(CAST(entity AS VARCHAR) || '|' || field || '|' || value) AS fact,
        entry_date, entry_number, priority, resource FROM ofacts"""))
 def q_transformed_facts(spark, d):
-    return FA.make_fact_resources(TJ.facts_input(spark, d))
+    return FA.make_fact_resources(TJ.facts_entries(spark, d), size=TJ.order_raw(spark, d).count())
 
 
 @register("order_entities", _phase_sql("""
@@ -753,7 +753,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY dataset, entity, field
 GROUP BY dataset, entity"""))
 def q_order_entities(spark, d):
     # the phases are dearer than a sort by dates: they run once
-    ents = FA.resolve_entities(TJ.facts_input(spark, d), ranked=False)
+    ents = FA.resolve_entities(TJ.facts_entries(spark, d), ranked=False)
     return ents.select("dataset", "entity", "name", "typology", "start_date")
 
 

@@ -30,8 +30,10 @@ STAGES = ["entries", "columns", "patch", "filter", "concat", "default", "default
           "transform", "lookup", "old_entity"]
 
 
-def staged(spark, d, upto: str = "old_entity") -> DataFrame:
-    """Entries after the phases up to and including ``upto``."""
+def staged(spark, d, upto: str = "old_entity", log: bool = True) -> DataFrame:
+    """Entries after the phases up to and including ``upto``. ``log`` = False
+    is for outputs without issues: those of the phases before the lookup are
+    not carried through its joins."""
     e = PH.to_entries(order_raw(spark, d), ST.RAW_ORDER_COLUMNS, order_config(spark))
     steps = {
         "columns": PH.map_columns,
@@ -41,7 +43,7 @@ def staged(spark, d, upto: str = "old_entity") -> DataFrame:
         "default": PH.default_fields,
         "default_value": PH.default_values,
         "transform": PH.rename_fields,
-        "lookup": lambda x: PH.assign_entities(x, ST.order_lookup(spark, d)),
+        "lookup": lambda x: PH.assign_entities(x if log else PH.without_log(x), ST.order_lookup(spark, d)),
         "old_entity": lambda x: PH.redirect_entities(x, order_old_entity(spark, d)),
     }
     for name in STAGES[1:STAGES.index(upto) + 1]:
@@ -59,7 +61,7 @@ def issues(spark, d) -> DataFrame:
     return PH.entry_issues(staged(spark, d))
 
 
-def facts_input(spark, d) -> DataFrame:
-    """Rows shaped for fact creation."""
+def facts_entries(spark, d) -> DataFrame:
+    """Entries shaped for fact creation."""
     priority = F.when(F.col("dataset") == "order-f", 1).otherwise(2)
-    return PH.facts_input(staged(spark, d), priority)
+    return PH.facts_entries(staged(spark, d, log=False), priority)

@@ -46,6 +46,7 @@ def test_provenance_is_joined_where_its_tables_lie(spark):
     assert len(shuffles(query)) == 2
 
 
+@pytest.mark.parametrize("ranked", [True, False])
 def test_fact_resources_of_entries_are_those_of_their_rows(spark, ranked, monkeypatch):
     t = entries(spark)
     ranks = FA.rank_dates(t) if ranked else None
@@ -87,3 +88,17 @@ def test_table_counts_deal_entries_whole(spark, monkeypatch):
     assert rows == {name: df.count() for name, df in made[0].items()} and len(rows) == 3
     for df in made[0].values():
         assert all("inline" not in s for s in shuffles(df) if "REPARTITION" in s.splitlines()[0])
+
+
+def test_transformed_facts_carry_no_log_through_the_joins(spark):
+    d = "/root/testdata/sf0.001"
+    full, slim = TJ.staged(spark, d), TJ.staged(spark, d, log=False)
+    cols = ["dataset", "resource", "entry_number", "entity", F.col("st.keep").alias("keep"),
+            F.transform("st.fields", lambda x: F.struct(x["field"], x["value"])).alias("fields")]
+    assert collected(full.select(*cols)) == collected(slim.select(*cols))
+    assert {r[0] for r in slim.select(F.explode("st.issues.issue_type")).distinct().collect()} <= {"unknown-entity"}
+    assert full.select(F.explode("st.issues")).count() > slim.select(F.explode("st.issues")).count()
+    assert slim.select(F.explode("st.fields.column").alias("c")).where("c is not null").count() == 0
+    df = Q.QUERIES["transformed_facts"][0](spark, d)
+    dealt = [s for s in shuffles(df) if "REPARTITION" in s.splitlines()[0]]
+    assert len(dealt) == 1 and "inline" not in dealt[0].split("Exchange")[0]
