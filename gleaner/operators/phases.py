@@ -33,6 +33,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.operators.facts import _packed_id, _unpacked_id
 from gleaner.schemas import ISSUE_FIELDS
 
 ENTRY = ["dataset", "resource", "entry_number"]
@@ -449,7 +450,8 @@ def facts_entries(e: DataFrame, priority: Column) -> DataFrame:
     body = (f"CASE WHEN s.keep AND entity IS NOT NULL THEN array(named_struct("
             f"'entry_date', {_value_of('s.fields', repr('start_date'))}, "
             f"'fields', transform(s.fields, x -> named_struct('field', x.field, 'value', x.value)))) END")
-    return e.select("dataset", "entity", "resource", "entry_number",
+    resource = _unpacked_id("resource") if "_resource_raw" in e.columns else F.col("resource")
+    return e.select("dataset", "entity", resource, "entry_number",
                     priority.cast("bigint").alias("priority"), _explode_state(body).alias("f")) \
         .select("dataset", "entity", "resource", "entry_number", F.col("f.entry_date").alias("entry_date"),
                 "priority", F.col("f.fields").alias("fields"))
@@ -462,10 +464,12 @@ def facts_input(e: DataFrame, priority: Column) -> DataFrame:
 
 
 def without_log(e: DataFrame) -> DataFrame:
-    """Entries without the issues raised so far and without source columns, for
-    outputs that list neither: a join that follows sends less."""
-    fields = "transform(s.fields, x -> named_struct('column', CAST(NULL AS STRING), 'field', x.field, 'value', x.value))"
-    return _phase(e, _state(fields=fields, issues=_EMPTY_ISSUES))
+    """Entries without the issues raised so far and without source columns, and
+    with resources as bytes, for :func:`facts_entries`, which lists neither: a
+    join that follows sends less. No phase with a config may follow."""
+    fields = "transform(s.fields, x -> named_struct('field', x.field, 'value', x.value))"
+    slim = _phase(e, _state(fields=fields, issues=_EMPTY_ISSUES))
+    return slim.select(*[c for c in slim.columns if c != "resource"], *_packed_id("resource"))
 
 
 # -------------------------------------------------------------- T10 combine

@@ -32,7 +32,7 @@ STAGES = ["entries", "columns", "patch", "filter", "concat", "default", "default
 
 def staged(spark, d, upto: str = "old_entity", log: bool = True) -> DataFrame:
     """Entries after the phases up to and including ``upto``. ``log`` = False
-    is for outputs without issues: those of the phases before the lookup are
+    is for facts, which list no issues: those of the phases before the lookup are
     not carried through its joins."""
     e = PH.to_entries(order_raw(spark, d), ST.RAW_ORDER_COLUMNS, order_config(spark))
     steps = {
